@@ -54,20 +54,15 @@ def cut(
     Null, NaN and values outside the edges give null. The lowest edge itself
     belongs to the first class only with ``include_lowest``.
     """
-    x = number(value)
-    low, high = edges[0], edges[-1]
-    ladder = F.when(x.isNull(), None)
-    if isinf(low):
-        if not include_lowest:
-            ladder = ladder.when(x == F.lit(low), None)
-    else:
-        ladder = ladder.when(x < low if include_lowest else x <= low, None)
-    for edge, result in zip(edges[1:-1], results):
-        ladder = ladder.when(x <= F.lit(float(edge)), F.lit(result))
-    last = F.lit(results[-1])
-    if isinf(high):
-        return ladder.otherwise(last)
-    return ladder.when(x <= F.lit(float(high)), last)
+    # NaN sorts above infinity, so like null it satisfies none of the comparisons.
+    low = edges[0]
+    below = F.lit(False) if isinf(low) and include_lowest else (
+        value < float(low) if include_lowest else value <= float(low)
+    )
+    ladder = F.when(below, None)
+    for edge, result in zip(edges[1:], results):
+        ladder = ladder.when(value <= F.lit(float(edge)), F.lit(result))
+    return ladder
 
 
 def stack(df: DataFrame, names: Sequence[str], rows: Sequence[Sequence[Column]]) -> DataFrame:

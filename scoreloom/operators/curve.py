@@ -39,15 +39,19 @@ def roc_table(
     """
     keys = list(by)
     multiplicity = F.col(weight) if weight else F.lit(1)
+    s = number(score)
     known = df.select(
         *keys,
-        number(score).alias("threshold"),
-        F.when(F.col(label) == 1, multiplicity).otherwise(0).alias("pos"),
-        F.when(F.col(label) == 0, multiplicity).otherwise(0).alias("neg"),
-        F.col(label).isNotNull().alias("labelled"),
-    ).where(F.col("threshold").isNotNull() & F.col("labelled"))
-    counts = known.groupBy(*keys, "threshold").agg(
-        F.sum("pos").cast("long").alias("pos"), F.sum("neg").cast("long").alias("neg")
+        s.alias("threshold"),
+        F.when((F.col(label) == 1) & s.isNotNull(), multiplicity).otherwise(0).alias("pos"),
+        F.when((F.col(label) == 0) & s.isNotNull(), multiplicity).otherwise(0).alias("neg"),
+    )
+    # Rows without score or label are dropped after counting: a filter before it
+    # would evaluate the score a second time.
+    counts = (
+        known.groupBy(*keys, "threshold")
+        .agg(F.sum("pos").cast("long").alias("pos"), F.sum("neg").cast("long").alias("neg"))
+        .where(F.col("pos") + F.col("neg") > 0)
     )
     if distinct_bound is not None and distinct_bound <= max_window_rows:
         edges: list[float] = []

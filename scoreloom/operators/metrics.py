@@ -21,17 +21,16 @@ KS_GRID_POINTS = 300
 def curve_metrics(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """AUC, Gini, KS, the largest TPR − FPR and the highest threshold reaching it.
 
-    One class only gives nulls.
+    A score that never separates in its own direction has an infinite threshold;
+    one class only gives nulls.
     """
     neg, pos = F.col("neg").cast("double"), F.col("pos").cast("double")
     pos_above = F.col("tp").cast("double") - pos
     pairs = F.first("positives").cast("double") * F.first("negatives").cast("double")
     gap = F.col("tpr") - F.col("fpr")
     best = F.max(F.when(gap.isNotNull(), F.struct(gap.alias("gap"), "threshold")))
-    # A decision must be reachable: the origin of the curve does not compete.
-    finite = curve.where(F.col("threshold") < F.lit(float("inf")))
     return (
-        finite.groupBy(*by)
+        curve.groupBy(*by)
         .agg(
             F.sum(neg * (pos_above + pos / 2)).alias("concordant"),
             pairs.alias("pairs"),
@@ -45,7 +44,9 @@ def curve_metrics(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
             (2 * F.col("auc") - 1).alias("gini"),
             "ks",
             F.col("best.gap").alias("ks_curve"),
-            F.col("best.threshold").alias("threshold"),
+            F.when(F.col("best.gap") > 0, F.col("best.threshold"))
+            .when(F.col("best.gap").isNotNull(), F.lit(float("inf")))
+            .alias("threshold"),
         )
     )
 
@@ -61,10 +62,8 @@ def ks_grid(df: DataFrame, score: str, label: str, points: int = KS_GRID_POINTS)
     s = number(score)
     # Scores above 1 are counted in the totals only.
     index = F.when(s <= 1, F.greatest(F.ceil(s * last), F.lit(0).cast("long"))).otherwise(points)
-    counted = (
-        df.where(s.isNotNull() & F.col(label).isNotNull())
-        .groupBy(index.cast("int").alias("point"))
-        .agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
+    counted = df.groupBy(F.when(s.isNotNull(), index).cast("int").alias("point")).agg(
+        F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
     )
     grid = df.sparkSession.range(points + 1).select(F.col("id").cast("int").alias("point"))
     # points + 1 rows from here on.

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import CreditConfig
-from scoreloom.functions.columns import number, ratio, round_even, stack
+from scoreloom.functions.columns import number, ratio, round_even, stack, when_class
 from scoreloom.operators.quantiles import exact_quantiles
 from scoreloom.operators.ranks import hash_cuts, row_hash
 
@@ -137,11 +137,10 @@ def stratified_split(df: DataFrame, config: CreditConfig) -> DataFrame:
         lambda sizes: {value: [n] for value, n in split_sizes(sizes, config.test_share).items()},
         config.seed,
     )
-    h, target = row_hash(config.id_column, config.seed), F.col(config.target)
-    chosen = F.when(target.isNull(), None)
-    for value, (last,) in cuts.items():
-        chosen = chosen.when((target == F.lit(value)) & (h <= F.lit(last)), F.lit("test"))
-    return df.withColumn("split", chosen.otherwise(F.lit("train")))
+    target = F.col(config.target)
+    last = when_class(target, {value: ends[0] for value, ends in cuts.items()})
+    inside = row_hash(config.id_column, config.seed) <= last
+    return df.withColumn("split", F.when(inside, "test").when(target.isNotNull(), "train"))
 
 
 def stratified_folds(df: DataFrame, config: CreditConfig) -> DataFrame:
@@ -159,12 +158,16 @@ def stratified_folds(df: DataFrame, config: CreditConfig) -> DataFrame:
         return ends
 
     cuts = hash_cuts(df, config.id_column, config.target, fold_ends, config.seed)
-    h, target = row_hash(config.id_column, config.seed), F.col(config.target)
-    chosen = F.when(target.isNull(), None)
-    for value, ends in cuts.items():
-        for i, end in enumerate(ends):
-            chosen = chosen.when((target == F.lit(value)) & (h <= F.lit(end)), F.lit(i))
-    return df.withColumn("fold", chosen.otherwise(F.lit(k - 1)))
+    target = F.col(config.target)
+    ends = F.array(
+        *[when_class(target, {value: found[i] for value, found in cuts.items()}) for i in range(k - 1)]
+    )
+    passed = F.size(F.filter(ends, lambda end: end < F.col("row_hash")))
+    return (
+        df.withColumn("row_hash", row_hash(config.id_column, config.seed))
+        .withColumn("fold", F.when(target.isNotNull(), passed))
+        .drop("row_hash")
+    )
 
 
 def split_summary(df: DataFrame, target: str, n_features: int) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.functions.columns import nan_to_null
+from scoreloom.storage import new_path
 
 APPLICANT_SCHEMA = T.StructType(
     [
@@ -74,6 +75,23 @@ def applicants_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_written: dict[tuple[str, str], str] = {}
+
+
+def applicant_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The applicant view of ``folder`` as a table, written once per session.
+
+    The join and the derivation are then paid once instead of by every query, and
+    filters and column selections reach the files.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _written:
+        path = new_path(spark, "applicants")
+        applicants_from_orders(spark, folder).write.parquet(path)
+        _written[key] = path
+    return read_applicants(spark, _written[key])
+
+
 def applicants_sql() -> str:
     """The same view as SQL text over ``orders`` and ``customer``."""
     units = ",\n    ".join(f"{e} AS {n}" for n, e in _UNIT_INTERVAL.items())
