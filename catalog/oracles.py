@@ -191,7 +191,7 @@ def histogram_sql(long: str, bins: int, digits: int, by_class: bool = True) -> d
     """Parts ending in ``histogram``: equal-width bins per group of ``(variable, class, x)``."""
     return {
         "edges": f"SELECT variable, class, CASE WHEN min(x) = max(x) THEN min(x) - 0.5e0 ELSE min(x) END AS lo, CASE WHEN min(x) = max(x) THEN max(x) + 0.5e0 ELSE max(x) END AS hi, count(x) AS total FROM {long} WHERE x IS NOT NULL GROUP BY variable, class",
-        "placed": f"SELECT variable, class, CAST(least(floor((x - lo) / (hi - lo) * {bins}) + 1, {bins}) AS INT) AS bin FROM {long} JOIN edges USING (variable, class) WHERE x IS NOT NULL",
+        "placed": f"SELECT variable, class, CAST(least(floor(round_even((x - lo) / (hi - lo) * {bins} * 1e9, 0) / 1e9) + 1, {bins}) AS INT) AS bin FROM {long} JOIN edges USING (variable, class) WHERE x IS NOT NULL",
         "counted": "SELECT variable, class, bin, count(*) AS n FROM placed GROUP BY variable, class, bin",
         "grid": f"SELECT variable, class, lo, hi, total, CAST(b AS INT) AS bin FROM edges, range(1, {bins + 1}) t(b)",
         "histogram": f"SELECT variable, class, bin, {r(f'lo + (bin - 1) * ((hi - lo) / {bins}e0)', digits)} AS low, {r(f'lo + bin * ((hi - lo) / {bins}e0)', digits)} AS high, {big('coalesce(n, 0)')} AS n, {r(f'coalesce(n, 0) / (total * ((hi - lo) / {bins}e0))', digits)} AS density FROM grid LEFT JOIN counted USING (variable, class, bin)",
@@ -524,8 +524,7 @@ def all_oracles() -> dict[str, str]:
         "test_auc": "SELECT auc FROM aucs WHERE split = 'test'",
         "long": "SELECT 'auc' AS metric, auc AS value FROM test_auc UNION ALL SELECT 'gini', 2 * auc - 1 FROM test_auc UNION ALL "
         "SELECT 'ks', max(abs(tpr - fpr)) FROM curve UNION ALL SELECT 'f1', f1 FROM measures UNION ALL "
-        "SELECT 'auc_gap', abs(max(auc) - min(auc)) FROM aucs UNION ALL "
-        "SELECT 'precision', precision FROM measures UNION ALL SELECT 'recall', recall FROM measures UNION ALL SELECT 'specificity', specificity FROM measures",
+        "SELECT 'auc_gap', abs(max(auc) - min(auc)) FROM aucs",
         "limits": "SELECT * FROM (VALUES " + ", ".join(f"('{x.metric}', '{x.relation}', {literal(float(x.bound))})" for x in CONFIG.limits) + ") v(metric, relation, bound)",
     }
     o["g13_benchmark_gate"] = given(

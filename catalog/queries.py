@@ -9,12 +9,12 @@ from collections.abc import Callable
 from dataclasses import replace
 
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import frozen
 from scoreloom.config import BinSpec, DomainRule
-from scoreloom.functions.columns import round_even, stack
+from scoreloom.functions.columns import even, literal, name, round_even, stack
 from scoreloom.functions.scoring import contributions, probability, risk_band
 from scoreloom.operators import metrics as M
 from scoreloom.operators import model as L
@@ -71,7 +71,7 @@ def all_queries() -> dict[str, Query]:
 def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
     """Round every double column; adding 0 turns a negative zero into a plain one."""
     doubles = [n for n, t in df.dtypes if t == "double" and n not in keep]
-    return df.withColumns({c: round_even(F.col(c), digits) + F.lit(0.0) for c in doubles})
+    return df.withColumns({c: F.expr(f"{even(name(c), digits)} + 0.0D") for c in doubles})
 
 
 # --- A. Scans, sources, sinks ------------------------------------------------
@@ -154,7 +154,7 @@ def b3_column_roles(spark: SparkSession, folder: str) -> DataFrame:
     numeric, binary = V.column_roles(df.columns, CONFIG)
     roles = [*((c, "numeric") for c in numeric), *((c, "binary") for c in binary)]
     wide = df.agg(*[F.avg(c).alias(c) for c, _ in roles])
-    return rounded(stack(wide, ["column", "role", "mean"], [[F.lit(c), F.lit(r), F.col(c)] for c, r in roles]))
+    return rounded(stack(wide, ["column", "role", "mean"], [[literal(c), literal(r), name(c)] for c, r in roles]))
 
 
 @query
@@ -557,7 +557,7 @@ def _stable_score(df: DataFrame) -> DataFrame:
     """Key, target and score to 8 decimals, so that ties are the same in both engines."""
     scored = _scored(df)
     kept = [c for c in (ID, TARGET, "split") if c in df.columns]
-    return scored.select(*kept, round_even(F.col("pd"), 8).alias("pd"))
+    return scored.select(*kept, round_even("pd", 8).alias("pd"))
 
 
 def _curve(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
@@ -594,7 +594,7 @@ def g3_roc_curve(spark: SparkSession, folder: str) -> DataFrame:
 def g3_roc_curve_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """The same curve by score ranges, as for scores of any number."""
     scored = _stable_score(applicant_table(spark, folder))
-    curve = roc_table(scored, "pd", TARGET, max_window_rows=1)
+    curve = roc_table(scored, "pd", TARGET, max_window_rows=500)
     return rounded(curve.select("threshold", "pos", "neg", "tp", "fp", "fpr", "tpr"), 8)
 
 
@@ -658,17 +658,14 @@ def g13_benchmark_gate(spark: SparkSession, folder: str) -> DataFrame:
         "decision", V.decide(F.col("pd"), test["threshold"])
     )
     cells = M.threshold_metrics(M.confusion(decided, TARGET, "decision"))
-    values: dict[str, Column] = {
-        "auc": F.lit(test["auc"]),
-        "gini": F.lit(test["gini"]),
-        "ks": F.lit(test["ks"]),
-        "f1": F.col("f1"),
-        "auc_gap": F.lit(abs(by_split["train"]["auc"] - test["auc"])),
-        "precision": F.col("precision"),
-        "recall": F.col("recall"),
-        "specificity": F.col("specificity"),
+    values = {
+        "auc": literal(test["auc"]),
+        "gini": literal(test["gini"]),
+        "ks": literal(test["ks"]),
+        "f1": "f1",
+        "auc_gap": literal(abs(by_split["train"]["auc"] - test["auc"])),
     }
-    long = stack(cells, ["metric", "value"], [[F.lit(m), v] for m, v in values.items()])
+    long = stack(cells, ["metric", "value"], [[literal(m), v] for m, v in values.items()])
     return rounded(M.benchmark_gate(long, CONFIG.limits))
 
 
@@ -680,13 +677,10 @@ def g14_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
         TARGET,
         F.lit("before").alias("model"),
         "split",
-        round_even(
-            probability(
-                frozen.STANDARDIZED_COEFFICIENTS, frozen.STANDARDIZED_INTERCEPT, standardized.columns
-            ),
-            8,
+        probability(
+            frozen.STANDARDIZED_COEFFICIENTS, frozen.STANDARDIZED_INTERCEPT, standardized.columns
         ).alias("pd"),
-    )
+    ).withColumn("pd", round_even("pd", 8))
     after = _stable_score(_split(df)).select(TARGET, F.lit("after").alias("model"), "split", "pd")
     both = before.unionByName(after).where(F.col("split") == "test")
     ranking = M.curve_metrics(roc_table(both, "pd", TARGET, ["model"]), ["model"])
@@ -734,7 +728,7 @@ def h2_batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def h3_risk_bands(spark: SparkSession, folder: str) -> DataFrame:
     scored = _scored(applicant_table(spark, folder))
-    return scored.select(ID, risk_band(F.col("pd"), CONFIG.bands).alias("b")).select(ID, "b.*")
+    return scored.select(ID, risk_band("pd", CONFIG.bands).alias("b")).select(ID, "b.*")
 
 
 @query

@@ -3,69 +3,63 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scoreloom.config import Band
+from scoreloom.functions.columns import literal, name, text_map
 
 
-def aligned(feature: str, available: Sequence[str]) -> Column:
-    """Feature column, or 0.0 where the table does not have it."""
-    return F.col(feature).cast("double") if feature in available else F.lit(0.0)
+def aligned(feature: str, available: Sequence[str]) -> str:
+    """Feature as SQL text, or 0.0 where the table does not have it."""
+    return f"CAST({name(feature)} AS DOUBLE)" if feature in available else "0.0D"
 
 
-def contribution(feature: str, coefficient: float, available: Sequence[str]) -> Column:
-    return F.lit(float(coefficient)) * aligned(feature, available)
-
-
-def logit(coefficients: Mapping[str, float], intercept: float, available: Sequence[str]) -> Column:
-    terms = [contribution(f, b, available) for f, b in coefficients.items()]
-    return reduce(add, terms, F.lit(float(intercept)))
+def contribution(feature: str, coefficient: float, available: Sequence[str]) -> str:
+    return f"({literal(float(coefficient))} * {aligned(feature, available)})"
 
 
 def probability(coefficients: Mapping[str, float], intercept: float, available: Sequence[str]) -> Column:
     """Default probability of a fitted linear model, as a plain expression."""
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit(coefficients, intercept, available)))
+    terms = [literal(float(intercept)), *(contribution(f, b, available) for f, b in coefficients.items())]
+    return F.expr(f"1.0D / (1.0D + exp(-({' + '.join(terms)})))")
 
 
-def risk_band(pd: Column, bands: Sequence[Band]) -> Column:
+def risk_band(probability_column: str, bands: Sequence[Band]) -> Column:
     """Band struct of an unrounded probability; out of range falls in the last band."""
 
-    def as_struct(band: Band) -> Column:
-        return F.struct(
-            F.lit(band.label).alias("label"),
-            F.lit(band.color).alias("color"),
-            F.lit(band.recommendation).alias("recommendation"),
-            F.lit(band.level).alias("level"),
-        )
-
-    ladder = F.when(pd.isNull(), None).when(pd < bands[0].lower, as_struct(bands[-1]))
-    for band, upper in zip(bands, bands[1:]):
-        ladder = ladder.when(pd < upper.lower, as_struct(band))
-    return ladder.otherwise(as_struct(bands[-1]))
+    def as_struct(band: Band) -> str:
+        fields = {
+            "label": band.label,
+            "color": band.color,
+            "recommendation": band.recommendation,
+            "level": band.level,
+        }
+        return "named_struct(" + ", ".join(f"'{k}', {literal(v)}" for k, v in fields.items()) + ")"
+
+    p, last = name(probability_column), as_struct(bands[-1])
+    ladder = [f"WHEN {p} IS NULL THEN NULL", f"WHEN {p} < {literal(float(bands[0].lower))} THEN {last}"]
+    ladder += [
+        f"WHEN {p} < {literal(float(upper.lower))} THEN {as_struct(band)}"
+        for band, upper in zip(bands, bands[1:])
+    ]
+    return F.expr(f"CASE {' '.join(ladder)} ELSE {last} END")
 
 
 def contributions(coefficients: Mapping[str, float], available: Sequence[str]) -> Column:
     """``ARRAY<STRUCT<feature, value>>``, largest absolute value first, then feature order."""
     entries = [
-        F.struct(
-            (-F.abs(contribution(f, b, available))).alias("key"),
-            F.lit(position).alias("position"),
-            F.lit(f).alias("feature"),
-            contribution(f, b, available).alias("value"),
+        f"named_struct('key', -abs({value}), 'position', {i}, 'feature', {literal(f)}, 'value', {value})"
+        for i, (f, value) in enumerate(
+            (f, contribution(f, b, available)) for f, b in coefficients.items()
         )
-        for position, (f, b) in enumerate(coefficients.items())
     ]
-    ranked = F.sort_array(F.array(*entries))
-    return F.transform(
-        ranked, lambda e: F.struct(e["feature"].alias("feature"), e["value"].alias("value"))
-    )
+    ranked = f"sort_array(array({', '.join(entries)}))"
+    return F.expr(f"transform({ranked}, e -> named_struct('feature', e.feature, 'value', e.value))")
 
 
-def display_name(code: Column, names: Mapping[object, str]) -> Column:
+def display_name(column: str, names: Mapping[object, str]) -> Column:
     """Readable name of a code; an unknown code is shown as it is."""
-    pairs = [F.lit(x) for item in names.items() for x in item]
-    return F.coalesce(F.create_map(*pairs)[code], code.cast("string"))
+    code = name(column)
+    return F.expr(f"coalesce({text_map(names)}[{code}], CAST({code} AS STRING))")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
@@ -123,12 +124,19 @@ def roc_table(
 
 
 def _range_edges(known: DataFrame, max_window_rows: int) -> list[float]:
-    """Cut points of about equal row counts, none if the distinct scores are few."""
+    """Cut points of about equal row counts, none if the distinct scores are few.
+
+    There are as many ranges as keep half of ``max_window_rows`` distinct scores
+    in each, up to ``RANGES``.
+    """
     shares = [i / RANGES for i in range(1, RANGES)]
     row = known.agg(
         F.approx_count_distinct("threshold").alias("distinct"),
         F.percentile_approx("threshold", shares, 10 * RANGES).alias("cuts"),
     ).first()
+    # The distinct count is an estimate, good to a few percent.
     if row["cuts"] is None or row["distinct"] * 1.2 <= max_window_rows:
         return []
-    return sorted(set(row["cuts"]))
+    wanted = min(RANGES, ceil(2 * row["distinct"] / max_window_rows))
+    step = RANGES // wanted
+    return sorted(set(row["cuts"][step - 1 :: step]))

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.config import Limit
-from scoreloom.functions.columns import number, ratio, round_even, stack
+from scoreloom.functions.columns import even, literal, name, number, quotient, ratio, stack
 
 KS_GRID_POINTS = 300
 
@@ -112,67 +112,56 @@ def confusion_long(cells: DataFrame) -> DataFrame:
         cells,
         ["actual", "predicted", "n"],
         [
-            [F.lit(0), F.lit(0), F.col("tn")],
-            [F.lit(0), F.lit(1), F.col("fp")],
-            [F.lit(1), F.lit(0), F.col("fn")],
-            [F.lit(1), F.lit(1), F.col("tp")],
+            ["0", "0", "tn"],
+            ["0", "1", "fp"],
+            ["1", "0", "fn"],
+            ["1", "1", "tp"],
         ],
     )
     whole = F.sum("n").over(W.partitionBy("actual"))
     return long.withColumn("share", ratio(F.col("n"), whole))
 
 
-def _or_zero(numerator: Column, denominator: Column) -> Column:
-    return F.coalesce(ratio(numerator, denominator), F.lit(0.0))
+def _or_zero(numerator: str, denominator: str) -> str:
+    return f"coalesce({quotient(numerator, denominator)}, 0.0D)"
+
+
+def _measures(hit: str, false: str, missed: str) -> dict[str, str]:
+    return {
+        "precision": _or_zero(hit, f"({hit} + {false})"),
+        "recall": _or_zero(hit, f"({hit} + {missed})"),
+        "f1": _or_zero(f"(2 * {hit})", f"(2 * {hit} + {false} + {missed})"),
+    }
 
 
 def threshold_metrics(cells: DataFrame) -> DataFrame:
     """Add precision, recall, F1 (0 where undefined) and specificity (null where undefined)."""
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-    return cells.withColumns(
-        {
-            "precision": _or_zero(tp, tp + fp),
-            "recall": _or_zero(tp, tp + fn),
-            "f1": _or_zero(2 * tp, 2 * tp + fp + fn),
-            "specificity": ratio(tn, tn + fp),
-        }
-    )
+    added = {**_measures("tp", "fp", "fn"), "specificity": quotient("tn", "(tn + fp)")}
+    return cells.withColumns({c: F.expr(e) for c, e in added.items()})
 
 
 def classification_report(cells: DataFrame, names: Mapping[int, str]) -> DataFrame:
     """Precision, recall, F1 and support per class, accuracy, macro and weighted averages."""
-    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
-
-    def measures(hit: Column, false: Column, missed: Column) -> Column:
-        return F.struct(
-            _or_zero(hit, hit + false).alias("precision"),
-            _or_zero(hit, hit + missed).alias("recall"),
-            _or_zero(2 * hit, 2 * hit + false + missed).alias("f1"),
-            (hit + missed).alias("support"),
-        )
-
-    both = cells.select(
-        measures(tn, fn, fp).alias("c0"),
-        measures(tp, fp, fn).alias("c1"),
-        _or_zero(tn + tp, tn + fp + fn + tp).alias("accuracy"),
-        (tn + fp + fn + tp).alias("n"),
-    )
-    c0, c1 = F.col("c0"), F.col("c1")
-    macro = lambda m: (c0[m] + c1[m]) / 2
-    weighted = lambda m: _or_zero(
-        c0[m] * c0["support"] + c1[m] * c1["support"], c0["support"] + c1["support"]
-    )
     shown = ("precision", "recall", "f1")
-    accuracy = [F.col("accuracy")] * 3
+    class0, class1 = _measures("tn", "fn", "fp"), _measures("tp", "fp", "fn")
+    both = cells.selectExpr(
+        *[f"{class0[m]} AS {m}0" for m in shown],
+        *[f"{class1[m]} AS {m}1" for m in shown],
+        "tn + fp AS support0",
+        "tp + fn AS support1",
+        "tn + fp + fn + tp AS n",
+        f"{_or_zero('(tn + tp)', '(tn + fp + fn + tp)')} AS accuracy",
+    )
+    weighted = [_or_zero(f"({m}0 * support0 + {m}1 * support1)", "n") for m in shown]
     return stack(
         both,
         ["row", *shown, "support"],
         [
-            [F.lit(names[0]), *[c0[m] for m in shown], c0["support"]],
-            [F.lit(names[1]), *[c1[m] for m in shown], c1["support"]],
-            [F.lit("accuracy"), *accuracy, F.col("n")],
-            [F.lit("macro avg"), *[macro(m) for m in shown], F.col("n")],
-            [F.lit("weighted avg"), *[weighted(m) for m in shown], F.col("n")],
+            [literal(names[0]), *[f"{m}0" for m in shown], "support0"],
+            [literal(names[1]), *[f"{m}1" for m in shown], "support1"],
+            ["'accuracy'", *["accuracy"] * 3, "n"],
+            ["'macro avg'", *[f"({m}0 + {m}1) / 2" for m in shown], "n"],
+            ["'weighted avg'", *weighted, "n"],
         ],
     )
 
@@ -212,21 +201,17 @@ def benchmark_gate(metrics: DataFrame, limits: Sequence[Limit]) -> DataFrame:
     ``(metric, value, relation, bound, passed)``; metrics without a limit have
     nulls. There is one row per metric.
     """
-    relation = bound = F.lit(None)
-    passed = F.lit(None).cast("boolean")
-    metric, value = F.col("metric"), F.col("value")
-    for limit in limits:
-        here = metric == limit.metric
-        test = {">=": value >= limit.bound, ">": value > limit.bound, "<": value < limit.bound}
-        relation = F.when(here, F.lit(limit.relation)).otherwise(relation)
-        bound = F.when(here, F.lit(float(limit.bound))).otherwise(bound)
-        passed = F.when(here, test[limit.relation]).otherwise(passed)
-    return metrics.select(
+
+    def choose(result) -> str:
+        cases = " ".join(f"WHEN {literal(x.metric)} THEN {result(x)}" for x in limits)
+        return f"CASE metric {cases} END"
+
+    return metrics.selectExpr(
         "metric",
         "value",
-        relation.alias("relation"),
-        bound.cast("double").alias("bound"),
-        passed.cast("int").alias("passed"),
+        f"{choose(lambda x: literal(x.relation))} AS relation",
+        f"{choose(lambda x: literal(float(x.bound)))} AS bound",
+        f"CAST({choose(lambda x: f'value {x.relation} {literal(float(x.bound))}')} AS INT) AS passed",
     )
 
 
@@ -251,20 +236,10 @@ def compare_models(ranking: DataFrame, cells: DataFrame, models: Mapping[str, st
     ``models`` maps its values to output columns.
     """
     joined = threshold_metrics(cells).join(ranking, "model")
-    long = joined.select(
-        "model",
-        F.explode(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("position"),
-                        F.lit(shown).alias("metric"),
-                        round_even(F.col(c).cast("double"), 4).alias("value"),
-                    )
-                    for i, (shown, c) in enumerate(COMPARED.items())
-                ]
-            )
-        ).alias("m"),
-    ).select("model", "m.*")
+    entries = [
+        f"named_struct('position', {i}, 'metric', {literal(shown)}, 'value', {even(f'CAST({name(c)} AS DOUBLE)', 4)})"
+        for i, (shown, c) in enumerate(COMPARED.items())
+    ]
+    long = joined.selectExpr("model", f"inline(array({', '.join(entries)}))")
     wide = long.groupBy("position", "metric").pivot("model", list(models)).agg(F.first("value"))
     return wide.select("position", "metric", *[F.col(f"`{m}`").alias(c) for m, c in models.items()])

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from scoreloom.config import CreditConfig
-from scoreloom.functions.columns import round_even
+from scoreloom.functions.columns import even, round_even
 from scoreloom.functions.scoring import probability
 from scoreloom.operators.curve import roc_table
 from scoreloom.operators.metrics import confusion, curve_metrics, threshold_metrics
@@ -113,8 +113,8 @@ def coefficient_table(
     table = spark.createDataFrame(list(coefficients.items()), "feature string, beta double")
     shown = table.select(
         "feature",
-        round_even(F.col("beta"), 4).alias("coefficient"),
-        round_even(F.exp("beta"), 4).alias("odds_ratio"),
+        round_even("beta", 4).alias("coefficient"),
+        F.expr(even("exp(beta)", 4)).alias("odds_ratio"),
         F.when(F.col("beta") > 0, "Risque").otherwise("Protection").alias("effect"),
     )
     order = F.abs("coefficient") if by_size else F.col("coefficient")
@@ -135,7 +135,7 @@ def cross_validate(
     fold: str = "fold",
     patterns: bool = False,
     distinct_bound: int | None = None,
-    parallelism: int = 5,
+    parallelism: int = 3,
 ) -> DataFrame:
     """AUC and F1 (at ``p > 0.5``) of the held-out rows, one row per fold.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import CreditConfig
-from scoreloom.functions.columns import number, ratio, round_even, stack, when_class
+from scoreloom.functions.columns import even, known, literal, name, number, quotient, stack, when_class
 from scoreloom.operators.quantiles import exact_quantiles
 from scoreloom.operators.ranks import hash_cuts, row_hash
 
@@ -28,7 +28,11 @@ def fit_medians(
 def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     """Replace missing values by the fitted medians."""
     return df.withColumns(
-        {c: F.coalesce(number(c), F.lit(float(m))) for c, m in medians.items() if m is not None}
+        {
+            c: F.expr(f"coalesce({known(c)}, {literal(float(m))})")
+            for c, m in medians.items()
+            if m is not None
+        }
     )
 
 
@@ -42,7 +46,7 @@ def cap(df: DataFrame, caps: Mapping[str, float]) -> DataFrame:
     """Lower every value above its cap to the cap; missing values stay missing."""
     return df.withColumns(
         {
-            c: F.when(number(c) > F.lit(float(v)), F.lit(float(v))).otherwise(number(c))
+            c: F.expr(f"CASE WHEN {known(c)} > {literal(float(v))} THEN {literal(float(v))} ELSE {known(c)} END")
             for c, v in caps.items()
             if v is not None
         }
@@ -57,10 +61,10 @@ def cap_audit(df: DataFrame, caps: Mapping[str, float], digits: int = 2) -> Data
         ["column", "max_before", "cap", "max_after"],
         [
             [
-                F.lit(c),
-                round_even(F.col(c), digits),
-                round_even(F.lit(float(v)), digits),
-                round_even(F.least(F.col(c), F.lit(float(v))), digits),
+                literal(c),
+                even(name(c), digits),
+                even(literal(float(v)), digits),
+                even(f"least({name(c)}, {literal(float(v))})", digits),
             ]
             for c, v in caps.items()
         ],
@@ -76,7 +80,8 @@ def fit_categories(df: DataFrame, column: str) -> list[str]:
 def one_hot(df: DataFrame, column: str, categories: Sequence[str]) -> DataFrame:
     """0/1 column per category but the first; unknown or missing gives all zeros."""
     dummies = {
-        f"{column}_{v}": F.when(F.col(column) == v, 1).otherwise(0) for v in categories[1:]
+        f"{column}_{v}": F.expr(f"CASE WHEN {name(column)} = {literal(v)} THEN 1 ELSE 0 END")
+        for v in categories[1:]
     }
     return df.withColumns(dummies).drop(column)
 
@@ -92,7 +97,11 @@ def fit_standardizer(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[f
 
 def standardize(df: DataFrame, scaler: Mapping[str, tuple[float, float]]) -> DataFrame:
     return df.withColumns(
-        {c: (number(c) - F.lit(float(m))) / F.lit(float(s)) for c, (m, s) in scaler.items() if m is not None}
+        {
+            c: F.expr(f"({known(c)} - {literal(float(m))}) / {literal(float(s))}")
+            for c, (m, s) in scaler.items()
+            if m is not None
+        }
     )
 
 
@@ -102,10 +111,13 @@ def standardization_check(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         *[F.avg(number(c)).alias(f"m_{c}") for c in columns],
         *[F.stddev_samp(number(c)).alias(f"s_{c}") for c in columns],
     )
-    n = F.lit(float(len(columns)))
-    return row.select(
-        (sum((F.col(f"m_{c}") for c in columns), F.lit(0.0)) / n).alias("mean_of_means"),
-        (sum((F.col(f"s_{c}") for c in columns), F.lit(0.0)) / n).alias("mean_of_deviations"),
+
+    def mean_of(prefix: str) -> str:
+        total = " + ".join(name(f"{prefix}_{c}") for c in columns)
+        return f"({total}) / {literal(float(len(columns)))}"
+
+    return row.selectExpr(
+        f"{mean_of('m')} AS mean_of_means", f"{mean_of('s')} AS mean_of_deviations"
     )
 
 
@@ -138,7 +150,7 @@ def stratified_split(df: DataFrame, config: CreditConfig) -> DataFrame:
         config.seed,
     )
     target = F.col(config.target)
-    last = when_class(target, {value: ends[0] for value, ends in cuts.items()})
+    last = F.expr(when_class(config.target, {value: ends[0] for value, ends in cuts.items()}))
     inside = row_hash(config.id_column, config.seed) <= last
     return df.withColumn("split", F.when(inside, "test").when(target.isNotNull(), "train"))
 
@@ -159,10 +171,10 @@ def stratified_folds(df: DataFrame, config: CreditConfig) -> DataFrame:
 
     cuts = hash_cuts(df, config.id_column, config.target, fold_ends, config.seed)
     target = F.col(config.target)
-    ends = F.array(
-        *[when_class(target, {value: found[i] for value, found in cuts.items()}) for i in range(k - 1)]
+    ends = ", ".join(
+        when_class(config.target, {value: found[i] for value, found in cuts.items()}) for i in range(k - 1)
     )
-    passed = F.size(F.filter(ends, lambda end: end < F.col("row_hash")))
+    passed = F.expr(f"size(filter(array({ends}), last -> last < row_hash))")
     return (
         df.withColumn("row_hash", row_hash(config.id_column, config.seed))
         .withColumn("fold", F.when(target.isNotNull(), passed))
@@ -182,7 +194,7 @@ def split_summary(df: DataFrame, target: str, n_features: int) -> DataFrame:
     return total.select("n", F.inline("s")).select(
         "split",
         "n_rows",
-        ratio(F.col("n_rows"), F.col("n")).alias("share"),
+        F.expr(quotient("n_rows", "n")).alias("share"),
         "target_rate",
         F.lit(n_features).alias("n_features"),
     )

@@ -10,8 +10,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.config import BinSpec
-from scoreloom.functions.columns import cut, number, ratio, round_even, stack, when_class
+from scoreloom.functions.columns import (
+    cut,
+    even,
+    literal,
+    name,
+    number,
+    quotient,
+    ratio,
+    stack,
+    text_map,
+    when_class,
+)
 from scoreloom.operators.quantiles import exact_quantiles
+from scoreloom.operators.validate import number_missing
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -32,19 +44,16 @@ def target_distribution(df: DataFrame, target: str) -> DataFrame:
 
 def missing_table(df: DataFrame, columns: Sequence[str], alert_pct: float = 5.0) -> DataFrame:
     """Columns with missing values: count, percent to 2 decimals and the alert flag."""
-    floats = {n for n, t in df.dtypes if t in ("double", "float")}
-
-    def missing(c: str) -> Column:
-        return F.col(c).isNull() | F.isnan(c) if c in floats else F.col(c).isNull()
-
     counted = df.agg(
-        F.count(F.lit(1)).alias("n_all"), *[F.count_if(missing(c)).alias(c) for c in columns]
+        F.count(F.lit(1)).alias("n_all"), *[F.count_if(number_missing(df, c)).alias(c) for c in columns]
     )
-    pct = lambda c: round_even(F.try_divide(F.col(c) * F.lit(100.0), F.col("n_all")), 2)
     long = stack(
         counted,
         ["column", "n_missing", "pct_missing"],
-        [[F.lit(c), F.col(c), pct(c)] for c in columns],
+        [
+            [literal(c), name(c), even(quotient(f"{name(c)} * 100.0D", "n_all"), 2)]
+            for c in columns
+        ],
     )
     return long.where(F.col("n_missing") > 0).withColumn(
         "above_alert", (F.col("pct_missing") > alert_pct).cast("int")
@@ -53,11 +62,7 @@ def missing_table(df: DataFrame, columns: Sequence[str], alert_pct: float = 5.0)
 
 def missing_total(df: DataFrame) -> DataFrame:
     """Missing values left in the whole table, one row."""
-    floats = {n for n, t in df.dtypes if t in ("double", "float")}
-    counts = [
-        F.count_if((F.col(c).isNull() | F.isnan(c)) if c in floats else F.col(c).isNull())
-        for c in df.columns
-    ]
+    counts = [F.count_if(number_missing(df, c)) for c in df.columns]
     return df.agg(sum(counts[1:], counts[0]).alias("n_missing"))
 
 
@@ -80,13 +85,10 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         ["column", "count", "mean", "std", "min", "q25", "q50", "q75", "max"],
         [
             [
-                F.lit(c),
-                F.col(c)["count"],
-                F.col(c)["mean"],
-                F.col(c)["std"],
-                F.col(c)["min"],
-                *[F.lit(q).cast("double") for q in quartiles[None, c]],
-                F.col(c)["max"],
+                literal(c),
+                *[f"{name(c)}.{field}" for field in ("count", "mean", "std", "min")],
+                *[f"CAST({literal(q)} AS DOUBLE)" for q in quartiles[None, c]],
+                f"{name(c)}.max",
             ]
             for c in columns
         ],
@@ -120,18 +122,21 @@ def shape_statistics(df: DataFrame, columns: Sequence[str], digits: int = 3) ->
         ]
     )
 
-    def skew(c: str) -> Column:
-        n = F.col(c)["n"]
-        return F.when(n > 2, F.col(c)["g1"] * F.sqrt(n * (n - 1)) / (n - 2))
+    def skew(c: str) -> str:
+        n = f"{name(c)}.n"
+        return f"CASE WHEN {n} > 2 THEN {name(c)}.g1 * sqrt({n} * ({n} - 1)) / ({n} - 2) END"
 
-    def kurt(c: str) -> Column:
-        n = F.col(c)["n"]
-        return F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col(c)["g2"] + 6))
+    def kurt(c: str) -> str:
+        n = f"{name(c)}.n"
+        return (
+            f"CASE WHEN {n} > 3 THEN ({n} - 1) / (({n} - 2) * ({n} - 3)) "
+            f"* (({n} + 1) * {name(c)}.g2 + 6) END"
+        )
 
     return stack(
         wide,
         ["column", "skewness", "kurtosis"],
-        [[F.lit(c), round_even(skew(c), digits), round_even(kurt(c), digits)] for c in columns],
+        [[literal(c), even(skew(c), digits), even(kurt(c), digits)] for c in columns],
     )
 
 
@@ -149,11 +154,11 @@ def class_histogram(
     if by:
         data = data.where(F.col(by).isNotNull())
     ranges = _ranges(data, columns, by)
-    group = F.col(by) if by else F.lit(0)
+    group = name(by) if by else "0"
     binned = data.select(
-        group.alias("class"),
+        F.expr(group).alias("class"),
         *[
-            _bin_number(F.col(c), group, {g: r for (g, v), r in ranges.items() if v == c}, bins).alias(c)
+            _bin_number(c, group, {g: r for (g, v), r in ranges.items() if v == c}, bins).alias(c)
             for c in columns
         ],
     )
@@ -206,15 +211,19 @@ def _ranges(
 
 
 def _bin_number(
-    x: Column, group: Column, ranges: Mapping[object, tuple[float, float]], bins: int
+    column: str, group: str, ranges: Mapping[object, tuple[float, float]], bins: int
 ) -> Column:
-    chosen = F.lit(None).cast("int")
-    for value, (low, high) in ranges.items():
-        number_in_range = F.least(
-            F.width_bucket(x, F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins)
-        ).cast("int")
-        chosen = F.when(group == F.lit(value), number_in_range).otherwise(chosen)
-    return F.when(x.isNotNull(), chosen)
+    """1-based bin in the range of the row's group; null for a missing value."""
+    if not ranges:
+        return F.lit(None).cast("int")
+
+    def per_group(i: int) -> str:
+        return "CASE " + group + "".join(f" WHEN {literal(g)} THEN {literal(r[i])}" for g, r in ranges.items()) + " END"
+
+    # A value on an edge opens the upper bin, also when scaling left it a rounding
+    # error below the edge; the maximum belongs to the last bin.
+    position = f"({name(column)} - {per_group(0)}) / ({per_group(1)} - {per_group(0)}) * {bins}"
+    return F.expr(f"CAST(least(floor({even(position, 9)}) + 1, {bins}) AS INT)")
 
 
 def before_after_histograms(
@@ -237,42 +246,43 @@ def box_statistics(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
     never inside the box.
     """
     quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=by)
-    group = F.col(by)
 
-    def per_class(c: str, value_of) -> Column:
-        return when_class(group, {g: value_of(*q) for (g, v), q in quartiles.items() if v == c and q[0] is not None})
+    def per_class(group: str, c: str, value_of) -> str:
+        return when_class(
+            group, {g: value_of(*q) for (g, v), q in quartiles.items() if v == c and q[0] is not None}
+        )
 
     aggregates = []
     for c in columns:
-        x = number(c)
-        low = per_class(c, lambda q1, q2, q3: q1 - 1.5 * (q3 - q1))
-        high = per_class(c, lambda q1, q2, q3: q3 + 1.5 * (q3 - q1))
+        low = per_class(by, c, lambda q1, q2, q3: q1 - 1.5 * (q3 - q1))
+        high = per_class(by, c, lambda q1, q2, q3: q3 + 1.5 * (q3 - q1))
+        x = name(c)
         aggregates.append(
-            F.struct(
-                F.min(F.when(x >= low, x)).alias("low"),
-                F.max(F.when(x <= high, x)).alias("high"),
-                F.count_if((x < low) | (x > high)).alias("n_outside"),
+            F.expr(
+                f"named_struct('low', min(CASE WHEN {x} >= {low} THEN {x} END), "
+                f"'high', max(CASE WHEN {x} <= {high} THEN {x} END), "
+                f"'n_outside', count_if({x} < {low} OR {x} > {high}))"
             ).alias(c)
         )
-    wide = df.where(group.isNotNull()).groupBy(group.alias("class")).agg(*aggregates)
+    data = df.where(F.col(by).isNotNull()).select(by, *[number(c).alias(c) for c in columns])
+    wide = data.groupBy(F.col(by).alias("class")).agg(*aggregates)
 
-    def quartile(c: str, i: int) -> Column:
-        values = {g: q[i] for (g, v), q in quartiles.items() if v == c and q[i] is not None}
-        return when_class(F.col("class"), values).cast("double")
+    def quartile(c: str, i: int) -> str:
+        return f"CAST({per_class('class', c, lambda *q: q[i])} AS DOUBLE)"
 
     return stack(
         wide,
         ["variable", "class", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outside"],
         [
             [
-                F.lit(c),
-                F.col("class"),
+                literal(c),
+                "class",
                 quartile(c, 0),
                 quartile(c, 1),
                 quartile(c, 2),
-                F.least(F.col(c)["low"], quartile(c, 0)),
-                F.greatest(F.col(c)["high"], quartile(c, 2)),
-                F.col(c)["n_outside"],
+                f"least({name(c)}.low, {quartile(c, 0)})",
+                f"greatest({name(c)}.high, {quartile(c, 2)})",
+                f"{name(c)}.n_outside",
             ]
             for c in columns
         ],
@@ -282,17 +292,17 @@ def box_statistics(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
 def extreme_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Columns with values above q3 + 3 interquartile ranges, and their number."""
     quartiles = exact_quantiles(df, columns, [0.25, 0.75])
-    known = [c for c in columns if quartiles[None, c][0] is not None]
+    filled = [c for c in columns if quartiles[None, c][0] is not None]
 
     def limit(c: str) -> float:
         q1, q3 = quartiles[None, c]
         return q3 + 3 * (q3 - q1)
 
-    wide = df.agg(*[F.count_if(number(c) > F.lit(limit(c))).alias(c) for c in known])
+    wide = df.agg(*[F.count_if(number(c) > F.lit(limit(c))).alias(c) for c in filled])
     long = stack(
         wide,
         ["column", "upper_limit", "n_outliers"],
-        [[F.lit(c), F.lit(limit(c)), F.col(c)] for c in known],
+        [[literal(c), literal(limit(c)), name(c)] for c in filled],
     )
     return long.where(F.col("n_outliers") > 0)
 
@@ -315,7 +325,7 @@ def rate_by_value(df: DataFrame, column: str, target: str) -> DataFrame:
         "value",
         "n",
         ratio(F.col("events"), F.col("n")).alias("rate"),
-        round_even(ratio(F.col("events"), F.col("n")) * 100, 2).alias("rate_pct"),
+        F.expr(even(quotient("events", "n") + " * 100", 2)).alias("rate_pct"),
         "overall_rate_pct",
     )
 
@@ -328,18 +338,20 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """
     pairs = [(a, b) for b, a in combinations(columns, 2)]
     data = df.select(*[number(c).alias(c) for c in columns])
-    wide = data.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = data.agg(
+        F.expr(f"array({', '.join(f'corr({name(a)}, {name(b)})' for a, b in pairs)})").alias("r")
+    )
     return stack(
         wide,
         ["var_a", "var_b", "r"],
-        [[F.lit(a), F.lit(b), F.col(f"r{i}")] for i, (a, b) in enumerate(pairs)],
+        [[literal(a), literal(b), f"r[{i}]"] for i, (a, b) in enumerate(pairs)],
     )
 
 
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target, ascending, with its reading."""
     wide = df.agg(*[F.corr(number(c), number(target)).alias(c) for c in columns])
-    long = stack(wide, ["variable", "r"], [[F.lit(c), F.col(c)] for c in columns])
+    long = stack(wide, ["variable", "r"], [[literal(c), name(c)] for c in columns])
     effect = F.when(F.col("r") > 0, "risk").when(F.col("r") <= 0, "protective")
     return long.withColumn("effect", effect).orderBy("r")
 
@@ -351,7 +363,7 @@ def rate_by_bucket(df: DataFrame, buckets: Sequence[BinSpec], target: str) -> Da
     """
     positions = {b.variable: list(range(1, len(b.names) + 1)) for b in buckets}
     binned = df.select(
-        target, *[cut(F.col(b.variable), b.edges, positions[b.variable]).alias(b.variable) for b in buckets]
+        target, *[cut(b.variable, b.edges, positions[b.variable]).alias(b.variable) for b in buckets]
     )
     grouped = (
         binned.unpivot([target], [b.variable for b in buckets], "variable", "position")
@@ -359,13 +371,11 @@ def rate_by_bucket(df: DataFrame, buckets: Sequence[BinSpec], target: str) -> Da
         .groupBy("variable", "position")
         .agg(F.count(target).alias("n"), (F.avg(target) * 100).alias("rate_pct"))
     )
-    names = F.create_map(
-        *[x for b in buckets for x in (F.lit(b.variable), F.array(*[F.lit(n) for n in b.names]))]
-    )
+    names = text_map({b.variable: b.names for b in buckets})
     return grouped.select(
         "variable",
         "position",
-        F.element_at(names[F.col("variable")], F.col("position")).alias("bucket"),
+        F.expr(f"element_at({names}[variable], position)").alias("bucket"),
         "n",
         "rate_pct",
     )

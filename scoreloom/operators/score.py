@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.functions.columns import number
 from scoreloom.functions.scoring import aligned, contributions, display_name, probability, risk_band
-from scoreloom.operators.prep import cap, impute
+from scoreloom.operators.prep import cap, impute, one_hot
 from scoreloom.operators.woe import apply_woe
 from scoreloom.sources.params import Scorecard
 
@@ -18,7 +18,7 @@ TOP_DRIVERS = 5
 
 def align_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Exactly the training features, in order; an absent feature counts as 0."""
-    return df.select(*keep, *[aligned(f, df.columns).alias(f) for f in features])
+    return df.select(*keep, *[F.expr(aligned(f, df.columns)).alias(f) for f in features])
 
 
 def woe_features(df: DataFrame, card: Scorecard) -> DataFrame:
@@ -31,15 +31,13 @@ def woe_features(df: DataFrame, card: Scorecard) -> DataFrame:
     prepared = cap(prepared, {c: v for c, v in card.caps.items() if c in present})
     column = card.category_column
     if column in present:
-        prepared = prepared.withColumns(
-            {f"{column}_{v}": F.when(F.col(column) == v, 1).otherwise(0) for v in card.categories[1:]}
-        )
+        prepared = one_hot(prepared, column, card.categories)
     return apply_woe(prepared, card.bins, card.woe)
 
 
 def score(df: DataFrame, card: Scorecard, keep: Sequence[str] = (), top: int = TOP_DRIVERS) -> DataFrame:
-    """Score every row: ``(keep…, pd, pd_score, pd_pct, risk_band, recommendation,
-    top_drivers, contributions)``.
+    """Score every row: ``(keep…, pd, pd_score, pd_pct, risk_band, top_drivers,
+    contributions, recommendation)``.
 
     ``pd`` is unrounded and decides the band; ``keep`` names raw input columns.
     """
@@ -56,11 +54,10 @@ def score(df: DataFrame, card: Scorecard, keep: Sequence[str] = (), top: int = T
         "pd",
         F.bround("pd", 4).alias("pd_score"),
         F.bround(F.col("pd") * 100, 2).alias("pd_pct"),
-        risk_band(F.col("pd"), card.bands).alias("risk_band"),
-        risk_band(F.col("pd"), card.bands)["recommendation"].alias("recommendation"),
+        risk_band("pd", card.bands).alias("risk_band"),
         F.slice("contributions", 1, top).alias("top_drivers"),
         "contributions",
-    )
+    ).withColumn("recommendation", F.col("risk_band.recommendation"))
 
 
 def drivers(scored: DataFrame, keep: Sequence[str], column: str = "top_drivers") -> DataFrame:
@@ -93,8 +90,8 @@ def display_categories(
     """Add readable names of the category code and of the 0/1 flag."""
     return df.withColumns(
         {
-            f"{category}_name": display_name(F.col(category), category_names),
-            f"{flag}_name": display_name(F.col(flag), flag_names),
+            f"{category}_name": display_name(category, category_names),
+            f"{flag}_name": display_name(flag, flag_names),
         }
     )
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.config import CreditConfig, DomainRule
-from scoreloom.functions.columns import number
+from scoreloom.functions.columns import literal, name, number
 
 
 def drop_identifier(df: DataFrame, config: CreditConfig) -> DataFrame:
@@ -31,38 +31,48 @@ def column_roles(columns: Sequence[str], config: CreditConfig) -> tuple[list[str
         for c in features
         if c in config.binary_columns or c.startswith(f"{config.category_column}_")
     ]
-    return [c for c in features if c not in binary], binary
+    return [c for c in features if c not in binary and c != "split"], binary
 
 
 def class_values(df: DataFrame, column: str, target: str, value: int) -> DataFrame:
     """Known values of a column inside one target class."""
-    x = number(column)
-    return df.where((F.col(target) == value) & x.isNotNull()).select(x.alias(column))
+    of_class = df.where(F.col(target) == value).select(number(column).alias(column))
+    return of_class.where(F.col(column).isNotNull())
 
 
 def missing_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Add a 0/1 ``<column>_missing`` flag per column."""
-    return df.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in columns})
+    return df.withColumns({f"{c}_missing": number_missing(df, c).cast("int") for c in columns})
 
 
-def _violations(rule: DomainRule, dtype: T.DataType, allow_null: bool) -> list[Column]:
-    column, found = F.col(rule.column), []
-    missing = column.isNull()
+def number_missing(df: DataFrame, column: str) -> Column:
+    """Whether a value is missing; NaN counts as missing in floating-point columns."""
+    dtype = df.schema[column].dataType
+    return F.expr(_missing(column, dtype))
+
+
+def _missing(column: str, dtype: T.DataType) -> str:
+    is_null = f"{name(column)} IS NULL"
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        missing = missing | F.isnan(column)
-    if not allow_null:
-        found.append(F.when(missing, F.lit(f"{rule.column}:missing")))
+        return f"({is_null} OR isnan({name(column)}))"
+    return f"({is_null})"
+
+
+def _violations(rule: DomainRule, dtype: T.DataType, allow_null: bool) -> list[str]:
+    column, missing = name(rule.column), _missing(rule.column, dtype)
+
+    def reason(condition: str, kind: str) -> str:
+        return f"CASE WHEN {condition} THEN {literal(f'{rule.column}:{kind}')} END"
+
+    found = [] if allow_null else [reason(missing, "missing")]
     if rule.allowed:
-        found.append(F.when(~column.isin(*rule.allowed), F.lit(f"{rule.column}:category")))
-        return found
+        return [*found, reason(f"{column} NOT IN ({', '.join(map(literal, rule.allowed))})", "category")]
+    number_text = column
     if isinstance(dtype, T.StringType):
-        parsed = F.expr(f"try_cast(`{rule.column}` AS double)")
-        found.append(F.when(column.isNotNull() & parsed.isNull(), F.lit(f"{rule.column}:type")))
-    else:
-        parsed = column.cast("double")
-    outside = (parsed < rule.low) | (parsed > rule.high)
-    found.append(F.when(~F.isnan(parsed) & outside, F.lit(f"{rule.column}:range")))
-    return found
+        number_text = f"try_cast({column} AS DOUBLE)"
+        found.append(reason(f"{column} IS NOT NULL AND {number_text} IS NULL", "type"))
+    outside = f"{number_text} < {literal(rule.low)} OR {number_text} > {literal(rule.high)}"
+    return [*found, reason(f"NOT {missing} AND ({outside})", "range")]
 
 
 def validate(df: DataFrame, config: CreditConfig, allow_null: bool = False) -> DataFrame:
@@ -73,10 +83,12 @@ def validate(df: DataFrame, config: CreditConfig, allow_null: bool = False) -> D
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     reasons = [
-        v for rule in config.rules if rule.column in types
+        v
+        for rule in config.rules
+        if rule.column in types
         for v in _violations(rule, types[rule.column], allow_null)
     ]
-    return df.withColumn("errors", F.array_compact(F.array(*reasons)))
+    return df.withColumn("errors", F.expr(f"array_compact(array({', '.join(reasons)}))"))
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

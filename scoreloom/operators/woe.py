@@ -12,12 +12,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.config import FALLING, RISING, ZERO_SHARE_FLOOR, BinSpec
-from scoreloom.functions.columns import cut, ratio, round_even
+from scoreloom.functions.columns import cut, literal, quotient, round_even, text_map
 
 
 def bin_label(spec: BinSpec, include_lowest: bool = True) -> Column:
     """Class label of the variable's value; missing values have no class."""
-    return cut(F.col(spec.variable), spec.edges, spec.names, include_lowest)
+    return cut(spec.variable, spec.edges, spec.names, include_lowest)
 
 
 def assign_bins(df: DataFrame, bins: Sequence[BinSpec]) -> DataFrame:
@@ -43,7 +43,7 @@ def woe_table(df: DataFrame, bins: Sequence[BinSpec], target: str) -> DataFrame:
     numbered = df.where(F.col(target).isNotNull()).select(
         F.col(target).cast("long").alias("y"),
         *[
-            cut(F.col(b.variable), b.edges, list(range(1, len(b.names) + 1)), True).alias(b.variable)
+            cut(b.variable, b.edges, list(range(1, len(b.names) + 1)), True).alias(b.variable)
             for b in bins
         ],
     )
@@ -53,43 +53,41 @@ def woe_table(df: DataFrame, bins: Sequence[BinSpec], target: str) -> DataFrame:
         .agg(F.sum("y").alias("events"), F.count(F.lit(1)).alias("total"))
     )
     per_variable = W.partitionBy("variable")  # a handful of rows per variable
-    all_events = F.sum("events").over(per_variable)
-    all_rows = F.sum("total").over(per_variable)
-
-    def share(part: Column, whole: Column) -> Column:
-        value = ratio(part, whole)
-        return F.when(value == 0, F.lit(ZERO_SHARE_FLOOR)).otherwise(value)
-
-    non_events = F.col("total") - F.col("events")
-    shares = grouped.withColumns(
+    totals = grouped.withColumns(
         {
-            "non_events": non_events,
-            "pct_events": share(F.col("events"), all_events),
-            "pct_non_events": share(non_events, all_rows - all_events),
+            "all_events": F.sum("events").over(per_variable),
+            "all_rows": F.sum("total").over(per_variable),
         }
     ).where(F.col("bin_no").isNotNull())
-    names = F.create_map(
-        *[x for b in bins for x in (F.lit(b.variable), F.array(*[F.lit(n) for n in b.names]))]
-    )
-    return shares.withColumn("woe", F.ln(ratio(F.col("pct_events"), F.col("pct_non_events")))).select(
+
+    def share(part: str, whole: str) -> Column:
+        value = quotient(part, whole)
+        return F.expr(f"CASE WHEN {value} = 0 THEN {literal(ZERO_SHARE_FLOOR)} ELSE {value} END")
+
+    names = text_map({b.variable: b.names for b in bins})
+    return totals.select(
         "variable",
         "bin_no",
-        F.element_at(names[F.col("variable")], F.col("bin_no")).alias("bin"),
+        F.expr(f"element_at({names}[variable], bin_no)").alias("bin"),
         "events",
         "total",
-        "non_events",
-        "pct_events",
-        "pct_non_events",
-        "woe",
-        ((F.col("pct_events") - F.col("pct_non_events")) * F.col("woe")).alias("iv"),
-        (ratio(F.col("events"), F.col("total")) * 100).alias("rate_pct"),
+        F.expr("total - events").alias("non_events"),
+        share("events", "all_events").alias("pct_events"),
+        share("total - events", "all_rows - all_events").alias("pct_non_events"),
+    ).select(
+        "*",
+        F.expr(f"ln({quotient('pct_events', 'pct_non_events')})").alias("woe"),
+    ).select(
+        "*",
+        F.expr("(pct_events - pct_non_events) * woe").alias("iv"),
+        F.expr(f"{quotient('events', 'total')} * 100").alias("rate_pct"),
     )
 
 
 def rounded_woe_table(table: DataFrame, digits: int = 4) -> DataFrame:
     """The table as shown: every measure rounded."""
     measures = ["pct_events", "pct_non_events", "woe", "iv", "rate_pct"]
-    return table.withColumns({c: round_even(F.col(c), digits) for c in measures})
+    return table.withColumns({c: round_even(c, digits) for c in measures})
 
 
 def iv_summary(
@@ -97,9 +95,8 @@ def iv_summary(
 ) -> DataFrame:
     """Information value per variable, from unrounded terms, with power class and direction."""
     per_variable = table.groupBy("variable").agg(F.sum("iv").alias("iv"))
-    power = F.lit(power_classes[-1][1])
-    for bound, name in reversed(power_classes[:-1]):
-        power = F.when(F.col("iv") < bound, name).otherwise(power)
+    ladder = " ".join(f"WHEN iv < {literal(float(b))} THEN {literal(n)}" for b, n in power_classes[:-1])
+    power = F.expr(f"CASE {ladder} ELSE {literal(power_classes[-1][1])} END")
     summary = per_variable.withColumn("power", power)
     if bins:
         summary = summary.withColumn("direction", _direction(bins))
@@ -111,7 +108,7 @@ def total_iv(summary: DataFrame) -> DataFrame:
 
 
 def _direction(bins: Sequence[BinSpec]) -> Column:
-    return F.create_map(*[F.lit(x) for b in bins for x in (b.variable, b.direction)])[F.col("variable")]
+    return F.expr(f"{text_map({b.variable: b.direction for b in bins})}[variable]")
 
 
 def monotonicity(table: DataFrame, bins: Sequence[BinSpec]) -> DataFrame:
@@ -145,7 +142,7 @@ def woe_maps(table: DataFrame, digits: int = 4) -> dict[str, dict[str, float]]:
     The table has one row per class, so it fits the driver.
     """
     maps: dict[str, dict[str, float]] = {}
-    rows = table.select("variable", "bin", round_even(F.col("woe"), digits).alias("woe")).collect()
+    rows = table.select("variable", "bin", round_even("woe", digits).alias("woe")).collect()
     for row in rows:
         maps.setdefault(row["variable"], {})[row["bin"]] = row["woe"]
     return maps
@@ -153,7 +150,7 @@ def woe_maps(table: DataFrame, digits: int = 4) -> dict[str, dict[str, float]]:
 
 def woe_value(spec: BinSpec, woe: Mapping[str, float]) -> Column:
     """WOE of the variable's value; missing values and classes unseen in fitting give null."""
-    return cut(F.col(spec.variable), spec.edges, [woe.get(n) for n in spec.names], True).cast("double")
+    return cut(spec.variable, spec.edges, [woe.get(n) for n in spec.names], True).cast("double")
 
 
 def apply_woe(

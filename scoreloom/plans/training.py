@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.config import CreditConfig
-from scoreloom.functions.columns import stack
+from scoreloom.functions.columns import literal, stack
 from scoreloom.operators import metrics as M
 from scoreloom.operators import model as L
 from scoreloom.operators import prep as P
@@ -122,13 +122,13 @@ def evaluation(scored: DataFrame, config: CreditConfig, distinct_bound: int | No
     )
     cells = M.threshold_metrics(M.confusion(decided, config.target, "decision"))
     values = {
-        "auc": F.lit(test["auc"]),
-        "auc_train": F.lit(train["auc"]),
-        "auc_gap": F.lit(abs(train["auc"] - test["auc"])),
-        "gini": F.lit(test["gini"]),
-        "ks": F.lit(test["ks"]),
-        "threshold": F.lit(test["threshold"]),
-        **{c: F.col(c).cast("double") for c in ("precision", "recall", "specificity", "f1")},
-        **{c: F.col(c).cast("double") for c in ("tn", "fp", "fn", "tp")},
+        "auc": literal(test["auc"]),
+        "auc_train": literal(train["auc"]),
+        "auc_gap": literal(abs(train["auc"] - test["auc"])),
+        "gini": literal(test["gini"]),
+        "ks": literal(test["ks"]),
+        "threshold": literal(test["threshold"]),
+        **{c: c for c in ("precision", "recall", "specificity", "f1")},
+        **{c: f"CAST({c} AS DOUBLE)" for c in ("tn", "fp", "fn", "tp")},
     }
-    return stack(cells, ["metric", "value"], [[F.lit(m), v] for m, v in values.items()])
+    return stack(cells, ["metric", "value"], [[literal(m), v] for m, v in values.items()])

@@ -13,6 +13,17 @@ from scoreloom.config import Band, BinSpec
 
 STATS_SCHEMA = "column string, stat string, value double"
 
+SCORECARD_SCHEMA = """
+    stats array<struct<column: string, stat: string, value: double>>,
+    bins array<struct<variable: string, edges: array<double>, direction: string, labels: array<string>>>,
+    woe array<struct<variable: string, bin: string, woe: double>>,
+    coefficients array<struct<feature: string, coefficient: double>>,
+    intercept double,
+    bands array<struct<lower: double, label: string, color: string, recommendation: string, level: int>>,
+    category_column string,
+    categories array<string>
+"""
+
 
 def stats_table(spark: SparkSession, stats: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """``{stat: {column: value}}`` as ``(column, stat, value)``; one row per parameter."""
@@ -24,6 +35,10 @@ def stats_table(spark: SparkSession, stats: Mapping[str, Mapping[str, float]]) -
     return spark.createDataFrame(rows, STATS_SCHEMA)
 
 
+def write_stats(table: DataFrame, path: str) -> None:
+    table.coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def read_stats(spark: SparkSession, path: str) -> dict[str, dict[str, float]]:
     stats: dict[str, dict[str, float]] = {}
     for row in spark.read.schema(STATS_SCHEMA).parquet(path).collect():
@@ -45,74 +60,47 @@ class Scorecard:
     medians: Mapping[str, float] = field(default_factory=dict)
     caps: Mapping[str, float] = field(default_factory=dict)
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        """Write the parameter tables below ``path``, replacing earlier ones."""
-
-        def write(name: str, rows: list[tuple], schema: str) -> None:
-            spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(
-                f"{path}/{name}"
-            )
-
-        stats = stats_table(spark, {"median": self.medians, "cap": self.caps})
-        stats.coalesce(1).write.mode("overwrite").parquet(f"{path}/stats")
-        write(
-            "bins",
+    def to_frame(self, spark: SparkSession) -> DataFrame:
+        """The scorecard as a table of one row with nested parameter lists."""
+        row = (
+            [(c, "median", float(v)) for c, v in self.medians.items()]
+            + [(c, "cap", float(v)) for c, v in self.caps.items()],
             [
-                (i, b.variable, [float(e) for e in b.edges], b.direction, list(b.names))
-                for i, b in enumerate(self.bins)
+                (b.variable, [float(e) for e in b.edges], b.direction, list(b.names))
+                for b in self.bins
             ],
-            "position int, variable string, edges array<double>, direction string, labels array<string>",
-        )
-        write(
-            "woe",
             [(v, label, value) for v, values in self.woe.items() for label, value in values.items()],
-            "variable string, bin string, woe double",
-        )
-        write(
-            "model",
-            [(-1, None, float(self.intercept))]
-            + [(i, f, float(b)) for i, (f, b) in enumerate(self.coefficients.items())],
-            "position int, feature string, coefficient double",
-        )
-        write(
-            "bands",
-            [(b.level, float(b.lower), b.label, b.color, b.recommendation) for b in self.bands],
-            "level int, lower double, label string, color string, recommendation string",
-        )
-        write(
-            "categories",
-            [(i, self.category_column, c) for i, c in enumerate(self.categories)],
-            "position int, column string, category string",
+            [(f, float(b)) for f, b in self.coefficients.items()],
+            float(self.intercept),
+            [(float(b.lower), b.label, b.color, b.recommendation, b.level) for b in self.bands],
+            self.category_column,
+            list(self.categories),
         )
+        return spark.createDataFrame([row], SCORECARD_SCHEMA)
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        """Write the parameters to ``path``, replacing earlier ones."""
+        self.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(path)
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Scorecard:
-        def read(name: str, order: str | None = None) -> list:
-            table = spark.read.parquet(f"{path}/{name}")
-            return (table.orderBy(order) if order else table).collect()
-
-        stats = read_stats(spark, f"{path}/stats")
+        row = spark.read.schema(SCORECARD_SCHEMA).parquet(path).first()
         woe: dict[str, dict[str, float]] = {}
-        for r in read("woe"):
-            woe.setdefault(r["variable"], {})[r["bin"]] = r["woe"]
-        model = read("model", "position")
-        categories = read("categories", "position")
+        for w in row["woe"]:
+            woe.setdefault(w["variable"], {})[w["bin"]] = w["woe"]
         return cls(
             bins=tuple(
-                BinSpec(r["variable"], tuple(r["edges"]), r["direction"], tuple(r["labels"]))
-                for r in read("bins", "position")
+                BinSpec(b["variable"], tuple(b["edges"]), b["direction"], tuple(b["labels"]))
+                for b in row["bins"]
             ),
             woe=woe,
-            coefficients={r["feature"]: r["coefficient"] for r in model if r["feature"] is not None},
-            intercept=next(r["coefficient"] for r in model if r["feature"] is None),
-            bands=tuple(
-                Band(r["lower"], r["label"], r["color"], r["recommendation"], r["level"])
-                for r in read("bands", "level")
-            ),
-            category_column=categories[0]["column"],
-            categories=tuple(r["category"] for r in categories),
-            medians=stats.get("median", {}),
-            caps=stats.get("cap", {}),
+            coefficients={c["feature"]: c["coefficient"] for c in row["coefficients"]},
+            intercept=row["intercept"],
+            bands=tuple(Band(*b) for b in row["bands"]),
+            category_column=row["category_column"],
+            categories=tuple(row["categories"]),
+            medians={s["column"]: s["value"] for s in row["stats"] if s["stat"] == "median"},
+            caps={s["column"]: s["value"] for s in row["stats"] if s["stat"] == "cap"},
         )
 
 
