@@ -221,9 +221,11 @@ def _bin_number(
         return "CASE " + group + "".join(f" WHEN {literal(g)} THEN {literal(r[i])}" for g, r in ranges.items()) + " END"
 
     # A value on an edge opens the upper bin, also when scaling left it a rounding
-    # error below the edge; the maximum belongs to the last bin.
+    # error below the edge; the maximum belongs to the last bin. ``least`` skips
+    # nulls, hence the guard.
     position = f"({name(column)} - {per_group(0)}) / ({per_group(1)} - {per_group(0)}) * {bins}"
-    return F.expr(f"CAST(least(floor({even(position, 9)}) + 1, {bins}) AS INT)")
+    bin_number = f"least(floor({even(position, 9)}) + 1, {bins})"
+    return F.expr(f"CAST(CASE WHEN {name(column)} IS NOT NULL THEN {bin_number} END AS INT)")
 
 
 def before_after_histograms(
@@ -330,30 +332,43 @@ def rate_by_value(df: DataFrame, column: str, target: str) -> DataFrame:
     )
 
 
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, pairwise complete, in one aggregate.
+def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(var_a, var_b, r)`` of each pair over the rows where both are known.
 
-    Lower triangle as ``(var_a, var_b, r)``, ``var_b`` standing before ``var_a``
-    in ``columns``; a constant column gives null.
+    Every row becomes one small row per pair, reduced to the pair's moments
+    before the shuffle. A column without variation gives null, where the built-in
+    correlation fails.
     """
-    pairs = [(a, b) for b, a in combinations(columns, 2)]
+    columns = list(dict.fromkeys(c for pair in pairs for c in pair))
     data = df.select(*[number(c).alias(c) for c in columns])
-    wide = data.agg(
-        F.expr(f"array({', '.join(f'corr({name(a)}, {name(b)})' for a, b in pairs)})").alias("r")
+    entries = [
+        f"named_struct('pair', {i}, 'x', CASE WHEN {name(b)} IS NOT NULL THEN {name(a)} END, "
+        f"'y', CASE WHEN {name(a)} IS NOT NULL THEN {name(b)} END)"
+        for i, (a, b) in enumerate(pairs)
+    ]
+    moments = data.selectExpr(f"inline(array({', '.join(entries)}))").groupBy("pair").agg(
+        F.covar_pop("x", "y").alias("xy"), F.var_pop("x").alias("xx"), F.var_pop("y").alias("yy")
     )
-    return stack(
-        wide,
-        ["var_a", "var_b", "r"],
-        [[literal(a), literal(b), f"r[{i}]"] for i, (a, b) in enumerate(pairs)],
+    names = [f"element_at({text_map({0: [p[side] for p in pairs]})}[0], pair + 1)" for side in (0, 1)]
+    return moments.selectExpr(
+        f"{names[0]} AS var_a", f"{names[1]} AS var_b", "try_divide(xy, sqrt(xx * yy)) AS r"
     )
 
 
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair of columns, pairwise complete, in one pass.
+
+    Lower triangle as ``(var_a, var_b, r)``, ``var_b`` standing before ``var_a``
+    in ``columns``.
+    """
+    return _pair_correlations(df, [(a, b) for b, a in combinations(columns, 2)])
+
+
 def target_correlations(df: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
     """Correlation of each column with the target, ascending, with its reading."""
-    wide = df.agg(*[F.corr(number(c), number(target)).alias(c) for c in columns])
-    long = stack(wide, ["variable", "r"], [[literal(c), name(c)] for c in columns])
+    found = _pair_correlations(df, [(c, target) for c in columns])
     effect = F.when(F.col("r") > 0, "risk").when(F.col("r") <= 0, "protective")
-    return long.withColumn("effect", effect).orderBy("r")
+    return found.select(F.col("var_a").alias("variable"), "r", effect.alias("effect")).orderBy("r")
 
 
 def rate_by_bucket(df: DataFrame, buckets: Sequence[BinSpec], target: str) -> DataFrame:

@@ -66,7 +66,7 @@ class Scorecard:
             [(c, "median", float(v)) for c, v in self.medians.items()]
             + [(c, "cap", float(v)) for c, v in self.caps.items()],
             [
-                (b.variable, [float(e) for e in b.edges], b.direction, list(b.names))
+                (b.variable, [float(e) for e in b.edges], b.direction, list(b.labels))
                 for b in self.bins
             ],
             [(v, label, value) for v, values in self.woe.items() for label, value in values.items()],
