@@ -27,14 +27,14 @@ from scoreloom.operators.curve import roc_table
 from scoreloom.plans.training import prepare, standardized_split, woe_dataset
 from scoreloom.sources import params
 from scoreloom.sources.applicants import (
+    applicant_path,
     applicant_table,
-    derive_applicants,
     preview,
     table_shape,
     write_snapshot,
 )
 from scoreloom.storage import new_path
-from scoreloom.streaming.scoring import score_stream, start_sink
+from scoreloom.streaming.scoring import read_applicant_stream, score_stream, start_sink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -772,14 +772,10 @@ def h8_display_names(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def h9_stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """Orders arrive as files; each becomes an applicant, is validated and scored."""
-    batch = applicant_table(spark, folder)
-    orders_schema = spark.read.parquet(f"{folder}/orders.parquet").schema
-    arriving = (
-        spark.readStream.schema(orders_schema).parquet(f"{folder}/orders.parquet*")
-    )
-    applicants = derive_applicants(arriving, spark.read.parquet(f"{folder}/customer.parquet"))
-    scored, _ = score_stream(applicants, _card(batch), CONFIG, keep=[ID], timestamp=False)
+    """Applicant files arrive in a folder; each row is validated and scored."""
+    card = _card(applicant_table(spark, folder))
+    arriving = read_applicant_stream(spark, applicant_path(spark, folder), "parquet")
+    scored, _ = score_stream(arriving, card, CONFIG, keep=[ID], timestamp=False)
     path = new_path(spark, "scored-stream")
     start_sink(scored, path, new_path(spark, "stream-checkpoint"), once=True).awaitTermination()
     written = spark.read.schema(scored.schema).parquet(path)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.functions.columns import number
+from scoreloom.functions.columns import literal, number
 
 MAX_WINDOW_ROWS = 1_000_000
 RANGES = 4096
@@ -64,7 +64,7 @@ def roc_table(
         counts = (
             Bucketizer(splits=splits, inputCol="threshold", outputCol="range")
             .transform(counts)
-            .withColumn("range", F.col("range").cast("int"))
+            .withColumn("range", F.coalesce(F.col("range").cast("int"), F.lit(-1)))
         )
         group = [*keys, "range"]
         inside = W.partitionBy(*group).orderBy(F.col("threshold").desc())
@@ -129,10 +129,10 @@ def _range_edges(known: DataFrame, max_window_rows: int) -> list[float]:
     There are as many ranges as keep half of ``max_window_rows`` distinct scores
     in each, up to ``RANGES``.
     """
-    shares = [i / RANGES for i in range(1, RANGES)]
+    shares = ", ".join(literal(i / RANGES) for i in range(1, RANGES))
     row = known.agg(
         F.approx_count_distinct("threshold").alias("distinct"),
-        F.percentile_approx("threshold", shares, 10 * RANGES).alias("cuts"),
+        F.expr(f"percentile_approx(threshold, array({shares}), {10 * RANGES})").alias("cuts"),
     ).first()
     # The distinct count is an estimate, good to a few percent.
     if row["cuts"] is None or row["distinct"] * 1.2 <= max_window_rows:

@@ -59,11 +59,14 @@ def ks_grid(df: DataFrame, score: str, label: str, points: int = KS_GRID_POINTS)
     counting, not by a join. ``is_largest`` marks the first point of largest gap.
     """
     last = points - 1
-    s = number(score)
-    # Scores above 1 are counted in the totals only.
-    index = F.when(s <= 1, F.greatest(F.ceil(s * last), F.lit(0).cast("long"))).otherwise(points)
-    counted = df.groupBy(F.when(s.isNotNull(), index).cast("int").alias("point")).agg(
-        F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1")
+    # Scores above 1 are counted in the totals only, missing ones not at all. The
+    # point is never null: a null test would reach the scan with the whole score.
+    index = f"CASE WHEN s <= 1 THEN greatest(ceil(s * {last}), 0) WHEN s > 1 THEN {points} ELSE -1 END"
+    counted = (
+        df.select(number(score).alias("s"), label)
+        .select(F.expr(f"coalesce(CAST({index} AS INT), -1)").alias("point"), label)
+        .groupBy("point")
+        .agg(F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
     )
     grid = df.sparkSession.range(points + 1).select(F.col("id").cast("int").alias("point"))
     # points + 1 rows from here on.

@@ -20,7 +20,7 @@ from scoreloom.operators.curve import roc_table
 from scoreloom.operators.metrics import confusion, curve_metrics, threshold_metrics
 
 ROWS = "n_rows"
-ROWS_PER_PARTITION = 250_000
+ROWS_PER_PARTITION = 100_000
 
 
 def feature_patterns(

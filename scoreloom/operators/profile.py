@@ -341,13 +341,16 @@ def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataF
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
     data = df.select(*[number(c).alias(c) for c in columns])
-    entries = [
-        f"named_struct('pair', {i}, 'x', CASE WHEN {name(b)} IS NOT NULL THEN {name(a)} END, "
-        f"'y', CASE WHEN {name(a)} IS NOT NULL THEN {name(b)} END)"
-        for i, (a, b) in enumerate(pairs)
-    ]
-    moments = data.selectExpr(f"inline(array({', '.join(entries)}))").groupBy("pair").agg(
-        F.covar_pop("x", "y").alias("xy"), F.var_pop("x").alias("xx"), F.var_pop("y").alias("yy")
+    entries = ", ".join(f"named_struct('x', {name(a)}, 'y', {name(b)})" for a, b in pairs)
+    moments = (
+        data.selectExpr(f"posexplode(array({entries})) AS (pair, v)")
+        .select(
+            "pair",
+            F.expr("CASE WHEN v.y IS NOT NULL THEN v.x END").alias("x"),
+            F.expr("CASE WHEN v.x IS NOT NULL THEN v.y END").alias("y"),
+        )
+        .groupBy("pair")
+        .agg(F.covar_pop("x", "y").alias("xy"), F.var_pop("x").alias("xx"), F.var_pop("y").alias("yy"))
     )
     names = [f"element_at({text_map({0: [p[side] for p in pairs]})}[0], pair + 1)" for side in (0, 1)]
     return moments.selectExpr(
