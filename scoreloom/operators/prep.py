@@ -13,6 +13,8 @@ from scoreloom.functions.columns import even, known, literal, name, number, quot
 from scoreloom.operators.quantiles import exact_quantiles
 from scoreloom.operators.ranks import hash_cuts, row_hash
 
+MAX_CATEGORIES = 1000
+
 
 def fit_medians(
     df: DataFrame, columns: Sequence[str], approximate: bool = False
@@ -71,9 +73,14 @@ def cap_audit(df: DataFrame, caps: Mapping[str, float], digits: int = 2) -> Data
     )
 
 
-def fit_categories(df: DataFrame, column: str) -> list[str]:
-    """Categories present, in alphabetical order; the first is the reference."""
-    rows = df.where(F.col(column).isNotNull()).select(column).distinct().collect()
+def fit_categories(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list[str]:
+    """Categories present, in alphabetical order; the first is the reference.
+
+    Each becomes a column, so a column of more than ``most`` values is refused.
+    """
+    rows = df.where(F.col(column).isNotNull()).select(column).distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{column} has more than {most} categories")
     return sorted(r[column] for r in rows)
 
 

@@ -312,23 +312,22 @@ def extreme_outliers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def rate_by_value(df: DataFrame, column: str, target: str) -> DataFrame:
     """Rows and target rate per value of a column, with the overall rate.
 
-    ``rate_pct`` is rounded to 2 decimals; order the result by what is shown.
+    ``rate_pct`` is rounded to 2 decimals; order the result by what is shown. The
+    overall rate also counts the rows without a value. It is a scalar subquery, so
+    a column of many values needs no window over all of them.
     """
-    per_value = df.groupBy(F.col(column).alias("value")).agg(
-        F.count(target).alias("n"), F.sum(target).alias("events")
-    )
-    # One row per value; the overall rate also counts the rows without a value.
-    everything = W.partitionBy(F.lit(0))
-    both = per_value.withColumn(
-        "overall_rate_pct",
-        ratio(F.sum("events").over(everything), F.sum("n").over(everything)) * 100,
-    )
-    return both.where(F.col("value").isNotNull()).select(
-        "value",
-        "n",
-        ratio(F.col("events"), F.col("n")).alias("rate"),
-        F.expr(even(quotient("events", "n") + " * 100", 2)).alias("rate_pct"),
-        "overall_rate_pct",
+    overall = df.agg((F.avg(target) * 100).alias("overall")).scalar()
+    return (
+        df.where(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("value"))
+        .agg(F.count(target).alias("n"), F.avg(target).alias("rate"))
+        .select(
+            "value",
+            "n",
+            "rate",
+            F.expr(even("rate * 100", 2)).alias("rate_pct"),
+            overall.alias("overall_rate_pct"),
+        )
     )
 
 
