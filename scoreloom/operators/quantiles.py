@@ -98,8 +98,10 @@ def exact_quantiles(
                 position = p * (n - 1)
                 found = brackets[group, c, floor(position)]
                 weight = position - floor(position)
-                upper = found.value if weight == 0 else found.following
-                values.append((1 - weight) * found.value + weight * upper)
+                if weight == 0 or found.value == found.following:
+                    values.append(found.value)  # also keeps infinite values intact
+                else:
+                    values.append((1 - weight) * found.value + weight * found.following)
             result[group, c] = values
     return result
 
