@@ -5,7 +5,7 @@ from __future__ import annotations
 from math import inf, isinf
 
 from catalog import frozen
-from catalog.queries import CORRELATED, DOCUMENT_BINS, NUMERIC, STRICT_RULES, VARIABLES
+from catalog.queries import CORRELATED, DOCUMENT_BINS, NUMERIC, STRICT_RULES
 from scoreloom.config import BinSpec
 from scoreloom.sources.applicants import APPLICANT_SCHEMA, applicants_sql
 
