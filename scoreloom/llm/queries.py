@@ -3,23 +3,54 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from scoreloom.llm.decontaminate import contamination
 from scoreloom.llm.jaccard_join import jaccard_components
+from scoreloom.llm.repeats import repeated_passages
+from scoreloom.llm.token_counts import token_counts
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document under the word-level BPE of the public tokenizers."""
+    import public_tokenizers
+
+    file = Path(public_tokenizers.path("word_bpe_49k.json")).read_text(encoding="utf-8")
+    return token_counts(_table(spark, folder, "documents"), file, limit=2048)
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document: 4 words, similarity 0.85."""
     return jaccard_components(_table(spark, folder, "documents"), words=4, percent=85)
 
 
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold passages of 50 words or more that occur elsewhere too."""
+    return repeated_passages(_table(spark, folder, "documents"), min_words=50)
+
+
+def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark windows of 10 words in every document."""
+    found = contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"), window=10)
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_jaccard_join,)}
+    return {f.__name__: f for f in (op1_token_counts, op3_jaccard_join, op9_repeated_passages, op10_decontamination)}
 
 
 def llm_oracles() -> dict[str, str]:
