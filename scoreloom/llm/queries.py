@@ -5,13 +5,28 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.llm.decontaminate import contamination
+from scoreloom.llm.embedding_dedup import embedding_links
 from scoreloom.llm.jaccard_join import jaccard_components
+from scoreloom.llm.mixing import mix_sources
 from scoreloom.llm.repeats import repeated_passages
+from scoreloom.llm.secret_scan import KINDS, listed, markov_samples, secret_spans, train_markov
 from scoreloom.llm.token_counts import token_counts
+from scoreloom.llm.toxicity import toxicity_scores, train_toxicity
+from scoreloom.llm.url_filter import judge_urls
+from scoreloom.llm.warc import captures_of_pages, resolve_revisits
+
+# Rules of the url filter: verdict, host, path.
+URL_RULES = (
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,11 +41,51 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), file, limit=2048)
 
 
+def op2_secret_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document by pattern and by character models."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = secret_spans(docs, train_markov(markov_samples(docs)))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) as long)").alias(f"n_{k}") for k, *_ in KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op3_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate component of every document: 4 words, similarity 0.85."""
     return jaccard_components(_table(spark, folder, "documents"), words=4, percent=85)
 
 
+def op4_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
+    """Revisits of a crawl derived from ``pages``, resolved to full responses."""
+    return resolve_revisits(captures_of_pages(_table(spark, folder, "pages")))
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdict on every page's url by rules, and by trust over host links."""
+    return judge_urls(_table(spark, folder, "pages"), URL_RULES)
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """Documents whose labels are never learned from."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from labels that are not held out."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    labels = _table(spark, folder, "labels").where(~held_out()).select("doc_id", "toxic")
+    return toxicity_scores(docs, train_toxicity(docs, labels)).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
+def op7_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Words that a mix of 150% takes from every document, sources weighing 3, 1, 2 in turn."""
+    return mix_sources(_table(spark, folder, "documents"))
+
+
+def op8_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate component of every embedding within its label, cosine 0.98."""
+    return embedding_links(_table(spark, folder, "embeddings"), threshold=0.98)
+
+
 def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
     """Documents that hold passages of 50 words or more that occur elsewhere too."""
     return repeated_passages(_table(spark, folder, "documents"), min_words=50)
@@ -50,7 +105,21 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op3_jaccard_join, op9_repeated_passages, op10_decontamination)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_token_counts,
+            op2_secret_spans,
+            op3_jaccard_join,
+            op4_revisit_resolution,
+            op5_url_filter,
+            op6_toxicity,
+            op7_source_mixing,
+            op8_embedding_dedup,
+            op9_repeated_passages,
+            op10_decontamination,
+        )
+    }
 
 
 def llm_oracles() -> dict[str, str]:
