@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,6 +15,8 @@ from scoreloom.llm.scratch import bitmap, has_bit, scratch_table
 from scoreloom.llm.words import LOWER, NOT_SPACE, mix, shingle_hashes, texts_of_words
 
 HEAVY = 32
+BUCKETS = 128
+SET_BYTES = 6
 HEAVY_BITS = 1 << 25
 REPEATED_BITS = 1 << 26
 WANTED_BITS = 1 << 23
@@ -57,6 +60,26 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
+def signature(s: np.ndarray) -> bytes | None:
+    """How many tokens fall into each bucket; None if a count does not fit a byte.
+
+    The smaller counts of two sets add up to at least their overlap.
+    """
+    counts = np.bincount((s & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
+    return counts.astype(np.uint8).tobytes() if counts.max() < 256 else None
+
+
+def packed(s: np.ndarray) -> bytes:
+    """A set as 48-bit hashes, in order."""
+    return np.ascontiguousarray((s >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :SET_BYTES]).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // SET_BYTES, 8), np.uint8)
+    out[:, :SET_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, SET_BYTES)
+    return out.view(np.uint64).ravel()
+
+
 def _fingerprints(k: int, percent: int):
     """Set size, set key, and the lowest hashes, half as many again as the prefix."""
 
@@ -83,7 +106,7 @@ def _prefixes(k: int, percent: int, heavy: np.ndarray):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, whole, tokens, deep = [], [], [], [], []
+            sizes, keys, whole, tokens, deep, buckets = [], [], [], [], [], []
             for s in shingle_sets(batch.column("text"), k):
                 n = len(s)
                 common = has_bit(heavy, s)
@@ -94,9 +117,10 @@ def _prefixes(k: int, percent: int, heavy: np.ndarray):
                 whole.append(identity(prefix) if n else 0)
                 tokens.append(prefix)
                 deep.append(prefix[prefix > counted[-1]] if n else s)
+                buckets.append(signature(s))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(whole, pa.int64()), _lists(tokens), _lists(deep)],
-                ["class", "n", "prefix", "tokens", "deep"],
+                [pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), pa.array(whole, pa.int64()), _lists(tokens), _lists(deep), pa.array(buckets, pa.binary())],
+                ["class", "n", "prefix", "tokens", "deep", "buckets"],
             )
 
     return run
@@ -137,7 +161,7 @@ def _wanted_sets(k: int, wanted: np.ndarray):
             keys, sets = [], []
             for s in shingle_sets(batch.column("text"), k):
                 keys.append(identity(s))
-                sets.append(s.tobytes())
+                sets.append(packed(s))
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["class", "set"])
 
     return run
@@ -146,7 +170,7 @@ def _wanted_sets(k: int, wanted: np.ndarray):
 def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared = [
-            len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True))
+            len(np.intersect1d(unpacked(x), unpacked(y), assume_unique=True))
             for x, y in zip(batch.column("set_a").to_pylist(), batch.column("set_b").to_pylist())
         ]
         yield pa.RecordBatch.from_arrays(
@@ -155,6 +179,22 @@ def _overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Upper bound of the overlap from the bucket counts; without counts the smaller size."""
+    for batch in batches:
+        n_a, n_b = (batch.column(c).to_numpy() for c in ("n_a", "n_b"))
+        most = np.minimum(n_a, n_b)
+        x, y = batch.column("buckets_a"), batch.column("buckets_b")
+        known = pc.and_(x.is_valid(), y.is_valid())
+        at = np.flatnonzero(known.to_numpy(zero_copy_only=False))
+        if len(at):
+            x, y = (np.frombuffer(b"".join(c.take(pa.array(at)).to_pylist()), np.uint8).reshape(-1, BUCKETS) for c in (x, y))
+            most[at] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(c) for c in ("a", "b", "n_a", "n_b")] + [pa.array(most)], ["a", "b", "n_a", "n_b", "shared"]
+        )
+
+
 class _Join:
     """One run over a table of ``(row_id, id_hash, text)``."""
 
@@ -169,9 +209,11 @@ class _Join:
         )
 
     def classes(self) -> DataFrame:
-        """One row per distinct set; its smallest row represents it."""
+        """One row per distinct set; its smallest row represents it, in ``rows`` copies."""
+        same = self.documents.where("n > 0").groupBy("class", "row_id").agg(F.count(F.lit(1)).alias("rows"))
+        first = F.min(F.struct("row_id", "rows")).alias("first")
         return scratch_table(
-            self.documents.where("n > 0").groupBy("class").agg(F.min("row_id").alias("first_id"), F.first("n").alias("n")),
+            same.groupBy("class").agg(first).select("class", F.col("first.row_id").alias("first_id"), "first.rows"),
             "jaccard-classes",
         )
 
@@ -197,10 +239,10 @@ class _Join:
         repeated = bitmap(counts, F.col("token"), REPEATED_BITS)
         prefixes = self.rows.select("text").mapInArrow(
             _prefixes(self.k, self.percent, heavy),
-            "class long, n long, prefix long, tokens array<long>, deep array<long>",
+            "class long, n long, prefix long, tokens array<long>, deep array<long>, buckets binary",
         ).where("n > 0")
-        first = [F.first(c).alias(c) for c in ("n", "prefix", "tokens", "deep")]
-        members = scratch_table(prefixes.groupBy("class").agg(*first), "jaccard-prefixes")
+        first = [F.first(c).alias(c) for c in ("n", "prefix", "tokens", "deep", "buckets")]
+        self.prefixes = members = scratch_table(prefixes.groupBy("class").agg(*first), "jaccard-prefixes")
         deep = bitmap(members.select(F.explode("deep").alias("token")), F.col("token"), HEAVY_BITS)
         keys = members.groupBy("n", "prefix").agg(F.min("class").alias("group"))
         grouped = members.join(keys, ["n", "prefix"]).select("group", "class", "n", "tokens")
@@ -211,20 +253,33 @@ class _Join:
             "jaccard-groups",
         )
 
+    def similar(self, found: DataFrame) -> DataFrame:
+        return found.where(f"100 * shared >= {self.percent} * (n_a + n_b - shared)").select("a", "b")
+
+    def beside(self, pairs: DataFrame, sides: DataFrame, *columns: str) -> DataFrame:
+        """Pairs with the columns of both classes, named ``_a`` and ``_b``."""
+        for side in ("a", "b"):
+            named = [F.col(c).alias(f"{c}_{side}") for c in columns]
+            pairs = pairs.join(sides.select(F.col("class").alias(side), *named), side)
+        return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
+
+    def possible(self, pairs: DataFrame, name: str) -> DataFrame:
+        """Pairs whose bucket counts allow the similarity."""
+        both = self.beside(pairs, self.prefixes.select("class", "n", "buckets"), "n", "buckets")
+        found = both.mapInArrow(_bounds, "a long, b long, n_a long, n_b long, shared long")
+        return scratch_table(self.similar(found), name)
+
     def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
         """The pairs ``(a, b)`` of classes whose whole sets are similar enough."""
         ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-        wanted = bitmap(classes.join(ids, "class"), F.xxhash64("first_id"), WANTED_BITS)
+        needed = scratch_table(classes.join(ids, "class"), "jaccard-needed")
+        wanted = bitmap(needed, F.xxhash64("first_id"), WANTED_BITS)
         sets = self.rows.select("id_hash", "text").mapInArrow(_wanted_sets(self.k, wanted), "class long, set binary")
-        sets = sets.join(ids, "class", "left_semi").groupBy("class").agg(F.first("set").alias("set"))
-        sets = scratch_table(sets.withColumn("n", (F.length("set") / 8).cast("long")), "jaccard-whole")
-        both = pairs.join(
-            sets.select(F.col("class").alias("a"), F.col("set").alias("set_a"), F.col("n").alias("n_a")), "a"
-        ).join(sets.select(F.col("class").alias("b"), F.col("set").alias("set_b"), F.col("n").alias("n_b")), "b")
-        found = both.select("a", "b", "n_a", "n_b", "set_a", "set_b").mapInArrow(
-            _overlaps, "a long, b long, n_a long, n_b long, shared long"
-        )
-        return found.where(f"100 * shared >= {self.percent} * (n_a + n_b - shared)").select("a", "b")
+        if not needed.where("rows > 1").isEmpty():
+            sets = sets.groupBy("class").agg(F.first("set").alias("set"))
+        sets = scratch_table(sets.withColumn("n", (F.length("set") / SET_BYTES).cast("long")), "jaccard-whole")
+        found = self.beside(pairs, sets, "n", "set").mapInArrow(_overlaps, "a long, b long, n_a long, n_b long, shared long")
+        return self.similar(found)
 
     def components(self) -> DataFrame:
         """``(class, component)`` of every class that links with another."""
@@ -250,7 +305,7 @@ class _Join:
             .union(groups.where("class <> group").select(F.col("group").alias("a"), F.col("class").alias("b")))
             .distinct()
         )
-        stars = scratch_table(stars, "jaccard-stars")
+        stars = self.possible(stars, "jaccard-stars")
         links = scratch_table(self.verified(stars, classes), "jaccard-links")
         found = connected_components(links).withColumnRenamed("node", "class")
 
@@ -289,8 +344,7 @@ class _Join:
             .distinct()
             .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
         )
-        rest = scratch_table(expanded, "jaccard-pairs")
-        more = self.verified(rest, classes)
+        more = self.verified(self.possible(expanded, "jaccard-pairs"), classes)
         return connected_components(links.union(more)).withColumnRenamed("node", "class")
 
 
@@ -317,7 +371,8 @@ def jaccard_components(
     Equal sets are one class, classes of equal size and prefix one group. The
     prefix order puts tokens of more than ``heavy`` classes last; which ones is
     kept in a bitmap of fixed size, whose errors change the order alike for all
-    sets and so cost time only. Pairs are compared until they are known to be
+    sets and so cost time only. Bucket counts bound the overlap of a pair before
+    whole sets are compared. Pairs are compared until they are known to be
     connected, not beyond.
     """
     rows = docs.select(
