@@ -40,11 +40,11 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets in their texts replaced by a mark; ``n_chars`` follows the text."""
-    found = secret_spans(docs, train_markov(markov_samples(docs)))
+    model = train_markov(markov_samples(docs))
+    found = secret_spans(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text"), model)
     clean = redacted("text", "spans")
-    changed = F.size("spans") > 0
-    columns = [clean.alias(c) if c == "text" else F.when(changed, F.length(clean)).otherwise(F.col(c)).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
-    return found.select(*columns)
+    fresh = {"text": clean, "n_chars": F.when(F.size("spans") > 0, F.length(clean)).otherwise(F.col("doc")["n_chars"])}
+    return found.select(*[fresh.get(c, F.col("doc")[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
