@@ -17,10 +17,12 @@ RANDOM = "random"
 
 # Characters of the models; the last one stands for every other.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+LONG = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{3,}"
 SAMPLE_TEXTS = 2_000
 NATS_PER_CHAR = 0.5
+BACK_OFF = 20.0
 
 _SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string>"
 
@@ -59,8 +61,8 @@ def with_base_spans(docs: DataFrame, text: str = "text", name: str = "base") ->
 def markov_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = SAMPLE_TEXTS) -> DataFrame:
     """Labelled strings ``(string, random)``: 1 for random ones, 0 for ordinary identifiers.
 
-    Identifiers are the words of ``texts`` documents, the first by hash of their
-    id, outside of pattern spans. Random strings are digests of their ids in
+    Identifiers are the distinct words of ``texts`` documents, the first by hash of
+    their id, outside of pattern spans and shorter than what is scanned. Random strings are digests of their ids in
     base 64, hex and base 32 style upper case: keys of the usual alphabets.
     """
     sample = docs.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("id")).distinct().orderBy("h").limit(texts)
@@ -71,6 +73,7 @@ def markov_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     for _, pattern, _, _ in KINDS:
         plain = F.regexp_replace(plain, pattern, " ")
     words = chosen.select(F.explode(F.regexp_extract_all(plain, F.lit(f"({IDENTIFIER})"))).alias("string"), F.lit(0).alias("random"))
+    words = words.where(F.length("string") < LONG).distinct()
     digest = F.sha2(F.col("id").cast("string"), 256)
     random = sample.select(
         F.explode(
@@ -88,8 +91,8 @@ def markov_samples(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def train_markov(samples: DataFrame) -> list[float]:
     """Log-likelihood ratios of character pairs, random over ordinary, from ``(string, random)``.
 
-    A flat square over the alphabet, one added to each count. The driver gets at
-    most two numbers per pair of characters.
+    A flat square over the alphabet. The chance of a character after another backs
+    off to its chance anywhere. The driver gets at most two numbers per pair.
     """
     size = len(ALPHABET)
     chars = F.split(F.col("string"), "")
@@ -103,14 +106,21 @@ def train_markov(samples: DataFrame) -> list[float]:
         .where(F.instr(F.lit(ALPHABET), F.col("y")) > 0)
         .collect()
     )
-    table = [[[1.0] * size for _ in range(size)] for _ in range(2)]
+    seen = [[[0] * size for _ in range(size)] for _ in range(2)]
     for r in counts:
-        table[r["random"]][ALPHABET.index(r["x"])][ALPHABET.index(r["y"])] += r["count"]
-    return [
-        math.log(table[1][x][y] / sum(table[1][x])) - math.log(table[0][x][y] / sum(table[0][x]))
-        for x in range(size)
-        for y in range(size)
-    ]
+        seen[r["random"]][ALPHABET.index(r["x"])][ALPHABET.index(r["y"])] = r["count"]
+    logs = []
+    for label in range(2):
+        ends = [1 + sum(row[y] for row in seen[label]) for y in range(size)]
+        single = [n / sum(ends) for n in ends]
+        logs.append(
+            [
+                math.log((row[y] + BACK_OFF * single[y]) / (sum(row) + BACK_OFF))
+                for row in seen[label]
+                for y in range(size)
+            ]
+        )
+    return [x - y for x, y in zip(logs[1], logs[0])]
 
 
 def log_ratio(string: str, model: list[float]) -> str:
