@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from scoreloom.config import RISK_BANDS, CreditConfig
+from scoreloom.config import DOMAIN_RULES, RISK_BANDS, CreditConfig, with_optional
 from scoreloom.sources.params import Scorecard
 
-CONFIG = CreditConfig()
+# The applicant view has no number of credit lines.
+CONFIG = CreditConfig(rules=with_optional(DOMAIN_RULES, "num_credit_lines"))
 
 WOE = {
     "bureau_score": (1.2, 0.1, -0.9, -1.8),

@@ -449,6 +449,22 @@ def all_oracles() -> dict[str, str]:
         f"SELECT {r('avg(auc)')} AS cv_auc_mean, {r('stddev_pop(auc)')} AS cv_auc_std, {r('avg(f1)')} AS cv_f1_mean, {r('stddev_pop(f1)')} AS cv_f1_std FROM per_fold",
         **per_fold_parts,
     )
+    logged = [
+        ("param", "C", "'1000000000000'"), ("param", "class_weight", "'balanced'"), ("param", "solver", "'lbfgs'"),
+        ("param", "max_iter", "'1000'"), ("param", "n_features", f"'{len(DUMMIES)}'"),
+        ("param", "train_size", "(SELECT CAST(count(*) AS VARCHAR) FROM applicants)"),
+        *[
+            ("metric", name, f"(SELECT CAST(round_even({value}, 4) AS VARCHAR) FROM per_fold)")
+            for name, value in (
+                ("cv_auc_mean", "avg(auc)"), ("cv_auc_std", "stddev_pop(auc)"), ("cv_f1_mean", "avg(f1)"), ("cv_f1_std", "stddev_pop(f1)"),
+            )
+        ],
+    ]
+    o["a5_run_log"] = given(
+        "ranked",
+        union([f"SELECT 'saturated' AS run_id, 'LogisticRegression_v1' AS run_name, '{kind}' AS kind, '{key}' AS key, {value} AS value" for kind, key, value in logged]),
+        **per_fold_parts,
+    )
     o["f6_coefficient_table"] = given(
         "applicants",
         f"SELECT concat('employment_status_', s) AS feature, {r('ln(e / g) - b', 3)} AS coefficient, {r('exp(ln(e / g) - b)', 3)} AS odds_ratio, CASE WHEN ln(e / g) > b THEN 'Risque' ELSE 'Protection' END AS effect FROM rates, base WHERE s <> 'Permanent' ORDER BY abs(coefficient) DESC, feature",
@@ -478,7 +494,7 @@ def all_oracles() -> dict[str, str]:
         "scored",
         f"SELECT point, {r('point / 299e0')} AS threshold, {r('c0')} AS cum_class0, {r('c1')} AS cum_class1, {r('abs(c1 - c0)')} AS gap, CAST(row_number() OVER (ORDER BY abs(c1 - c0) DESC, point) = 1 AS INT) AS is_largest FROM shares",
         points="SELECT CAST(i AS INT) AS point FROM range(0, 300) t(i)",
-        shares=f"SELECT point, CAST(count(*) FILTER (WHERE {TARGET} = 0 AND pd * 299 <= point) AS DOUBLE) / count(*) FILTER (WHERE {TARGET} = 0) AS c0, CAST(count(*) FILTER (WHERE {TARGET} = 1 AND pd * 299 <= point) AS DOUBLE) / count(*) FILTER (WHERE {TARGET} = 1) AS c1 FROM points, scored GROUP BY point",
+        shares=f"SELECT point, CAST(count(*) FILTER (WHERE {TARGET} = 0 AND pd <= point / 299e0) AS DOUBLE) / count(*) FILTER (WHERE {TARGET} = 0) AS c0, CAST(count(*) FILTER (WHERE {TARGET} = 1 AND pd <= point / 299e0) AS DOUBLE) / count(*) FILTER (WHERE {TARGET} = 1) AS c1 FROM points, scored GROUP BY point",
     )
     o["g7_confusion"] = given("scored", "SELECT tn, fp, fn, tp FROM cells", **DECIDED)
     o["g8_confusion_shares"] = given(
@@ -586,4 +602,88 @@ def all_oracles() -> dict[str, str]:
         "scored",
         f"SELECT {band_field('level')} AS level, {band_field('label')} AS label, count(*) AS n, {r('avg(p)')} AS mean_pd, {r(f'avg({TARGET})')} AS default_rate FROM probabilities GROUP BY 1, 2",
     )
+    for name, same in (
+        ("c3_capped_narrowed", "c3_capped"),
+        ("c8_split_deep", "c8_split"),
+        ("d4_describe_narrowed", "d4_describe"),
+        ("d8_box_narrowed", "d8_box_statistics"),
+    ):
+        o[name] = o[same]
+    # The input contract, written from its schema: all fields required, five of them integers.
+    k = ID
+    contract = [
+        "CASE WHEN bureau_score IS NULL THEN 'bureau_score:missing' END",
+        "CASE WHEN bureau_score < 300 OR bureau_score > 850 THEN 'bureau_score:range' END",
+        "CASE WHEN monthly_income IS NULL THEN 'monthly_income:missing' END",
+        "CASE WHEN monthly_income < 0 OR monthly_income > 50000 THEN 'monthly_income:range' END",
+        f"CASE WHEN dti + CASE WHEN {k} % 5 = 0 THEN 5 ELSE 0 END > 5 THEN 'dti:range' END",
+        "CASE WHEN utilization_rate < 0 OR utilization_rate > 2 THEN 'utilization_rate:range' END",
+        f"CASE WHEN {k} % 11 = 0 THEN 'num_credit_lines:type' END",
+        f"CASE WHEN {k} % 11 <> 0 AND {k} % 60 > 50 THEN 'num_credit_lines:range' END",
+        f"CASE WHEN {k} % 7 = 0 THEN 'missed_payments_3m:type' END",
+        f"CASE WHEN missed_payments_3m + CASE WHEN {k} % 7 = 0 THEN 0.5e0 ELSE 0 END > 30 THEN 'missed_payments_3m:range' END",
+        "CASE WHEN overdrawn_days_3m > 90 THEN 'overdrawn_days_3m:range' END",
+        "'max_dpd_12m:missing'",
+        "CASE WHEN salary_domiciliation NOT IN (0, 1) THEN 'salary_domiciliation:range' END",
+        f"CASE WHEN {k} % 13 = 0 THEN 'employment_status:category' END",
+    ]
+    counted = " + ".join(f"CAST(({c}) IS NOT NULL AS INT)" for c in contract)
+    o["b6_contract"] = given(
+        "applicants", f"SELECT {ID}, concat_ws('|', {', '.join(contract)}) AS errors, {counted} AS n_errors FROM applicants"
+    )
+    arriving = [
+        "CASE WHEN bureau_score IS NULL THEN 'bureau_score:missing' END",
+        "CASE WHEN bureau_score < 300 OR bureau_score > 850 THEN 'bureau_score:range' END",
+        "CASE WHEN monthly_income IS NULL THEN 'monthly_income:missing' END",
+        "CASE WHEN monthly_income < 0 OR monthly_income > 50000 THEN 'monthly_income:range' END",
+        "CASE WHEN dti < 0 OR dti > 5 THEN 'dti:range' END",
+        "CASE WHEN utilization_rate < 0 OR utilization_rate > 2 THEN 'utilization_rate:range' END",
+        "CASE WHEN missed_payments_3m < 0 OR missed_payments_3m > 30 THEN 'missed_payments_3m:range' END",
+        "CASE WHEN overdrawn_days_3m < 0 OR overdrawn_days_3m > 90 THEN 'overdrawn_days_3m:range' END",
+        "CASE WHEN max_dpd_12m < 0 OR max_dpd_12m > 365 THEN 'max_dpd_12m:range' END",
+        "CASE WHEN salary_domiciliation NOT IN (0, 1) THEN 'salary_domiciliation:range' END",
+        "CASE WHEN employment_status NOT IN ('Permanent', 'Self_Employed', 'Student', 'Temporary', 'Unemployed') THEN 'employment_status:category' END",
+    ]
+    counted = " + ".join(f"CAST(({c}) IS NOT NULL AS INT)" for c in arriving)
+    o["h9_stream_quarantine"] = given(
+        "applicants",
+        f"SELECT * FROM (SELECT {ID}, concat_ws('|', {', '.join(arriving)}) AS errors, {counted} AS n_errors FROM applicants) e WHERE n_errors > 0",
+    )
+    o["e2_bin_table"] = given(
+        "applicants",
+        union([
+            f"SELECT '{b.variable}' AS variable, 'C{i}' AS bin, {literal(float(high)) if not isinf(high) else 'CAST(' + text('inf') + ' AS DOUBLE)'} AS upper, "
+            f"'{b.direction}' AS direction, {big('count(*)')} AS n_rows FROM applicants WHERE {case_bins(b, list(range(1, len(b.edges))))} = {i}"
+            for b in CONFIG.bins
+            for i, high in enumerate(b.edges[1:], start=1)
+        ]),
+    )
+    terms = ["intercept", *RAW_NUMERIC, "salary_domiciliation", *DUMMIES]
+    o["f1_optimality"] = union([f"SELECT '{t}' AS term, 1 AS optimal" for t in terms])
+    o["f3_optimality"] = union([f"SELECT '{t}' AS term, 1 AS optimal" for t in ["intercept", *CONFIG.woe_features]])
+    summary = [
+        ("AUC-ROC (Test)", "auc", ">=", 0.75, "Excellent", "Insuffisant"),
+        ("AUC-ROC (Train)", "auc_train", ">=", 0.75, "Excellent", "Insuffisant"),
+        ("Ecart Train / Test", "auc_gap", "<", 0.02, "Pas d'overfitting", "Overfitting"),
+        ("Coefficient Gini", "gini", ">=", 0.5, "Excellent", "Insuffisant"),
+        ("KS Statistic", "ks", ">=", 0.3, "Bon", "Insuffisant"),
+        ("F1-Score", "f1", ">", 0.45, "Bon", "Insuffisant"),
+        ("Precision", "precision", None, None, None, None),
+        ("Rappel (Sensibilite)", "recall", None, None, None, None),
+        ("Specificite", "specificity", None, None, None, None),
+    ]
+    rows = [
+        f"SELECT {i} AS position, {text(shown)} AS label, {r(r(metric, 4))} AS value, CAST({literal(relation)} AS VARCHAR) AS relation, "
+        f"CAST({literal(bound)} AS DOUBLE) AS bound, "
+        + (f"CASE WHEN {metric} {relation} {bound}e0 THEN {text(good)} ELSE {text(bad)} END" if relation else "'—'")
+        + " AS interpretation FROM wide"
+        for i, (shown, metric, relation, bound, good, bad) in enumerate(summary, start=1)
+    ]
+    o["g13_metric_summary"] = given(
+        "scored_split",
+        union(rows),
+        **gate,
+        wide="SELECT m.*, t.auc, n.auc AS auc_train, abs(n.auc - t.auc) AS auc_gap, 2 * t.auc - 1 AS gini, k.ks FROM measures m, test_auc t, "
+        "(SELECT auc FROM aucs WHERE split = 'train') n, (SELECT max(abs(tpr - fpr)) AS ks FROM curve) k",
+    )
     return o

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog import frozen
-from scoreloom.config import BinSpec, DomainRule
+from scoreloom.config import BinSpec, CreditConfig, DomainRule
 from scoreloom.functions.columns import even, literal, name, round_even, stack
 from scoreloom.functions.scoring import contributions, probability, risk_band
 from scoreloom.operators import metrics as M
@@ -24,10 +24,9 @@ from scoreloom.operators import score as H
 from scoreloom.operators import validate as V
 from scoreloom.operators import woe as E
 from scoreloom.operators.curve import roc_table
-from scoreloom.plans.training import prepare, standardized_split, woe_dataset
+from scoreloom.plans.training import evaluation, prepare, standardized_split, train_scorecard, woe_dataset
 from scoreloom.sources import params
 from scoreloom.sources.applicants import (
-    applicant_path,
     applicant_table,
     preview,
     table_shape,
@@ -105,25 +104,23 @@ def a4_fitted_parameters(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a5_run_log(spark: SparkSession, folder: str) -> DataFrame:
-    data, _, _ = woe_dataset(_split(applicant_table(spark, folder)), CONFIG)
-    train = P.stratified_folds(data.where(F.col("split") == "train"), CONFIG)
-    features = list(CONFIG.woe_features)
-    summary = L.cross_validation_summary(
-        L.cross_validate(train, features, CONFIG, patterns=True, distinct_bound=CONFIG.woe_pattern_bound)
-    ).first()
+    """A logged run: parameters and cross-validated metrics of the saturated model."""
+    folds = P.stratified_folds(_encoded(spark, folder), CONFIG)
+    config = replace(CONFIG, class_weight="balanced", c=UNPENALIZED)
+    summary = L.cross_validation_summary(L.cross_validate(folds, DUMMIES, config, patterns=True)).first()
     path = new_path(spark, "runs")
     params.log_run(
         spark,
         path,
-        run_id="woe-scorecard",
+        run_id="saturated",
         run_name="LogisticRegression_v1",
         params={
-            "C": CONFIG.c,
-            "class_weight": CONFIG.class_weight,
+            "C": int(UNPENALIZED),
+            "class_weight": config.class_weight,
             "solver": "lbfgs",
             "max_iter": CONFIG.max_iter,
-            "n_features": len(features),
-            "train_size": train.count(),
+            "n_features": len(DUMMIES),
+            "train_size": folds.count(),
         },
         metrics=summary.asDict(),
     )
@@ -196,6 +193,25 @@ def b7_decision(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def b6_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """The full input contract on a table that breaks it: an absent column, fractions, ranges, gaps."""
+    k = F.col(ID)
+    broken = (
+        applicant_table(spark, folder)
+        .drop("max_dpd_12m")
+        .withColumns(
+            {
+                "num_credit_lines": F.when(k % 11 == 0, "many").otherwise((k % 60).cast("string")),
+                "missed_payments_3m": F.col("missed_payments_3m") + F.when(k % 7 == 0, 0.5).otherwise(0.0),
+                "dti": F.when(k % 5 == 0, F.col("dti") + 5).otherwise(F.col("dti")),
+                "employment_status": F.when(k % 13 == 0, "Retired").otherwise(F.col("employment_status")),
+            }
+        )
+    )
+    return _errors(V.validate(broken, CreditConfig()))
+
+
 # --- C. Preparation ----------------------------------------------------------
 
 
@@ -228,6 +244,16 @@ def c3_capped(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(P.cap(P.impute(df, medians), caps).select(ID, *CONFIG.cap_columns))
 
 
+@query
+def c3_capped_narrowed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same caps by narrowing, as for large tables."""
+    df = applicant_table(spark, folder)
+    medians = P.fit_medians(df, CONFIG.impute_columns)
+    imputed = P.impute(df, medians)
+    caps = P.fit_caps(imputed, CONFIG.cap_columns, CONFIG.cap_quantile, small_group_rows=20)
+    return rounded(P.cap(imputed, caps).select(ID, *CONFIG.cap_columns))
+
+
 @query
 def c4_cap_audit(spark: SparkSession, folder: str) -> DataFrame:
     df = applicant_table(spark, folder)
@@ -261,6 +287,13 @@ def c8_split(spark: SparkSession, folder: str) -> DataFrame:
     return _split(applicant_table(spark, folder)).select(ID, "split")
 
 
+@query
+def c8_split_deep(spark: SparkSession, folder: str) -> DataFrame:
+    """The same split by longer hash prefixes, as for large classes."""
+    config = replace(CONFIG, small_bucket_rows=1)
+    return P.stratified_split(applicant_table(spark, folder), config).select(ID, "split")
+
+
 @query
 def c9_split_summary(spark: SparkSession, folder: str) -> DataFrame:
     split = _split(applicant_table(spark, folder))
@@ -298,6 +331,12 @@ def d4_describe(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(D.describe(applicant_table(spark, folder), NUMERIC))
 
 
+@query
+def d4_describe_narrowed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same statistics by narrowing, as for large tables."""
+    return rounded(D.describe(applicant_table(spark, folder), NUMERIC, small_group_rows=50))
+
+
 @query
 def d5_shape(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(D.shape_statistics(applicant_table(spark, folder), NUMERIC))
@@ -329,6 +368,12 @@ def d8_box_statistics(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(D.box_statistics(applicant_table(spark, folder), NUMERIC, TARGET))
 
 
+@query
+def d8_box_narrowed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same statistics by narrowing, as for large classes."""
+    return rounded(D.box_statistics(applicant_table(spark, folder), NUMERIC, TARGET, small_group_rows=50))
+
+
 @query
 def d9_extreme_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(D.extreme_outliers(applicant_table(spark, folder), NUMERIC))
@@ -377,6 +422,23 @@ def e1_bin_labels(spark: SparkSession, folder: str) -> DataFrame:
     return E.assign_bins(applicant_table(spark, folder), CONFIG.bins).select(ID, *VARIABLES)
 
 
+@query
+def e2_bin_table(spark: SparkSession, folder: str) -> DataFrame:
+    """The bins, with the applicants that fall into each class."""
+    df = applicant_table(spark, folder)
+    edges = E.bin_table(df, CONFIG.bins).select(
+        "variable", "direction", F.posexplode(F.slice("edges", 2, 100)).alias("place", "upper")
+    )
+    labels = E.assign_bins(df, CONFIG.bins).select(
+        F.explode(F.array(*[F.struct(F.lit(v).alias("variable"), F.col(v).alias("bin")) for v in VARIABLES])).alias("b")
+    )
+    counts = labels.groupBy("b.variable", "b.bin").agg(F.count(F.lit(1)).alias("n_rows"))
+    named = edges.withColumn("bin", F.concat(F.lit("C"), (F.col("place") + 1).cast("string")))
+    return named.join(counts, ["variable", "bin"], "left").select(
+        "variable", "bin", "upper", "direction", F.coalesce("n_rows", F.lit(0)).cast("long").alias("n_rows")
+    )
+
+
 @query
 def e3_woe_table(spark: SparkSession, folder: str) -> DataFrame:
     return E.rounded_woe_table(_woe(spark, folder))
@@ -467,6 +529,20 @@ def f1_standardized_fit(spark: SparkSession, folder: str) -> DataFrame:
     return L.coefficient_table(spark, L.coefficients_of(model, features))
 
 
+def _at_optimum(gradients: DataFrame) -> DataFrame:
+    """Whether each term of a fit is at its optimum: SQL knows the terms, and that all are."""
+    return gradients.select("term", (F.abs("gradient") < 1e-6).cast("int").alias("optimal"))
+
+
+@query
+def f1_optimality(spark: SparkSession, folder: str) -> DataFrame:
+    """The penalized fit on standardized columns solves its equations."""
+    data, features = standardized_split(applicant_table(spark, folder), CONFIG)
+    train = data.where(F.col("split") == "train")
+    model = L.fit_logistic(train, features, TARGET, CONFIG.c)
+    return _at_optimum(L.optimality(train, features, TARGET, model, CONFIG.c))
+
+
 @query
 def f1_saturated_fit(spark: SparkSession, folder: str) -> DataFrame:
     fitted = _saturated(spark, folder, None)
@@ -495,6 +571,16 @@ def f3_woe_fit(spark: SparkSession, folder: str) -> DataFrame:
     return L.coefficient_table(spark, L.coefficients_of(model, features), by_size=True)
 
 
+@query
+def f3_optimality(spark: SparkSession, folder: str) -> DataFrame:
+    """The penalized fit on WOE columns, balanced classes, solves its equations."""
+    data, _, _ = woe_dataset(_split(applicant_table(spark, folder)), CONFIG)
+    features = list(CONFIG.woe_features)
+    patterns = L.feature_patterns(data.where(F.col("split") == "train"), features, TARGET)
+    model = L.fit_logistic(patterns, features, TARGET, CONFIG.c, "balanced", weight=L.ROWS)
+    return _at_optimum(L.optimality(patterns, features, TARGET, model, CONFIG.c, "balanced", L.ROWS))
+
+
 @query
 def f4_folds(spark: SparkSession, folder: str) -> DataFrame:
     return P.stratified_folds(applicant_table(spark, folder), CONFIG).select(ID, "fold")
@@ -512,7 +598,7 @@ def f5_saturated_cross_validation(spark: SparkSession, folder: str) -> DataFrame
     folds = P.stratified_folds(_encoded(spark, folder), CONFIG)
     config = replace(CONFIG, class_weight="balanced", c=UNPENALIZED)
     per_fold = L.cross_validate(
-        folds, DUMMIES, config, patterns=True, distinct_bound=CONFIG.folds * len(CONFIG.categories)
+        folds, DUMMIES, config, patterns=True
     )
     return rounded(per_fold)
 
@@ -522,7 +608,7 @@ def f5_saturated_summary(spark: SparkSession, folder: str) -> DataFrame:
     folds = P.stratified_folds(_encoded(spark, folder), CONFIG)
     config = replace(CONFIG, class_weight="balanced", c=UNPENALIZED)
     per_fold = L.cross_validate(
-        folds, DUMMIES, config, patterns=True, distinct_bound=CONFIG.folds * len(CONFIG.categories)
+        folds, DUMMIES, config, patterns=True
     )
     return rounded(L.cross_validation_summary(per_fold))
 
@@ -542,32 +628,35 @@ def f7_probability(spark: SparkSession, folder: str) -> DataFrame:
 # --- G. Evaluation -----------------------------------------------------------
 
 
-def _features(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    medians, caps = _medians_and_caps(df)
+Fitted = tuple[dict[str, float], dict[str, float]]
+
+
+def _features(df: DataFrame, fitted: Fitted | None = None) -> DataFrame:
+    medians, caps = fitted or _medians_and_caps(df)
     return H.woe_features(df, frozen.scorecard(medians, caps))
 
 
-def _scored(df: DataFrame) -> DataFrame:
+def _scored(df: DataFrame, fitted: Fitted | None = None) -> DataFrame:
     """Applicants with the probability of the fixed WOE scorecard."""
-    features = _features(df)
+    features = _features(df, fitted)
     return features.withColumn("pd", probability(frozen.COEFFICIENTS, frozen.INTERCEPT, features.columns))
 
 
-def _stable_score(df: DataFrame) -> DataFrame:
+def _stable_score(df: DataFrame, fitted: Fitted | None = None) -> DataFrame:
     """Key, target and score to 8 decimals, so that ties are the same in both engines."""
-    scored = _scored(df)
+    scored = _scored(df, fitted)
     kept = [c for c in (ID, TARGET, "split") if c in df.columns]
     return scored.select(*kept, round_even("pd", 8).alias("pd"))
 
 
 def _curve(df: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    return roc_table(_stable_score(df), "pd", TARGET, by, distinct_bound=CONFIG.woe_pattern_bound)
+    return roc_table(_stable_score(df), "pd", TARGET, by)
 
 
 def _decided(df: DataFrame) -> DataFrame:
     scored = _stable_score(df)
     ranking = M.curve_metrics(
-        roc_table(scored, "pd", TARGET, distinct_bound=CONFIG.woe_pattern_bound)
+        roc_table(scored, "pd", TARGET)
     )
     return M.at_optimal_threshold(scored, "pd", TARGET, ranking)
 
@@ -586,7 +675,7 @@ def g2_gini(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def g3_roc_curve(spark: SparkSession, folder: str) -> DataFrame:
     scored = _stable_score(applicant_table(spark, folder))
-    curve = roc_table(scored, "pd", TARGET, distinct_bound=CONFIG.woe_pattern_bound, origin=True)
+    curve = roc_table(scored, "pd", TARGET, origin=True)
     return rounded(curve.select("threshold", "fpr", "tpr"), 8)
 
 
@@ -650,7 +739,7 @@ def g12_score_summary(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def g13_benchmark_gate(spark: SparkSession, folder: str) -> DataFrame:
     scored = _stable_score(_split(applicant_table(spark, folder)))
-    curve = roc_table(scored, "pd", TARGET, ["split"], distinct_bound=CONFIG.woe_pattern_bound)
+    curve = roc_table(scored, "pd", TARGET, ["split"])
     ranking = M.curve_metrics(curve, ["split"])
     by_split = {r["split"]: r for r in ranking.collect()}
     test = by_split["test"]
@@ -669,10 +758,25 @@ def g13_benchmark_gate(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(M.benchmark_gate(long, CONFIG.limits))
 
 
+@query
+def g13_metric_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """All nine metrics of the fixed scorecard with what they mean."""
+    scored = _stable_score(_split(applicant_table(spark, folder)))
+    return rounded(M.metric_summary(evaluation(scored, CONFIG), CONFIG.limits))
+
+
+@query
+def g13_trained_summary(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way: train a scorecard on the categories that occur, score, evaluate and interpret."""
+    trained = train_scorecard(applicant_table(spark, folder), CONFIG, fit_on_train=True, fit_categories=True)
+    return rounded(M.metric_summary(evaluation(trained.scored, CONFIG), CONFIG.limits), 4)
+
+
 @query
 def g14_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
-    standardized, _ = standardized_split(df, CONFIG)
+    df = _split(applicant_table(spark, folder))
+    fitted = _medians_and_caps(df)
+    standardized, _ = standardized_split(df, CONFIG, fitted)
     before = standardized.select(
         TARGET,
         F.lit("before").alias("model"),
@@ -681,9 +785,11 @@ def g14_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
             frozen.STANDARDIZED_COEFFICIENTS, frozen.STANDARDIZED_INTERCEPT, standardized.columns
         ).alias("pd"),
     ).withColumn("pd", round_even("pd", 8))
-    after = _stable_score(_split(df)).select(TARGET, F.lit("after").alias("model"), "split", "pd")
+    after = _stable_score(df, fitted).select(TARGET, F.lit("after").alias("model"), "split", "pd")
     both = before.unionByName(after).where(F.col("split") == "test")
     ranking = M.curve_metrics(roc_table(both, "pd", TARGET, ["model"]), ["model"])
+    # Two rows, read once and used twice.
+    ranking = spark.createDataFrame(ranking.collect(), ranking.schema)
     decided = M.at_optimal_threshold(both, "pd", TARGET, ranking, ["model"])
     cells = M.confusion(decided, TARGET, "decision", ["model"])
     return M.compare_models(ranking, cells, {"before": "before_woe", "after": "after_woe"})
@@ -770,18 +876,39 @@ def h8_display_names(spark: SparkSession, folder: str) -> DataFrame:
     return shown.select(ID, "employment_status_name", "salary_domiciliation_name")
 
 
+def _drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
+    """All that a stream holds now, written as a table."""
+    path = new_path(spark, name)
+    start_sink(stream, path, new_path(spark, f"{name}-checkpoint"), once=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(path)
+
+
+def _arriving(spark: SparkSession, folder: str) -> tuple[DataFrame, params.Scorecard]:
+    applicants = applicant_table(spark, folder)
+    card = _card(applicants)
+    arrived = new_path(spark, "arriving")
+    write_snapshot(applicants, arrived)
+    arriving = read_applicant_stream(spark, arrived, "parquet")
+    return arriving, card
+
+
 @query
 def h9_stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    """Applicant files arrive in a folder; each row is validated and scored."""
-    card = _card(applicant_table(spark, folder))
-    arriving = read_applicant_stream(spark, applicant_path(spark, folder), "parquet")
+    """Applicant files arrive in a folder; each row is validated, and scored if valid."""
+    arriving, card = _arriving(spark, folder)
     scored, _ = score_stream(arriving, card, CONFIG, keep=[ID], timestamp=False)
-    path = new_path(spark, "scored-stream")
-    start_sink(scored, path, new_path(spark, "stream-checkpoint"), once=True).awaitTermination()
-    written = spark.read.schema(scored.schema).parquet(path)
+    written = _drained(spark, scored, "scored-stream")
     return rounded(written.select(ID, "pd", "pd_score", "pd_pct", "risk_band.level", "recommendation"), 8)
 
 
+@query
+def h9_stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that the stream refuses, with all reasons; with the scored ones they are every row."""
+    arriving, card = _arriving(spark, folder)
+    _, refused = score_stream(arriving, card, CONFIG, keep=[ID], timestamp=False)
+    return _errors(_drained(spark, refused, "refused-stream"))
+
+
 @query
 def h10_portfolio_summary(spark: SparkSession, folder: str) -> DataFrame:
     df = applicant_table(spark, folder)

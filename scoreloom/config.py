@@ -6,7 +6,7 @@ can all be replaced without touching the library.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from math import inf
 
 
@@ -37,21 +37,32 @@ class Band:
 
 @dataclass(frozen=True)
 class DomainRule:
-    """Inclusive range, or list of allowed values, of one input column."""
+    """Inclusive range, or list of allowed values, of one input column.
+
+    A table without a ``required`` column has no valid row; ``integer`` refuses
+    fractions.
+    """
 
     column: str
     low: float | None = None
     high: float | None = None
     allowed: tuple[str, ...] = ()
+    integer: bool = False
+    required: bool = True
 
 
 @dataclass(frozen=True)
 class Limit:
-    """Acceptance limit of one metric; ``relation`` is ``>=``, ``>`` or ``<``."""
+    """Acceptance limit of one metric; ``relation`` is ``>=``, ``>`` or ``<``.
+
+    ``reading`` says what a value within the limit means, ``warning`` one beyond it.
+    """
 
     metric: str
     relation: str
     bound: float
+    reading: str = ""
+    warning: str = "Insuffisant"
 
 
 # --- Fixed values: results depend on them, so they are kept as published -----
@@ -129,25 +140,59 @@ DOMAIN_RULES = (
     DomainRule("monthly_income", 0, 50000),
     DomainRule("dti", 0.0, 5.0),
     DomainRule("utilization_rate", 0.0, 2.0),
-    DomainRule("num_credit_lines", 0, 50),
-    DomainRule("missed_payments_3m", 0, 30),
-    DomainRule("overdrawn_days_3m", 0, 90),
-    DomainRule("max_dpd_12m", 0, 365),
-    DomainRule("salary_domiciliation", 0, 1),
+    DomainRule("num_credit_lines", 0, 50, integer=True),
+    DomainRule("missed_payments_3m", 0, 30, integer=True),
+    DomainRule("overdrawn_days_3m", 0, 90, integer=True),
+    DomainRule("max_dpd_12m", 0, 365, integer=True),
+    DomainRule("salary_domiciliation", 0, 1, integer=True),
     DomainRule("employment_status", allowed=EMPLOYMENT_CATEGORIES),
 )
 
 METRIC_LIMITS = (
-    Limit("auc", ">=", 0.75),
-    Limit("gini", ">=", 0.50),
-    Limit("ks", ">=", 0.30),
-    Limit("f1", ">", 0.45),
-    Limit("auc_gap", "<", 0.02),
+    Limit("auc", ">=", 0.75, "Excellent"),
+    Limit("gini", ">=", 0.50, "Excellent"),
+    Limit("ks", ">=", 0.30, "Bon"),
+    Limit("f1", ">", 0.45, "Bon"),
+    Limit("auc_gap", "<", 0.02, "Pas d'overfitting", "Overfitting"),
 )
 
+# Rows of the metric summary: shown name and metric, in order.
+METRIC_SUMMARY = (
+    ("AUC-ROC (Test)", "auc"),
+    ("AUC-ROC (Train)", "auc_train"),
+    ("Ecart Train / Test", "auc_gap"),
+    ("Coefficient Gini", "gini"),
+    ("KS Statistic", "ks"),
+    ("F1-Score", "f1"),
+    ("Precision", "precision"),
+    ("Rappel (Sensibilite)", "recall"),
+    ("Specificite", "specificity"),
+)
+
+# Rows of the model comparison: shown name and metric, in order.
+COMPARED_METRICS = (
+    ("AUC-ROC", "auc"),
+    ("Gini", "gini"),
+    ("KS", "ks"),
+    ("Rappel", "recall"),
+    ("Precision", "precision"),
+    ("F1-Score", "f1"),
+    ("TP", "tp"),
+    ("FP", "fp"),
+    ("FN", "fn"),
+    ("TN", "tn"),
+)
+
+EFFECTS = {"raises": "Risque", "lowers": "Protection"}
+
 # --- End of fixed values -----------------------------------------------------
 
 
+def with_optional(rules: tuple[DomainRule, ...], *columns: str) -> tuple[DomainRule, ...]:
+    """The rules, without requiring some of their columns."""
+    return tuple(replace(r, required=r.required and r.column not in columns) for r in rules)
+
+
 @dataclass(frozen=True)
 class CreditConfig:
     id_column: str = "customer_id"
@@ -178,10 +223,11 @@ class CreditConfig:
     c: float = 1.0
     class_weight: str | None = None
     max_iter: int = 1000
-    decision_threshold: float = 0.5
 
     bins: tuple[BinSpec, ...] = WOE_BINS
     rate_buckets: tuple[BinSpec, ...] = RATE_BUCKETS
+    max_categories: int = 1000
+    small_bucket_rows: int = 1_000_000
     bands: tuple[Band, ...] = RISK_BANDS
     rules: tuple[DomainRule, ...] = DOMAIN_RULES
     limits: tuple[Limit, ...] = METRIC_LIMITS

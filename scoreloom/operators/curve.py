@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.columns import literal, number
 
 MAX_WINDOW_ROWS = 1_000_000
-RANGES = 4096
+RANGES_PER_LEVEL = 1_000
 
 
 def roc_table(
@@ -22,7 +22,6 @@ def roc_table(
     label: str,
     by: Sequence[str] = (),
     weight: str | None = None,
-    distinct_bound: int | None = None,
     origin: bool = False,
     max_window_rows: int = MAX_WINDOW_ROWS,
 ) -> DataFrame:
@@ -32,10 +31,10 @@ def roc_table(
     are left out; ``weight`` is an integer row multiplicity. With ``origin`` the
     point (0, 0) at an infinite threshold is added.
 
-    Rows are first reduced to distinct scores. If the caller can bound their
-    number (``distinct_bound``), or a sketch shows few of them, one window per
-    curve does the running sums. Otherwise scores are cut into ranges of about
-    equal row counts; each range has a window of its own and starts from the
+    Rows are first reduced to distinct scores, which are counted. If there are at
+    most ``max_window_rows``, one window per curve does the running sums.
+    Otherwise the distinct scores are cut into ranges, level by level until each
+    holds at most so many; each range has a window of its own and starts from the
     totals of the ranges above it.
     """
     keys = list(by)
@@ -54,23 +53,14 @@ def roc_table(
         .agg(F.sum("pos").cast("long").alias("pos"), F.sum("neg").cast("long").alias("neg"))
         .where(F.col("pos") + F.col("neg") > 0)
     )
-    if distinct_bound is not None and distinct_bound <= max_window_rows:
-        edges: list[float] = []
-    else:
-        edges = _range_edges(known, max_window_rows)
-
+    edges = score_ranges(counts, keys, max_window_rows)
     if edges:
-        splits = [float("-inf"), *edges, float("inf")]
-        counts = (
-            Bucketizer(splits=splits, inputCol="threshold", outputCol="range")
-            .transform(counts)
-            .withColumn("range", F.coalesce(F.col("range").cast("int"), F.lit(-1)))
-        )
+        counts = _in_ranges(counts, edges)
         group = [*keys, "range"]
         inside = W.partitionBy(*group).orderBy(F.col("threshold").desc())
         above = W.partitionBy(*(keys or [F.lit(0)])).orderBy(F.col("range").desc())
         whole = W.partitionBy(*(keys or [F.lit(0)]))
-        # One row per range and curve: at most RANGES per curve.
+        # One row per range and curve.
         totals = counts.groupBy(*group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
             *group,
             (F.sum("p").over(above) - F.col("p")).alias("tp_above"),
@@ -123,20 +113,38 @@ def roc_table(
     )
 
 
-def _range_edges(known: DataFrame, max_window_rows: int) -> list[float]:
-    """Cut points of about equal row counts, none if the distinct scores are few.
+def score_ranges(counts: DataFrame, keys: Sequence[str], max_window_rows: int) -> list[float]:
+    """Cuts between ranges of at most ``max_window_rows`` distinct scores per curve.
 
-    There are as many ranges as keep half of ``max_window_rows`` distinct scores
-    in each, up to ``RANGES``.
+    The cuts are percentiles of the distinct scores, so a range holds few of them
+    however the rows are spread. A level cuts every range that is too large into at
+    most ``RANGES_PER_LEVEL``; it is one pass, and two levels serve 10^12 scores.
     """
-    shares = ", ".join(literal(i / RANGES) for i in range(1, RANGES))
-    row = known.agg(
-        F.approx_count_distinct("threshold").alias("distinct"),
-        F.expr(f"percentile_approx(threshold, array({shares}), {10 * RANGES})").alias("cuts"),
-    ).first()
-    # The distinct count is an estimate, good to a few percent.
-    if row["cuts"] is None or row["distinct"] * 1.2 <= max_window_rows:
-        return []
-    wanted = min(RANGES, ceil(2 * row["distinct"] / max_window_rows))
-    step = RANGES // wanted
-    return sorted(set(row["cuts"][step - 1 :: step]))
+    edges: list[float] = []
+    while True:
+        placed = _in_ranges(counts, edges)
+        sizes = placed.groupBy(*keys, "range").count().groupBy("range").agg(F.max("count").alias("n"))
+        large = {r["range"]: r["n"] for r in sizes.where(F.col("n") > max_window_rows).collect()}
+        if not large:
+            return edges
+        steps = min(RANGES_PER_LEVEL, ceil(2 * max(large.values()) / max_window_rows))
+        shares = ", ".join(literal(i / steps) for i in range(1, steps))
+        cuts = (
+            placed.where(F.col("range").isin(list(large)))
+            .select("range", "threshold")
+            .distinct()
+            .groupBy("range")
+            .agg(F.expr(f"percentile_approx(threshold, array({shares}), {10 * steps})").alias("cuts"))
+            .collect()
+        )
+        edges = sorted({*edges, *(c for r in cuts for c in r["cuts"])})
+
+
+def _in_ranges(counts: DataFrame, edges: Sequence[float]) -> DataFrame:
+    """Add ``range``: how many cuts are at or below the threshold."""
+    if not edges:
+        return counts.withColumn("range", F.lit(0))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *edges, float("inf")], inputCol="threshold", outputCol="range"
+    )
+    return bucketizer.transform(counts).withColumn("range", F.col("range").cast("int"))

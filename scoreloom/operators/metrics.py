@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.config import Limit
+from scoreloom.config import COMPARED_METRICS, METRIC_SUMMARY, Limit
 from scoreloom.functions.columns import even, literal, name, number, quotient, ratio, stack
 
 KS_GRID_POINTS = 300
@@ -59,9 +59,13 @@ def ks_grid(df: DataFrame, score: str, label: str, points: int = KS_GRID_POINTS)
     counting, not by a join. ``is_largest`` marks the first point of largest gap.
     """
     last = points - 1
+    # The product may land beside the grid value that is shown, so the index is
+    # corrected by comparing with its neighbours.
+    near = f"ceil(s * {last})"
+    exact = f"CASE WHEN ({near} - 1) / {last}D >= s THEN {near} - 1 WHEN {near} / {last}D < s THEN {near} + 1 ELSE {near} END"
     # Scores above 1 are counted in the totals only, missing ones not at all. The
     # point is never null: a null test would reach the scan with the whole score.
-    index = f"CASE WHEN s <= 1 THEN greatest(ceil(s * {last}), 0) WHEN s > 1 THEN {points} ELSE -1 END"
+    index = f"CASE WHEN s <= 1 THEN greatest({exact}, 0) WHEN s > 1 THEN {points} ELSE -1 END"
     counted = (
         df.select(number(score).alias("s"), label)
         .select(F.expr(f"coalesce(CAST({index} AS INT), -1)").alias("point"), label)
@@ -218,18 +222,37 @@ def benchmark_gate(metrics: DataFrame, limits: Sequence[Limit]) -> DataFrame:
     )
 
 
-COMPARED = {
-    "AUC-ROC": "auc",
-    "Gini": "gini",
-    "KS": "ks",
-    "Rappel": "recall",
-    "Precision": "precision",
-    "F1-Score": "f1",
-    "TP": "tp",
-    "FP": "fp",
-    "FN": "fn",
-    "TN": "tn",
-}
+def metric_summary(metrics: DataFrame, limits: Sequence[Limit]) -> DataFrame:
+    """``(position, label, value, relation, bound, interpretation)`` of ``(metric, value)`` rows.
+
+    The rows of ``METRIC_SUMMARY``, values to 4 decimals. The interpretation
+    follows from the limit; a train AUC is read like the test AUC, and metrics
+    without limit or value have none.
+    """
+    shared = {"auc_train": "auc"}
+    shown = {m: (i, label) for i, (label, m) in enumerate(METRIC_SUMMARY, start=1)}
+    of = {x.metric: x for x in limits}
+
+    def choose(result) -> str:
+        cases = " ".join(
+            f"WHEN {literal(m)} THEN {result(of[shared.get(m, m)])}" for m in shown if shared.get(m, m) in of
+        )
+        return f"CASE metric {cases} END"
+
+    place = " ".join(f"WHEN {literal(m)} THEN {i}" for m, (i, _) in shown.items())
+    label = " ".join(f"WHEN {literal(m)} THEN {literal(text)}" for m, (_, text) in shown.items())
+    reading = choose(
+        lambda x: f"CASE WHEN value {x.relation} {literal(float(x.bound))} THEN {literal(x.reading)} "
+        f"WHEN value IS NOT NULL THEN {literal(x.warning)} END"
+    )
+    return metrics.where(F.col("metric").isin(list(shown))).selectExpr(
+        f"CASE metric {place} END AS position",
+        f"CASE metric {label} END AS label",
+        f"{even('value', 4)} AS value",
+        f"{choose(lambda x: literal(x.relation))} AS relation",
+        f"{choose(lambda x: literal(float(x.bound)))} AS bound",
+        f"coalesce({reading}, '—') AS interpretation",
+    )
 
 
 def compare_models(ranking: DataFrame, cells: DataFrame, models: Mapping[str, str]) -> DataFrame:
@@ -241,7 +264,7 @@ def compare_models(ranking: DataFrame, cells: DataFrame, models: Mapping[str, st
     joined = threshold_metrics(cells).join(ranking, "model")
     entries = [
         f"named_struct('position', {i}, 'metric', {literal(shown)}, 'value', {even(f'CAST({name(c)} AS DOUBLE)', 4)})"
-        for i, (shown, c) in enumerate(COMPARED.items())
+        for i, (shown, c) in enumerate(COMPARED_METRICS)
     ]
     long = joined.selectExpr("model", f"inline(array({', '.join(entries)}))")
     wide = long.groupBy("position", "metric").pivot("model", list(models)).agg(F.first("value"))

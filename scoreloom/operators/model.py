@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from scoreloom.config import CreditConfig
-from scoreloom.functions.columns import even, round_even
+from scoreloom.config import EFFECTS, CreditConfig
+from scoreloom.functions.columns import even, literal, name, number, round_even, stack
 from scoreloom.functions.scoring import probability
 from scoreloom.operators.curve import roc_table
 from scoreloom.operators.metrics import confusion, curve_metrics, threshold_metrics
@@ -94,9 +94,11 @@ def fit_logistic(
         maxIter=max_iter,
         tol=tolerance,
     )
-    # Every iteration is a job: a small table is not worth many tasks.
-    enough = max(1, ceil(stored / ROWS_PER_PARTITION))
-    return estimator.fit(vectors.select("features", "label", "weight").coalesce(enough))
+    rows = vectors.select("features", "label", "weight")
+    if weight:
+        # Patterns come out of a shuffle, so fewer tasks read no less of the table.
+        rows = rows.coalesce(max(1, ceil(stored / ROWS_PER_PARTITION)))
+    return estimator.fit(rows)
 
 
 def coefficients_of(model: LogisticRegressionModel, features: Sequence[str]) -> dict[str, float]:
@@ -115,12 +117,41 @@ def coefficient_table(
         "feature",
         round_even("beta", 4).alias("coefficient"),
         F.expr(even("exp(beta)", 4)).alias("odds_ratio"),
-        F.when(F.col("beta") > 0, "Risque").otherwise("Protection").alias("effect"),
+        F.when(F.col("beta") > 0, EFFECTS["raises"]).otherwise(EFFECTS["lowers"]).alias("effect"),
     )
     order = F.abs("coefficient") if by_size else F.col("coefficient")
     return shown.orderBy(order.desc(), "feature")
 
 
+def optimality(
+    df: DataFrame, features: Sequence[str], label: str, model: LogisticRegressionModel, c: float, class_weight: str | None = None, weight: str | None = None
+) -> DataFrame:
+    """``(term, gradient)`` of the penalized likelihood per row; all are 0 at the optimum.
+
+    One aggregate over the fitted rows: for a feature the sum of ``w (y - p) x``
+    less ``beta / c``, for the intercept without penalty, each over the number of rows.
+    """
+    betas = coefficients_of(model, features)
+    known = df.where(F.col(label).isNotNull())
+    rows = F.col(weight).cast("double") if weight else F.lit(1.0)
+    if class_weight == "balanced":
+        weights = class_weights(known, label, weight)
+        rows = rows * F.element_at(
+            F.create_map(*[F.lit(float(v)) for item in weights.items() for v in item]), F.col(label).cast("double")
+        )
+    p = probability(betas, float(model.intercept), known.columns)
+    residual = rows * (F.col(label).cast("double") - p)
+    n = F.sum(F.col(weight) if weight else F.lit(1)).cast("double")
+    sums = known.agg(
+        n.alias("n"),
+        F.sum(residual).alias("intercept"),
+        *[F.sum(residual * number(f)).alias(f) for f in features],
+    )
+    terms = [["'intercept'", "intercept / n"]]
+    terms += [[literal(f), f"({name(f)} - {literal(b / c)}) / n"] for f, b in betas.items()]
+    return stack(sums, ["term", "gradient"], terms)
+
+
 def with_probability(
     df: DataFrame, coefficients: Mapping[str, float], intercept: float, name: str = "pd"
 ) -> DataFrame:
@@ -134,7 +165,6 @@ def cross_validate(
     config: CreditConfig,
     fold: str = "fold",
     patterns: bool = False,
-    distinct_bound: int | None = None,
     parallelism: int = 3,
 ) -> DataFrame:
     """AUC and F1 (at ``p > 0.5``) of the held-out rows, one row per fold.
@@ -175,7 +205,7 @@ def cross_validate(
                 held_out = F.when(F.col(fold) == k, job.result()).otherwise(held_out)
         scored = data.withColumn("pd", held_out)
         # Materialized here: the persisted rows are released on return.
-        curve = roc_table(scored, "pd", label, [fold], weight, distinct_bound)
+        curve = roc_table(scored, "pd", label, [fold], weight)
         auc = {r[fold]: r["auc"] for r in curve_metrics(curve, [fold]).collect()}
         decided = scored.withColumn("decision", (F.col("pd") > 0.5).cast("int"))
         f1 = {

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 
 from scoreloom.config import CreditConfig
 from scoreloom.functions.columns import even, known, literal, name, number, quotient, stack, when_class
-from scoreloom.operators.quantiles import exact_quantiles
+from scoreloom.operators.quantiles import SMALL_GROUP_ROWS, exact_quantiles
 from scoreloom.operators.ranks import hash_cuts, row_hash
 
-MAX_CATEGORIES = 1000
 
 
 def fit_medians(
@@ -38,9 +37,11 @@ def impute(df: DataFrame, medians: Mapping[str, float]) -> DataFrame:
     )
 
 
-def fit_caps(df: DataFrame, columns: Sequence[str], quantile: float = 0.99) -> dict[str, float]:
+def fit_caps(
+    df: DataFrame, columns: Sequence[str], quantile: float = 0.99, small_group_rows: int = SMALL_GROUP_ROWS
+) -> dict[str, float]:
     """Upper cap per column; fit it on the imputed table."""
-    found = exact_quantiles(df, columns, [quantile])
+    found = exact_quantiles(df, columns, [quantile], small_group_rows=small_group_rows)
     return {c: found[None, c][0] for c in columns}
 
 
@@ -56,7 +57,10 @@ def cap(df: DataFrame, caps: Mapping[str, float]) -> DataFrame:
 
 
 def cap_audit(df: DataFrame, caps: Mapping[str, float], digits: int = 2) -> DataFrame:
-    """``(column, max_before, cap, max_after)`` of a capping step, in one aggregate."""
+    """``(column, max_before, cap, max_after)`` of a capping step, in one aggregate.
+
+    A column without a cap keeps its values.
+    """
     top = df.agg(*[F.max(number(c)).alias(c) for c in caps])
     return stack(
         top,
@@ -65,15 +69,15 @@ def cap_audit(df: DataFrame, caps: Mapping[str, float], digits: int = 2) -> Data
             [
                 literal(c),
                 even(name(c), digits),
-                even(literal(float(v)), digits),
-                even(f"least({name(c)}, {literal(float(v))})", digits),
+                "CAST(NULL AS DOUBLE)" if v is None else even(literal(float(v)), digits),
+                even(f"least({name(c)}, {'NULL' if v is None else literal(float(v))})", digits),
             ]
             for c, v in caps.items()
         ],
     )
 
 
-def fit_categories(df: DataFrame, column: str, most: int = MAX_CATEGORIES) -> list[str]:
+def fit_categories(df: DataFrame, column: str, most: int = CreditConfig.max_categories) -> list[str]:
     """Categories present, in alphabetical order; the first is the reference.
 
     Each becomes a column, so a column of more than ``most`` values is refused.
@@ -155,6 +159,7 @@ def stratified_split(df: DataFrame, config: CreditConfig) -> DataFrame:
         config.target,
         lambda sizes: {value: [n] for value, n in split_sizes(sizes, config.test_share).items()},
         config.seed,
+        config.small_bucket_rows,
     )
     target = F.col(config.target)
     last = F.expr(when_class(config.target, {value: ends[0] for value, ends in cuts.items()}))
@@ -176,7 +181,7 @@ def stratified_folds(df: DataFrame, config: CreditConfig) -> DataFrame:
             ends[value] = [base * (i + 1) + min(i + 1, extra) for i in range(k - 1)]
         return ends
 
-    cuts = hash_cuts(df, config.id_column, config.target, fold_ends, config.seed)
+    cuts = hash_cuts(df, config.id_column, config.target, fold_ends, config.seed, config.small_bucket_rows)
     target = F.col(config.target)
     ends = ", ".join(
         when_class(config.target, {value: found[i] for value, found in cuts.items()}) for i in range(k - 1)

@@ -22,7 +22,7 @@ from scoreloom.functions.columns import (
     text_map,
     when_class,
 )
-from scoreloom.operators.quantiles import exact_quantiles
+from scoreloom.operators.quantiles import SMALL_GROUP_ROWS, exact_quantiles
 from scoreloom.operators.validate import number_missing
 
 
@@ -76,9 +76,11 @@ def rate_by_missing(df: DataFrame, columns: Sequence[str], target: str) -> DataF
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def describe(
+    df: DataFrame, columns: Sequence[str], small_group_rows: int = SMALL_GROUP_ROWS
+) -> DataFrame:
     """Count, mean, sample deviation, minimum, exact quartiles, maximum per column."""
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], small_group_rows=small_group_rows)
     wide = df.agg(*[_moments(number(c)).alias(c) for c in columns])
     return stack(
         wide,
@@ -241,13 +243,15 @@ def before_after_histograms(
     return parts[0].unionByName(parts[1])
 
 
-def box_statistics(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
+def box_statistics(
+    df: DataFrame, columns: Sequence[str], by: str, small_group_rows: int = SMALL_GROUP_ROWS
+) -> DataFrame:
     """Quartiles, whiskers and number of outside points per column and class.
 
     A whisker ends at the last value within 1.5 interquartile ranges of the box,
     never inside the box.
     """
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=by)
+    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=by, small_group_rows=small_group_rows)
 
     def per_class(group: str, c: str, value_of) -> str:
         return when_class(

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from scoreloom.functions.columns import number
 
 SMALL_GROUP_ROWS = 1_000_000
+MAX_GROUPS = 10_000
 CELLS = 1024
 
 
@@ -63,7 +64,9 @@ def exact_quantiles(
             F.struct(F.count(c).alias("rows"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c)
             for c in columns
         ]
-    ).collect()
+    ).limit(MAX_GROUPS + 1).collect()
+    if len(sizes) > MAX_GROUPS:
+        raise ValueError(f"{by} is no class column: more than {MAX_GROUPS} values")
     largest = max((row[c]["rows"] for row in sizes for c in columns), default=0)
     if largest <= small_group_rows:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 PREFIX_DIGITS = 3  # 4096 counted groups per class and pass
 SMALL_BUCKET_ROWS = 1_000_000
+MAX_CLASSES = 100
 
 
 def row_hash(id_column: str, seed: int) -> Column:
@@ -51,7 +52,9 @@ def hash_cuts(
     hashed = df.where(F.col(stratum).isNotNull()).select(
         F.col(stratum).alias("stratum"), row_hash(id_column, seed).alias("h")
     )
-    first = _count_prefixes(hashed, PREFIX_DIGITS)
+    first = _count_prefixes(hashed, PREFIX_DIGITS, MAX_CLASSES * 16**PREFIX_DIGITS)
+    if len({value for value, _ in first}) > MAX_CLASSES:
+        raise ValueError(f"{stratum} is no class column: more than {MAX_CLASSES} values")
     sizes: dict[object, int] = {}
     for (value, _), rows in first.items():
         sizes[value] = sizes.get(value, 0) + rows
@@ -74,12 +77,20 @@ def hash_cuts(
     return {value: [found[value, p] for p in wanted[value]] for value in sizes}
 
 
-def _count_prefixes(hashed: DataFrame, digits: int) -> dict[tuple[object, str], int]:
-    """Rows per class and hash prefix: at most 4096 groups per class and open bucket."""
+def _count_prefixes(
+    hashed: DataFrame, digits: int, most: int | None = None
+) -> dict[tuple[object, str], int]:
+    """Rows per class and hash prefix: at most 4096 groups per class and open bucket.
+
+    ``most`` bounds what is read; a table with more groups has too many classes.
+    """
     counted = hashed.groupBy("stratum", F.substring("h", 1, digits).alias("prefix")).agg(
         F.count(F.lit(1)).alias("rows")
     )
-    return {(r["stratum"], r["prefix"]): r["rows"] for r in counted.collect()}
+    rows = counted.limit(most + 1).collect() if most else counted.collect()
+    if most and len(rows) > most:
+        raise ValueError(f"more than {MAX_CLASSES} classes")
+    return {(r["stratum"], r["prefix"]): r["rows"] for r in rows}
 
 
 def _descend(cut: _Cut, counts: Mapping[tuple[object, str], int]) -> None:

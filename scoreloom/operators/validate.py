@@ -70,7 +70,11 @@ def _violations(rule: DomainRule, dtype: T.DataType, allow_null: bool) -> list[s
     number_text = column
     if isinstance(dtype, T.StringType):
         number_text = f"try_cast({column} AS DOUBLE)"
-        found.append(reason(f"{column} IS NOT NULL AND {number_text} IS NULL", "type"))
+    wrong = [f"{column} IS NOT NULL AND {number_text} IS NULL"] if number_text != column else []
+    if rule.integer and not isinstance(dtype, T.IntegralType):
+        wrong.append(f"NOT {missing} AND {number_text} <> floor({number_text})")
+    if wrong:
+        found.append(reason(" OR ".join(f"({w})" for w in wrong), "type"))
     outside = f"{number_text} < {literal(rule.low)} OR {number_text} > {literal(rule.high)}"
     return [*found, reason(f"NOT {missing} AND ({outside})", "range")]
 
@@ -78,17 +82,22 @@ def _violations(rule: DomainRule, dtype: T.DataType, allow_null: bool) -> list[s
 def validate(df: DataFrame, config: CreditConfig, allow_null: bool = False) -> DataFrame:
     """Add ``errors ARRAY<STRING>``: every reason for which a row is refused, in rule order.
 
-    Rules of columns the table does not have are skipped. ``allow_null`` admits
-    missing values, as batch tables may have them imputed later.
+    A required column that the table does not have is missing in every row; rules
+    of other absent columns are skipped. ``allow_null`` admits missing values, as
+    batch tables may have them imputed later, but not missing columns.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     reasons = [
         v
         for rule in config.rules
-        if rule.column in types
-        for v in _violations(rule, types[rule.column], allow_null)
+        for v in (
+            _violations(rule, types[rule.column], allow_null)
+            if rule.column in types
+            else [literal(f"{rule.column}:missing")] * rule.required
+        )
     ]
-    return df.withColumn("errors", F.expr(f"array_compact(array({', '.join(reasons)}))"))
+    listed = f"array_compact(array({', '.join(reasons)}))" if reasons else "CAST(array() AS ARRAY<STRING>)"
+    return df.withColumn("errors", F.expr(listed))
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

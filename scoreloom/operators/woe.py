@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.config import FALLING, RISING, ZERO_SHARE_FLOOR, BinSpec
+from scoreloom.config import BinSpec, CreditConfig, FALLING, RISING, ZERO_SHARE_FLOOR
 from scoreloom.functions.columns import cut, literal, quotient, round_even, text_map
 
 
@@ -131,7 +131,7 @@ def monotonicity(table: DataFrame, bins: Sequence[BinSpec]) -> DataFrame:
     )
 
 
-def kept_variables(summary: DataFrame, minimum_iv: float) -> DataFrame:
+def kept_variables(summary: DataFrame, minimum_iv: float = CreditConfig.minimum_iv) -> DataFrame:
     """Variables with enough information value to be used."""
     return summary.where(F.col("iv") >= minimum_iv).select("variable", "iv")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame
@@ -20,25 +20,37 @@ from scoreloom.sources.params import Scorecard
 
 
 def prepare(
-    df: DataFrame, config: CreditConfig, fit_on: DataFrame | None = None
+    df: DataFrame,
+    config: CreditConfig,
+    fit_on: DataFrame | None = None,
+    fitted: tuple[dict[str, float], dict[str, float]] | None = None,
 ) -> tuple[DataFrame, dict[str, float], dict[str, float]]:
     """Impute, cap and encode; ``(prepared, medians, caps)``.
 
     Parameters are fitted on ``fit_on`` (for example the train rows), by default
-    on all rows.
+    on all rows; ``fitted`` are medians and caps known already.
     """
     basis = df if fit_on is None else fit_on
-    medians = P.fit_medians(basis, config.impute_columns)
-    caps = P.fit_caps(P.impute(basis, medians), config.cap_columns, config.cap_quantile)
+    if fitted is None:
+        medians = P.fit_medians(basis, config.impute_columns)
+        fitted = medians, P.fit_caps(P.impute(basis, medians), config.cap_columns, config.cap_quantile)
+    medians, caps = fitted
     prepared = P.cap(P.impute(df, medians), caps)
     return P.one_hot(prepared, config.category_column, config.categories), medians, caps
 
 
-def standardized_split(df: DataFrame, config: CreditConfig) -> tuple[DataFrame, list[str]]:
-    """Prepared table with ``split`` and standardized numeric columns, and its features."""
-    prepared, _, _ = prepare(df, config)
+def standardized_split(
+    df: DataFrame,
+    config: CreditConfig,
+    fitted: tuple[dict[str, float], dict[str, float]] | None = None,
+) -> tuple[DataFrame, list[str]]:
+    """Prepared table with ``split`` and standardized numeric columns, and its features.
+
+    A ``split`` that the table has already is kept.
+    """
+    prepared, _, _ = prepare(df, config, fitted=fitted)
     numeric, binary = column_roles(prepared.columns, config)
-    split = P.stratified_split(prepared, config)
+    split = prepared if "split" in df.columns else P.stratified_split(prepared, config)
     scaler = P.fit_standardizer(split.where(F.col("split") == "train"), numeric)
     return P.standardize(split, scaler), numeric + binary
 
@@ -68,15 +80,21 @@ class TrainedScorecard:
     scored: DataFrame  # key, target, split, pd
 
 
-def train_scorecard(df: DataFrame, config: CreditConfig, fit_on_train: bool = False) -> TrainedScorecard:
+def train_scorecard(
+    df: DataFrame, config: CreditConfig, fit_on_train: bool = False, fit_categories: bool = False
+) -> TrainedScorecard:
     """Fit the WOE scorecard on the train rows.
 
     By default medians, caps and WOE values come from all rows, as published;
-    ``fit_on_train`` keeps the test rows out of them as well. The model is
+    ``fit_on_train`` keeps the test rows out of them as well. ``fit_categories``
+    encodes the categories that occur instead of the configured ones. The model is
     fitted on distinct WOE rows, so its cost does not grow with the table.
     """
     split = P.stratified_split(df, config)
     basis = split.where(F.col("split") == "train") if fit_on_train else split
+    if fit_categories:
+        found = P.fit_categories(basis, config.category_column, config.max_categories)
+        config = replace(config, categories=tuple(found))
     data, medians, maps = woe_dataset(split, config, basis)
     caps = P.fit_caps(P.impute(basis, medians), config.cap_columns, config.cap_quantile)
     features = list(config.woe_features)
@@ -106,28 +124,33 @@ def train_scorecard(df: DataFrame, config: CreditConfig, fit_on_train: bool = Fa
     return TrainedScorecard(card, model, scored)
 
 
-def evaluation(scored: DataFrame, config: CreditConfig, distinct_bound: int | None = None) -> DataFrame:
+def _double(value: float | None) -> str:
+    return "CAST(NULL AS DOUBLE)" if value is None else literal(float(value))
+
+
+def evaluation(scored: DataFrame, config: CreditConfig) -> DataFrame:
     """``(metric, value)`` of a scored table with a ``split`` column.
 
     Ranking metrics per split, threshold metrics of the test rows at their
-    optimal threshold.
+    optimal threshold. A metric that a missing split or class leaves open is null.
     """
     ranking = M.curve_metrics(
-        roc_table(scored, "pd", config.target, ["split"], distinct_bound=distinct_bound), ["split"]
+        roc_table(scored, "pd", config.target, ["split"]), ["split"]
     ).collect()
-    test = next(r for r in ranking if r["split"] == "test")
-    train = next(r for r in ranking if r["split"] == "train")
+    none = dict.fromkeys(("auc", "gini", "ks", "threshold"))
+    test, train = (next((r.asDict() for r in ranking if r["split"] == s), none) for s in ("test", "train"))
+    gap = None if None in (train["auc"], test["auc"]) else abs(train["auc"] - test["auc"])
     decided = scored.where(F.col("split") == "test").withColumn(
-        "decision", (F.col("pd") >= F.lit(test["threshold"])).cast("int")
+        "decision", (F.col("pd") >= F.lit(test["threshold"]).cast("double")).cast("int")
     )
     cells = M.threshold_metrics(M.confusion(decided, config.target, "decision"))
     values = {
-        "auc": literal(test["auc"]),
-        "auc_train": literal(train["auc"]),
-        "auc_gap": literal(abs(train["auc"] - test["auc"])),
-        "gini": literal(test["gini"]),
-        "ks": literal(test["ks"]),
-        "threshold": literal(test["threshold"]),
+        "auc": _double(test["auc"]),
+        "auc_train": _double(train["auc"]),
+        "auc_gap": _double(gap),
+        "gini": _double(test["gini"]),
+        "ks": _double(test["ks"]),
+        "threshold": _double(test["threshold"]),
         **{c: c for c in ("precision", "recall", "specificity", "f1")},
         **{c: f"CAST({c} AS DOUBLE)" for c in ("tn", "fp", "fn", "tp")},
     }

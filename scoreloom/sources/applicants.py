@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scoreloom.functions.columns import nan_to_null
-from scoreloom.storage import new_path
 
 APPLICANT_SCHEMA = T.StructType(
     [
@@ -75,30 +74,9 @@ def applicants_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-_written: dict[tuple[str, str], str] = {}
-
-
-def applicant_path(spark: SparkSession, folder: str) -> str:
-    """Path of the applicant view of ``folder`` as a table, written once per session.
-
-    The join and the derivation are then paid once instead of by every query, and
-    filters and column selections reach the files. A table of few input splits is
-    spread over the cores, so that later scans run in parallel.
-    """
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _written:
-        path = new_path(spark, "applicants")
-        applicants = applicants_from_orders(spark, folder)
-        cores = spark.sparkContext.defaultParallelism
-        if spark.read.parquet(f"{folder}/orders.parquet").rdd.getNumPartitions() < cores:
-            applicants = applicants.repartition(cores, "customer_id")
-        applicants.write.parquet(path)
-        _written[key] = path
-    return _written[key]
-
-
 def applicant_table(spark: SparkSession, folder: str) -> DataFrame:
-    return read_applicants(spark, applicant_path(spark, folder))
+    """The applicant view of ``folder`` for the operators; nothing is written or kept."""
+    return nan_to_null(applicants_from_orders(spark, folder))
 
 
 def applicants_sql() -> str:

@@ -25,10 +25,15 @@ SCORECARD_SCHEMA = """
 """
 
 
+def _float(value: float | None) -> float | None:
+    """A parameter as a double; null if it could not be fitted."""
+    return None if value is None else float(value)
+
+
 def stats_table(spark: SparkSession, stats: Mapping[str, Mapping[str, float]]) -> DataFrame:
     """``{stat: {column: value}}`` as ``(column, stat, value)``; one row per parameter."""
     rows = [
-        (column, stat, None if value is None else float(value))
+        (column, stat, _float(value))
         for stat, values in stats.items()
         for column, value in values.items()
     ]
@@ -63,8 +68,8 @@ class Scorecard:
     def to_frame(self, spark: SparkSession) -> DataFrame:
         """The scorecard as a table of one row with nested parameter lists."""
         row = (
-            [(c, "median", float(v)) for c, v in self.medians.items()]
-            + [(c, "cap", float(v)) for c, v in self.caps.items()],
+            [(c, "median", _float(v)) for c, v in self.medians.items()]
+            + [(c, "cap", _float(v)) for c, v in self.caps.items()],
             [
                 (b.variable, [float(e) for e in b.edges], b.direction, list(b.labels))
                 for b in self.bins
@@ -123,11 +128,13 @@ def log_run(
     run_id: str,
     run_name: str,
     params: Mapping[str, object],
-    metrics: Mapping[str, float],
+    metrics: Mapping[str, float | None],
 ) -> None:
-    """Append one run to the log table; metrics are rounded to 4 decimals."""
+    """Append one run to the log table; metrics are rounded to 4 decimals, unknown ones null."""
     rows = [(run_id, run_name, "param", k, str(v)) for k, v in params.items()]
-    rows += [(run_id, run_name, "metric", k, str(round(v, 4))) for k, v in metrics.items()]
+    rows += [
+        (run_id, run_name, "metric", k, None if v is None else str(round(v, 4))) for k, v in metrics.items()
+    ]
     table = spark.createDataFrame(
         rows, "run_id string, run_name string, kind string, key string, value string"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_folder(spark: SparkSession) -> str:
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.match(r"local($|\[)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     application = context.applicationId
     if application not in _local_folders:

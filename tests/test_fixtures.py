@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog import frozen
 from catalog import queries as Q
 from tools.check_queries import TABLES, differences
 
@@ -62,7 +63,8 @@ CHECKED = (
     "a2_table_shape a4_fitted_parameters b6_quarantine c4_cap_audit c8_split c9_split_summary d3_rate_by_missing "
     "d6_class_histograms d8_box_statistics d10_rate_other_table d12_correlations d14_rate_by_bucket "
     "e3_woe_with_missing e3_woe_other_table e7_woe_dataset f2_balanced_saturated_fit f4_folds g3_roc_curve_ranges "
-    "g5_optimal_threshold g6_ks_curve g10_classification_report h2_batch_scoring h5_top_drivers h9_stream_scoring"
+    "a5_run_log b6_contract c8_split_deep d8_box_narrowed e2_bin_table f3_optimality g5_optimal_threshold g6_ks_curve g10_classification_report h2_batch_scoring h5_top_drivers h9_stream_scoring "
+    "h9_stream_quarantine g13_metric_summary"
 ).split()
 
 
@@ -82,10 +84,42 @@ def test_query_equals_sql(spark, database, name):
 
 def test_registration():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {
-        "a5_run_log", "f1_standardized_fit", "f3_woe_fit", "f5_cross_validation",
+    assert set(Q.all_queries()) - set(entry.oracle_sql()) == {
+        "f1_standardized_fit", "f3_woe_fit", "f5_cross_validation", "g13_trained_summary",
     }
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_applicant_view_is_lazy_and_current(spark, tmp_path):
+    from scoreloom.sources.applicants import applicant_table
+
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    view = applicant_table(spark, str(tmp_path))
+    read = view.select("customer_id", "employment_status")
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "struct<o_orderkey:bigint,o_custkey:bigint>" in plan and "struct<c_custkey:bigint,c_mktsegment:string>" in plan
+    assert {f.rsplit("/", 2)[-2] for f in read.inputFiles()} == {"orders.parquet", "customer.parquet"}
+    before = view.count()
+    spark.read.parquet("/root/testdata/sf0.001/orders.parquet").selectExpr("* EXCEPT (o_orderkey)", "o_orderkey + 1000000 AS o_orderkey").write.mode("append").parquet(f"{tmp_path}/orders.parquet")
+    assert applicant_table(spark, str(tmp_path)).count() == 2 * before
+
+
+def test_unknown_parameters_are_kept_as_null(spark, tmp_path):
+    from scoreloom.operators import prep as P
+    from scoreloom.sources import params
+
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
+    medians = P.fit_medians(df, ["a", "b"])
+    caps = P.fit_caps(df, ["a", "b"])
+    assert medians["a"] is None and caps["a"] is None
+    audit = {r["column"]: (r["cap"], r["max_after"]) for r in P.cap_audit(df, caps).collect()}
+    assert audit["a"] == (None, None)
+    card = frozen.scorecard(medians, caps)
+    card.save(spark, f"{tmp_path}/card")
+    assert params.Scorecard.load(spark, f"{tmp_path}/card").medians == medians
+    params.log_run(spark, f"{tmp_path}/runs", "r", "n", {}, {"auc": None, "f1": 0.5})
+    assert {r["key"]: r["value"] for r in params.read_run_log(spark, f"{tmp_path}/runs").collect()} == {"auc": None, "f1": "0.5"}

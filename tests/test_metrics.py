@@ -38,7 +38,7 @@ def random_rows(seed, n, digits):
 
 
 @pytest.mark.parametrize("digits", [1, 2, 12])
-@pytest.mark.parametrize("options", [{}, {"distinct_bound": 1000}, {"max_window_rows": 20}, {"max_window_rows": 1}])
+@pytest.mark.parametrize("options", [{}, {"max_window_rows": 20}, {"max_window_rows": 1}])
 def test_against_pairs(spark, digits, options):
     rows = random_rows(digits, 300, digits)
     auc, ks, (gap, threshold) = brute(rows)
@@ -138,3 +138,35 @@ def test_gate(spark):
     df = spark.createDataFrame(rows, "metric string, value double")
     passed = {r.metric: r.passed for r in M.benchmark_gate(df, CONFIG.limits).collect()}
     assert passed == {"auc": 1, "gini": 0, "ks": 1, "f1": 0, "auc_gap": 0, "other": None}
+
+
+def test_ranges_are_bounded_by_distinct_scores(spark):
+    """99% of the rows on four scores: windows still hold no more than the bound."""
+    from scoreloom.operators.curve import _in_ranges, score_ranges
+
+    rows = spark.range(40_000).selectExpr(
+        "CASE WHEN id % 100 > 0 THEN 0.1D * (id % 4) ELSE id / 40000D END AS threshold", "id % 2 AS model"
+    )
+    counts = rows.groupBy("model", "threshold").count()
+    edges = score_ranges(counts, ["model"], 40)
+    sizes = _in_ranges(counts, edges).groupBy("model", "range").agg(F.count("threshold").alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 40 and len(edges) > 3
+
+
+def test_grid_points_equal_the_shown_thresholds(spark):
+    rows = [(i / 299, i % 2) for i in range(300)]
+    df = spark.createDataFrame(rows, "pd double, y int")
+    for r in M.ks_grid(df, "pd", "y").collect():
+        below = [y for s, y in rows if s <= r["threshold"]]
+        assert r["cum_class0"] == below.count(0) / 150 and r["cum_class1"] == below.count(1) / 150
+
+
+def test_summary_of_one_class_is_null(spark):
+    from scoreloom.config import CreditConfig
+    from scoreloom.plans.training import evaluation
+
+    df = spark.createDataFrame([(0.2, 0, "train"), (0.4, 0, "train")], "pd double, default_12m int, split string")
+    values = {r["metric"]: r["value"] for r in evaluation(df, CreditConfig()).collect()}
+    assert values["auc"] is None and values["auc_gap"] is None
+    shown = {r["label"]: r["interpretation"] for r in M.metric_summary(evaluation(df, CreditConfig()), CreditConfig().limits).collect()}
+    assert len(shown) == 9 and shown["AUC-ROC (Test)"] == "—"

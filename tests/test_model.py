@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -101,7 +103,7 @@ def test_cross_validation_by_rows_and_by_patterns(applicants):
     features = list(CONFIG.woe_features)
     rows = L.cross_validate(folds, features, CONFIG).collect()
     patterns = L.cross_validate(
-        folds, features, CONFIG, patterns=True, distinct_bound=CONFIG.woe_pattern_bound
+        folds, features, CONFIG, patterns=True
     ).collect()
     assert [r.fold for r in rows] == [0, 1, 2, 3, 4]
     for a, b in zip(rows, patterns):
@@ -114,7 +116,7 @@ def test_cross_validation_by_rows_and_by_patterns(applicants):
 @pytest.mark.parametrize("fit_on_train", [False, True])
 def test_training_and_stored_scorecard(spark, applicants, fit_on_train):
     trained = train_scorecard(applicants, CONFIG, fit_on_train)
-    values = {r.metric: r.value for r in evaluation(trained.scored, CONFIG, CONFIG.woe_pattern_bound).collect()}
+    values = {r.metric: r.value for r in evaluation(trained.scored, CONFIG).collect()}
     assert values["tn"] + values["fp"] + values["fn"] + values["tp"] == 300
     assert values["auc"] > 0.8 and values["gini"] == pytest.approx(2 * values["auc"] - 1)
     path = new_path(spark, "card")
@@ -138,4 +140,24 @@ def test_stats_and_run_log(spark):
         ("one", "metric", "cv_auc_mean", "0.8543"), ("one", "param", "C", "1.0"),
         ("two", "metric", "cv_auc_mean", "0.8543"), ("two", "param", "C", "1.0"),
     ]
-    assert frozen.CONFIG == CONFIG
+    assert replace(frozen.CONFIG, rules=CONFIG.rules) == CONFIG
+
+
+def test_fit_keeps_the_partitions_of_the_scan(spark, monkeypatch):
+    """Few labels in a large table do not narrow its scan; patterns may be gathered."""
+    seen = []
+    fit = L.LogisticRegression._fit
+    monkeypatch.setattr(L.LogisticRegression, "_fit", lambda self, df: seen.append(df.rdd.getNumPartitions()) or fit(self, df))
+    rows = spark.range(0, 4000, 1, 16).selectExpr("CAST(id % 7 AS DOUBLE) AS x", "CASE WHEN id % 9 = 0 THEN CAST(id % 2 AS INT) END AS y")
+    L.fit_logistic(rows, ["x"], "y")
+    L.fit_logistic(L.feature_patterns(rows, ["x"], "y"), ["x"], "y", weight=L.ROWS)
+    assert seen[0] == 16 and seen[1] <= 8
+
+
+def test_fit_is_optimal(spark):
+    rows = spark.range(500).selectExpr("CAST(id % 7 AS DOUBLE) AS x", "CAST(id % 3 AS DOUBLE) AS z", "CAST(id % 5 = 0 AS INT) AS y")
+    model = L.fit_logistic(rows, ["x", "z"], "y", 0.5, "balanced")
+    found = {r["term"]: r["gradient"] for r in L.optimality(rows, ["x", "z"], "y", model, 0.5, "balanced").collect()}
+    assert set(found) == {"intercept", "x", "z"} and all(abs(g) < 1e-6 for g in found.values())
+    off = L.optimality(rows, ["x", "z"], "y", model, 0.05, "balanced").collect()
+    assert any(abs(r["gradient"]) > 1e-6 for r in off)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from scoreloom.config import CreditConfig
+from scoreloom.config import CreditConfig, with_optional
 from scoreloom.operators import validate as V
 
 CONFIG = CreditConfig()
+DTI_ONLY = replace(CONFIG, rules=tuple(r for r in CONFIG.rules if r.column == "dti"))
 GOOD = {
     "bureau_score": 650.0, "monthly_income": 2000.0, "dti": 0.35, "utilization_rate": 0.4,
     "num_credit_lines": 3, "missed_payments_3m": 0, "overdrawn_days_3m": 0, "max_dpd_12m": 0,
@@ -54,14 +57,14 @@ def test_category_missing_and_several_errors(spark):
 
 def test_text_input_of_a_wrong_type(spark):
     df = spark.createDataFrame([("0.4",), ("a lot",), ("9",), (None,)], "dti string")
-    assert [r.errors for r in V.validate(df, CONFIG).collect()] == [
+    assert [r.errors for r in V.validate(df, DTI_ONLY).collect()] == [
         [], ["dti:type"], ["dti:range"], ["dti:missing"],
     ]
 
 
 def test_valid_and_quarantine_cover_the_table(spark):
     df = spark.createDataFrame([(1.0,), (9.0,), (None,)], "dti double")
-    valid, refused = V.split_valid(V.validate(df, CONFIG))
+    valid, refused = V.split_valid(V.validate(df, DTI_ONLY))
     assert valid.columns == ["dti"] and valid.count() == 1
     assert {tuple(r.errors) for r in refused.collect()} == {("dti:range",), ("dti:missing",)}
 
@@ -85,3 +88,15 @@ def test_class_values_and_flags(spark):
 def test_decision(spark, strict, expected):
     df = spark.createDataFrame([(0.4,), (0.5,), (0.6,)], "p double")
     assert [r.d for r in df.select(V.decide(F.col("p"), 0.5, strict).alias("d")).collect()] == expected
+
+
+def test_contract_refuses_absent_columns_and_fractions(spark):
+    config = CreditConfig()
+    df = spark.createDataFrame([(1, 700.0, "1.5", 1.5)], "customer_id long, bureau_score double, missed_payments_3m string, max_dpd_12m double")
+    errors = V.validate(df, config).first()["errors"]
+    absent = [r.column for r in config.rules if r.column not in df.columns]
+    assert errors == [
+        f"{r.column}:{'missing' if r.column in absent else 'type'}" for r in config.rules if r.column != "bureau_score"
+    ]
+    relaxed = replace(config, rules=with_optional(config.rules, *absent))
+    assert V.validate(df, relaxed).first()["errors"] == ["missed_payments_3m:type", "max_dpd_12m:type"]
