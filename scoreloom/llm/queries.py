@@ -12,6 +12,7 @@ from scoreloom.llm.decontaminate import contamination
 from scoreloom.llm.embedding_dedup import embedding_links
 from scoreloom.llm.jaccard_join import jaccard_components
 from scoreloom.llm.mixing import mix_sources
+from scoreloom.llm.oracles import contamination_sql, embeddings_sql, jaccard_sql, urls_sql
 from scoreloom.llm.repeats import repeated_passages
 from scoreloom.llm.secret_scan import KINDS, listed, markov_samples, secret_spans, train_markov
 from scoreloom.llm.token_counts import token_counts
@@ -61,7 +62,7 @@ def op4_revisit_resolution(spark: SparkSession, folder: str) -> DataFrame:
 
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """Verdict on every page's url by rules, and by trust over host links."""
-    return judge_urls(_table(spark, folder, "pages"), URL_RULES)
+    return judge_urls(_table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -123,4 +124,10 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    """SQL of the queries that SQL can express; the others are tested against plain Python."""
+    return {
+        "op3_jaccard_join": jaccard_sql(),
+        "op5_url_filter": urls_sql(URL_RULES),
+        "op8_embedding_dedup": embeddings_sql(),
+        "op10_decontamination": contamination_sql(),
+    }
