@@ -187,7 +187,7 @@ def train_toxicity(
     labels: DataFrame,
     toxic_texts: int = TOXIC_TEXTS,
     other_texts: int = OTHER_TEXTS,
-    least_weight: float = 1.5,
+    least_weight: float = 3.0,
     least_evidence: float = 20.0,
     id_col: str = "doc_id",
     text_col: str = "text",
