@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.llm.scratch import bitmap, has_bit, scratch_table
-from scoreloom.llm.words import AS_IS, NOT_SPACE, shingle_hashes, text_slices, word_hashes, word_spans
+from scoreloom.llm.words import AS_IS, NOT_SPACE, mix, shingle_hashes, text_slices, word_hashes, word_spans
 
 GRAM = 4
 ANCHOR_BITS = 1 << 26
@@ -44,6 +44,11 @@ def anchor_places(grams: np.ndarray, of: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(highest == grams)
 
 
+def place_key(row_keys: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Hash of a row and a place in it."""
+    return mix(row_keys ^ mix(at.astype(np.uint64)))
+
+
 class _Passages:
     """Sizes that follow from the length of a passage."""
 
@@ -84,6 +89,7 @@ class _Passages:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                row_keys = batch.column("row_key").to_numpy().view(np.uint64)
                 for first, bounds, of, hashes, anchors, keys in self.slices(batch):
                     stay = has_bit(shared, keys)
                     anchors, keys = anchors[stay], keys[stay]
@@ -99,36 +105,57 @@ class _Passages:
                             pa.array(anchors - bounds[rows]),
                             pa.array(keys.view(np.int64)),
                             pa.array(whole.view(np.int64), mask=~fits),
+                            pa.array(place_key(row_keys[first + rows], anchors - bounds[rows]).view(np.int64)),
                         ],
-                        ["row_key", "at", "key", "whole"],
+                        ["row_key", "at", "key", "whole", "place"],
                     )
 
         return run
 
     def windows(self, edges: np.ndarray):
-        """Every passage that holds an edge suffix."""
+        """Key and number of all passages that hold an edge suffix."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, bounds, of, hashes, anchors, keys in self.slices(batch):
+                    places = self._starts(anchors[has_bit(edges, keys)], of)
+                    found, n = np.unique(shingle_hashes(hashes, self.words)[places], return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+
+        return run
+
+    def places(self, shared: np.ndarray, settled: np.ndarray, repeated: np.ndarray):
+        """The places of repeated passages that hold a shared suffix with no whole match."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
+                row_keys = batch.column("row_key").to_numpy().view(np.uint64)
                 for first, bounds, of, hashes, anchors, keys in self.slices(batch):
-                    n = len(hashes) - self.words + 1
-                    if n <= 0:
-                        continue
-                    starts = self._reach(anchors[has_bit(edges, keys)], n)
-                    starts &= of[:n] == of[self.words - 1 :]
-                    places = np.flatnonzero(starts)
-                    rows = of[places]
+                    rows = of[anchors]
+                    open_ = has_bit(shared, keys) & has_bit(settled, place_key(row_keys[first + rows], anchors - bounds[rows]))
+                    starts = self._starts(anchors[open_], of)
+                    found = shingle_hashes(hashes, self.words)[starts]
+                    stay = has_bit(repeated, found)
+                    starts, found = starts[stay], found[stay]
+                    rows = of[starts]
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("row_key").take(pa.array(first + rows)),
-                            pa.array(places - bounds[rows]),
-                            pa.array(shingle_hashes(hashes, self.words)[places].view(np.int64)),
+                            pa.array(starts - bounds[rows]),
+                            pa.array(found.view(np.int64)),
                         ],
                         ["row_key", "start", "key"],
                     )
 
         return run
 
+    def _starts(self, anchors: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """Starts of the passages within one text that hold the whole suffix of an anchor."""
+        n = len(of) - self.words + 1
+        if n <= 0 or not len(anchors):
+            return np.zeros(0, np.int64)
+        return np.flatnonzero(self._reach(anchors, n) & (of[:n] == of[self.words - 1 :]))
+
     def _reach(self, anchors: np.ndarray, n: int) -> np.ndarray:
         """Starts of passages that hold the whole suffix of one of the anchors."""
         steps = np.zeros(n + 1, np.int64)
@@ -147,6 +174,8 @@ def repeated_spans(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
     """
     sizes = _Passages(min_words)
     rows = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).cast("string").alias("text"))
+    if not rows.groupBy("row_key").count().where("count > 1").isEmpty():
+        rows = scratch_table(rows.dropDuplicates(["row_key"]), "repeats-rows")
 
     # Sparse suffixes that are equal in their first words: neighbours in suffix order.
     shared = rows.select("text").mapInArrow(sizes.suffixes(), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
@@ -154,50 +183,52 @@ def repeated_spans(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id",
 
     # Both ways extended, most matches are settled at once.
     found = scratch_table(
-        rows.mapInArrow(sizes.extended(shared), "row_key long, at long, key long, whole long"), "repeats-suffixes"
-    ).distinct()
+        rows.mapInArrow(sizes.extended(shared), "row_key long, at long, key long, whole long, place long"), "repeats-suffixes"
+    )
     wholes = found.where("whole is not null").groupBy("whole").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "at")).alias("lead")
     )
-    wholes = scratch_table(wholes.where("n > 1"), "repeats-whole")
-    settled = scratch_table(
-        found.join(wholes.select("whole", "lead"), "whole", "left").select(
-            "row_key", "at", "key", F.col("lead").isNotNull().alias("whole"),
-            (F.col("lead") == F.struct("row_key", "at")).alias("first"),
-        ),
-        "repeats-settled",
-    )
-    long_spans = settled.where("whole").select(
+    wholes = scratch_table(wholes.where("n > 1").select("whole", "lead"), "repeats-whole")
+    settled = scratch_table(found.join(wholes, "whole", "left"), "repeats-settled")
+    long_spans = settled.where("lead is not null").select(
         "row_key",
         (F.col("at") - sizes.window + 1).alias("start"),
         (F.col("at") + sizes.words).alias("end"),
-        "first",
+        (F.col("lead") == F.struct("row_key", "at")).alias("first"),
     )
 
     # Around the others, where passages end, each place is compared by itself.
-    edges = bitmap(settled.where("not whole").select("key").distinct(), F.col("key"), ANCHOR_BITS)
+    rest = settled.where("lead is null")
+    edges = bitmap(rest.select("key"), F.col("key"), ANCHOR_BITS)
+    twins = rows.select("text").mapInArrow(sizes.windows(edges), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    twins = scratch_table(twins.where("n > 1"), "repeats-twins")
     places = scratch_table(
-        rows.mapInArrow(sizes.windows(edges), "row_key long, start long, key long"), "repeats-windows"
-    ).distinct()
-    twins = places.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "start")).alias("lead")
-    ).where("n > 1")
-    short_spans = places.join(twins, "key").select(
+        rows.mapInArrow(
+            sizes.places(shared, bitmap(rest, F.col("place"), PLACE_BITS), bitmap(twins, F.col("key"), ANCHOR_BITS)),
+            "row_key long, start long, key long",
+        ),
+        "repeats-places",
+    )
+    leads = places.groupBy("key").agg(F.count(F.lit(1)).alias("here"), F.min(F.struct("row_key", "start")).alias("lead"))
+    # Where a longer match holds the passage too, that one is its first place.
+    leads = leads.join(twins, "key").select("key", F.when(F.col("here") == F.col("n"), F.col("lead")).alias("lead"))
+    short_spans = places.join(leads, "key").select(
         "row_key",
         "start",
         (F.col("start") + sizes.words).alias("end"),
-        (F.col("lead") == F.struct("row_key", "start")).alias("first"),
+        F.coalesce(F.col("lead") == F.struct("row_key", "start"), F.lit(False)).alias("first"),
     )
     return long_spans.union(short_spans)
 
 
 def _covered(spans: DataFrame, name: str) -> DataFrame:
-    """Words of each row inside any span, and the merged spans as ``[start, end)`` pairs."""
+    """Words of each row inside any span, and the merged spans as ``[start, end)`` pairs.
+
+    There is one span for each start.
+    """
     order = W.partitionBy("row_key").orderBy("start", "end")
     before = order.rowsBetween(W.unboundedPreceding, -1)
-    marked = spans.groupBy("row_key", "start").agg(F.max("end").alias("end")).withColumn(
-        "reach", F.coalesce(F.max("end").over(before), F.lit(-1))
-    )
+    marked = spans.withColumn("reach", F.coalesce(F.max("end").over(before), F.lit(-1)))
     marked = marked.withColumn("part", F.sum((F.col("start") > F.col("reach")).cast("int")).over(order))
     merged = marked.groupBy("row_key", "part").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     return merged.groupBy("row_key").agg(
@@ -211,14 +242,18 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, id_col: str = "doc_i
 
     ``(<id>, n_repeated, repeated_spans, n_later, later_spans)``: words inside such
     passages and their merged spans ``[start, end)`` in words; ``later`` leaves out
-    the first place of each passage, so dropping later spans keeps one of each.
+    the first place of each match, so its words stay somewhere if later spans go.
 
     Null, empty and shorter texts hold none. A passage may occur twice in one
     text. Rows equal in id and text count once; a null id is an id like others.
     """
-    spans = scratch_table(repeated_spans(docs, min_words, id_col, text_col), "repeats-spans")
-    repeated = _covered(spans, "repeated")
-    later = _covered(spans.where("not first"), "later")
+    # Dealt by row once; both coverages read the same exchange, as both use both ends.
+    spans = repeated_spans(docs, min_words, id_col, text_col).repartition("row_key").groupBy("row_key", "start").agg(
+        F.max("end").alias("end"), F.max(F.when(~F.col("first"), F.col("end"))).alias("later_end")
+    )
+    repeated = _covered(spans.select("row_key", "start", F.greatest("end", "later_end").alias("end")), "repeated")
+    later = spans.where("later_end is not null and later_end <= end")
+    later = _covered(later.select("row_key", "start", F.col("later_end").alias("end")), "later")
     ids = docs.select(F.col(id_col), F.xxhash64(id_col, text_col).alias("row_key"))
     empty = F.array().cast("array<struct<start:bigint,end:bigint>>")
     return ids.join(repeated, "row_key").join(later, "row_key", "left").select(
