@@ -183,6 +183,17 @@ COMPARED_METRICS = (
     ("TN", "tn"),
 )
 
+NUMERIC_COLUMNS = (
+    "bureau_score",
+    "dti",
+    "utilization_rate",
+    "max_dpd_12m",
+    "missed_payments_3m",
+    "overdrawn_days_3m",
+    "number_of_credit_inquiries_6m",
+    "monthly_income",
+)
+
 EFFECTS = {"raises": "Risque", "lowers": "Protection"}
 
 # --- End of fixed values -----------------------------------------------------
@@ -197,16 +208,7 @@ def with_optional(rules: tuple[DomainRule, ...], *columns: str) -> tuple[DomainR
 class CreditConfig:
     id_column: str = "customer_id"
     target: str = "default_12m"
-    numeric_columns: tuple[str, ...] = (
-        "bureau_score",
-        "dti",
-        "utilization_rate",
-        "max_dpd_12m",
-        "missed_payments_3m",
-        "overdrawn_days_3m",
-        "number_of_credit_inquiries_6m",
-        "monthly_income",
-    )
+    numeric_columns: tuple[str, ...] = NUMERIC_COLUMNS
     binary_columns: tuple[str, ...] = ("salary_domiciliation",)
     category_column: str = "employment_status"
     categories: tuple[str, ...] = EMPLOYMENT_CATEGORIES
