@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,9 @@ from scoreloom.llm.words import LOWER, NOT_SPACE, mix, shingle_hashes, texts_of_
 HEAVY = 32
 BUCKETS = 128
 SET_BYTES = 6
+FEW = 64
+TILE = 512
+COLUMNS = 1 << 14
 HEAVY_BITS = 1 << 25
 REPEATED_BITS = 1 << 26
 WANTED_BITS = 1 << 23
@@ -195,6 +199,72 @@ def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _tile_links(percent: int):
+    """Links between two tiles of a token's rows: edges that join what is joined, one per row.
+
+    Sizes and places are looked at first; the overlaps of the rows that are left
+    are counted exactly, as a product of their token matrices.
+    """
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        none = pd.DataFrame({"a": [], "b": []}).astype("int64")
+        if not len(left) or not len(right):
+            return none
+        x, y = ({c: side[c].to_numpy(np.int64) for c in ("class", "component", "n", "at")} for side in (left, right))
+        n_a, n_b = x["n"][:, None], y["n"][None, :]
+        fits = (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b)) & (x["component"][:, None] != y["component"][None, :])
+        reach = np.minimum(n_a - x["at"][:, None], n_b - y["at"][None, :])
+        fits &= (100 + percent) * reach >= percent * (n_a + n_b)
+        rows, columns = np.flatnonzero(fits.any(axis=1)), np.flatnonzero(fits.any(axis=0))
+        if not len(rows):
+            return none
+        shared = _shared([unpacked(left["set"].iat[i]) for i in rows], [unpacked(right["set"].iat[i]) for i in columns])
+        linked = fits[np.ix_(rows, columns)] & (100 * shared >= percent * (x["n"][rows][:, None] + y["n"][columns][None, :] - shared))
+        i, j = np.nonzero(linked)
+        return _spanned(x["class"][rows[i]], y["class"][columns[j]])
+
+    return run
+
+
+def _shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many tokens each left set shares with each right one."""
+    sizes = [np.array([len(s) for s in side]) for side in (left, right)]
+    tokens = [np.concatenate(side) for side in (left, right)]
+    of = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    known = np.intersect1d(np.unique(tokens[0]), np.unique(tokens[1]), assume_unique=True)
+    out = np.zeros((len(left), len(right)), np.int64)
+    if not len(known):
+        return out
+    at = [np.searchsorted(known, t) for t in tokens]
+    kept = [known[np.minimum(a, len(known) - 1)] == t for a, t in zip(at, tokens)]
+    for first in range(0, len(known), COLUMNS):
+        parts = []
+        for side in (0, 1):
+            here = kept[side] & (at[side] >= first) & (at[side] < first + COLUMNS)
+            matrix = np.zeros((len(sizes[side]), min(COLUMNS, len(known) - first)), np.float32)
+            matrix[of[side][here], at[side][here] - first] = 1
+            parts.append(matrix)
+        out += np.rint(parts[0] @ parts[1].T).astype(np.int64)
+    return out
+
+
+def _spanned(a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+    """Edges from each node to the smallest one it reaches over the given links."""
+    nodes, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = label.copy()
+        np.minimum.at(least, x, label[y])
+        np.minimum.at(least, y, label[x])
+        least = least[least]
+        if (least == label).all():
+            break
+        label = least
+    other = nodes[label] != nodes
+    return pd.DataFrame({"a": nodes[label][other], "b": nodes[other]})
+
+
 class _Join:
     """One run over a table of ``(row_id, id_hash, text)``."""
 
@@ -269,18 +339,53 @@ class _Join:
         found = both.mapInArrow(_bounds, "a long, b long, n_a long, n_b long, shared long")
         return scratch_table(self.similar(found), name)
 
-    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-        """The pairs ``(a, b)`` of classes whose whole sets are similar enough."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    def sets_of(self, ids: DataFrame, classes: DataFrame) -> DataFrame:
+        """``(class, set, n)`` of the classes in ``ids``, and perhaps of a few more."""
         needed = scratch_table(classes.join(ids, "class"), "jaccard-needed")
         wanted = bitmap(needed, F.xxhash64("first_id"), WANTED_BITS)
         sets = self.rows.select("id_hash", "text").mapInArrow(_wanted_sets(self.k, wanted), "class long, set binary")
         if not needed.where("rows > 1").isEmpty():
             sets = sets.groupBy("class").agg(F.first("set").alias("set"))
-        sets = scratch_table(sets.withColumn("n", (F.length("set") / SET_BYTES).cast("long")), "jaccard-whole")
+        return scratch_table(sets.withColumn("n", (F.length("set") / SET_BYTES).cast("long")), "jaccard-whole")
+
+    def verified(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+        """The pairs ``(a, b)`` of classes whose whole sets are similar enough."""
+        sets = self.sets_of(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), classes)
         found = self.beside(pairs, sets, "n", "set").mapInArrow(_overlaps, "a long, b long, n_a long, n_b long, shared long")
         return self.similar(found)
 
+    def few(self, spread: DataFrame, members: DataFrame) -> DataFrame:
+        """Pairs of classes of different components by tokens that few of them hold: groups meet, then members."""
+        sizes = members.select("group", "n").distinct()
+        spread = spread.join(sizes, "group")
+        x, y = (spread.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("group", "n", "at", "component")]) for side in ("a", "b"))
+        near = (
+            x.join(y, "token")
+            .where("component_a < component_b")
+            .where(self.long_enough("n_a", "n_b"))
+            .where(self.first_match_allows("n_a", "at_a", "n_b", "at_b"))
+            .select("group_a", "component_a", "group_b", "component_b")
+            .distinct()
+        )
+        for side in ("a", "b"):
+            of_side = members.select(F.col("group").alias(f"group_{side}"), F.col("component").alias(f"component_{side}"), F.col("class").alias(side))
+            near = near.join(of_side, [f"group_{side}", f"component_{side}"])
+        return near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    def many(self, spread: DataFrame, members: DataFrame, classes: DataFrame) -> DataFrame:
+        """Links of different components by tokens that many hold: tiles of members meet with their whole sets."""
+        rows = scratch_table(spread.join(members, ["group", "component"]), "jaccard-many")
+        sets = self.sets_of(rows.select("class").distinct(), classes)
+        rows = rows.join(sets.select("class", "set"), "class").withColumn("tiles", F.ceil(F.col("all") / TILE)).withColumn(
+            "tile", F.pmod(F.xxhash64("class"), F.col("tiles"))
+        )
+        columns = ("token", "tile_a", "tile_b", "class", "component", "n", "at", "set")
+        left = rows.withColumn("tile_a", F.col("tile")).withColumn("tile_b", F.explode(F.expr("sequence(tile, tiles - 1)")))
+        right = rows.withColumn("tile_b", F.col("tile")).withColumn("tile_a", F.explode(F.expr("sequence(0, tile)")))
+        keys = ["token", "tile_a", "tile_b"]
+        left, right = (side.select(*[F.col(c).alias(c) for c in columns]).groupBy(*keys) for side in (left, right))
+        return left.cogroup(right).applyInPandas(_tile_links(self.percent), "a long, b long")
+
     def components(self) -> DataFrame:
         """``(class, component)`` of every class that links with another."""
         classes = self.classes()
@@ -316,36 +421,22 @@ class _Join:
             ),
             "jaccard-members",
         )
-        parts = members.select("group", "component").distinct()
-        spread = postings.join(parts, "group")
-        mixed = spread.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y")
-        spread = spread.join(mixed.select("token"), "token", "left_semi")
-        x = spread.select("token", *[F.col(c).alias(f"{c}_a") for c in ("group", "n", "at", "component")])
-        y = spread.select("token", *[F.col(c).alias(f"{c}_b") for c in ("group", "n", "at", "component")])
-        near = (
-            x.join(y, "token")
-            .where("component_a < component_b")
-            .where(self.long_enough("n_a", "n_b"))
-            .where(self.first_match_allows("n_a", "at_a", "n_b", "at_b"))
-            .select("group_a", "component_a", "group_b", "component_b")
-            .distinct()
-        )
-        inner = parts.select(F.col("group").alias("group_a"), F.col("component").alias("component_a"))
-        same = inner.join(
-            parts.select(F.col("group").alias("group_a"), F.col("component").alias("component_b")), "group_a"
-        ).where("component_a < component_b").select(
-            "group_a", "component_a", F.col("group_a").alias("group_b"), "component_b"
-        )
-        expanded = (
-            near.union(same).distinct()
-            .join(members.select(F.col("group").alias("group_a"), F.col("component").alias("component_a"), F.col("class").alias("a")), ["group_a", "component_a"])
-            .join(members.select(F.col("group").alias("group_b"), F.col("component").alias("component_b"), F.col("class").alias("b")), ["group_b", "component_b"])
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-            .distinct()
-            .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        parts = members.groupBy("group", "component").agg(F.count(F.lit(1)).alias("rows"))
+        # Members of one group meet as if the group were a token of theirs.
+        mates = parts.select("group", "component", "rows", F.xxhash64("group", F.lit("group")).alias("token"), F.lit(0).cast("long").alias("at"))
+        spread = postings.join(parts, "group").select("group", "component", "rows", "token", "at").union(mates)
+        mixed = spread.groupBy("token").agg(
+            F.min("component").alias("x"), F.max("component").alias("y"), F.sum("rows").alias("all")
+        ).where("x < y").select("token", "all")
+        spread = scratch_table(spread.join(mixed, "token").drop("rows"), "jaccard-spread")
+        wide = scratch_table(self.many(spread.where(f"all > {FEW}"), members, classes), "jaccard-wide")
+        pairs = self.few(spread.where(f"all <= {FEW}"), members)
+        rest = pairs.distinct().join(
+            stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"
         )
-        more = self.verified(self.possible(expanded, "jaccard-pairs"), classes)
-        return connected_components(links.union(more)).withColumnRenamed("node", "class")
+        rest = scratch_table(rest, "jaccard-pairs")
+        more = self.verified(self.possible(rest, "jaccard-possible"), classes)
+        return connected_components(links.union(more).union(wide)).withColumnRenamed("node", "class")
 
 
 def jaccard_components(
@@ -372,7 +463,8 @@ def jaccard_components(
     prefix order puts tokens of more than ``heavy`` classes last; which ones is
     kept in a bitmap of fixed size, whose errors change the order alike for all
     sets and so cost time only. Bucket counts bound the overlap of a pair before
-    whole sets are compared. Pairs are compared until they are known to be
+    whole sets are compared; the rows of a token with more than ``FEW`` classes
+    are compared in tiles, so they never meet pair by pair in a join. Pairs are compared until they are known to be
     connected, not beyond.
     """
     rows = docs.select(

@@ -99,7 +99,7 @@ def test_secret_spans(spark):
 
 @pytest.mark.parametrize("few, seed", [(64, 1), (5, 2)])
 def test_jaccard_components(spark, monkeypatch, few, seed):
-    for name, value in (("FEW", few), ("TILE", 2 * few), ("TILE_ROWS", 3)):
+    for name, value in (("FEW", few), ("TILE", 2 * few), ("COLUMNS", 7)):
         monkeypatch.setattr(J, name, value)
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(60)]
