@@ -30,9 +30,11 @@ def spark():
 
 @pytest.fixture(scope="session")
 def applicants(spark):
-    from scoreloom.sources.applicants import applicant_table
+    """A stored applicant table, so that plans over it show the operators alone."""
+    from scoreloom.sources.applicants import applicant_table, write_snapshot
+    from scoreloom.storage import new_path
 
-    return applicant_table(spark, TINY)
+    return write_snapshot(applicant_table(spark, TINY), new_path(spark, "applicants"))
 
 
 @pytest.fixture(scope="session")
