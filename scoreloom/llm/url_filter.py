@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm.scratch import scratch_table
+from scoreloom.storage import new_path
 
 ALLOW, BLOCK = "allow", "block"
 MAX_RULES = 1_000
@@ -59,13 +60,20 @@ def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     )
 
 
-def personal_rank(edges: DataFrame, seeds: DataFrame, damping: float, rounds: int) -> DataFrame:
+def personal_rank(edges: DataFrame, seeds: DataFrame, damping: float, tolerance: float) -> DataFrame:
     """``(host, score)``: personalised PageRank from ``(host, seed)`` along ``(source, target, weight)``.
 
     A host keeps ``1 - damping`` of its seed and gets ``damping`` of what its
     linking hosts pass on, each in proportion to its links. What a host without
     links would pass on is lost.
+
+    Each round passes on what the last one brought. All that is still to come is at
+    most ``damping / (1 - damping)`` of that, over all hosts together; the rounds
+    end when this is ``tolerance`` or less, so no score lacks more. Every round
+    has at most ``damping`` of the last one's sum, which bounds their number.
     """
+    if not 0 <= damping < 1 or tolerance <= 0:
+        raise ValueError("damping must be below 1, tolerance above 0")
     out = edges.groupBy("source").agg(F.sum("weight").alias("all"))
     parts = scratch_table(
         edges.join(out, "source").select("source", "target", (F.col("weight") / F.col("all")).alias("part")), "rank-parts"
@@ -73,15 +81,19 @@ def personal_rank(edges: DataFrame, seeds: DataFrame, damping: float, rounds: in
     kept = seeds.select("host", (F.col("seed") * (1 - damping)).alias("score"))
     if parts.isEmpty():
         return kept
-    scores = seeds.select("host", F.col("seed").alias("score"))
-    for _ in range(rounds):
-        passed = parts.join(scores, parts["source"] == scores["host"]).select(
+    spark, folder, rounds = edges.sparkSession, new_path(edges.sparkSession, "rank-brought"), []
+    brought = kept
+    while True:
+        rounds.append(f"{folder}/{len(rounds)}")
+        brought.write.parquet(rounds[-1])
+        brought = spark.read.schema(kept.schema).parquet(rounds[-1])
+        if (brought.agg(F.sum("score")).first()[0] or 0.0) * damping / (1 - damping) <= tolerance:
+            break
+        passed = parts.join(brought, parts["source"] == brought["host"]).select(
             F.col("target").alias("host"), (F.col("score") * F.col("part") * damping).alias("score")
         )
-        scores = scratch_table(
-            passed.union(kept).groupBy("host").agg(F.sum("score").alias("score")), "rank-scores"
-        )
-    return scores
+        brought = passed.groupBy("host").agg(F.sum("score").alias("score"))
+    return spark.read.schema(kept.schema).parquet(*rounds).groupBy("host").agg(F.sum("score").alias("score"))
 
 
 def judge_urls(
@@ -90,7 +102,7 @@ def judge_urls(
     threshold: float = 0.02,
     majority: float = 0.5,
     damping: float = 0.85,
-    rounds: int = 10,
+    tolerance: float = 1e-6,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -101,8 +113,9 @@ def judge_urls(
     than ``majority`` of their pages allowed by rules are trusted seeds, with as
     many blocked they are blocked seeds, of a weight of that part. Trust flows
     along the links between hosts, distrust against them, from a host to those that
-    link to it. Where no rule fits, a url is blocked if the distrust of its host
-    is at least ``threshold`` and above its trust, else allowed.
+    link to it, until no score lacks more than ``tolerance``. Where no rule fits, a
+    url is blocked if the distrust of its host is at least ``threshold`` and above
+    its trust, else allowed.
 
     Null urls and urls without ``://`` have an empty host and path, fit no rule
     and are allowed; null html has no links. Repeated rows count each.
@@ -122,8 +135,8 @@ def judge_urls(
     shares = scratch_table(shares, "urls-shares")
     seeds = {v: shares.where(F.col(v) > majority).select("host", F.col(v).alias("seed")) for v in (ALLOW, BLOCK)}
     back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), "weight")
-    trust = personal_rank(edges, seeds[ALLOW], damping, rounds).withColumnRenamed("score", "trust")
-    distrust = personal_rank(back, seeds[BLOCK], damping, rounds).withColumnRenamed("score", "distrust")
+    trust = personal_rank(edges, seeds[ALLOW], damping, tolerance).withColumnRenamed("score", "trust")
+    distrust = personal_rank(back, seeds[BLOCK], damping, tolerance).withColumnRenamed("score", "distrust")
     scores = trust.join(distrust, "host", "full")
     scored = judged.join(scores, "host", "left").na.fill(0.0, ["trust", "distrust"])
     spread = (F.col("distrust") >= threshold) & (F.col("distrust") > F.col("trust"))
