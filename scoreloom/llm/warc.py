@@ -71,13 +71,15 @@ def latest_before(points: DataFrame, key: Sequence[str], bucket_seconds: int = B
 
     ``points`` has the key columns, ``at`` (seconds), ``id`` and ``full``. Adds
     ``found``: the id of the latest full one strictly earlier, of equal times the
-    largest id. Windows hold one key and time bucket; a second one carries the last
-    response of each bucket on, so that a key of many captures is no single task.
+    largest id. Windows hold one key and time bucket, of equal times the full ones
+    last, so that what precedes is earlier by any fraction of a second; a second
+    one carries the last response of each bucket on, so that a key of many captures
+    is no single task.
     """
     key = list(key)
     cut = points.withColumn("bucket", F.floor(F.col("at") / bucket_seconds))
     full = F.when(F.col("full"), F.struct("at", "id"))
-    order = W.partitionBy(*key, "bucket").orderBy("at").rangeBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy(*key, "bucket").orderBy("at", "full").rowsBetween(W.unboundedPreceding, -1)
     within = cut.withColumn("inside", F.max(full).over(order))
     last = cut.where("full").groupBy(*key, "bucket").agg(F.max(F.struct("at", "id")).alias("last"))
     buckets = cut.select(*key, "bucket").distinct().join(last, [*key, "bucket"], "left")
