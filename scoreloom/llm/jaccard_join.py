@@ -485,9 +485,16 @@ def jaccard_components(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without near duplicates: of each component the row with the smallest id stays.
 
-    Rows without shingles and rows without id stay. Exact repetitions of one row
-    (same id) all stay or all go.
+    Rows are judged one by one: of rows that share an id, only those go whose own
+    text is in a component with a smaller id, or with the same id and another text
+    of a smaller hash. Rows without shingles and rows without id stay. Exact
+    repetitions of one row (same id and text) all stay or all go.
     """
-    found = jaccard_components(docs, id_col, text_col, words, percent)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    key, text_hash = "__row", F.xxhash64(F.col(text_col).cast("string"))
+    # Null ids last, so that a component is named by a known id if it has one.
+    rows = docs.withColumn(key, F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), text_hash.alias("text")))
+    found = jaccard_components(rows.select(key, text_col), key, text_col, words, percent)
+    gone = found.where(~F.col(f"{key}.unknown") & (F.col(key) != F.col("component_id"))).select(
+        F.col(f"{key}.id").alias("__id"), F.col(f"{key}.text").alias("__text")
+    ).distinct()
+    return docs.join(gone, (F.col(id_col) == F.col("__id")) & (text_hash == F.col("__text")), "left_anti")
