@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 from scoreloom.llm.url_filter import judge_urls, personal_rank
@@ -47,3 +49,19 @@ def test_a_cycle_is_followed_to_the_tolerance(spark):
     assert all(0 <= wanted[h] - got[h] <= 1e-3 for h in wanted)
     with pytest.raises(ValueError):
         personal_rank(table, seeds, 1.0, 1e-3)
+
+
+def test_a_random_graph_with_cycles_and_chains(spark):
+    """200 hosts with random links, a ring and a chain that ends nowhere."""
+    rng = random.Random(9)
+    hosts = [f"h{i}.org" for i in range(200)]
+    edges = {(rng.choice(hosts), rng.choice(hosts)): rng.randrange(1, 5) for _ in range(500)}
+    edges |= {(f"r{i}", f"r{(i + 1) % 7}"): 1 for i in range(7)} | {(f"c{i}", f"c{i + 1}"): 2 for i in range(30)}
+    edges |= {("h0.org", "r0"): 1, ("r3", "c0"): 3}
+    edges = {(a, b): n for (a, b), n in edges.items() if a != b}
+    seeds = {h: rng.random() for h in rng.sample(hosts, 20) + ["r1", "c0"]}
+    wanted = solved(edges, seeds, 0.85)
+    table = spark.createDataFrame([(a, b, float(n)) for (a, b), n in edges.items()], "source string, target string, weight double")
+    got = {r.host: r.score for r in personal_rank(table, spark.createDataFrame(list(seeds.items()), "host string, seed double"), 0.85, 1e-3).collect()}
+    assert all(-1e-12 <= wanted[h] - got.get(h, 0.0) <= 1e-3 for h in wanted)
+    assert got.keys() <= wanted.keys()
