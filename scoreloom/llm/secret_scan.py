@@ -139,15 +139,23 @@ def log_ratio(string: str, model: list[float]) -> str:
 def secret_spans(docs: DataFrame, model: list[float], nats_per_char: float = NATS_PER_CHAR, text_col: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: pattern spans, and these with the random strings.
 
-    A run of 20 or more key characters apart from pattern spans is random if its
-    log-likelihood ratio is at least ``nats_per_char`` for each of its pairs.
+    Pattern spans are cut out of each run of key characters. A run, or a piece that
+    is left of it, of 20 or more characters is random if its log-likelihood ratio
+    is at least ``nats_per_char`` for each of its pairs.
     Spans are ``struct<start, end, rank, kind>`` in code points, by start, then
     kind. Null and empty texts have none. Whole texts are scanned.
     """
     text = "__text"
     found = with_base_spans(docs.withColumn(text, F.coalesce(F.col(text_col).cast("string"), F.lit(""))), text, "base")
     found = found.withColumn("__long", _matches(text, CANDIDATE, 0, 1, len(KINDS), RANDOM))
-    apart = F.expr("filter(__long, c -> not exists(base, b -> b.start < c.end and b.end > c.start))")
+    piece = f"if({{end}} - a.at >= {LONG}, concat(a.out, array(struct(a.at as start, {{end}} as end, c.rank as rank, c.kind as kind))), a.out)"
+    apart = F.expr(
+        f"""flatten(transform(__long, c -> aggregate(
+          filter(base, b -> b.start < c.end and b.end > c.start),
+          struct(c.start as at, cast(array() as array<{_SPAN}>) as out),
+          (a, b) -> struct(greatest(a.at, b.end) as at, {piece.format(end="b.start")} as out),
+          a -> {piece.format(end="c.end")})))"""
+    )
     string = f"substring({text}, cast(c.start + 1 as int), cast(c.end - c.start as int))"
     random = f"filter(__apart, c -> {log_ratio(string, model)} >= {float(nats_per_char)}D * (c.end - c.start - 1))"
     return (
