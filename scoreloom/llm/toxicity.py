@@ -20,8 +20,6 @@ from scoreloom.llm.scratch import scratch_table
 
 TOXIC_TEXTS = 4_000
 OTHER_TEXTS = 8_000
-CANDIDATES = 20_000
-LEXICON = 5_000
 STEMS = range(4, 9)
 _COUNTS = "term string, toxic int, fit boolean, n long"
 
@@ -77,8 +75,9 @@ class ToxicityModel:
         found = ahocorasick.Automaton()
         for phrase in self.exceptions:
             found.add_word(phrase, (phrase, None))
+        excused = set(self.exceptions)
         for term, weight in self.weights.items():
-            if term not in self.exceptions:
+            if term not in excused:
                 found.add_word(term, (term, weight))
         if not len(found):
             return None
@@ -162,7 +161,7 @@ def _by_label(counts: DataFrame) -> DataFrame:
     )
 
 
-def _chosen(rows: list, limit: int) -> dict[str, float]:
+def _chosen(rows: list) -> dict[str, float]:
     """Weights by term: stems that several words share, and words that no stem covers."""
     weight = {r["term"]: r["weight"] for r in rows}
     count = {r["term"]: r["n1"] for r in rows}
@@ -179,7 +178,7 @@ def _chosen(rows: list, limit: int) -> dict[str, float]:
         if any(kept.get(term[:k], -1.0) >= weight[term] - 1.0 for k in range(2, len(term))):
             continue
         kept[term] = weight[term]
-    return dict(sorted(kept.items(), key=lambda e: (-e[1] * count[e[0]], e[0]))[:limit])
+    return dict(sorted(kept.items(), key=lambda e: (-e[1] * count[e[0]], e[0])))
 
 
 def train_toxicity(
@@ -198,7 +197,8 @@ def train_toxicity(
     At most ``toxic_texts`` and ``other_texts`` documents are learned from, the
     first by hash of their id. A term's weight is the log ratio of its rates among
     the distinct words of toxic and of other texts, and it needs a likelihood
-    ratio of ``least_evidence`` against equal rates. The curve is fitted on a third of them
+    ratio of ``least_evidence`` against equal rates; all terms that have both are
+    in the lexicon, and all exception phrases, as the sample bounds them. The curve is fitted on a third of them
     with a lexicon of the others; the final lexicon is of all. Null labels and ids are left out; an id with several labels has the
     largest. Without toxic texts the lexicon is empty and every score near 0.
     """
@@ -227,11 +227,10 @@ def train_toxicity(
         )
         held = terms.select("term", *found).where("n1 > 0").select("*", weight, evidence.alias("evidence"))
         held = held.where(f"weight >= {least_weight} and evidence >= {least_evidence}")
-        rows = held.orderBy((F.col("weight") * F.col("n1")).desc(), "term").limit(CANDIDATES).collect()
-        model = ToxicityModel(_chosen(rows, LEXICON))
+        model = ToxicityModel(_chosen(held.collect()))
         phrases = _by_label(sample.mapInArrow(_phrase_counts(model), _COUNTS)).select("term", *found).select("*", weight)
-        excused = phrases.where("n0 >= 3 and weight < 0").orderBy("weight", "term").limit(LEXICON).collect()
-        return ToxicityModel(model.weights, tuple(r["term"] for r in excused))
+        excused = phrases.where("n0 >= 3 and weight < 0").select("term").collect()
+        return ToxicityModel(model.weights, tuple(sorted(r["term"] for r in excused)))
 
     trial = learned("learn", (False,))
     measured = strengths(sample.where("fit"), trial, "toxic", "text")
