@@ -105,3 +105,37 @@ found AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN counts USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+def spelling_sql(least_length: int = 6, least_count: int = 5, every: int = 199, times: int = 5) -> str:
+    """Near words by joining words that lack one character; CRC-32 bit by bit, as there is no such function."""
+    digit = "(position(substr(x, 2 * i + {0}, 1) IN '0123456789ABCDEF') - 1)"
+    byte = f"({digit.format(1)} * 16 + {digit.format(2)})"
+    crc = (
+        "xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(0, len(x) // 2), "
+        f"lambda i: [{byte}::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+        "lambda c, v: xor(xor(c, v) >> 1, 3988292384::BIGINT * (xor(c, v) & 1))), 4294967295::BIGINT)"
+    )
+    return f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents
+),
+cased AS (SELECT doc_id, translate(run, '{UPPER}', '{LOWER}') AS run, count(*) AS n FROM runs GROUP BY ALL HAVING length(run) >= {least_length}),
+hexed AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM cased),
+hashed AS (SELECT run, n, {crc} AS h FROM hexed),
+spelt AS (SELECT CASE WHEN h % {every} = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= {least_length} GROUP BY word HAVING sum(n) >= {least_count}),
+holes AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT x.word AS word, y.word AS near, y.n AS near_n FROM holes x JOIN holes y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION SELECT x.word, y.word, y.n FROM holes x JOIN words y ON x.rest = y.word
+  UNION SELECT y.word, x.word, x.n FROM holes x JOIN words y ON x.rest = y.word
+),
+best AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, encode(near)) AS near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT w.word, CASE WHEN near_n >= {times} * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= {times} * n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word
+),
+walk AS (SELECT word, word AS stop, 0 AS step FROM forms UNION ALL SELECT k.word, f.form, step + 1 FROM walk k JOIN forms f ON k.stop = f.word WHERE f.form IS NOT NULL),
+roots AS (SELECT word, arg_max(stop, step) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)"""

@@ -8,13 +8,16 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scoreloom.llm.alignment import token_alignment
 from scoreloom.llm.decontaminate import contamination
 from scoreloom.llm.embedding_dedup import embedding_links
 from scoreloom.llm.jaccard_join import jaccard_components
 from scoreloom.llm.mixing import mix_sources
-from scoreloom.llm.oracles import contamination_sql, embeddings_sql, jaccard_sql, urls_sql
+from scoreloom.llm.oracles import contamination_sql, embeddings_sql, jaccard_sql, spelling_sql, urls_sql
+from scoreloom.llm.quality import quality_scores, train_quality
 from scoreloom.llm.repeats import repeated_passages
 from scoreloom.llm.secret_scan import KINDS, listed, markov_samples, secret_spans, train_markov
+from scoreloom.llm.spelling import spelling_forms, vocabulary
 from scoreloom.llm.token_counts import token_counts
 from scoreloom.llm.toxicity import toxicity_scores, train_toxicity
 from scoreloom.llm.url_filter import judge_urls
@@ -65,9 +68,9 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(_table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-def held_out(doc_id: str = "doc_id") -> Column:
+def held_out(doc_id: str = "doc_id", parts: int = 3, part: int = 1) -> Column:
     """Documents whose labels are never learned from."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
@@ -105,6 +108,27 @@ def op10_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents with the near word they are a variant of."""
+    return spelling_forms(vocabulary(_table(spark, folder, "documents")))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Byte-level BPE tokens of every document aligned with sentencepiece tokens."""
+    import public_tokenizers
+
+    file_a = Path(public_tokenizers.path("byte_bpe_50k.json")).read_text(encoding="utf-8")
+    model_b = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return token_alignment(_table(spark, folder, "documents"), file_a, model_b)
+
+
+def op13_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every document, learned from pairs of labels that are not held out."""
+    docs, held = _table(spark, folder, "documents").select("doc_id", "text"), held_out(parts=4, part=2)
+    labels = _table(spark, folder, "labels").where(~held).select("doc_id", "quality")
+    return quality_scores(docs, train_quality(docs, labels)).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -119,6 +143,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_embedding_dedup,
             op9_repeated_passages,
             op10_decontamination,
+            op11_spelling_variants,
+            op12_token_alignment,
+            op13_quality_ranking,
         )
     }
 
@@ -130,4 +157,5 @@ def llm_oracles() -> dict[str, str]:
         "op5_url_filter": urls_sql(URL_RULES),
         "op8_embedding_dedup": embeddings_sql(),
         "op10_decontamination": contamination_sql(),
+        "op11_spelling_variants": spelling_sql(),
     }
