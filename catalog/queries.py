@@ -33,7 +33,7 @@ from scoreloom.sources.applicants import (
     write_snapshot,
 )
 from scoreloom.storage import new_path
-from scoreloom.streaming.scoring import read_applicant_stream, score_stream, start_sink
+from scoreloom.streaming.scoring import read_applicant_stream, read_batches, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -876,13 +876,6 @@ def h8_display_names(spark: SparkSession, folder: str) -> DataFrame:
     return shown.select(ID, "employment_status_name", "salary_domiciliation_name")
 
 
-def _drained(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """All that a stream holds now, written as a table."""
-    path = new_path(spark, name)
-    start_sink(stream, path, new_path(spark, f"{name}-checkpoint"), once=True).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(path)
-
-
 def _arriving(spark: SparkSession, folder: str) -> tuple[DataFrame, params.Scorecard]:
     applicants = applicant_table(spark, folder)
     card = _card(applicants)
@@ -892,21 +885,27 @@ def _arriving(spark: SparkSession, folder: str) -> tuple[DataFrame, params.Score
     return arriving, card
 
 
+def _streamed(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Scored and refused rows that one pass over the arriving files has written."""
+    arriving, card = _arriving(spark, folder)
+    paths = [new_path(spark, f"{name}-stream") for name in ("scored", "refused", "checkpoint")]
+    start_scoring(arriving, card, CONFIG, [ID], *paths, timestamp=False, once=True).awaitTermination()
+    scored, refused = (read_batches(spark, path) for path in paths[:2])
+    return scored, refused
+
+
 @query
 def h9_stream_scoring(spark: SparkSession, folder: str) -> DataFrame:
     """Applicant files arrive in a folder; each row is validated, and scored if valid."""
-    arriving, card = _arriving(spark, folder)
-    scored, _ = score_stream(arriving, card, CONFIG, keep=[ID], timestamp=False)
-    written = _drained(spark, scored, "scored-stream")
-    return rounded(written.select(ID, "pd", "pd_score", "pd_pct", "risk_band.level", "recommendation"), 8)
+    scored, _ = _streamed(spark, folder)
+    return rounded(scored.select(ID, "pd", "pd_score", "pd_pct", "risk_band.level", "recommendation"), 8)
 
 
 @query
 def h9_stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """The rows that the stream refuses, with all reasons; with the scored ones they are every row."""
-    arriving, card = _arriving(spark, folder)
-    _, refused = score_stream(arriving, card, CONFIG, keep=[ID], timestamp=False)
-    return _errors(_drained(spark, refused, "refused-stream"))
+    _, refused = _streamed(spark, folder)
+    return _errors(refused)
 
 
 @query

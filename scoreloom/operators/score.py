@@ -61,8 +61,12 @@ def score(df: DataFrame, card: Scorecard, keep: Sequence[str] = (), top: int = T
 
 
 def drivers(scored: DataFrame, keep: Sequence[str], column: str = "top_drivers") -> DataFrame:
-    """Ranked contributions in long form: ``(keep…, rank, feature, contribution)``."""
-    return scored.select(*keep, F.posexplode(column).alias("at", "driver")).select(
+    """Ranked contributions in long form: ``(keep…, rank, feature, contribution)``.
+
+    The outer explode is on purpose: lists are never empty, and the plain one adds a
+    filter on their size that is pushed below the score, into joins and scans.
+    """
+    return scored.select(*keep, F.posexplode_outer(column).alias("at", "driver")).select(
         *keep,
         (F.col("at") + 1).alias("rank"),
         F.col("driver.feature").alias("feature"),

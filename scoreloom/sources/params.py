@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from hashlib import sha256
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scoreloom.config import Band, BinSpec
+from scoreloom.sources.versions import VersionStore
 
 STATS_SCHEMA = "column string, stat string, value double"
 
@@ -40,13 +43,15 @@ def stats_table(spark: SparkSession, stats: Mapping[str, Mapping[str, float]]) -
     return spark.createDataFrame(rows, STATS_SCHEMA)
 
 
-def write_stats(table: DataFrame, path: str) -> None:
-    table.coalesce(1).write.mode("overwrite").parquet(path)
+def write_stats(table: DataFrame, path: str) -> int:
+    """Commit the parameters as the next version at ``path``."""
+    return VersionStore(table.sparkSession, path).commit({"stats": table.coalesce(1)})
 
 
-def read_stats(spark: SparkSession, path: str) -> dict[str, dict[str, float]]:
+def read_stats(spark: SparkSession, path: str, version: int | None = None) -> dict[str, dict[str, float]]:
+    """Parameters as of a version, by default the latest."""
     stats: dict[str, dict[str, float]] = {}
-    for row in spark.read.schema(STATS_SCHEMA).parquet(path).collect():
+    for row in VersionStore(spark, path).read("stats", version).collect():
         stats.setdefault(row["stat"], {})[row["column"]] = row["value"]
     return stats
 
@@ -83,13 +88,14 @@ class Scorecard:
         )
         return spark.createDataFrame([row], SCORECARD_SCHEMA)
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        """Write the parameters to ``path``, replacing earlier ones."""
-        self.to_frame(spark).coalesce(1).write.mode("overwrite").parquet(path)
+    def save(self, spark: SparkSession, path: str) -> int:
+        """Commit the parameters as the next version at ``path``; earlier ones stay readable."""
+        return VersionStore(spark, path).commit({"scorecard": self.to_frame(spark).coalesce(1)})
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str) -> Scorecard:
-        row = spark.read.schema(SCORECARD_SCHEMA).parquet(path).first()
+    def load(cls, spark: SparkSession, path: str, version: int | None = None) -> Scorecard:
+        """The scorecard as of a version, by default the latest."""
+        row = VersionStore(spark, path).read("scorecard", version).first()
         woe: dict[str, dict[str, float]] = {}
         for w in row["woe"]:
             woe.setdefault(w["variable"], {})[w["bin"]] = w["woe"]
@@ -130,7 +136,14 @@ def log_run(
     params: Mapping[str, object],
     metrics: Mapping[str, float | None],
 ) -> None:
-    """Append one run to the log table; metrics are rounded to 4 decimals, unknown ones null."""
+    """Add one run to the log table; metrics are rounded to 4 decimals, unknown ones null.
+
+    A run has a folder of its own, whose only file appears at once. A run that is
+    logged already is left as it is, so a job may log it again after a failure.
+    """
+    folder = f"{path}/run={sha256(run_id.encode()).hexdigest()}"
+    if not _logged(spark, folder).isEmpty():
+        return
     rows = [(run_id, run_name, "param", k, str(v)) for k, v in params.items()]
     rows += [
         (run_id, run_name, "metric", k, None if v is None else str(round(v, 4))) for k, v in metrics.items()
@@ -138,8 +151,17 @@ def log_run(
     table = spark.createDataFrame(
         rows, "run_id string, run_name string, kind string, key string, value string"
     )
-    table.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(path)
+    table.withColumn("logged_at", F.current_timestamp()).coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def _logged(spark: SparkSession, path: str) -> DataFrame:
+    """What is logged below a folder; nothing if it does not exist."""
+    try:
+        return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], RUN_LOG_SCHEMA)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+    """All runs, one row per parameter and metric."""
+    return _logged(spark, path).select("run_id", "run_name", "kind", "key", "value", "logged_at")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from math import log
+from math import exp, log
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,23 +19,25 @@ from scoreloom.sources.applicants import (
     write_snapshot,
 )
 from scoreloom.storage import new_path
-from scoreloom.streaming.scoring import read_applicant_stream, score_stream, start_sink
+from scoreloom.streaming import scoring as S
+from scoreloom.streaming.scoring import input_contract, read_applicant_stream, read_batches, score_stream, start_scoring, start_sink
 
 CONFIG = CreditConfig()
 CARD = frozen.scorecard({"bureau_score": 575.0, "monthly_income": 1914.0}, {"monthly_income": 4300.0, "dti": 0.93, "utilization_rate": 1.0})
 CLIENT = (
-    "SELECT 1L AS customer_id, 650D AS bureau_score, 2000D AS monthly_income, 0.35D AS dti, 0.4D AS utilization_rate, "
-    "3 AS num_credit_lines, 0 AS missed_payments_3m, 0 AS overdrawn_days_3m, 0 AS max_dpd_12m, "
-    "1 AS salary_domiciliation, 'Permanent' AS employment_status"
+    "SELECT 1L AS customer_id, 601D AS bureau_score, 2500D AS monthly_income, 0.5D AS dti, 0.7D AS utilization_rate, "
+    "50 AS num_credit_lines, 1 AS missed_payments_3m, 5 AS overdrawn_days_3m, 15 AS max_dpd_12m, "
+    "0 AS salary_domiciliation, 'Unemployed' AS employment_status"
 )
 
 
 def test_worked_example_with_an_absent_feature(spark):
     """Without the inquiries column the feature counts as 0; an unused column changes nothing."""
     row = H.score(spark.sql(CLIENT), CARD, keep=["customer_id"]).first()
-    assert log(row.pd / (1 - row.pd)) == pytest.approx(-4.28)
-    assert row.pd == pytest.approx(0.013653659097)
-    assert (row.pd_score, row.pd_pct) == (0.0137, 1.37)
+    logit = 0.8 * (-0.9 + 0.0 - 0.4 + 0.1 + 0.1 + 0.0 + 0.1) + 0.9 - 1.9
+    assert log(row.pd / (1 - row.pd)) == pytest.approx(logit)
+    assert row.pd == pytest.approx(1 / (1 + exp(-logit)))
+    assert (row.pd_score, row.pd_pct) == (0.1419, 14.19)
     assert tuple(row.risk_band) == ("Faible", "#27AE60", "Approuver", 1)
     assert row.recommendation == "Approuver"
     assert len(row.top_drivers) == 5 and len(row.contributions) == len(frozen.COEFFICIENTS)
@@ -117,6 +119,66 @@ def test_stream_equals_batch(spark, applicants):
     assert streamed.count() + spark.read.parquet(out["refused"]).count() == 1500
 
 
+def test_one_query_writes_both_tables_also_when_it_ends_between_them(spark, applicants, monkeypatch):
+    """Ended after the first of the two writes of the second batch, then started again."""
+    folder = new_path(spark, "incoming")
+    applicants.repartition(6).write.json(folder)
+    paths = [new_path(spark, n) for n in ("scored", "refused", "checkpoint")]
+    write, calls = S.write_batch, []
+
+    def write_or_end(rows, path, number):
+        calls.append((path, number))
+        if len(calls) == 4:
+            raise RuntimeError("ended between the writes")
+        write(rows, path, number)
+
+    def run():
+        stream = read_applicant_stream(spark, folder, maxFilesPerTrigger="2")
+        return start_scoring(stream, CARD, CONFIG, ["customer_id"], *paths, once=True)
+
+    monkeypatch.setattr(S, "write_batch", write_or_end)
+    with pytest.raises(Exception, match="ended between"):
+        run().awaitTermination()
+    assert calls == [(paths[0], 0), (paths[1], 0), (paths[0], 1), (paths[1], 1)]
+    before = read_batches(spark, paths[0]).where("batch_id = 1").count()
+    stamps = read_batches(spark, paths[0]).where("batch_id = 1").select("timestamp").distinct().collect()
+    run().awaitTermination()
+    assert calls[4:6] == [(paths[0], 1), (paths[1], 1)]
+    scored, refused = (read_batches(spark, p) for p in paths[:2])
+    assert scored.where("batch_id = 1").count() == before > 0
+    assert scored.where("batch_id = 1").select("timestamp").distinct().collect() == stamps
+    batch = H.score(applicants.where("bureau_score IS NOT NULL AND monthly_income IS NOT NULL"), CARD, ["customer_id"])
+    again = scored.drop("timestamp", "batch_id")
+    assert again.exceptAll(batch).isEmpty() and batch.exceptAll(again).isEmpty()
+    assert scored.count() + refused.count() == 1500
+    assert refused.select("customer_id").distinct().count() == refused.count()
+    run().awaitTermination()  # nothing new has arrived
+    assert read_batches(spark, paths[0]).count() == scored.count()
+
+
+def test_a_batch_is_read_and_validated_once(spark, applicants, monkeypatch):
+    """Both writes come from the held batch: the plan of neither reads the input."""
+    folder, plans = new_path(spark, "incoming"), []
+    applicants.coalesce(1).write.json(folder)
+    paths = [new_path(spark, n) for n in ("scored", "refused", "checkpoint")]
+    monkeypatch.setattr(S, "write_batch", lambda rows, path, number: plans.append(rows._jdf.queryExecution().executedPlan().toString()))
+    start_scoring(read_applicant_stream(spark, folder), CARD, CONFIG, ["customer_id"], *paths, once=True).awaitTermination()
+    assert len(plans) == 2 and all("InMemoryTableScan" in p for p in plans)
+
+
+def test_contract_of_a_scorecard():
+    required = {r.column for r in input_contract(CONFIG, CARD).rules if r.required}
+    assert required == {r.column for r in CONFIG.rules} - {"num_credit_lines"}
+    assert {r.column for r in input_contract(CONFIG, CARD).rules} == {r.column for r in CONFIG.rules}
+
+
+def test_drivers_add_no_filter_on_the_score(applicants):
+    """A filter on the list's size would be pushed below the score and evaluate it twice."""
+    plan = H.drivers(H.score(applicants, CARD, keep=["customer_id"]), ["customer_id"])._jdf.queryExecution().toString()
+    optimized = plan.split("== Optimized Logical Plan ==")[1]
+    assert "size(" not in optimized and "posexplode" in optimized
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "orc", "csv", "json"])
 def test_scan_formats_and_nan(spark, applicants, fmt):
     path = new_path(spark, fmt)
