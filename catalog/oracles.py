@@ -5,6 +5,7 @@ from __future__ import annotations
 from math import inf, isinf
 
 from catalog import frozen
+from catalog.newton import newton_parts
 from catalog.queries import CORRELATED, DOCUMENT_BINS, NUMERIC, STRICT_RULES
 from scoreloom.config import BinSpec
 from scoreloom.sources.applicants import APPLICANT_SCHEMA, applicants_sql
@@ -132,6 +133,10 @@ def given(chain: str, body: str, **more: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 
+def recursive(chain: str, body: str, **more: str) -> str:
+    return "WITH RECURSIVE " + given(chain, body, **more).removeprefix("WITH ")
+
+
 def auc_sql(source: str, by: str = "") -> str:
     """Mann-Whitney form, from average ranks: independent of the curve."""
     part = f"PARTITION BY {by}" if by else ""
@@ -686,4 +691,62 @@ def all_oracles() -> dict[str, str]:
         wide="SELECT m.*, t.auc, n.auc AS auc_train, abs(n.auc - t.auc) AS auc_gap, 2 * t.auc - 1 AS gini, k.ks FROM measures m, test_auc t, "
         "(SELECT auc FROM aucs WHERE split = 'train') n, (SELECT max(abs(tpr - fpr)) AS ks FROM curve) k",
     )
+
+    # Penalized fits, solved by Newton steps.
+    standardized = [*RAW_NUMERIC, "salary_domiciliation", *DUMMIES]
+
+    def coefficients(names: list[str]) -> str:
+        values = union([f"SELECT {text(f)} AS feature, beta[{i}] AS b FROM fitted" for i, f in enumerate(names, start=2)])
+        return (
+            f"SELECT feature, {r(r('b', 4), 3)} AS coefficient, {r(r('exp(b)', 4), 3)} AS odds_ratio, "
+            f"CASE WHEN b > 0 THEN 'Risque' ELSE 'Protection' END AS effect FROM ({values}) v"
+        )
+
+    def probability_of(names: list[str]) -> str:
+        return f"1e0 / (1e0 + exp(-list_dot_product(beta, [1e0, {', '.join(f'CAST({f} AS DOUBLE)' for f in names)}])))"
+
+    CHAINS["woe_split"] = [*CHAINS["split"], *CHAINS["woe"][1:]]
+    o["f1_standardized_fit"] = recursive(
+        "standardized",
+        coefficients(standardized),
+        train="SELECT * FROM standardized WHERE split = 'train'",
+        **newton_parts("train", standardized, TARGET),
+    )
+    features = list(CONFIG.woe_features)
+    woe_rows = f"SELECT {ID}, {woe_columns}, salary_domiciliation, {dummies}, {TARGET}, split FROM {{0}} JOIN split USING ({ID})"
+    o["f3_woe_fit"] = recursive(
+        "woe_split",
+        coefficients(features),
+        train=f"SELECT * FROM ({woe_rows.format('imputed')}) w WHERE split = 'train'",
+        **newton_parts("train", features, TARGET),
+    )
+    balanced = f"CAST(count(*) OVER (PARTITION BY k.fold) AS DOUBLE) / (2e0 * count(*) OVER (PARTITION BY k.fold, {TARGET}))"
+    o["f5_cross_validation"] = recursive(
+        "standardized",
+        f"SELECT fold, {r('auc', 3)} AS auc, {r('f1', 3)} AS f1 FROM aucs JOIN (SELECT fold, {MEASURES} FROM folds_cells) m USING (fold)",
+        train_folds=f"SELECT s.*, CAST(ntile(5) OVER (PARTITION BY s.{TARGET} ORDER BY h, s.{ID}) - 1 AS INT) AS fold FROM standardized s JOIN hashed x ON s.{ID} = x.{ID} WHERE split = 'train'",
+        training=f"SELECT k.fold AS left_out, {balanced} AS weight, t.* FROM (SELECT DISTINCT fold FROM train_folds) k JOIN train_folds t ON t.fold <> k.fold",
+        **newton_parts("training", standardized, TARGET, weight="weight", key="left_out"),
+        held=f"SELECT fold, {TARGET}, p AS pd, CAST(p > 0.5 AS INT) AS decision FROM (SELECT fold, {TARGET}, {probability_of(standardized)} AS p FROM train_folds JOIN fitted ON k = fold) q",
+        aucs=auc_sql("held", "fold"),
+        folds_cells=cells_sql("held", "decision", "fold"),
+    )
+    o["g13_trained_summary"] = recursive(
+        "split",
+        f"SELECT * REPLACE ({r('value', 3)} AS value) FROM ({union(rows)}) s",
+        learned=f"SELECT a.* FROM applicants a JOIN split USING ({ID}) WHERE split = 'train'",
+        learned_medians=CTE["medians"].replace("FROM applicants", "FROM learned"),
+        all_imputed=CTE["imputed"].replace("medians", "learned_medians"),
+        learned_long=CTE["woe_long"].replace("FROM imputed", f"FROM all_imputed JOIN split USING ({ID}) WHERE split = 'train'"),
+        **woe_parts("learned_long"),
+        woe_rows=woe_rows.format("all_imputed"),
+        train="SELECT * FROM woe_rows WHERE split = 'train'",
+        **newton_parts("train", features, TARGET),
+        **gate
+        | {
+            "split_scores": f"SELECT {ID}, {TARGET}, split, {probability_of(features)} AS pd FROM woe_rows, fitted",
+            "wide": "SELECT m.*, t.auc, n.auc AS auc_train, abs(n.auc - t.auc) AS auc_gap, 2 * t.auc - 1 AS gini, k.ks FROM measures m, test_auc t, "
+            "(SELECT auc FROM aucs WHERE split = 'train') n, (SELECT max(abs(tpr - fpr)) AS ks FROM curve) k",
+        },
+    )
     return o

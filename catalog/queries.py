@@ -526,7 +526,7 @@ def _saturated(spark: SparkSession, folder: str, class_weight: str | None):
 def f1_standardized_fit(spark: SparkSession, folder: str) -> DataFrame:
     data, features = standardized_split(applicant_table(spark, folder), CONFIG)
     model = L.fit_logistic(data.where(F.col("split") == "train"), features, TARGET, CONFIG.c)
-    return L.coefficient_table(spark, L.coefficients_of(model, features))
+    return rounded(L.coefficient_table(spark, L.coefficients_of(model, features)), 3)
 
 
 def _at_optimum(gradients: DataFrame) -> DataFrame:
@@ -568,7 +568,7 @@ def f3_woe_fit(spark: SparkSession, folder: str) -> DataFrame:
     patterns = L.feature_patterns(data.where(F.col("split") == "train"), features, TARGET).persist()
     model = L.fit_logistic(patterns, features, TARGET, CONFIG.c, weight=L.ROWS)
     patterns.unpersist()
-    return L.coefficient_table(spark, L.coefficients_of(model, features), by_size=True)
+    return rounded(L.coefficient_table(spark, L.coefficients_of(model, features), by_size=True), 3)
 
 
 @query
@@ -590,7 +590,7 @@ def f4_folds(spark: SparkSession, folder: str) -> DataFrame:
 def f5_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
     data, features = standardized_split(applicant_table(spark, folder), CONFIG)
     folds = P.stratified_folds(data.where(F.col("split") == "train"), CONFIG)
-    return L.cross_validate(folds, features, replace(CONFIG, class_weight="balanced"))
+    return rounded(L.cross_validate(folds, features, replace(CONFIG, class_weight="balanced")), 3)
 
 
 @query
@@ -769,7 +769,7 @@ def g13_metric_summary(spark: SparkSession, folder: str) -> DataFrame:
 def g13_trained_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way: train a scorecard on the categories that occur, score, evaluate and interpret."""
     trained = train_scorecard(applicant_table(spark, folder), CONFIG, fit_on_train=True, fit_categories=True)
-    return rounded(M.metric_summary(evaluation(trained.scored, CONFIG), CONFIG.limits), 4)
+    return rounded(M.metric_summary(evaluation(trained.scored, CONFIG), CONFIG.limits), 3)
 
 
 @query

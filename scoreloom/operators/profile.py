@@ -20,10 +20,10 @@ from scoreloom.functions.columns import (
     ratio,
     stack,
     text_map,
-    when_class,
 )
-from scoreloom.operators.quantiles import SMALL_GROUP_ROWS, exact_quantiles
+from scoreloom.operators.quantiles import SMALL_GROUP_ROWS, exact_quantiles, quantile_table
 from scoreloom.operators.validate import number_missing
+from scoreloom.storage import written
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -155,26 +155,17 @@ def class_histogram(
     data = df.select(*keys, *[number(c).alias(c) for c in columns])
     if by:
         data = data.where(F.col(by).isNotNull())
-    ranges = _ranges(data, columns, by)
-    group = name(by) if by else "0"
-    binned = data.select(
-        F.expr(group).alias("class"),
-        *[
-            _bin_number(c, group, {g: r for (g, v), r in ranges.items() if v == c}, bins).alias(c)
-            for c in columns
-        ],
+    values = data.select(F.expr(name(by) if by else "0").alias("class"), *columns).unpivot(
+        ["class"], list(columns), "variable", "x"
     )
+    ranges = written(_ranges(data, columns, by), "ranges")
     counts = (
-        binned.unpivot(["class"], list(columns), "variable", "bin")
-        .where(F.col("bin").isNotNull())
-        .groupBy("variable", "class", "bin")
+        values.where(F.col("x").isNotNull())
+        .join(ranges, ["class", "variable"])
+        .groupBy("variable", "class", _bin_number(bins).alias("bin"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    class_type = dict(binned.dtypes)["class"]
-    grid = df.sparkSession.createDataFrame(
-        [(v, g, low, high) for (g, v), (low, high) in ranges.items()],
-        f"variable string, class {class_type}, range_low double, range_high double",
-    ).withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
+    grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
     width = (F.col("range_high") - F.col("range_low")) / F.lit(float(bins))
     total = F.sum("n").over(W.partitionBy("variable", "class"))
     result = (
@@ -193,41 +184,29 @@ def class_histogram(
     return result if by else result.drop("class")
 
 
-def _ranges(
-    data: DataFrame, columns: Sequence[str], by: str | None
-) -> dict[tuple[object, str], tuple[float, float]]:
-    keys = [by] if by else []
-    rows = data.groupBy(*keys).agg(
+def _ranges(data: DataFrame, columns: Sequence[str], by: str | None) -> DataFrame:
+    """``(class, variable, range_low, range_high)`` of columns with values."""
+    wide = data.groupBy(*([by] if by else [])).agg(
         *[F.struct(F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]
-    ).collect()
-    ranges = {}
-    for row in rows:
-        for c in columns:
-            low, high = row[c]["low"], row[c]["high"]
-            if low is None:
-                continue
-            if low == high:
-                low, high = low - 0.5, high + 0.5
-            ranges[row[by] if by else 0, c] = (low, high)
-    return ranges
-
-
-def _bin_number(
-    column: str, group: str, ranges: Mapping[object, tuple[float, float]], bins: int
-) -> Column:
-    """1-based bin in the range of the row's group; null for a missing value."""
-    if not ranges:
-        return F.lit(None).cast("int")
-
-    def per_group(i: int) -> str:
-        return "CASE " + group + "".join(f" WHEN {literal(g)} THEN {literal(r[i])}" for g, r in ranges.items()) + " END"
-
-    # A value on an edge opens the upper bin, also when scaling left it a rounding
-    # error below the edge; the maximum belongs to the last bin. ``least`` skips
-    # nulls, hence the guard.
-    position = f"({name(column)} - {per_group(0)}) / ({per_group(1)} - {per_group(0)}) * {bins}"
-    bin_number = f"least(floor({even(position, 9)}) + 1, {bins})"
-    return F.expr(f"CAST(CASE WHEN {name(column)} IS NOT NULL THEN {bin_number} END AS INT)")
+    )
+    entries = ", ".join(f"named_struct('variable', {literal(c)}, 'r', {name(c)})" for c in columns)
+    found = wide.select(F.expr(name(by) if by else "0").alias("class"), F.expr(f"inline(array({entries}))"))
+    return found.where("r.low IS NOT NULL").selectExpr(
+        "class",
+        "variable",
+        "CASE WHEN r.low = r.high THEN r.low - 0.5D ELSE r.low END AS range_low",
+        "CASE WHEN r.low = r.high THEN r.high + 0.5D ELSE r.high END AS range_high",
+    )
+
+
+def _bin_number(bins: int) -> Column:
+    """1-based bin of ``x`` in its range.
+
+    A value on an edge opens the upper bin, also when scaling left it a rounding
+    error below the edge; the maximum belongs to the last bin.
+    """
+    position = f"(x - range_low) / (range_high - range_low) * {bins}"
+    return F.expr(f"CAST(least(floor({even(position, 9)}) + 1, {bins}) AS INT)")
 
 
 def before_after_histograms(
@@ -251,47 +230,35 @@ def box_statistics(
     A whisker ends at the last value within 1.5 interquartile ranges of the box,
     never inside the box.
     """
-    quartiles = exact_quantiles(df, columns, [0.25, 0.5, 0.75], by=by, small_group_rows=small_group_rows)
-
-    def per_class(group: str, c: str, value_of) -> str:
-        return when_class(
-            group, {g: value_of(*q) for (g, v), q in quartiles.items() if v == c and q[0] is not None}
-        )
-
-    aggregates = []
-    for c in columns:
-        low = per_class(by, c, lambda q1, q2, q3: q1 - 1.5 * (q3 - q1))
-        high = per_class(by, c, lambda q1, q2, q3: q3 + 1.5 * (q3 - q1))
-        x = name(c)
-        aggregates.append(
-            F.expr(
-                f"named_struct('low', min(CASE WHEN {x} >= {low} THEN {x} END), "
-                f"'high', max(CASE WHEN {x} <= {high} THEN {x} END), "
-                f"'n_outside', count_if({x} < {low} OR {x} > {high}))"
-            ).alias(c)
+    quartiles = quantile_table(df, columns, [0.25, 0.5, 0.75], [by], small_group_rows)
+    boxes = quartiles.selectExpr(
+        "variable",
+        f"{name(by)} AS class",
+        *[f"quantiles[{i}] AS {q}" for i, q in enumerate(("q1", "median", "q3"))],
+        "quantiles[0] - 1.5D * (quantiles[2] - quantiles[0]) AS low",
+        "quantiles[2] + 1.5D * (quantiles[2] - quantiles[0]) AS high",
+    )
+    boxes = written(boxes, "boxes")
+    data = df.where(F.col(by).isNotNull()).select(F.col(by).alias("class"), *[number(c).alias(c) for c in columns])
+    outside = (
+        data.unpivot(["class"], list(columns), "variable", "x")
+        .join(boxes.select("variable", "class", "low", "high"), ["variable", "class"])
+        .groupBy("variable", "class")
+        .agg(
+            F.expr("min(CASE WHEN x >= low THEN x END)").alias("whisker_low"),
+            F.expr("max(CASE WHEN x <= high THEN x END)").alias("whisker_high"),
+            F.expr("count_if(x < low OR x > high)").alias("n_outside"),
         )
-    data = df.where(F.col(by).isNotNull()).select(by, *[number(c).alias(c) for c in columns])
-    wide = data.groupBy(F.col(by).alias("class")).agg(*aggregates)
-
-    def quartile(c: str, i: int) -> str:
-        return f"CAST({per_class('class', c, lambda *q: q[i])} AS DOUBLE)"
-
-    return stack(
-        wide,
-        ["variable", "class", "q1", "median", "q3", "whisker_low", "whisker_high", "n_outside"],
-        [
-            [
-                literal(c),
-                "class",
-                quartile(c, 0),
-                quartile(c, 1),
-                quartile(c, 2),
-                f"least({name(c)}.low, {quartile(c, 0)})",
-                f"greatest({name(c)}.high, {quartile(c, 2)})",
-                f"{name(c)}.n_outside",
-            ]
-            for c in columns
-        ],
+    )
+    return boxes.join(outside, ["variable", "class"]).select(
+        "variable",
+        "class",
+        "q1",
+        "median",
+        "q3",
+        F.least("whisker_low", "q1").alias("whisker_low"),
+        F.greatest("whisker_high", "q3").alias("whisker_high"),
+        "n_outside",
     )
 
 

@@ -84,9 +84,7 @@ def test_query_equals_sql(spark, database, name):
 
 def test_registration():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(Q.all_queries()) - set(entry.oracle_sql()) == {
-        "f1_standardized_fit", "f3_woe_fit", "f5_cross_validation", "g13_trained_summary",
-    }
+    assert set(Q.all_queries()) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pytest
 
-from scoreloom.operators.quantiles import exact_quantiles
+from scoreloom.operators.quantiles import exact_quantiles, quantile_table
 
 PROBABILITIES = [0.0, 0.01, 0.25, 0.5, 0.75, 0.99, 1.0]
 
@@ -73,3 +73,40 @@ def test_same_result_for_any_partitioning(applicants):
         for n in (1, 17)
     ]
     assert results[0] == results[1]
+
+
+@pytest.mark.parametrize("small", [1_000_000, 6])
+def test_a_table_of_many_groups(spark, small):
+    """Groups of every size, one with a third of the rows; two keys, one of them null in some rows."""
+    rng = np.random.default_rng(3)
+    rows = [(int(g) if g % 17 else None, "abc"[g % 3], float(x), None if x > 0.5 else float(x)) for g, x in zip(rng.integers(0, 400, 4000), rng.normal(size=4000))]
+    rows += [(7, "a", float(x), 1.0) for x in rng.normal(size=2000)] + [(7, "b", None, float("nan"))]
+    df = spark.createDataFrame(rows, "g int, h string, x double, y double").repartition(7)
+    groups = {}
+    for g, h, x, y in rows:
+        if g is not None:
+            for c, v in (("x", x), ("y", y)):
+                groups.setdefault((g, h, c), []).append(v)
+    found = {(r.g, r.h, r.variable): r.quantiles for r in quantile_table(df, ["x", "y"], PROBABILITIES, ["g", "h"], small, 8).collect()}
+    assert set(found) == set(groups)
+    for key, values in groups.items():
+        want = expected(values)
+        assert found[key] == (want if want[0] is None else pytest.approx(want, rel=1e-12)), key
+
+
+def test_groups_never_pass_through_the_driver(spark, monkeypatch):
+    """10^6 groups, of which one has half of the rows: only sizes are read, group by group nothing."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    df = spark.range(2_000_000).selectExpr("CASE WHEN id % 2 = 0 THEN -1 ELSE id END AS g", "CAST(id AS DOUBLE) AS x")
+    read = []
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: read.append(collect(self)) or read[-1])
+    table = quantile_table(df, ["x"], [0.5], ["g"], small_group_rows=1000)
+    assert sum(map(len, read)) < 10
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" not in plan
+    monkeypatch.undo()
+    assert table.count() == 1_000_001
+    assert table.where("g = -1").first().quantiles == [999_999.0]
+    assert table.where("g <> -1 AND quantiles[0] <> g").isEmpty()
