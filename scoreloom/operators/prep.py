@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from scoreloom.config import CreditConfig
 from scoreloom.functions.columns import even, known, literal, name, number, quotient, stack, when_class
 from scoreloom.operators.quantiles import SMALL_GROUP_ROWS, exact_quantiles
-from scoreloom.operators.ranks import hash_cuts, row_hash
+from scoreloom.operators.ranks import cut_table, passed_cuts, stratum_sizes
 
 
 
@@ -147,24 +147,26 @@ def split_sizes(sizes: Mapping[object, int], share: float) -> dict[object, int]:
     return taken
 
 
+def held_out_positions(sizes: DataFrame, share: float) -> DataFrame:
+    """``(stratum, position)``: ``split_sizes`` of a table ``(stratum, n)`` of any number of classes."""
+    exact = F.lit(share) * F.col("n")
+    parts = sizes.select("stratum", F.floor(exact).alias("taken"), (F.floor(exact) - exact).alias("order"))
+    total = sizes.agg(F.sum("n").alias("n"), F.sum(F.floor(exact)).alias("taken")).first()
+    left = ceil(share * (total["n"] or 0)) - (total["taken"] or 0)
+    more = parts.orderBy("order", "stratum").limit(left).select("stratum", F.lit(1).alias("more"))
+    return parts.join(more, "stratum", "left").selectExpr("stratum", "taken + coalesce(more, 0) AS position")
+
+
 def stratified_split(df: DataFrame, config: CreditConfig) -> DataFrame:
     """Add ``split``: the first rows of each class in hash order are the test rows.
 
-    Exact class sizes, the same rows whatever the partitioning. Rows without a
-    target get no split.
+    Exact class sizes, the same rows whatever the partitioning, any number of
+    classes. Rows without a target get no split.
     """
-    cuts = hash_cuts(
-        df,
-        config.id_column,
-        config.target,
-        lambda sizes: {value: [n] for value, n in split_sizes(sizes, config.test_share).items()},
-        config.seed,
-        config.small_bucket_rows,
-    )
-    target = F.col(config.target)
-    last = F.expr(when_class(config.target, {value: ends[0] for value, ends in cuts.items()}))
-    inside = row_hash(config.id_column, config.seed) <= last
-    return df.withColumn("split", F.when(inside, "test").when(target.isNotNull(), "train"))
+    positions = held_out_positions(stratum_sizes(df, config.target), config.test_share)
+    cuts = cut_table(df, config.id_column, config.target, positions, config.seed, config.small_bucket_rows)
+    beyond = passed_cuts(df, config.id_column, config.target, cuts, config.seed, "beyond")
+    return beyond.withColumn("split", F.expr("CASE beyond WHEN 0 THEN 'test' WHEN 1 THEN 'train' END")).drop("beyond")
 
 
 def stratified_folds(df: DataFrame, config: CreditConfig) -> DataFrame:
@@ -173,25 +175,13 @@ def stratified_folds(df: DataFrame, config: CreditConfig) -> DataFrame:
     Class sizes of two folds differ by one row at most.
     """
     k = config.folds
-
-    def fold_ends(sizes: Mapping[object, int]) -> dict[object, list[int]]:
-        ends: dict[object, list[int]] = {}
-        for value, n in sizes.items():
-            base, extra = divmod(n, k)
-            ends[value] = [base * (i + 1) + min(i + 1, extra) for i in range(k - 1)]
-        return ends
-
-    cuts = hash_cuts(df, config.id_column, config.target, fold_ends, config.seed, config.small_bucket_rows)
-    target = F.col(config.target)
-    ends = ", ".join(
-        when_class(config.target, {value: found[i] for value, found in cuts.items()}) for i in range(k - 1)
-    )
-    passed = F.expr(f"size(filter(array({ends}), last -> last < row_hash))")
-    return (
-        df.withColumn("row_hash", row_hash(config.id_column, config.seed))
-        .withColumn("fold", F.when(target.isNotNull(), passed))
-        .drop("row_hash")
+    if k < 2:
+        return df.withColumn("fold", F.when(F.col(config.target).isNotNull(), 0))
+    ends = stratum_sizes(df, config.target).selectExpr(
+        "stratum", f"explode(transform(sequence(1, {k - 1}), i -> (n div {k}) * i + least(i, n % {k}))) AS position"
     )
+    cuts = cut_table(df, config.id_column, config.target, ends, config.seed, config.small_bucket_rows)
+    return passed_cuts(df, config.id_column, config.target, cuts, config.seed, "fold")
 
 
 def split_summary(df: DataFrame, target: str, n_features: int) -> DataFrame:

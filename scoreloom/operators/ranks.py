@@ -1,23 +1,27 @@
-"""Exact positions in hash order, without ranking the table.
+"""Exact positions in hash order, without ranking the table, for any number of strata.
 
 Splits and folds need to know which rows are among the first k of their class in
 the order of ``md5(id:seed)``. The hash that closes the first k is found by
-counting hash prefixes (a fixed number of groups per pass), so membership is a
-comparison with a literal: the rows themselves are never shuffled or sorted.
+counting hash prefixes (a fixed number of groups per class and pass), so membership
+is a comparison with one value per class: the rows themselves are never sorted.
+Sizes, buckets and closing hashes are tables; the driver reads one number per pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from scoreloom.functions.columns import name, when_class
+from scoreloom.storage import written
+
 PREFIX_DIGITS = 3  # 4096 counted groups per class and pass
+HASH_DIGITS = 32
 SMALL_BUCKET_ROWS = 1_000_000
-MAX_CLASSES = 100
+FEW_CLASSES = 100
 
 
 def row_hash(id_column: str, seed: int) -> Column:
@@ -25,115 +29,92 @@ def row_hash(id_column: str, seed: int) -> Column:
     return F.md5(F.concat(F.col(id_column).cast("string"), F.lit(f":{seed}")))
 
 
-@dataclass
-class _Cut:
-    stratum: object
-    position: int  # 1-based rank, inside the class, of the last row that is kept
-    prefix: str = ""
-    below: int = 0
-    rows: int = 0
-    threshold: str = field(default="")
+def stratum_sizes(df: DataFrame, stratum: str) -> DataFrame:
+    """``(stratum, n)`` of every class; rows without a class belong to none."""
+    sizes = df.where(F.col(stratum).isNotNull()).groupBy(F.col(stratum).alias("stratum"))
+    return written(sizes.agg(F.count(F.lit(1)).alias("n")), "stratum-sizes")
 
 
-def hash_cuts(
+def cut_table(
     df: DataFrame,
     id_column: str,
     stratum: str,
-    positions: Callable[[Mapping[object, int]], Mapping[object, Sequence[int]]],
+    positions: DataFrame,
     seed: int,
     small_bucket_rows: int = SMALL_BUCKET_ROWS,
-) -> dict[object, list[str]]:
-    """Per class, the hash of the row at each wanted position.
+) -> DataFrame:
+    """``(stratum, position, last)``: the hash of the row at each wanted 1-based position.
 
-    ``positions`` receives the class sizes and gives the 1-based positions. A
-    position of 0 gives the empty string, which no hash is below. The id must be
-    unique; copies of an id share a hash and stay together.
+    ``positions`` is a table ``(stratum, position)``. A position of 0 has the empty
+    string, which no hash is below. The id must be unique; copies of an id share a
+    hash and stay together.
     """
     hashed = df.where(F.col(stratum).isNotNull()).select(
         F.col(stratum).alias("stratum"), row_hash(id_column, seed).alias("h")
     )
-    first = _count_prefixes(hashed, PREFIX_DIGITS, MAX_CLASSES * 16**PREFIX_DIGITS)
-    if len({value for value, _ in first}) > MAX_CLASSES:
-        raise ValueError(f"{stratum} is no class column: more than {MAX_CLASSES} values")
-    sizes: dict[object, int] = {}
-    for (value, _), rows in first.items():
-        sizes[value] = sizes.get(value, 0) + rows
-    wanted = positions(sizes)
-    cuts = [_Cut(value, p, rows=sizes[value]) for value in sizes for p in wanted[value]]
-    open_cuts = [c for c in cuts if c.position > 0]
-    counts, digits = first, PREFIX_DIGITS
-    while open_cuts:
-        for cut in open_cuts:
-            _descend(cut, counts)
-        large = [c for c in open_cuts if c.rows > small_bucket_rows and digits < 32]
-        if not large:
+    positions = written(positions.select("stratum", F.col("position").cast("long").alias("position")), "positions")
+    cuts = positions.where("position > 0").selectExpr("stratum", "position", "'' AS prefix", "0L AS below")
+    done = 0
+    while True:
+        digits = min(done + PREFIX_DIGITS, HASH_DIGITS)
+        cuts = written(_descended(hashed, cuts, done, digits), "cuts")
+        done, most = digits, cuts.agg(F.max("rows")).first()[0]
+        if most is None or most <= small_bucket_rows or done == HASH_DIGITS:
             break
-        digits = min(digits + PREFIX_DIGITS, 32)
-        # Buckets already small enough are counted too; they stay on their own path.
-        counts = _count_prefixes(_inside(hashed, open_cuts), digits)
-    if open_cuts:
-        _close(_inside(hashed, open_cuts), open_cuts, digits)
-    found = {(c.stratum, c.position): c.threshold for c in cuts}
-    return {value: [found[value, p] for p in wanted[value]] for value in sizes}
+    closed = _descended(hashed, cuts, done, HASH_DIGITS)
+    none = positions.where("position <= 0").select("stratum", "position", F.lit("").alias("last"))
+    return closed.select("stratum", "position", F.col("prefix").alias("last")).unionByName(none)
+
+
+def _descended(hashed: DataFrame, cuts: DataFrame, done: int, digits: int) -> DataFrame:
+    """Each cut ``(stratum, position, prefix, below)`` in the bucket of more digits that holds its position."""
+    rows = hashed.withColumn("prefix", F.substring("h", 1, done))
+    if done:
+        rows = rows.join(cuts.select("stratum", "prefix").distinct(), ["stratum", "prefix"], "left_semi")
+    counted = rows.groupBy("stratum", "prefix", F.substring("h", 1, digits).alias("next")).agg(F.count(F.lit(1)).alias("rows"))
+    # At most 4096 counted rows per bucket, or as many as a small bucket has.
+    through = F.sum("rows").over(W.partitionBy("stratum", "prefix").orderBy("next"))
+    return (
+        cuts.select("stratum", "position", "prefix", "below")
+        .join(counted.withColumn("through", through), ["stratum", "prefix"])
+        .where("below + through >= position AND below + through - rows < position")
+        .selectExpr("stratum", "position", "next AS prefix", "below + through - rows AS below", "rows")
+    )
 
 
-def _count_prefixes(
-    hashed: DataFrame, digits: int, most: int | None = None
-) -> dict[tuple[object, str], int]:
-    """Rows per class and hash prefix: at most 4096 groups per class and open bucket.
+def passed_cuts(df: DataFrame, id_column: str, stratum: str, cuts: DataFrame, seed: int, column: str) -> DataFrame:
+    """Add ``column``: how many cuts of its class a row's hash is beyond; null without a class.
 
-    ``most`` bounds what is read; a table with more groups has too many classes.
+    The cuts of a few classes are written into the expression, so that the rows stay
+    where they are; those of many classes are joined, one row per class.
     """
-    counted = hashed.groupBy("stratum", F.substring("h", 1, digits).alias("prefix")).agg(
-        F.count(F.lit(1)).alias("rows")
-    )
-    rows = counted.limit(most + 1).collect() if most else counted.collect()
-    if most and len(rows) > most:
-        raise ValueError(f"more than {MAX_CLASSES} classes")
-    return {(r["stratum"], r["prefix"]): r["rows"] for r in rows}
-
-
-def _descend(cut: _Cut, counts: Mapping[tuple[object, str], int]) -> None:
-    """Move a cut into the counted bucket that holds its position."""
-    below = cut.below
-    for prefix, rows in sorted(
-        (p, n) for (value, p), n in counts.items() if value == cut.stratum and p.startswith(cut.prefix)
-    ):
-        if below + rows >= cut.position:
-            cut.prefix, cut.below, cut.rows = prefix, below, rows
-            return
-        below += rows
-
-
-def _inside(hashed: DataFrame, cuts: Sequence[_Cut]) -> DataFrame:
-    condition = F.lit(False)
-    for value, prefix in sorted({(c.stratum, c.prefix) for c in cuts}, key=str):
-        condition = condition | ((F.col("stratum") == F.lit(value)) & F.col("h").startswith(prefix))
-    return hashed.where(condition)
-
-
-def _close(candidates: DataFrame, cuts: Sequence[_Cut], digits: int) -> None:
-    """Hash at the wanted position inside each cut's bucket, a bounded window."""
-    prefix = F.substring("h", 1, digits)
-    counted = (
-        candidates.groupBy("stratum", "h").agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("prefix", prefix)
-        .withColumn("through", F.sum("rows").over(W.partitionBy("stratum", "prefix").orderBy("h")))
+    listed = cuts.groupBy("stratum").agg(F.sort_array(F.collect_list("last")).alias("ends"))
+    listed = written(listed, "class-ends")
+    few = listed.limit(FEW_CLASSES + 1).collect()
+    hashed = df.withColumn("row_hash", row_hash(id_column, seed))
+    if len(few) <= FEW_CLASSES:
+        most = max((len(r["ends"]) for r in few), default=0)
+        ends = ", ".join(when_class(stratum, {r["stratum"]: r["ends"][i] for r in few if i < len(r["ends"])}) for i in range(most))
+        beyond = F.expr(f"size(filter(array({ends}), last -> last < row_hash))") if most else F.lit(0)
+        return hashed.withColumn(column, F.when(F.col(stratum).isNotNull(), beyond)).drop("row_hash")
+    matched = hashed.join(listed.withColumnRenamed("stratum", "cut_stratum"), F.col(stratum) == F.col("cut_stratum"), "left")
+    beyond = F.expr(f"CASE WHEN {name(stratum)} IS NOT NULL THEN size(filter(ends, last -> last < row_hash)) END")
+    return matched.withColumn(column, beyond).drop("row_hash", "cut_stratum", "ends")
+
+
+def hash_cuts(
+    df: DataFrame,
+    id_column: str,
+    stratum: str,
+    positions: Callable[[Mapping[object, int]], Mapping[object, Sequence[int]]],
+    seed: int,
+    small_bucket_rows: int = SMALL_BUCKET_ROWS,
+) -> dict[object, list[str]]:
+    """``cut_table`` for a few classes, read to the driver; ``positions`` gets their sizes."""
+    wanted = positions({r["stratum"]: r["n"] for r in stratum_sizes(df, stratum).collect()})
+    table = df.sparkSession.createDataFrame(
+        [(s, p) for s, ps in wanted.items() for p in ps], f"stratum {dict(df.dtypes)[stratum]}, position long"
     )
-    condition = F.lit(False)
-    for c in cuts:
-        offset = c.position - c.below
-        condition = condition | (
-            (F.col("stratum") == F.lit(c.stratum))
-            & (F.col("prefix") == F.lit(c.prefix))
-            & (F.col("through") >= offset)
-            & (F.col("through") - F.col("rows") < offset)
-        )
-    rows = counted.where(condition).select("stratum", "prefix", "h", "through", "rows").collect()
-    for c in cuts:
-        offset = c.position - c.below
-        for r in rows:
-            if (r["stratum"], r["prefix"]) == (c.stratum, c.prefix) and (
-                r["through"] - r["rows"] < offset <= r["through"]
-            ):
-                c.threshold = r["h"]
+    rows = cut_table(df, id_column, stratum, table, seed, small_bucket_rows).collect()
+    found = {(r["stratum"], r["position"]): r["last"] for r in rows}
+    return {s: [found[s, p] for p in ps] for s, ps in wanted.items()}

@@ -128,3 +128,27 @@ def test_copies_of_an_id_stay_together(spark):
     df = spark.createDataFrame(rows, "customer_id long, default_12m int")
     split = P.stratified_split(df, CONFIG).where("customer_id = 7").select("split").distinct().count()
     assert split == 1
+
+
+@pytest.mark.parametrize("small", [1_000_000, 0])
+def test_strata_without_a_limit(spark, small):
+    """10,000 strata of uneven sizes, one of which has a third of the rows."""
+    df = spark.range(60_000).selectExpr("id AS customer_id", "IF(id % 3 = 0, 0, CAST(id % 10007 AS INT)) AS default_12m")
+    config = replace(CONFIG, small_bucket_rows=small) if small else replace(CONFIG, small_bucket_rows=50)
+    sizes = {r.default_12m: r["count"] for r in df.groupBy("default_12m").count().collect()}
+    assert len(sizes) > 10_000
+    split = P.stratified_split(df, config)
+    assert split.where("split IS NULL").isEmpty() and split.count() == 60_000
+    found = {r.default_12m: r["count"] for r in split.where("split = 'test'").groupBy("default_12m").count().collect()}
+    wanted = P.split_sizes(sizes, CONFIG.test_share)
+    assert found == {value: n for value, n in wanted.items() if n}
+    hot = sorted((r.customer_id for r in split.where("default_12m = 0 AND split = 'test'").collect()), key=hashed)
+    every = sorted((r.customer_id for r in df.where("default_12m = 0").collect()), key=hashed)
+    assert hot == every[: wanted[0]]
+
+
+def test_folds_of_many_strata(spark):
+    df = spark.range(3_000).selectExpr("id AS customer_id", "CAST(id % 450 AS INT) AS default_12m")
+    folds = P.stratified_folds(df, replace(CONFIG, folds=5)).groupBy("default_12m").pivot("fold", list(range(5))).count().collect()
+    assert len(folds) == 450
+    assert all(max(f or 0 for f in r[1:]) - min(f or 0 for f in r[1:]) <= 1 for r in folds)
