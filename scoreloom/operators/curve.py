@@ -5,15 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import ceil
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.functions.columns import literal, number
+from scoreloom.functions.columns import blocks, count_up_to, literal, number, same_rows
+from scoreloom.storage import written
 
 MAX_WINDOW_ROWS = 1_000_000
-RANGES_PER_LEVEL = 1_000
+RANGES_PER_LEVEL = 1_024
 
 
 def roc_table(
@@ -53,29 +53,25 @@ def roc_table(
         .agg(F.sum("pos").cast("long").alias("pos"), F.sum("neg").cast("long").alias("neg"))
         .where(F.col("pos") + F.col("neg") > 0)
     )
-    edges = score_ranges(counts, keys, max_window_rows)
-    if edges:
-        counts = _in_ranges(counts, edges)
+    # Written once: all that follows reads counts, not scores.
+    counts = written(counts, "curve-counts")
+    ranged = score_ranges(counts, keys, max_window_rows)
+    if ranged is not None:
         group = [*keys, "range"]
         inside = W.partitionBy(*group).orderBy(F.col("threshold").desc())
         above = W.partitionBy(*(keys or [F.lit(0)])).orderBy(F.col("range").desc())
         whole = W.partitionBy(*(keys or [F.lit(0)]))
         # One row per range and curve.
-        totals = counts.groupBy(*group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
+        totals = ranged.groupBy(*group).agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
             *group,
             (F.sum("p").over(above) - F.col("p")).alias("tp_above"),
             (F.sum("n").over(above) - F.col("n")).alias("fp_above"),
             F.sum("p").over(whole).alias("positives"),
             F.sum("n").over(whole).alias("negatives"),
         )
-        curve = (
-            counts.withColumns(
-                {"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)}
-            )
-            .join(totals, group)
-            .withColumns(
-                {"tp": F.col("tp") + F.col("tp_above"), "fp": F.col("fp") + F.col("fp_above")}
-            )
+        running = ranged.withColumns({"tp": F.sum("pos").over(inside), "fp": F.sum("neg").over(inside)})
+        curve = same_rows(running, written(totals, "range-totals"), group).withColumns(
+            {"tp": F.col("tp") + F.col("tp_above"), "fp": F.col("fp") + F.col("fp_above")}
         )
     else:
         part = keys or [F.lit(0)]
@@ -113,38 +109,31 @@ def roc_table(
     )
 
 
-def score_ranges(counts: DataFrame, keys: Sequence[str], max_window_rows: int) -> list[float]:
-    """Cuts between ranges of at most ``max_window_rows`` distinct scores per curve.
+def score_ranges(counts: DataFrame, keys: Sequence[str], max_window_rows: int) -> DataFrame | None:
+    """``counts`` with ``range``, in score order, of at most ``max_window_rows`` distinct scores each.
 
-    The cuts are percentiles of the distinct scores, so a range holds few of them
-    however the rows are spread. A level cuts every range that is too large into at
-    most ``RANGES_PER_LEVEL``; it is one pass, and two levels serve 10^12 scores.
+    None if every curve has at most so many. The cuts of a range are percentiles of
+    its distinct scores, so parts hold few of them however the rows are spread, and
+    each curve has cuts of its own in a table. A level cuts every range that is too
+    large into at most ``RANGES_PER_LEVEL``; two levels serve 10^12 scores a curve.
+    The driver reads one number per level.
     """
-    edges: list[float] = []
+    ranged = counts.withColumn("range", F.lit(0).cast("long"))
+    group, level = [*keys, "range"], 0
     while True:
-        placed = _in_ranges(counts, edges)
-        sizes = placed.groupBy(*keys, "range").count().groupBy("range").agg(F.max("count").alias("n"))
-        large = {r["range"]: r["n"] for r in sizes.where(F.col("n") > max_window_rows).collect()}
-        if not large:
-            return edges
-        steps = min(RANGES_PER_LEVEL, ceil(2 * max(large.values()) / max_window_rows))
+        largest = ranged.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+        if largest <= max_window_rows:
+            return ranged if level else None
+        steps = min(RANGES_PER_LEVEL, ceil(2 * largest / max_window_rows))
         shares = ", ".join(literal(i / steps) for i in range(1, steps))
         cuts = (
-            placed.where(F.col("range").isin(list(large)))
-            .select("range", "threshold")
-            .distinct()
-            .groupBy("range")
-            .agg(F.expr(f"percentile_approx(threshold, array({shares}), {10 * steps})").alias("cuts"))
-            .collect()
+            ranged.groupBy(*group)
+            .agg(F.count(F.lit(1)).alias("n"), F.expr(f"percentile_approx(threshold, array({shares}), {10 * steps})").alias("cuts"))
+            .where(F.col("n") > max_window_rows)
+            .select(*group, F.expr(blocks("cuts")).alias("cuts"))
         )
-        edges = sorted({*edges, *(c for r in cuts for c in r["cuts"])})
-
-
-def _in_ranges(counts: DataFrame, edges: Sequence[float]) -> DataFrame:
-    """Add ``range``: how many cuts are at or below the threshold."""
-    if not edges:
-        return counts.withColumn("range", F.lit(0))
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *edges, float("inf")], inputCol="threshold", outputCol="range"
-    )
-    return bucketizer.transform(counts).withColumn("range", F.col("range").cast("int"))
+        cut = same_rows(ranged, written(cuts, "curve-cuts"), group, "left")
+        part = f"coalesce({count_up_to('threshold', 'cuts')}, 0)"
+        finer = F.expr(f"range * {RANGES_PER_LEVEL} + CASE WHEN cuts IS NULL THEN 0 ELSE {part} END")
+        ranged = cut.withColumn("range", finer).drop("cuts")
+        level += 1

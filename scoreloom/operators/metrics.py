@@ -13,7 +13,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from scoreloom.config import COMPARED_METRICS, METRIC_SUMMARY, Limit
-from scoreloom.functions.columns import even, literal, name, number, quotient, ratio, stack
+from scoreloom.functions.columns import even, literal, name, number, quotient, ratio, same_rows, stack
+from scoreloom.storage import written
 
 KS_GRID_POINTS = 300
 
@@ -189,17 +190,16 @@ def at_optimal_threshold(
 ) -> DataFrame:
     """Add ``decision`` at the optimal threshold of each group's curve.
 
-    ``ranking`` is the output of ``curve_metrics``: one row per curve, read to
-    the driver and applied as literals.
+    ``ranking`` is the output of ``curve_metrics``. The threshold of a single curve is
+    a literal; those of several are joined, so that there may be any number.
     """
-    rows = ranking.select(*by, "threshold").collect()
-    chosen = F.lit(None).cast("double")
-    for r in rows:
-        here = F.lit(True)
-        for k in by:
-            here = here & (F.col(k) == F.lit(r[k]))
-        chosen = F.when(here, F.lit(r["threshold"])).otherwise(chosen)
-    return df.withColumn("decision", (number(score) >= chosen).cast("int"))
+    if not by:
+        row = ranking.select("threshold").first()
+        chosen = F.lit(row["threshold"] if row else None).cast("double")
+        return df.withColumn("decision", (number(score) >= chosen).cast("int"))
+    thresholds = written(ranking.select(*by, F.col("threshold").alias("chosen_threshold")), "thresholds")
+    decided = same_rows(df, thresholds, by, "left")
+    return decided.withColumn("decision", (number(score) >= F.col("chosen_threshold")).cast("int")).drop("chosen_threshold")
 
 
 def benchmark_gate(metrics: DataFrame, limits: Sequence[Limit]) -> DataFrame:

@@ -142,15 +142,14 @@ def test_gate(spark):
 
 def test_ranges_are_bounded_by_distinct_scores(spark):
     """99% of the rows on four scores: windows still hold no more than the bound."""
-    from scoreloom.operators.curve import _in_ranges, score_ranges
+    from scoreloom.operators.curve import score_ranges
 
     rows = spark.range(40_000).selectExpr(
         "CASE WHEN id % 100 > 0 THEN 0.1D * (id % 4) ELSE id / 40000D END AS threshold", "id % 2 AS model"
     )
     counts = rows.groupBy("model", "threshold").count()
-    edges = score_ranges(counts, ["model"], 40)
-    sizes = _in_ranges(counts, edges).groupBy("model", "range").agg(F.count("threshold").alias("n"))
-    assert sizes.agg(F.max("n")).first()[0] <= 40 and len(edges) > 3
+    sizes = score_ranges(counts, ["model"], 40).groupBy("model", "range").agg(F.count("threshold").alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 40 and sizes.count() > 6
 
 
 def test_grid_points_equal_the_shown_thresholds(spark):
@@ -170,3 +169,29 @@ def test_summary_of_one_class_is_null(spark):
     assert values["auc"] is None and values["auc_gap"] is None
     shown = {r["label"]: r["interpretation"] for r in M.metric_summary(evaluation(df, CreditConfig()), CreditConfig().limits).collect()}
     assert len(shown) == 9 and shown["AUC-ROC (Test)"] == "—"
+
+
+@pytest.mark.parametrize("bound", [1_000_000, 50])
+def test_many_curves(spark, monkeypatch, bound):
+    """10,000 curves, one far larger, one without a name: nothing is read curve by curve."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    rows = spark.range(60_000).selectExpr(
+        "IF(id < 20000, 0, IF(id % 10007 = 5, NULL, id % 10007)) AS curve", "pmod(hash(id), 1000) / 1000D AS s", "CAST(pmod(hash(id, 1), 3) = 0 AS INT) AS y"
+    )
+    read, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: read.append(collect(self)) or read[-1])
+    metrics = M.curve_metrics(roc_table(rows, "s", "y", ["curve"], max_window_rows=bound), ["curve"])
+    decided = M.at_optimal_threshold(rows, "s", "y", metrics, ["curve"])
+    assert sum(map(len, read)) < 10
+    monkeypatch.undo()
+    found = {r.curve: r for r in metrics.collect()}
+    assert len(found) > 10_000 and None in found
+    for curve in (0, 7, 5000, None):
+        mine = [(r.s, r.y) for r in rows.where(F.col("curve").eqNullSafe(F.lit(curve))).collect()]
+        if len({y for _, y in mine}) == 2:
+            auc, ks, (gap, threshold) = brute(mine)
+            assert found[curve].auc == pytest.approx(auc) and found[curve].ks == pytest.approx(ks)
+            assert found[curve].threshold == (threshold if gap > 0 else inf)
+    wrong = decided.where("curve = 0").where(F.col("decision") != (F.col("s") >= found[0].threshold).cast("int"))
+    assert decided.count() == 60_000 and wrong.isEmpty()
