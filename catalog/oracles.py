@@ -6,7 +6,7 @@ from math import inf, isinf
 
 from catalog import frozen
 from catalog.newton import newton_parts
-from catalog.queries import CORRELATED, DOCUMENT_BINS, NUMERIC, STRICT_RULES
+from catalog.queries import CORRELATED, DOCUMENT_BINS, NUMERIC, SEGMENTS, STRICT_RULES
 from scoreloom.config import BinSpec
 from scoreloom.sources.applicants import APPLICANT_SCHEMA, applicants_sql
 
@@ -405,6 +405,7 @@ def all_oracles() -> dict[str, str]:
 
     woe_columns = ", ".join(woe_case(b) for b in CONFIG.bins)
     o["e6_woe_values"] = given("woe", f"SELECT {ID}, {woe_columns} FROM applicants")
+    o["e6_table_lookup"] = o["e6_woe_values"]
     o["e7_woe_dataset"] = given("woe", f"SELECT {ID}, {woe_columns}, salary_domiciliation, {dummies}, {TARGET} FROM imputed")
     o["e8_monotonicity"] = given(
         "woe",
@@ -586,6 +587,14 @@ def all_oracles() -> dict[str, str]:
         **driver_ranks(5),
     )
     o["h3_risk_bands"] = given("scored", f"SELECT {ID}, {bands} FROM probabilities")
+    shifted = CTE["probabilities"].replace(literal(frozen.INTERCEPT) + " + ", f"{literal(frozen.INTERCEPT)} + 0.25e0 * ({ID} % {SEGMENTS}) + ", 1)
+    o["h3_scorecard_by_segment"] = given(
+        "features",
+        f"SELECT {ID}, concat('segment ', {ID} % {SEGMENTS}) AS segment, {r('p', 8)} AS pd, "
+        + ", ".join(f"{band_field(f)} AS {f}" for f in ("level", "recommendation"))
+        + " FROM segments",
+        segments=shifted,
+    )
     o["h4_contributions"] = given("features", f"SELECT {ID}, feature, {r('contribution')} AS contribution FROM terms", terms=contribution_long())
     o["h5_top_drivers"] = given("features", f"SELECT {ID}, rank, feature, {r('contribution')} AS contribution FROM ranks", **driver_ranks(5))
     o["h6_driver_display"] = given(

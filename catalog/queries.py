@@ -24,6 +24,7 @@ from scoreloom.operators import score as H
 from scoreloom.operators import validate as V
 from scoreloom.operators import woe as E
 from scoreloom.operators.curve import roc_table
+from scoreloom.operators.scorecards import card_table, score_many, woe_lookup
 from scoreloom.plans.training import evaluation, prepare, standardized_split, train_scorecard, woe_dataset
 from scoreloom.sources import params
 from scoreloom.sources.applicants import (
@@ -43,6 +44,9 @@ VARIABLES = tuple(b.variable for b in CONFIG.bins)
 NUMERIC = CONFIG.numeric_columns
 CORRELATED = (*NUMERIC, "salary_domiciliation", TARGET)
 
+# Segments with a scorecard each.
+SEGMENTS = 7
+
 STRICT_RULES = (
     DomainRule("bureau_score", 400, 800),
     DomainRule("monthly_income", 700, 4000),
@@ -467,6 +471,15 @@ def e6_woe_values(spark: SparkSession, folder: str) -> DataFrame:
     return E.apply_woe(df, CONFIG.bins, maps).select(ID, *VARIABLES)
 
 
+@query
+def e6_table_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The same WOE values, looked up in a table of scorecards."""
+    df = applicant_table(spark, folder)
+    maps = E.woe_maps(E.woe_table(P.impute(df, P.fit_medians(df, CONFIG.impute_columns)), CONFIG.bins, TARGET))
+    cards = card_table(spark, {"fitted": replace(frozen.scorecard({}, {}), woe=maps)})
+    return woe_lookup(df.withColumn("card", F.lit("fitted")), cards, VARIABLES, "card").select(ID, *VARIABLES)
+
+
 @query
 def e7_woe_dataset(spark: SparkSession, folder: str) -> DataFrame:
     data, _, _ = woe_dataset(applicant_table(spark, folder), CONFIG)
@@ -837,6 +850,19 @@ def h3_risk_bands(spark: SparkSession, folder: str) -> DataFrame:
     return scored.select(ID, risk_band("pd", CONFIG.bands).alias("b")).select(ID, "b.*")
 
 
+@query
+def h3_scorecard_by_segment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row under the scorecard of its segment, all segments in one pass."""
+    df = applicant_table(spark, folder)
+    card = _card(df)
+    shifted = {f"segment {i}": replace(card, intercept=card.intercept + 0.25 * i) for i in range(SEGMENTS)}
+    segments = df.withColumn("segment", F.concat(F.lit("segment "), F.col(ID) % SEGMENTS))
+    scored = score_many(
+        segments, card_table(spark, shifted), "segment", VARIABLES, CONFIG.binary_columns, CONFIG.category_column, [ID]
+    )
+    return rounded(scored.select(ID, "segment", "pd", "risk_band.level", "recommendation"), 8)
+
+
 @query
 def h4_contributions(spark: SparkSession, folder: str) -> DataFrame:
     features = _features(applicant_table(spark, folder))

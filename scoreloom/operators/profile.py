@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -302,30 +304,75 @@ def rate_by_value(df: DataFrame, column: str, target: str) -> DataFrame:
     )
 
 
+MOMENTS = "pair int, n long, mean_x double, mean_y double, xx double, yy double, xy double"
+
+
+def _task_moments(first: np.ndarray, second: np.ndarray):
+    """Moments of each pair of columns over the rows of a task where both are known.
+
+    Matrix products give the sums of all pairs at once. They are taken around the
+    medians of the first batch, so a constant column has sums of exactly 0.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shift, sums = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns], axis=1)
+            there = ~np.isnan(x)
+            if shift is None:
+                shift = np.array([np.median(c[t]) if t.any() else 0.0 for c, t in zip(x.T, there.T)])
+                shift = np.where(np.isfinite(shift), shift, 0.0)
+            x, there = np.where(there, x - shift, 0.0), there.astype(float)
+            # Per pair (i, j): rows, sum of x_i, sum of x_i squared, sum of x_i x_j.
+            found = np.stack([there.T @ there, x.T @ there, (x * x).T @ there, x.T @ x])
+            sums = found if sums is None else sums + found
+        if sums is None:
+            return
+        n, total, squares, products = sums
+        rows = n[first, second]
+        some = np.maximum(rows, 1)
+        mean_x, mean_y = total[first, second] / some, total[second, first] / some
+        moments = {
+            "pair": np.arange(len(first), dtype=np.int32),
+            "n": rows.astype(np.int64),
+            "mean_x": mean_x + shift[first],
+            "mean_y": mean_y + shift[second],
+            "xx": squares[first, second] - rows * mean_x**2,
+            "yy": squares[second, first] - rows * mean_y**2,
+            "xy": products[first, second] - rows * mean_x * mean_y,
+        }
+        yield pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in moments.items()})
+
+    return run
+
+
 def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(var_a, var_b, r)`` of each pair over the rows where both are known.
 
-    Every row becomes one small row per pair, reduced to the pair's moments
-    before the shuffle. A column without variation gives null, where the built-in
-    correlation fails.
+    Each task reduces its rows to the moments of all pairs by matrix products, one
+    row per pair and task; these are merged around their common means. A column
+    without variation gives null, where the built-in correlation fails.
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    data = df.select(*[number(c).alias(c) for c in columns])
-    entries = ", ".join(f"named_struct('x', {name(a)}, 'y', {name(b)})" for a, b in pairs)
-    moments = (
-        data.selectExpr(f"posexplode(array({entries})) AS (pair, v)")
-        .select(
-            "pair",
-            F.expr("CASE WHEN v.y IS NOT NULL THEN v.x END").alias("x"),
-            F.expr("CASE WHEN v.x IS NOT NULL THEN v.y END").alias("y"),
-        )
-        .groupBy("pair")
-        .agg(F.covar_pop("x", "y").alias("xy"), F.var_pop("x").alias("xx"), F.var_pop("y").alias("yy"))
+    place = {c: i for i, c in enumerate(columns)}
+    first, second = (np.array([place[p[side]] for p in pairs]) for side in (0, 1))
+    data = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    moments = data.mapInArrow(_task_moments(first, second), MOMENTS).where("n > 0")
+    whole = W.partitionBy("pair")
+    # Distances from the least mean, which are exactly 0 for a constant column; then from the common mean.
+    apart = moments.withColumns({f"d{v}": F.col(f"mean_{v}") - F.min(f"mean_{v}").over(whole) for v in "xy"})
+    common = apart.withColumns(
+        {f"d{v}": F.col(f"d{v}") - F.sum(F.col("n") * F.col(f"d{v}")).over(whole) / F.sum("n").over(whole) for v in "xy"}
     )
-    names = [f"element_at({text_map({0: [p[side] for p in pairs]})}[0], pair + 1)" for side in (0, 1)]
-    return moments.selectExpr(
-        f"{names[0]} AS var_a", f"{names[1]} AS var_b", "try_divide(xy, sqrt(xx * yy)) AS r"
+    merged = common.groupBy("pair").agg(
+        F.expr("sum(xy + n * dx * dy)").alias("xy"),
+        F.expr("sum(xx + n * dx * dx)").alias("xx"),
+        F.expr("sum(yy + n * dy * dy)").alias("yy"),
     )
+    names = df.sparkSession.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "pair int, var_a string, var_b string")
+    return names.join(merged, "pair", "left").selectExpr("var_a", "var_b", "try_divide(xy, sqrt(xx * yy)) AS r")
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
