@@ -33,7 +33,7 @@ from scoreloom.sources.applicants import (
     table_shape,
     write_snapshot,
 )
-from scoreloom.storage import new_path
+from scoreloom.storage import new_path, written
 from scoreloom.streaming.scoring import read_applicant_stream, read_batches, start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,11 @@ def rounded(df: DataFrame, digits: int = 6, keep: tuple[str, ...] = ()) -> DataF
     return df.withColumns({c: F.expr(f"{even(name(c), digits)} + 0.0D") for c in doubles})
 
 
+def _stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The applicant view written as a table, for queries that pass over it several times."""
+    return written(applicant_table(spark, folder), "applicants")
+
+
 # --- A. Scans, sources, sinks ------------------------------------------------
 
 
@@ -97,7 +102,7 @@ def a3_raw_snapshot(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def a4_fitted_parameters(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     medians, caps = _medians_and_caps(df)
     card = frozen.scorecard(medians, caps)
     path = new_path(spark, "scorecard")
@@ -151,7 +156,7 @@ def b2_features_and_label(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def b3_column_roles(spark: SparkSession, folder: str) -> DataFrame:
-    df = P.one_hot(applicant_table(spark, folder), CONFIG.category_column, CONFIG.categories)
+    df = P.one_hot(_stored(spark, folder), CONFIG.category_column, CONFIG.categories)
     numeric, binary = V.column_roles(df.columns, CONFIG)
     roles = [*((c, "numeric") for c in numeric), *((c, "binary") for c in binary)]
     wide = df.agg(*[F.avg(c).alias(c) for c, _ in roles])
@@ -230,20 +235,20 @@ def _split(df: DataFrame) -> DataFrame:
 
 @query
 def c1_medians(spark: SparkSession, folder: str) -> DataFrame:
-    medians = P.fit_medians(applicant_table(spark, folder), CONFIG.impute_columns)
+    medians = P.fit_medians(_stored(spark, folder), CONFIG.impute_columns)
     return rounded(params.stats_table(spark, {"median": medians}))
 
 
 @query
 def c2_imputed(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     imputed = P.impute(df, P.fit_medians(df, CONFIG.impute_columns))
     return rounded(imputed.select(ID, *CONFIG.impute_columns))
 
 
 @query
 def c3_capped(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     medians, caps = _medians_and_caps(df)
     return rounded(P.cap(P.impute(df, medians), caps).select(ID, *CONFIG.cap_columns))
 
@@ -251,7 +256,7 @@ def c3_capped(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def c3_capped_narrowed(spark: SparkSession, folder: str) -> DataFrame:
     """The same caps by narrowing, as for large tables."""
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     medians = P.fit_medians(df, CONFIG.impute_columns)
     imputed = P.impute(df, medians)
     caps = P.fit_caps(imputed, CONFIG.cap_columns, CONFIG.cap_quantile, small_group_rows=20)
@@ -260,7 +265,7 @@ def c3_capped_narrowed(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def c4_cap_audit(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     medians, caps = _medians_and_caps(df)
     return P.cap_audit(P.impute(df, medians), caps)
 
@@ -275,32 +280,32 @@ def c5_one_hot(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def c6_standardized(spark: SparkSession, folder: str) -> DataFrame:
-    data, features = standardized_split(applicant_table(spark, folder), CONFIG)
+    data, features = standardized_split(_stored(spark, folder), CONFIG)
     return rounded(data.select(ID, "split", *features))
 
 
 @query
 def c7_standardization_check(spark: SparkSession, folder: str) -> DataFrame:
-    data, features = standardized_split(applicant_table(spark, folder), CONFIG)
+    data, features = standardized_split(_stored(spark, folder), CONFIG)
     numeric, _ = V.column_roles(features, CONFIG)
     return rounded(P.standardization_check(data.where(F.col("split") == "train"), numeric))
 
 
 @query
 def c8_split(spark: SparkSession, folder: str) -> DataFrame:
-    return _split(applicant_table(spark, folder)).select(ID, "split")
+    return _split(_stored(spark, folder)).select(ID, "split")
 
 
 @query
 def c8_split_deep(spark: SparkSession, folder: str) -> DataFrame:
     """The same split by longer hash prefixes, as for large classes."""
     config = replace(CONFIG, small_bucket_rows=1)
-    return P.stratified_split(applicant_table(spark, folder), config).select(ID, "split")
+    return P.stratified_split(_stored(spark, folder), config).select(ID, "split")
 
 
 @query
 def c9_split_summary(spark: SparkSession, folder: str) -> DataFrame:
-    split = _split(applicant_table(spark, folder))
+    split = _split(_stored(spark, folder))
     return rounded(P.split_summary(split, TARGET, len(CONFIG.woe_features)))
 
 
@@ -320,7 +325,7 @@ def d2_missing_values(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d2_missing_left(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     return D.missing_total(P.impute(df, P.fit_medians(df, CONFIG.impute_columns)))
 
 
@@ -332,13 +337,13 @@ def d3_rate_by_missing(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d4_describe(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(D.describe(applicant_table(spark, folder), NUMERIC))
+    return rounded(D.describe(_stored(spark, folder), NUMERIC))
 
 
 @query
 def d4_describe_narrowed(spark: SparkSession, folder: str) -> DataFrame:
     """The same statistics by narrowing, as for large tables."""
-    return rounded(D.describe(applicant_table(spark, folder), NUMERIC, small_group_rows=50))
+    return rounded(D.describe(_stored(spark, folder), NUMERIC, small_group_rows=50))
 
 
 @query
@@ -348,12 +353,12 @@ def d5_shape(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d6_class_histograms(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(D.class_histogram(applicant_table(spark, folder), NUMERIC, 40, by=TARGET), 8)
+    return rounded(D.class_histogram(_stored(spark, folder), NUMERIC, 40, by=TARGET), 8)
 
 
 @query
 def d7_capping_histograms(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     medians, caps = _medians_and_caps(df)
     capped = P.cap(P.impute(df, medians), caps)
     return rounded(D.before_after_histograms(df, capped, "monthly_income", 60, "capping"))
@@ -361,7 +366,7 @@ def d7_capping_histograms(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d7_scaling_histograms(spark: SparkSession, folder: str) -> DataFrame:
-    prepared, _, _ = prepare(applicant_table(spark, folder), CONFIG)
+    prepared, _, _ = prepare(_stored(spark, folder), CONFIG)
     train = _split(prepared).where(F.col("split") == "train")
     scaled = P.standardize(train, P.fit_standardizer(train, ["bureau_score"]))
     return rounded(D.before_after_histograms(train, scaled, "bureau_score", 40, "scaling"))
@@ -369,18 +374,18 @@ def d7_scaling_histograms(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d8_box_statistics(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(D.box_statistics(applicant_table(spark, folder), NUMERIC, TARGET))
+    return rounded(D.box_statistics(_stored(spark, folder), NUMERIC, TARGET))
 
 
 @query
 def d8_box_narrowed(spark: SparkSession, folder: str) -> DataFrame:
     """The same statistics by narrowing, as for large classes."""
-    return rounded(D.box_statistics(applicant_table(spark, folder), NUMERIC, TARGET, small_group_rows=50))
+    return rounded(D.box_statistics(_stored(spark, folder), NUMERIC, TARGET, small_group_rows=50))
 
 
 @query
 def d9_extreme_outliers(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(D.extreme_outliers(applicant_table(spark, folder), NUMERIC))
+    return rounded(D.extreme_outliers(_stored(spark, folder), NUMERIC))
 
 
 @query
@@ -423,13 +428,13 @@ def _woe(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def e1_bin_labels(spark: SparkSession, folder: str) -> DataFrame:
-    return E.assign_bins(applicant_table(spark, folder), CONFIG.bins).select(ID, *VARIABLES)
+    return E.assign_bins(_stored(spark, folder), CONFIG.bins).select(ID, *VARIABLES)
 
 
 @query
 def e2_bin_table(spark: SparkSession, folder: str) -> DataFrame:
     """The bins, with the applicants that fall into each class."""
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     edges = E.bin_table(df, CONFIG.bins).select(
         "variable", "direction", F.posexplode(F.slice("edges", 2, 100)).alias("place", "upper")
     )
@@ -451,7 +456,7 @@ def e3_woe_table(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def e3_woe_with_missing(spark: SparkSession, folder: str) -> DataFrame:
     """Missing scores and incomes belong to no class but count in the totals."""
-    return E.rounded_woe_table(E.woe_table(applicant_table(spark, folder), CONFIG.bins, TARGET))
+    return E.rounded_woe_table(E.woe_table(_stored(spark, folder), CONFIG.bins, TARGET))
 
 
 @query
@@ -466,7 +471,7 @@ def e5_total_iv(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def e6_woe_values(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     maps = E.woe_maps(E.woe_table(P.impute(df, P.fit_medians(df, CONFIG.impute_columns)), CONFIG.bins, TARGET))
     return E.apply_woe(df, CONFIG.bins, maps).select(ID, *VARIABLES)
 
@@ -474,7 +479,7 @@ def e6_woe_values(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def e6_table_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """The same WOE values, looked up in a table of scorecards."""
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     maps = E.woe_maps(E.woe_table(P.impute(df, P.fit_medians(df, CONFIG.impute_columns)), CONFIG.bins, TARGET))
     cards = card_table(spark, {"fitted": replace(frozen.scorecard({}, {}), woe=maps)})
     return woe_lookup(df.withColumn("card", F.lit("fitted")), cards, VARIABLES, "card").select(ID, *VARIABLES)
@@ -482,7 +487,7 @@ def e6_table_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def e7_woe_dataset(spark: SparkSession, folder: str) -> DataFrame:
-    data, _, _ = woe_dataset(applicant_table(spark, folder), CONFIG)
+    data, _, _ = woe_dataset(_stored(spark, folder), CONFIG)
     return data
 
 
@@ -524,7 +529,7 @@ DUMMIES = list(CONFIG.dummy_columns)
 
 
 def _encoded(spark: SparkSession, folder: str) -> DataFrame:
-    return P.one_hot(applicant_table(spark, folder), CONFIG.category_column, CONFIG.categories)
+    return P.one_hot(_stored(spark, folder), CONFIG.category_column, CONFIG.categories)
 
 
 def _saturated(spark: SparkSession, folder: str, class_weight: str | None):
@@ -537,7 +542,7 @@ def _saturated(spark: SparkSession, folder: str, class_weight: str | None):
 
 @query
 def f1_standardized_fit(spark: SparkSession, folder: str) -> DataFrame:
-    data, features = standardized_split(applicant_table(spark, folder), CONFIG)
+    data, features = standardized_split(_stored(spark, folder), CONFIG)
     model = L.fit_logistic(data.where(F.col("split") == "train"), features, TARGET, CONFIG.c)
     return rounded(L.coefficient_table(spark, L.coefficients_of(model, features)), 3)
 
@@ -550,7 +555,7 @@ def _at_optimum(gradients: DataFrame) -> DataFrame:
 @query
 def f1_optimality(spark: SparkSession, folder: str) -> DataFrame:
     """The penalized fit on standardized columns solves its equations."""
-    data, features = standardized_split(applicant_table(spark, folder), CONFIG)
+    data, features = standardized_split(_stored(spark, folder), CONFIG)
     train = data.where(F.col("split") == "train")
     model = L.fit_logistic(train, features, TARGET, CONFIG.c)
     return _at_optimum(L.optimality(train, features, TARGET, model, CONFIG.c))
@@ -564,7 +569,7 @@ def f1_saturated_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def f2_class_weights(spark: SparkSession, folder: str) -> DataFrame:
-    weights = L.class_weights(applicant_table(spark, folder), TARGET)
+    weights = L.class_weights(_stored(spark, folder), TARGET)
     return rounded(spark.createDataFrame(list(weights.items()), "class int, weight double"))
 
 
@@ -576,7 +581,7 @@ def f2_balanced_saturated_fit(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def f3_woe_fit(spark: SparkSession, folder: str) -> DataFrame:
-    data, _, _ = woe_dataset(_split(applicant_table(spark, folder)), CONFIG)
+    data, _, _ = woe_dataset(_split(_stored(spark, folder)), CONFIG)
     features = list(CONFIG.woe_features)
     patterns = L.feature_patterns(data.where(F.col("split") == "train"), features, TARGET).persist()
     model = L.fit_logistic(patterns, features, TARGET, CONFIG.c, weight=L.ROWS)
@@ -587,7 +592,7 @@ def f3_woe_fit(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def f3_optimality(spark: SparkSession, folder: str) -> DataFrame:
     """The penalized fit on WOE columns, balanced classes, solves its equations."""
-    data, _, _ = woe_dataset(_split(applicant_table(spark, folder)), CONFIG)
+    data, _, _ = woe_dataset(_split(_stored(spark, folder)), CONFIG)
     features = list(CONFIG.woe_features)
     patterns = L.feature_patterns(data.where(F.col("split") == "train"), features, TARGET)
     model = L.fit_logistic(patterns, features, TARGET, CONFIG.c, "balanced", weight=L.ROWS)
@@ -596,12 +601,12 @@ def f3_optimality(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def f4_folds(spark: SparkSession, folder: str) -> DataFrame:
-    return P.stratified_folds(applicant_table(spark, folder), CONFIG).select(ID, "fold")
+    return P.stratified_folds(_stored(spark, folder), CONFIG).select(ID, "fold")
 
 
 @query
 def f5_cross_validation(spark: SparkSession, folder: str) -> DataFrame:
-    data, features = standardized_split(applicant_table(spark, folder), CONFIG)
+    data, features = standardized_split(_stored(spark, folder), CONFIG)
     folds = P.stratified_folds(data.where(F.col("split") == "train"), CONFIG)
     return rounded(L.cross_validate(folds, features, replace(CONFIG, class_weight="balanced")), 3)
 
@@ -635,7 +640,7 @@ def f6_coefficient_table(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def f7_probability(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(_scored(applicant_table(spark, folder)).select(ID, "pd"), 8)
+    return rounded(_scored(_stored(spark, folder)).select(ID, "pd"), 8)
 
 
 # --- G. Evaluation -----------------------------------------------------------
@@ -676,18 +681,18 @@ def _decided(df: DataFrame) -> DataFrame:
 
 @query
 def g1_auc_by_split(spark: SparkSession, folder: str) -> DataFrame:
-    split = _split(applicant_table(spark, folder))
+    split = _split(_stored(spark, folder))
     return rounded(M.curve_metrics(_curve(split, ("split",)), ["split"]).select("split", "auc"))
 
 
 @query
 def g2_gini(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(M.curve_metrics(_curve(applicant_table(spark, folder))).select("auc", "gini"))
+    return rounded(M.curve_metrics(_curve(_stored(spark, folder))).select("auc", "gini"))
 
 
 @query
 def g3_roc_curve(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _stable_score(applicant_table(spark, folder))
+    scored = _stable_score(_stored(spark, folder))
     curve = roc_table(scored, "pd", TARGET, origin=True)
     return rounded(curve.select("threshold", "fpr", "tpr"), 8)
 
@@ -695,63 +700,63 @@ def g3_roc_curve(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def g3_roc_curve_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """The same curve by score ranges, as for scores of any number."""
-    scored = _stable_score(applicant_table(spark, folder))
+    scored = _stable_score(_stored(spark, folder))
     curve = roc_table(scored, "pd", TARGET, max_window_rows=500)
     return rounded(curve.select("threshold", "pos", "neg", "tp", "fp", "fpr", "tpr"), 8)
 
 
 @query
 def g4_ks(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(M.curve_metrics(_curve(applicant_table(spark, folder))).select("ks"))
+    return rounded(M.curve_metrics(_curve(_stored(spark, folder))).select("ks"))
 
 
 @query
 def g5_optimal_threshold(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = M.curve_metrics(_curve(applicant_table(spark, folder)))
+    metrics = M.curve_metrics(_curve(_stored(spark, folder)))
     return rounded(metrics.select("threshold", "ks_curve"), 8)
 
 
 @query
 def g6_ks_curve(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(M.ks_grid(_stable_score(applicant_table(spark, folder)), "pd", TARGET))
+    return rounded(M.ks_grid(_stable_score(_stored(spark, folder)), "pd", TARGET))
 
 
 @query
 def g7_confusion(spark: SparkSession, folder: str) -> DataFrame:
-    return M.confusion(_decided(applicant_table(spark, folder)), TARGET, "decision")
+    return M.confusion(_decided(_stored(spark, folder)), TARGET, "decision")
 
 
 @query
 def g8_confusion_shares(spark: SparkSession, folder: str) -> DataFrame:
-    cells = M.confusion(_decided(applicant_table(spark, folder)), TARGET, "decision")
+    cells = M.confusion(_decided(_stored(spark, folder)), TARGET, "decision")
     return rounded(M.confusion_long(cells))
 
 
 @query
 def g9_threshold_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    cells = M.confusion(_decided(applicant_table(spark, folder)), TARGET, "decision")
+    cells = M.confusion(_decided(_stored(spark, folder)), TARGET, "decision")
     return rounded(M.threshold_metrics(cells))
 
 
 @query
 def g10_classification_report(spark: SparkSession, folder: str) -> DataFrame:
-    cells = M.confusion(_decided(applicant_table(spark, folder)), TARGET, "decision")
+    cells = M.confusion(_decided(_stored(spark, folder)), TARGET, "decision")
     return rounded(M.classification_report(cells, CONFIG.target_names))
 
 
 @query
 def g11_score_histogram(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(D.class_histogram(_stable_score(applicant_table(spark, folder)), ["pd"], 50, by=TARGET), 7)
+    return rounded(D.class_histogram(_stable_score(_stored(spark, folder)), ["pd"], 50, by=TARGET), 7)
 
 
 @query
 def g12_score_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(M.score_summary(_stable_score(applicant_table(spark, folder)), "pd", TARGET))
+    return rounded(M.score_summary(_stable_score(_stored(spark, folder)), "pd", TARGET))
 
 
 @query
 def g13_benchmark_gate(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _stable_score(_split(applicant_table(spark, folder)))
+    scored = _stable_score(_split(_stored(spark, folder)))
     curve = roc_table(scored, "pd", TARGET, ["split"])
     ranking = M.curve_metrics(curve, ["split"])
     by_split = {r["split"]: r for r in ranking.collect()}
@@ -774,20 +779,20 @@ def g13_benchmark_gate(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def g13_metric_summary(spark: SparkSession, folder: str) -> DataFrame:
     """All nine metrics of the fixed scorecard with what they mean."""
-    scored = _stable_score(_split(applicant_table(spark, folder)))
+    scored = _stable_score(_split(_stored(spark, folder)))
     return rounded(M.metric_summary(evaluation(scored, CONFIG), CONFIG.limits))
 
 
 @query
 def g13_trained_summary(spark: SparkSession, folder: str) -> DataFrame:
     """The whole way: train a scorecard on the categories that occur, score, evaluate and interpret."""
-    trained = train_scorecard(applicant_table(spark, folder), CONFIG, fit_on_train=True, fit_categories=True)
+    trained = train_scorecard(_stored(spark, folder), CONFIG, fit_on_train=True, fit_categories=True)
     return rounded(M.metric_summary(evaluation(trained.scored, CONFIG), CONFIG.limits), 3)
 
 
 @query
 def g14_model_comparison(spark: SparkSession, folder: str) -> DataFrame:
-    df = _split(applicant_table(spark, folder))
+    df = _split(_stored(spark, folder))
     fitted = _medians_and_caps(df)
     standardized, _ = standardized_split(df, CONFIG, fitted)
     before = standardized.select(
@@ -819,14 +824,14 @@ def _card(df: DataFrame) -> params.Scorecard:
 
 @query
 def h1_aligned_features(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     features = H.woe_features(df, _card(df)).drop("number_of_credit_inquiries_6m")
     return H.align_features(features, FEATURES, keep=[ID])
 
 
 @query
 def h2_batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     scored = H.score(df, _card(df), keep=[ID])
     return rounded(
         scored.select(
@@ -846,14 +851,14 @@ def h2_batch_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def h3_risk_bands(spark: SparkSession, folder: str) -> DataFrame:
-    scored = _scored(applicant_table(spark, folder))
+    scored = _scored(_stored(spark, folder))
     return scored.select(ID, risk_band("pd", CONFIG.bands).alias("b")).select(ID, "b.*")
 
 
 @query
 def h3_scorecard_by_segment(spark: SparkSession, folder: str) -> DataFrame:
     """Every row under the scorecard of its segment, all segments in one pass."""
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     card = _card(df)
     shifted = {f"segment {i}": replace(card, intercept=card.intercept + 0.25 * i) for i in range(SEGMENTS)}
     segments = df.withColumn("segment", F.concat(F.lit("segment "), F.col(ID) % SEGMENTS))
@@ -865,20 +870,20 @@ def h3_scorecard_by_segment(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def h4_contributions(spark: SparkSession, folder: str) -> DataFrame:
-    features = _features(applicant_table(spark, folder))
+    features = _features(_stored(spark, folder))
     terms = features.select(ID, contributions(frozen.COEFFICIENTS, features.columns).alias("terms"))
     return rounded(H.drivers(terms, [ID], "terms").drop("rank"))
 
 
 @query
 def h5_top_drivers(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     return rounded(H.drivers(H.score(df, _card(df), keep=[ID], top=5), [ID]))
 
 
 @query
 def h6_driver_display(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     top = H.drivers(H.score(df, _card(df), keep=[ID], top=7), [ID])
     plain = top.withColumn("contribution", F.col("contribution") + F.lit(0.0))
     return H.driver_display(plain, CONFIG.category_column).drop("contribution", "feature")
@@ -886,7 +891,7 @@ def h6_driver_display(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def h7_rounded_output(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     return H.score(df, _card(df), keep=[ID]).select(ID, "pd_score", "pd_pct")
 
 
@@ -903,7 +908,7 @@ def h8_display_names(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _arriving(spark: SparkSession, folder: str) -> tuple[DataFrame, params.Scorecard]:
-    applicants = applicant_table(spark, folder)
+    applicants = _stored(spark, folder)
     card = _card(applicants)
     arrived = new_path(spark, "arriving")
     write_snapshot(applicants, arrived)
@@ -936,6 +941,6 @@ def h9_stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def h10_portfolio_summary(spark: SparkSession, folder: str) -> DataFrame:
-    df = applicant_table(spark, folder)
+    df = _stored(spark, folder)
     scored = H.score(df, _card(df), keep=[ID, TARGET])
     return rounded(H.portfolio_summary(scored, TARGET))

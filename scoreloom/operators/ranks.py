@@ -52,7 +52,7 @@ def cut_table(
     hashed = df.where(F.col(stratum).isNotNull()).select(
         F.col(stratum).alias("stratum"), row_hash(id_column, seed).alias("h")
     )
-    positions = written(positions.select("stratum", F.col("position").cast("long").alias("position")), "positions")
+    positions = positions.select("stratum", F.col("position").cast("long").alias("position"))
     cuts = positions.where("position > 0").selectExpr("stratum", "position", "'' AS prefix", "0L AS below")
     done = 0
     while True:
@@ -89,7 +89,6 @@ def passed_cuts(df: DataFrame, id_column: str, stratum: str, cuts: DataFrame, se
     where they are; those of many classes are joined, one row per class.
     """
     listed = cuts.groupBy("stratum").agg(F.sort_array(F.collect_list("last")).alias("ends"))
-    listed = written(listed, "class-ends")
     few = listed.limit(FEW_CLASSES + 1).collect()
     hashed = df.withColumn("row_hash", row_hash(id_column, seed))
     if len(few) <= FEW_CLASSES:
@@ -97,7 +96,8 @@ def passed_cuts(df: DataFrame, id_column: str, stratum: str, cuts: DataFrame, se
         ends = ", ".join(when_class(stratum, {r["stratum"]: r["ends"][i] for r in few if i < len(r["ends"])}) for i in range(most))
         beyond = F.expr(f"size(filter(array({ends}), last -> last < row_hash))") if most else F.lit(0)
         return hashed.withColumn(column, F.when(F.col(stratum).isNotNull(), beyond)).drop("row_hash")
-    matched = hashed.join(listed.withColumnRenamed("stratum", "cut_stratum"), F.col(stratum) == F.col("cut_stratum"), "left")
+    listed = written(listed, "class-ends").withColumnRenamed("stratum", "cut_stratum")
+    matched = hashed.join(listed, F.col(stratum) == F.col("cut_stratum"), "left")
     beyond = F.expr(f"CASE WHEN {name(stratum)} IS NOT NULL THEN size(filter(ends, last -> last < row_hash)) END")
     return matched.withColumn(column, beyond).drop("row_hash", "cut_stratum", "ends")
 
