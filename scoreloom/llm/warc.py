@@ -70,8 +70,8 @@ def latest_before(points: DataFrame, key: Sequence[str], bucket_seconds: int = B
     """As-of join in one table: the last response before each revisit of a key.
 
     ``points`` has the key columns, ``at`` (seconds), ``id`` and ``full``. Adds
-    ``found``: the id of the latest full one strictly earlier, of equal times the
-    largest id. Windows hold one key and time bucket, of equal times the full ones
+    ``found`` and ``found_at``: id and time of the latest full one strictly earlier, of
+    equal times the largest id. Windows hold one key and time bucket, of equal times the full ones
     last, so that what precedes is earlier by any fraction of a second; a second
     one carries the last response of each bucket on, so that a key of many captures
     is no single task.
@@ -85,8 +85,9 @@ def latest_before(points: DataFrame, key: Sequence[str], bucket_seconds: int = B
     buckets = cut.select(*key, "bucket").distinct().join(last, [*key, "bucket"], "left")
     earlier = W.partitionBy(*key).orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     carried = buckets.withColumn("before", F.max("last").over(earlier)).select(*key, "bucket", "before")
-    return within.where("not full").join(carried, [*key, "bucket"], "left").withColumn(
-        "found", F.coalesce("inside", "before")["id"]
+    met = F.coalesce("inside", "before")
+    return within.where("not full").join(carried, [*key, "bucket"], "left").withColumns(
+        {"found": met["id"], "found_at": met["at"]}
     ).drop("bucket", "inside", "before")
 
 
@@ -104,8 +105,9 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     ``no_response``, and the revisit's own headers stay.
 
     Null or unparsable urls meet by their own text, null urls with nothing; a null
-    time finds nothing. Records with equal ids are separate revisits but must not
-    be responses of one url and time. Other kinds are ignored.
+    time finds nothing. Ids may repeat: a response is meant by its url, time and id,
+    of several with all three equal the one of the least digest (nulls last); each
+    revisit row gives one row. Other kinds are ignored.
     """
     held = records.select(
         "record_id", "kind", canonical_url(F.col("url")).alias("canonical"), F.col("at").cast("double").alias("at"),
@@ -117,12 +119,15 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     held = scratch_table(held, "warc-records")
     points = held.select("canonical", "at", F.col("record_id").alias("id"), (F.col("kind") == RESPONSE).alias("full"))
     points = points.where("canonical is not null and at is not null")
-    found = latest_before(points, ["canonical"], bucket_seconds).select("canonical", "at", F.col("id").alias("record_id"), "found").distinct()
+    found = latest_before(points, ["canonical"], bucket_seconds).select("canonical", "at", F.col("id").alias("record_id"), "found", "found_at").distinct()
     revisits = held.where(F.col("kind") == REVISIT).join(found, ["canonical", "at", "record_id"], "left")
-    responses = held.where(F.col("kind") == RESPONSE).select(
-        F.col("record_id").alias("found"), F.col("fields").alias("stored"), F.col("digest").alias("payload")
+    responses = (
+        held.where(F.col("kind") == RESPONSE)
+        .groupBy("canonical", F.col("at").alias("found_at"), F.col("record_id").alias("found"))
+        .agg(F.min(F.struct(F.col("digest").isNull().alias("unknown"), "digest", F.to_json("fields").alias("json"))).alias("least"))
+        .select("canonical", "found_at", "found", F.from_json("least.json", "map<string, string>").alias("stored"), F.col("least.digest").alias("payload"))
     )
-    joined = revisits.drop("digest").join(responses, "found", "left")
+    joined = revisits.drop("digest").join(responses, ["canonical", "found_at", "found"], "left")
     tag, stored_tag = F.col("fields")["etag"], F.col("stored")["etag"]
     agrees = (
         F.when(tag.isNotNull(), _opaque(tag) == _opaque(stored_tag))
