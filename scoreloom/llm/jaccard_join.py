@@ -483,18 +483,28 @@ def jaccard_components(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without near duplicates: of each component the row with the smallest id stays.
+    """``docs`` without near duplicates: one row of each component stays, all its columns unchanged.
 
-    Rows are judged one by one: of rows that share an id, only those go whose own
-    text is in a component with a smaller id, or with the same id and another text
-    of a smaller hash. Rows without shingles and rows without id stay. Exact
-    repetitions of one row (same id and text) all stay or all go.
+    It is the row of the smallest id, rows without id last, and of equal ids the one
+    of the smaller hash of its text. Rows equal in both are reduced to one as well:
+    to the least by all columns in order. Rows without shingles (null, empty and
+    blank texts) are no duplicates of anything and all stay. An empty table gives
+    an empty result.
     """
     key, text_hash = "__row", F.xxhash64(F.col(text_col).cast("string"))
     # Null ids last, so that a component is named by a known id if it has one.
     rows = docs.withColumn(key, F.struct(F.col(id_col).isNull().alias("unknown"), F.col(id_col).alias("id"), text_hash.alias("text")))
-    found = jaccard_components(rows.select(key, text_col), key, text_col, words, percent)
-    gone = found.where(~F.col(f"{key}.unknown") & (F.col(key) != F.col("component_id"))).select(
-        F.col(f"{key}.id").alias("__id"), F.col(f"{key}.text").alias("__text")
-    ).distinct()
-    return docs.join(gone, (F.col(id_col) == F.col("__id")) & (text_hash == F.col("__text")), "left_anti")
+    found = jaccard_components(rows.select(key, text_col), key, text_col, words, percent).where("n_shingles > 0")
+    judged = found.groupBy(key).agg(F.count(F.lit(1)).alias("copies"), F.first("component_id").alias("component_id"))
+    judged = judged.withColumn("stays", F.col(key).eqNullSafe(F.col("component_id"))).where("copies > 1 or not stays")
+    judged = scratch_table(judged.select(F.col(f"{key}.id").alias("__id"), F.col(f"{key}.text").alias("__text"), "stays"), "judged-rows")
+
+    def same(row: DataFrame) -> Column:
+        return docs[id_col].eqNullSafe(row["__id"]) & (text_hash == row["__text"])
+
+    single = docs.join(judged, same(judged), "left_anti")
+    repeated = judged.where("stays")
+    # Copies meet after each task has reduced its own.
+    every = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    least = docs.join(repeated, same(repeated), "left_semi").groupBy(F.col(id_col).alias("__id"), text_hash.alias("__text")).agg(F.min(every).alias("__kept"))
+    return single.union(least.select(*[F.col("__kept").getField(c).alias(c) for c in docs.columns]))

@@ -72,7 +72,8 @@ def test_stages(spark, folder):
     assert sorted(map(repr, kept)) == sorted(repr(r) for r in given if r not in toxic)
 
     found = brute.jaccard([(r.doc_id, r.text) for r in kept], 5, 80)
-    expected = [r for r, (i, n, c) in zip(kept, found) if i is None or not n or i == c]
+    expected = [r for r, (i, n, c) in zip(kept, found) if not n]
+    expected += dict.fromkeys(r for r, (i, n, c) in zip(kept, found) if n and (i is None or i == c))  # repeated rows once
     assert len(expected) < len(kept)
     unique = step("near_duplicates", kept)
     assert sorted(map(repr, unique)) == sorted(map(repr, expected))
