@@ -3,21 +3,28 @@
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scoreloom.llm.scratch import scratch_table
 from scoreloom.llm.token_counts import _bytes_of_characters
 
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
+CACHED_PARTS = 1 << 17
 HELD_PAIRS = 1 << 19
 COMMON_PAIRS = 1 << 19
 _A_SHIFT, _B_MASK = 16, 0xFFFF
+_SAME = 1 << 33
+
+# Characters that no version of either library takes for a space, and the places between two parts.
+_SAFE = {chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x250))}
+_CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
 
 _KEPT = ("id", "row_key", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
@@ -50,18 +57,22 @@ class Tokenizers:
             raise ValueError("vocabularies of more than 65,536 ids")
         # Identity map: the B id with the same bytes as each A id, or -1.
         self.same = np.array([whole.get(p, single.get(p, -1)) for p in self.bytes_a], np.int64)
+        # Whether single spaces always part tokens, on both sides.
+        split = json.loads(file_a)["pre_tokenizer"] or {}
+        self.cuts = split.get("type") == "ByteLevel" and split.get("use_regex", True) and not any(b" " in p.lstrip(b" ") for p in self.bytes_b)
         self.encode_a: Encode = lambda texts: [e.ids for e in a.encode_batch_fast(texts, add_special_tokens=False)]
         self.encode_b: Encode = lambda texts: b.encode(texts, num_threads=1)
 
 
-def _ends(ids: list[list[int]], sizes: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``(ids, byte ends)`` of the tokens of consecutive texts, as one long text."""
-    flat = np.fromiter((i for row in ids for i in row), np.int64, int(of.sum()))
-    return flat, np.cumsum(sizes[flat])
-
-
 class Aligner:
-    """Aligns texts, a slice of rows at a time, with arrays over all their tokens."""
+    """Aligns texts part by part; parts are kept, as most come again.
+
+    A part ends before a single space between two characters that are surely no
+    spaces. No token of either side reaches over such a place: A splits there
+    before it merges, and no piece of B has a space after another character
+    (checked; else texts are one part each). So the parts of a text are
+    tokenized and grouped as in the whole.
+    """
 
     def __init__(self, tokenizers: Tokenizers):
         self.t = tokenizers
@@ -70,53 +81,111 @@ class Aligner:
         # Each id as text with what may follow it: more of its side, or the other side or group.
         n = max(len(self.sizes_a), len(self.sizes_b))
         self.more, self.to_b, self.to_next = (np.array([f"{i}{end}" for i in range(n)], object) for end in ",|;")
-
-    def tokens(self, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
-        """A and B ids of each text; none where the joined bytes are not a space and the text."""
-        asked = [i for i, text in enumerate(texts) if text]
-        a, b = [[] for _ in texts], [[] for _ in texts]
-        found_a = self.t.encode_a([" " + texts[i] for i in asked]) if asked else []
-        found_b = self.t.encode_b([texts[i] for i in asked]) if asked else []
-        bytes_a, bytes_b = self.t.bytes_a.__getitem__, self.t.bytes_b.__getitem__
-        for i, of_a, of_b in zip(asked, found_a, found_b):
-            data = b" " + texts[i].encode()
-            if b"".join(map(bytes_a, of_a)) == data and b"".join(map(bytes_b, of_b)) == data:
-                a[i], b[i] = of_a, of_b
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start anew without any part."""
+        self.known: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.counts = np.zeros((0, 4), np.int64)  # n_a, n_b, n_groups, n_links
+        self.given_back = np.zeros(0, bool)
+        self.link_keys, self.link_stops = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _one_by_one(self, parts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+        a, b = self.t.encode_a([" " + p for p in parts]), self.t.encode_b(parts)
+        for i, part in enumerate(parts):
+            data = b" " + part.encode()
+            if b"".join(map(self.t.bytes_a.__getitem__, a[i])) != data or b"".join(map(self.t.bytes_b.__getitem__, b[i])) != data:
+                a[i] = b[i] = []
         return a, b
 
-    def align(self, texts: list[str | None]) -> Iterator[tuple]:
-        """Per text the columns of ``_ALIGNED``."""
-        a, b = self.tokens(texts)
-        n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
-        ids_a, ends_a = _ends(a, self.sizes_a, n_a)
-        ids_b, ends_b = _ends(b, self.sizes_b, n_b)
-        # Texts end in both, so groups and links never reach over two texts.
+    def _together(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+        """``(ids, tokens per part)`` of both sides, from one text of all parts that safely ends each."""
+        text = " ".join(parts)
+        a, b = self.t.encode_a([" " + text])[0], self.t.encode_b([text])[0]
+        data = b" " + text.encode()
+        if b"".join(map(self.t.bytes_a.__getitem__, a)) != data or b"".join(map(self.t.bytes_b.__getitem__, b)) != data:
+            return None
+        stops = np.cumsum([1 + (len(p) if p.isascii() else len(p.encode())) for p in parts])
+        out = []
+        for ids, sizes in ((np.array(a, np.int64), self.sizes_a), (np.array(b, np.int64), self.sizes_b)):
+            ends = np.cumsum(sizes[ids])
+            at = np.searchsorted(ends, stops)
+            if not np.array_equal(ends[at], stops):
+                return None
+            out += [ids, np.diff(at + 1, prepend=0)]
+        return tuple(out)
+
+    def _learn(self, parts: list[str]) -> None:
+        safe = [p for p in parts if p[0] in _SAFE and p[-1] in _SAFE] if self.t.cuts else []
+        found = self._together(safe) if safe else None
+        rest = parts
+        if found:
+            self._add(safe, *found, np.ones(len(safe), bool))
+            rest = [p for p in parts if p not in self.known]
+        if rest:
+            a, b = self._one_by_one(rest)
+            n_a, n_b = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+            flat_a, flat_b = (np.array([i for ids in side for i in ids], np.int64) for side in (a, b))
+            self._add(rest, flat_a, n_a, flat_b, n_b, n_a > 0)
+
+    def _add(self, parts: list[str], ids_a: np.ndarray, n_a: np.ndarray, ids_b: np.ndarray, n_b: np.ndarray, given_back: np.ndarray) -> None:
+        """Groups and links of consecutive parts, with arrays over all their tokens."""
+        ends_a, ends_b = np.cumsum(self.sizes_a[ids_a]), np.cumsum(self.sizes_b[ids_b])
+        # Parts end in both, so groups and links never reach over two parts.
         common = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
         cuts = np.union1d(ends_a, ends_b)  # each piece between cuts is the overlap of one pair
         place_a, place_b = np.searchsorted(ends_a, cuts), np.searchsorted(ends_b, cuts)
         link_a, link_b = ids_a[place_a], ids_b[place_b]
-        stop_a, stop_b = np.cumsum(n_a), np.cumsum(n_b)
-        text_of_link = np.searchsorted(stop_a, place_a, "right")
+        part_of_a = np.repeat(np.arange(len(parts)), n_a)
         last_a = np.append(group_a[1:] != group_a[:-1], True)[: len(ids_a)]
         last_b = np.append(group_b[1:] != group_b[:-1], True)[: len(ids_b)]
         written = np.concatenate(
             [np.where(last_a, self.to_b[ids_a], self.more[ids_a]), np.where(last_b, self.to_next[ids_b], self.more[ids_b])]
-        )[np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")]
-        # Distinct pairs of each text: those of the identity map by A id, the others by both ids.
-        same = self.t.same[link_a] == link_b
+        )[np.argsort(np.concatenate([group_a * 2, group_b * 2 + 1]), kind="stable")].tolist()
+        stops = np.cumsum(n_a + n_b).tolist()
+        self.groups += ["".join(written[i:j])[:-1] for i, j in zip([0, *stops], stops)]
+        n_groups, n_links = (np.bincount(part_of_a[x], minlength=len(parts)) for x in (last_a, place_a))
+        # Pairs of the identity map are keyed by A id, the others by both ids.
+        keys = np.where(self.t.same[link_a] == link_b, _SAME | link_a, (link_a << _A_SHIFT) | link_b)
+        first = len(self.link_keys)
+        self.known.update(zip(parts, range(len(self.known), len(self.known) + len(parts))))
+        self.counts = np.concatenate([self.counts, np.stack([n_a, n_b, n_groups, n_links], axis=1)])
+        self.given_back = np.concatenate([self.given_back, given_back])
+        self.link_keys = np.concatenate([self.link_keys, keys])
+        self.link_stops = np.concatenate([self.link_stops, first + np.cumsum(n_links)])
+
+    def align(self, texts: list[str | None], with_groups: bool) -> Iterator[tuple]:
+        """Per text the columns of ``_ALIGNED``; nothing where a part is not given back byte by byte."""
+        cut = _CUT.split if self.t.cuts else lambda text: [text]
+        parts = [cut(text) if text else [] for text in texts]
+        needed = set().union(*parts)
+        if len(self.known) + len(needed) > CACHED_PARTS:
+            self._forget()
+        self._learn([p for p in needed if p not in self.known])
+        of_text = [[self.known[p] for p in of] for of in parts]
+        of_text = [of if self.given_back[of].all() else [] for of in of_text]
+        ids = np.array([i for of in of_text for i in of], np.int64)
+        row = np.repeat(np.arange(len(texts)), [len(of) for of in of_text])
+        counts = [np.bincount(row, self.counts[ids, k], minlength=len(texts)).astype(np.int64).tolist() for k in range(4)]
+        # Distinct parts of each text, then the distinct pairs of their links.
+        held, times = np.unique((row << 32) | ids, return_counts=True)
+        row, ids = held >> 32, held & 0xFFFFFFFF
+        n = self.counts[ids, 3]
+        stop = np.cumsum(n)
+        links = np.arange(int(n.sum())) + np.repeat(self.link_stops[ids] - stop, n)
+        pairs, at = np.unique((np.repeat(row, n) << 34) | self.link_keys[links], return_inverse=True)
+        total = np.bincount(at, np.repeat(times, n), minlength=len(pairs)).astype(np.int32)
+        keys, row = pairs & ((1 << 34) - 1), pairs >> 34
         lists = []
-        for rows, key in ((same, link_a), (~same, (link_a << _A_SHIFT) | link_b)):
-            pairs, n = np.unique((text_of_link[rows] << 32) | key[rows], return_counts=True)
-            lists.append((pairs & 0xFFFFFFFF, n, np.searchsorted(pairs >> 32, np.arange(len(texts) + 1))))
-        n_groups = np.bincount(np.searchsorted(stop_a, np.flatnonzero(last_a), "right"), minlength=len(texts))
-        n_links = np.bincount(text_of_link, minlength=len(texts))
-        at = np.concatenate([[0], np.cumsum(n_a + n_b)])
-        for i in range(len(texts)):
-            groups = "".join(written[at[i] : at[i + 1]])[:-1]
+        for rows in ((keys & _SAME) > 0, (keys & _SAME) == 0):
+            lists.append(((keys[rows] & 0xFFFFFFFF).astype(np.uint32).view(np.int32), total[rows], np.searchsorted(row[rows], np.arange(len(texts) + 1))))
+        for i, of in enumerate(of_text):
+            groups = ";".join([self.groups[k] for k in of])
             digest = hashlib.sha256(groups.encode()).hexdigest() if groups else ""
-            parts = [x[bounds[i] : bounds[i + 1]] for keys, n, bounds in lists for x in (keys, n)]
-            yield (int(n_a[i]), int(n_b[i]), int(n_groups[i]), int(n_links[i]), groups, digest, *parts)
+            found = [x[bounds[i] : bounds[i + 1]] for keys, n, bounds in lists for x in (keys, n)]
+            yield (*(c[i] for c in counts), groups if with_groups else "", digest, *found)
 
 
 def _slices(texts: list[str | None], limit: int = SLICE_CHARS) -> Iterator[list[str | None]]:
@@ -161,11 +230,7 @@ def align_tokens(
         for batch in batches:
             start = 0
             for part in _slices(batch.column("text").to_pylist()):
-                columns = list(zip(*aligner.align(part)))
-                if not with_groups:
-                    columns[4] = [""] * len(part)
-                for k in range(6, 10):  # unsigned pairs as the int of the same bits
-                    columns[k] = [x.astype(np.uint32).view(np.int32) for x in columns[k]]
+                columns = list(zip(*aligner.align(part, with_groups)))
                 arrays = [pa.array(c, f.type) for c, f in zip(columns, schema)]
                 yield pa.RecordBatch.from_arrays([batch.column("id").slice(start, len(part)), *arrays], ["id", *schema.names])
                 start += len(part)

@@ -89,6 +89,7 @@ def test_alignment_equals_the_plain_one(spark, files, monkeypatch, common, held)
     """Also with nearly no pair held in memory, when all counts come from the join."""
     monkeypatch.setattr(A, "HELD_PAIRS", held)
     monkeypatch.setattr(A, "SLICE_CHARS", 200)
+    monkeypatch.setattr(A, "CACHED_PARTS", held)
     rows = texts()
     docs = spark.createDataFrame([(i if i != 7 else None, t, "x", 1, "y", "z", "s") for i, t in enumerate(rows)], DOCS)
     got = A.token_alignment(docs.repartition(5), *files, common_pairs=common).collect()
