@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,29 +25,91 @@ SAMPLE_TEXTS = 2_000
 NATS_PER_CHAR = 0.5
 BACK_OFF = 20.0
 
-_SPAN = "struct<start:bigint,end:bigint,rank:int,kind:string>"
+# Long texts and strings are read in parts of so many code points.
+CHUNK = 1_024
 
+_FOUND = "struct<start:bigint,end:bigint,rank:int,kind:string,string:string,measured:string>"
 
-def _matches(text: str, pattern: str, group: int, least: int, rank: int, kind: str) -> Column:
-    """Spans of the leftmost matches of ``pattern`` whose ``group`` has ``least`` characters."""
+
+def _let(value: str, name: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _before(values: str, join: Callable[[str, str], str]) -> str:
+    """SQL array: what ``join`` makes of 0 and all values before each one of an array of longs.
+
+    ``join`` is associative. A list is extended by copying it, so the values are
+    taken in blocks of about the root of their number: no list grows with the text.
+    """
+
+    def steps(block: str, first: str) -> str:
+        return f"""aggregate({block}, struct({first} as at, cast(array() as array<bigint>) as out),
+          (acc, one) -> struct({join("acc.at", "one")} as at, concat(acc.out, array(acc.at)) as out), acc -> acc.out)"""
+
+    width = "cast(ceil(sqrt(size(longs))) as int)"
+    blocks = f"""if(size(longs) = 0, cast(array() as array<array<bigint>>),
+      transform(sequence(0, cast((size(longs) - 1) div {width} as int)), nth -> slice(longs, nth * {width} + 1, {width})))"""
+    totals = f"transform(blocks, block -> aggregate(block, 0L, (sum, one) -> {join('sum', 'one')}))"
+    each = f"flatten(zip_with(blocks, {steps(totals, '0L')}, (block, first) -> {steps('block', 'first')}))"
+    return _let(values, "longs", _let(blocks, "blocks", each))
+
+
+def _ends_before(spans: str) -> str:
+    """SQL array: the last end of the spans before each one."""
+    return _before(f"transform({spans}, s -> s.end)", lambda x, y: f"greatest({x}, {y})")
+
+
+def _chunks(text: str) -> str:
+    """SQL: a text in parts of ``CHUNK`` code points."""
+    return f"regexp_extract_all({text}, r'(?s).{{1,{CHUNK}}}', 0)"
+
+
+def _cut(chunks: str, start: str, end: str) -> str:
+    """SQL: the text from ``start`` to before ``end``, read from no more than the chunks it lies in."""
+    return f"""if({end} <= {start}, '', array_join(transform(
+      sequence({start} div {CHUNK}, ({end} - 1) div {CHUNK}),
+      nth -> substring(get({chunks}, cast(nth as int)),
+        cast(greatest({start} - nth * {CHUNK}, 0L) + 1 as int),
+        cast({end} - greatest({start}, nth * {CHUNK}) as int))), ''))"""
+
+
+def _replaced(text: str, spans: str, apart: str, mark: str) -> str:
+    """SQL: a text with a mark for each span, or what of it no earlier one covers, if ``apart`` holds.
+
+    ``spans`` are sorted by start. ``at`` is where the earlier ones end, ``i`` the number of the span.
+    """
+    pieces = f"""transform(ends, (at, i) -> {_let(f"get({spans}, i)", "s", f"if({apart}, concat({_cut('chunks', 'at', 's.start')}, {mark}), '')")})"""
+    last = f"aggregate({spans}, 0L, (at, s) -> greatest(at, s.end))"
+    rest = _let(last, "at", _cut("chunks", "at", f"cast(length({text}) as bigint)"))
+    return _let(_chunks(text), "chunks", _let(_ends_before(spans), "ends", f"concat(array_join({pieces}, ''), {rest})"))
+
+
+def _matches(text: str, pattern: str, group: int, least: int, rank: int, kind: str) -> str:
+    """SQL: spans of the leftmost matches of ``pattern`` whose ``group`` has ``least`` characters.
+
+    Each has its string too.
+    """
     quoted = "r'" + pattern.replace("'", r"\x27") + "'"
-    none = f"cast(array() as array<{_SPAN}>)"
-    return F.expr(
-        f"""if(coalesce({text} rlike {quoted}, false), aggregate(
-          arrays_zip(
-            split({text}, {quoted}),
-            regexp_extract_all({text}, {quoted}, 0),
-            regexp_extract_all({text}, {quoted}, {group})),
-          struct(0L as at, {none} as spans),
-          (s, m) -> if(m.`1` is null, s, struct(
-            s.at + length(m.`0`) + length(m.`1`) as at,
-            if(length(m.`2`) >= {least},
-              concat(s.spans, array(struct(
-                s.at + length(m.`0`) as start, s.at + length(m.`0`) + length(m.`1`) as end,
-                {rank} as rank, '{kind}' as kind))),
-              s.spans) as spans)),
-          s -> s.spans), {none})"""
+    spans = f"""filter(
+      transform(befores, (at, i) -> struct(
+        at + length(get(gaps, i)) as start, at + length(get(gaps, i)) + length(get(found, i)) as end,
+        {rank} as rank, '{kind}' as kind, get(found, i) as string, get(measured, i) as measured)),
+      m -> length(m.measured) >= {least})"""
+    befores = _before("transform(found, (m, i) -> cast(length(get(gaps, i)) + length(m) as bigint))", lambda x, y: f"{x} + {y}")
+    spans = _let(
+        f"split({text}, {quoted})", "gaps",
+        _let(
+            f"regexp_extract_all({text}, {quoted}, 0)", "found",
+            _let(f"regexp_extract_all({text}, {quoted}, {group})", "measured", _let(befores, "befores", spans)),
+        ),
     )
+    return f"if(coalesce({text} rlike {quoted}, false), {spans}, cast(array() as array<{_FOUND}>))"
+
+
+def _plain(found: str) -> str:
+    """SQL: spans without their strings."""
+    return f"transform({found}, m -> struct(m.start as start, m.end as end, m.rank as rank, m.kind as kind))"
 
 
 def with_base_spans(docs: DataFrame, text: str = "text", name: str = "base") -> DataFrame:
@@ -54,7 +117,7 @@ def with_base_spans(docs: DataFrame, text: str = "text", name: str = "base") ->
 
     Places are in code points, ``end`` exclusive. Null and empty texts have none.
     """
-    parts = [_matches(text, p, g, n, i, kind) for i, (kind, p, g, n) in enumerate(KINDS)]
+    parts = [F.expr(_plain(_matches(text, p, g, n, i, kind))) for i, (kind, p, g, n) in enumerate(KINDS)]
     return docs.withColumn(name, F.array_sort(F.concat(*parts)))
 
 
@@ -127,42 +190,38 @@ def log_ratio(string: str, model: list[float]) -> str:
     """SQL of the log-likelihood ratio of a string, random over ordinary; unknown characters count 0."""
     size = len(ALPHABET)
     table = ",".join(f"{v:.6f}" for v in model)
-    return f"""aggregate(
-      zip_with(
-        slice(split({string}, ''), 1, length({string}) - 1), slice(split({string}, ''), 2, length({string}) - 1),
-        (x, y) -> if(instr('{ALPHABET}', x) > 0 and instr('{ALPHABET}', y) > 0,
-          element_at(cast(split('{table}', ',') as array<double>),
-            (instr('{ALPHABET}', x) - 1) * {size} + instr('{ALPHABET}', y)), 0D)),
-      0D, (s, v) -> s + v)"""
+    # Each part is scored with the first character of the next one.
+    part = "split(concat(part, coalesce(substring(get(parts, i + 1), 1, 1), '')), '')"
+    pairs = _let(
+        part, "chars",
+        f"""aggregate(
+          zip_with(
+            slice(chars, 1, size(chars) - 1), slice(chars, 2, size(chars) - 1),
+            (x, y) -> if(instr('{ALPHABET}', x) > 0 and instr('{ALPHABET}', y) > 0,
+              element_at(cast(split('{table}', ',') as array<double>),
+                (instr('{ALPHABET}', x) - 1) * {size} + instr('{ALPHABET}', y)), 0D)),
+          0D, (s, v) -> s + v)""",
+    )
+    return _let(_chunks(string), "parts", f"aggregate(transform(parts, (part, i) -> {pairs}), 0D, (s, v) -> s + v)")
 
 
 def secret_spans(docs: DataFrame, model: list[float], nats_per_char: float = NATS_PER_CHAR, text_col: str = "text") -> DataFrame:
     """``docs`` with ``base`` and ``spans``: pattern spans, and these with the random strings.
 
-    Pattern spans are cut out of each run of key characters. A run, or a piece that
-    is left of it, of 20 or more characters is random if its log-likelihood ratio
-    is at least ``nats_per_char`` for each of its pairs.
+    Pattern spans are blanked out of the text. A run of 20 or more key characters
+    in the rest is random if its log-likelihood ratio is at least
+    ``nats_per_char`` for each of its pairs.
     Spans are ``struct<start, end, rank, kind>`` in code points, by start, then
-    kind. Null and empty texts have none. Whole texts are scanned.
+    kind. Null and empty texts have none. Whole texts are scanned, in a time that
+    hardly grows faster than their length.
     """
     text = "__text"
     found = with_base_spans(docs.withColumn(text, F.coalesce(F.col(text_col).cast("string"), F.lit(""))), text, "base")
-    found = found.withColumn("__long", _matches(text, CANDIDATE, 0, 1, len(KINDS), RANDOM))
-    piece = f"if({{end}} - a.at >= {LONG}, concat(a.out, array(struct(a.at as start, {{end}} as end, c.rank as rank, c.kind as kind))), a.out)"
-    apart = F.expr(
-        f"""flatten(transform(__long, c -> aggregate(
-          filter(base, b -> b.start < c.end and b.end > c.start),
-          struct(c.start as at, cast(array() as array<{_SPAN}>) as out),
-          (a, b) -> struct(greatest(a.at, b.end) as at, {piece.format(end="b.start")} as out),
-          a -> {piece.format(end="c.end")})))"""
-    )
-    string = f"substring({text}, cast(c.start + 1 as int), cast(c.end - c.start as int))"
-    random = f"filter(__apart, c -> {log_ratio(string, model)} >= {float(nats_per_char)}D * (c.end - c.start - 1))"
-    return (
-        found.withColumn("__apart", apart)
-        .withColumn("spans", F.array_sort(F.concat("base", F.expr(random))))
-        .drop(text, "__long", "__apart")
-    )
+    blank = "repeat(' ', cast(s.end - greatest(s.start, at) as int))"
+    rest = f"if(size(base) = 0, {text}, {_replaced(text, 'base', 's.end > at', blank)})"
+    score = _let("m.string", "string", f"{log_ratio('string', model)} >= {float(nats_per_char)}D * (m.end - m.start - 1)")
+    random = _plain(f"filter({_matches('rest', CANDIDATE, 0, LONG, len(KINDS), RANDOM)}, m -> {score})")
+    return found.withColumn("spans", F.array_sort(F.concat("base", F.expr(_let(rest, "rest", random))))).drop(text)
 
 
 def listed(spans: str) -> Column:
@@ -171,12 +230,8 @@ def listed(spans: str) -> Column:
 
 
 def redacted(text: str, spans: str, mark: str = "[SECRET]") -> Column:
-    """Text with each run of overlapping spans replaced by ``mark``; null stays null."""
-    return F.expr(
-        f"""if(size({spans}) = 0, {text}, aggregate({spans}, struct(0L as at, '' as out),
-          (a, s) -> if(s.start < a.at or (s.start = a.at and a.at > 0),
-            struct(greatest(a.at, s.end) as at, a.out as out),
-            struct(s.end as at,
-              concat(a.out, substring({text}, cast(a.at + 1 as int), cast(s.start - a.at as int)), '{mark}') as out)),
-          a -> concat(a.out, substring({text}, cast(a.at + 1 as int)))))"""
-    )
+    """Text with each run of overlapping or touching spans replaced by ``mark``; null stays null.
+
+    ``spans`` are sorted by start.
+    """
+    return F.expr(f"if(size({spans}) = 0, {text}, {_replaced(text, spans, 'i = 0 or s.start > at', f"'{mark}'")})")
