@@ -33,14 +33,15 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component AS compon
 FROM docs LEFT JOIN sizes USING (doc_id) JOIN components ON doc_id = node"""
 
 
-def urls_sql(rules: tuple[tuple[str, str, str], ...], threshold: float = 0.02, majority: float = 0.5, damping: float = 0.85, rounds: int = 10) -> str:
+def urls_sql(rules: tuple[tuple[str, str, str], ...], threshold: float = 0.02, majority: float = 0.5, damping: float = 0.85, tolerance: float = 1e-6, pages: str = "pages") -> str:
+    """Each round passes on what the last one brought, until what is still to come is within the tolerance."""
     fits = " ".join(
         f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN '{{0}}'".replace("{0}", f"{v} {h}{p}")
         for v, h, p in sorted(rules, key=lambda r: -len(r[1] + r[2]))
     )
     lowered = f"translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}')"
     ctes = [
-        "cut AS (SELECT page_id, html, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM pages)",
+        f"cut AS (SELECT page_id, html, CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) END AS rest FROM {pages})",
         f"parsed AS (SELECT page_id, html, coalesce({lowered}, '') AS host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut)",
         f"ruled AS (SELECT *, CASE {fits} END AS hit FROM parsed)",
         "judged AS (SELECT page_id, html, host, path, split_part(hit, ' ', 2) AS rule, split_part(hit, ' ', 1) AS verdict FROM ruled)",
@@ -53,21 +54,30 @@ def urls_sql(rules: tuple[tuple[str, str, str], ...], threshold: float = 0.02, m
     for name, source, target in (("allow", "s", "t"), ("block", "t", "s")):
         ctes += [
             f"{name}_parts AS (SELECT {source} AS x, {target} AS y, n / sum(n) OVER (PARTITION BY {source}) AS part FROM edges)",
-            f"{name}_0 AS (SELECT host, {name} AS score FROM shares WHERE {name} > {majority})",
+            f"{name}_rounds AS (SELECT host, score, sum(score) OVER () AS brought, 0 AS round FROM "
+            f"(SELECT host, {name} * (1 - {damping}) AS score FROM shares WHERE {name} > {majority}) "
+            f"UNION ALL SELECT host, score, sum(score) OVER (), round FROM (SELECT y AS host, sum(score * part * {damping}) AS score, round + 1 AS round "
+            f"FROM {name}_rounds JOIN {name}_parts ON x = host WHERE brought * {damping} / (1 - {damping}) > {tolerance} GROUP BY y, round))",
+            f"{name}_scores AS (SELECT host, sum(score) AS score FROM {name}_rounds GROUP BY host)",
         ]
-        for i in range(1, rounds + 1):
-            ctes.append(
-                f"{name}_{i} AS (SELECT host, sum(score) AS score FROM (SELECT y AS host, score * part * {damping} AS score FROM {name}_parts JOIN {name}_{i - 1} ON x = host "
-                f"UNION ALL SELECT host, score * (1 - {damping}) FROM {name}_0) u GROUP BY host)"
-            )
     return (
-        "WITH " + ",\n".join(ctes) + f"""
+        "WITH RECURSIVE " + ",\n".join(ctes) + f"""
 SELECT page_id, j.host, path, nullif(rule, '') AS rule,
   CASE WHEN verdict <> '' THEN verdict WHEN coalesce(d.score, 0) >= {threshold} AND coalesce(d.score, 0) > coalesce(a.score, 0) THEN 'block' ELSE 'allow' END AS verdict
-FROM judged j LEFT JOIN allow_{rounds} a ON a.host = j.host LEFT JOIN block_{rounds} d ON d.host = j.host"""
+FROM judged j LEFT JOIN allow_scores a ON a.host = j.host LEFT JOIN block_scores d ON d.host = j.host"""
     )
 
 
+def linked_urls_sql(rules: tuple[tuple[str, str, str], ...], damping: float, tolerance: float) -> str:
+    """``urls_sql`` over pages that link to others by id."""
+    linked = """(
+  SELECT p.page_id, replace(p.url, '://', concat('://n', p.page_id, '.')) AS url,
+    (SELECT string_agg(concat('<a href="//n', q.page_id, '.', regexp_extract(q.url, '://([^/?#]*)', 1), '/">x</a>'), '')
+     FROM pages q WHERE q.page_id <> p.page_id AND (q.page_id = p.page_id + 1 OR q.page_id = p.page_id // 2)) AS html
+  FROM pages p)"""
+    return urls_sql(rules, damping=damping, tolerance=tolerance, pages=linked)
+
+
 def embeddings_sql(threshold: float = 0.98) -> str:
     return f"""
 WITH RECURSIVE vectors AS (

@@ -13,7 +13,7 @@ from scoreloom.llm.decontaminate import contamination
 from scoreloom.llm.embedding_dedup import embedding_links
 from scoreloom.llm.jaccard_join import jaccard_components
 from scoreloom.llm.mixing import mix_sources
-from scoreloom.llm.oracles import contamination_sql, embeddings_sql, jaccard_sql, spelling_sql, urls_sql
+from scoreloom.llm.oracles import contamination_sql, embeddings_sql, jaccard_sql, linked_urls_sql, spelling_sql, urls_sql
 from scoreloom.llm.quality import quality_scores, train_quality
 from scoreloom.llm.repeats import repeated_passages
 from scoreloom.llm.secret_scan import KINDS, listed, markov_samples, secret_spans, train_markov
@@ -23,6 +23,9 @@ from scoreloom.llm.toxicity import toxicity_scores, train_toxicity
 from scoreloom.llm.url_filter import judge_urls
 from scoreloom.llm.warc import captures_of_pages, resolve_revisits
 
+# Fewer rounds than by default, for the query over a derived web.
+LINK_DAMPING, LINK_TOLERANCE = 0.6, 1e-4
+
 # Rules of the url filter: verdict, host, path.
 URL_RULES = (
     ("allow", "com", "/"),
@@ -68,6 +71,20 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(_table(spark, folder, "pages"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def url_trust_over_links(spark: SparkSession, folder: str) -> DataFrame:
+    """The url filter over ``pages`` as a web of one host each, which links to the next page's and to that of half its id."""
+    pages = _table(spark, folder, "pages").select("page_id", "url")
+    host = F.regexp_extract("url", "://([^/?#]*)", 1)
+    link = F.concat(F.lit('<a href="//n'), F.col("page_id").cast("string"), F.lit("."), host, F.lit('/">x</a>'))
+    targets = pages.select(F.col("page_id").alias("target"), link.alias("link"))
+    ids = pages.select("page_id", F.explode(F.array_distinct(F.array(F.col("page_id") + 1, F.expr("page_id div 2")))).alias("target"))
+    html = ids.where("page_id <> target").join(targets, "target").groupBy("page_id").agg(F.array_join(F.collect_set("link"), "").alias("html"))
+    url = F.replace("url", F.lit("://"), F.concat(F.lit("://n"), F.col("page_id").cast("string"), F.lit(".")))
+    web = pages.join(html, "page_id", "left").withColumn("url", url)
+    judged = judge_urls(web, URL_RULES, damping=LINK_DAMPING, tolerance=LINK_TOLERANCE)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def held_out(doc_id: str = "doc_id", parts: int = 3, part: int = 1) -> Column:
     """Documents whose labels are never learned from."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))
@@ -138,6 +155,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op3_jaccard_join,
             op4_revisit_resolution,
             op5_url_filter,
+            url_trust_over_links,
             op6_toxicity,
             op7_source_mixing,
             op8_embedding_dedup,
@@ -155,6 +173,7 @@ def llm_oracles() -> dict[str, str]:
     return {
         "op3_jaccard_join": jaccard_sql(),
         "op5_url_filter": urls_sql(URL_RULES),
+        "url_trust_over_links": linked_urls_sql(URL_RULES, LINK_DAMPING, LINK_TOLERANCE),
         "op8_embedding_dedup": embeddings_sql(),
         "op10_decontamination": contamination_sql(),
         "op11_spelling_variants": spelling_sql(),

@@ -97,7 +97,15 @@ def matches(automaton: ahocorasick.Automaton | None, text: str) -> list[tuple[in
             elif weight > best.get(start, 0.0):
                 best[start] = weight
     if excused:
-        best = {s: w for s, w in best.items() if not any(a <= s < b for a, b in excused)}
+        # Both in order of start: a word is excused if an earlier start reaches beyond it.
+        excused.sort()
+        kept, reach, i = [], -1, 0
+        for start, weight in sorted(best.items()):
+            while i < len(excused) and excused[i][0] <= start:
+                reach, i = max(reach, excused[i][1]), i + 1
+            if start >= reach:
+                kept.append((start, weight))
+        return kept
     return sorted(best.items())
 
 

@@ -11,7 +11,10 @@ from scoreloom.llm.scratch import scratch_table
 from scoreloom.storage import new_path
 
 ALLOW, BLOCK = "allow", "block"
-MAX_RULES = 1_000
+# More rules than these are joined as a table.
+FEW_RULES = 1_000
+# Parts of a hot host in joins with rules.
+SALTS = 32
 LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?((?:[a-z][a-z0-9+.-]*:)?//[^"'\s<>]+)"""
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -36,17 +39,48 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]]) -
     """``struct<rule, verdict>`` of the longest fitting rule ``(verdict, host, path)``, else null.
 
     A rule fits its host and all subdomains if the path starts with the rule's.
-    Of equally long ones a blocking rule wins.
+    Of equally long ones a blocking rule wins, then the one of the longest host.
     """
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"at most {MAX_RULES} rules")
     found = F.lit(None).cast("struct<rule:string,verdict:string>")
-    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == BLOCK)):
+    for verdict, rule_host, rule_path in sorted(rules, key=lambda r: (len(r[1] + r[2]), r[0] == BLOCK, len(r[1]))):
         fits = ((host == rule_host) | F.endswith(host, F.lit("." + rule_host))) & F.startswith(path, F.lit(rule_path))
         found = F.when(fits, F.struct(F.lit(rule_host + rule_path).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
     return found
 
 
+def rules_joined(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """``(host, path, __rule)`` of each distinct ``(host, path)`` that a rule of the table fits, see ``rule_of``.
+
+    ``rules`` are ``(verdict, host, path)``, any number of them; those with a null
+    fit nothing. The ends of a host, at most as many labels as a rule has, meet the
+    lengths of the paths in rules of that host, and the path's beginnings of these
+    lengths meet the rules. Both joins are on equality, and hosts of many urls are salted.
+    """
+    rules = scratch_table(rules.select("verdict", "host", "path").dropna().distinct(), "urls-rules")
+    labels = F.size(F.split("host", r"\."))
+    deepest = rules.agg(F.max(labels)).first()[0] or 0
+    salted = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    lengths = rules.groupBy("host").agg(F.collect_set(F.length("path")).alias("lengths"))
+    lengths = lengths.select(F.col("host").alias("end"), "lengths", salted)
+    known = rules.select(F.col("host").alias("end"), F.col("path").alias("begin"), "verdict", salted)
+    ends = f"""transform(
+      sequence(1, least(size(split(host, r'\\.')), {deepest})),
+      n -> substring_index(host, '.', -n))"""
+    urls = urls.select("host", "path").distinct().withColumn("salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)).cast("int"))
+    ended = urls.where(F.lit(deepest) > 0).withColumn("end", F.explode(F.expr(ends))).join(lengths, ["end", "salt"])
+    begun = ended.withColumn("length", F.explode("lengths")).where("length <= length(path)")
+    begun = begun.withColumn("begin", F.expr("substring(path, 1, length)"))
+    fits = begun.join(known, ["end", "begin", "salt"]).groupBy("host", "path").agg(
+        F.max(
+            F.struct(
+                (F.length("end") + F.length("begin")).alias("n"), (F.col("verdict") == BLOCK).alias("blocks"), F.length("end").alias("m"),
+                F.concat("end", "begin").alias("rule"), "verdict",
+            )
+        ).alias("best")
+    )
+    return fits.select("host", "path", F.struct(F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict")).alias("__rule"))
+
+
 def host_edges(pages: DataFrame, host: str, html: str) -> DataFrame:
     """``(source, target, weight)``: how many links pages of one host have to another."""
     links = F.array_distinct(F.regexp_extract_all(F.col(html), F.lit(LINK), 1))
@@ -98,7 +132,7 @@ def personal_rank(edges: DataFrame, seeds: DataFrame, damping: float, tolerance:
 
 def judge_urls(
     pages: DataFrame,
-    rules: Sequence[tuple[str, str, str]],
+    rules: Sequence[tuple[str, str, str]] | DataFrame,
     threshold: float = 0.02,
     majority: float = 0.5,
     damping: float = 0.85,
@@ -109,6 +143,7 @@ def judge_urls(
 ) -> DataFrame:
     """``(<id>, host, path, rule, verdict, trust, distrust)`` of every row of ``pages``.
 
+    ``rules`` are a list or, for any number, a table of ``(verdict, host, path)``.
     A url that a rule fits has the verdict of the longest one. Hosts with more
     than ``majority`` of their pages allowed by rules are trusted seeds, with as
     many blocked they are blocked seeds, of a weight of that part. Trust flows
@@ -123,7 +158,13 @@ def judge_urls(
     read = pages.select(
         F.col(id_col), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"),
         F.col(html_col).cast("string").alias("__html"),
-    ).withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules))
+    )
+    if not isinstance(rules, DataFrame) and len(rules) > FEW_RULES:
+        rules = pages.sparkSession.createDataFrame(list(rules), "verdict string, host string, path string")
+    if isinstance(rules, DataFrame):
+        read = read.join(rules_joined(read, rules), ["host", "path"], "left")
+    else:
+        read = read.withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules))
     judged = scratch_table(
         read.select(id_col, "host", "path", F.col("__rule.rule").alias("rule"), F.col("__rule.verdict").alias("verdict")),
         "urls-judged",
