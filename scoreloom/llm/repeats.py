@@ -1,4 +1,10 @@
-"""Repeated passages: sparse suffixes at minimiser positions, extended left and right."""
+"""Repeated passages: a sorted array of sparse suffixes at minimiser positions.
+
+Suffixes start where a word gram is the smallest of its window, so equal passages
+have them at equal places. They are dealt by ranges and sorted; neighbours with
+equal first words are extended to the right in this order, and to the left in the
+order of the words before.
+"""
 
 from __future__ import annotations
 
@@ -16,6 +22,7 @@ from scoreloom.llm.words import AS_IS, NOT_SPACE, mix, shingle_hashes, text_slic
 GRAM = 4
 ANCHOR_BITS = 1 << 26
 PLACE_BITS = 1 << 26
+BLOCK_ROWS = 2_000
 
 
 def _slide(values: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
@@ -44,6 +51,17 @@ def anchor_places(grams: np.ndarray, of: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(highest == grams)
 
 
+def run_hashes(words: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """Two independent hashes of the ``k`` words from each place on."""
+    out = np.zeros((2, len(at)), np.uint64)
+    factors = mix(np.arange(1, 2 * k + 1, dtype=np.uint64)).reshape(2, k) | np.uint64(1)
+    for j in range(k):
+        word = words[at + j]
+        out[0] += word * factors[0, j]
+        out[1] += mix(word) * factors[1, j]
+    return mix(out)
+
+
 def place_key(row_keys: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Hash of a row and a place in it."""
     return mix(row_keys ^ mix(at.astype(np.uint64)))
@@ -60,15 +78,14 @@ class _Passages:
         self.suffix = words - self.window + 1  # the first anchor of a passage has so many words after it
 
     def slices(self, batch: pa.RecordBatch) -> Iterator[tuple]:
-        """Per slice: first row, words of a row, bounds, row of each word, hashes, and anchors with a suffix."""
+        """Per slice: first row, bounds of the rows, row of each word, word hashes, and anchors with a suffix."""
         for first, data, offsets in text_slices(batch.column("text")):
             inside, starts, ends, of = word_spans(data, offsets, NOT_SPACE)
             hashes = word_hashes(data, inside, starts, ends, AS_IS)
             bounds = np.searchsorted(starts, offsets)
             anchors = anchor_places(shingle_hashes(hashes, GRAM), of, self.window)
             anchors = anchors[anchors + self.suffix <= bounds[of[anchors] + 1]] if len(anchors) else anchors
-            keys = shingle_hashes(hashes, self.suffix)[anchors]
-            yield first, bounds, of, hashes, anchors, keys
+            yield first, bounds, of, hashes, anchors, run_hashes(hashes, anchors, self.suffix)[0]
 
     def suffixes(self):
         """Key and number of the sparse suffixes of each slice."""
@@ -84,7 +101,7 @@ class _Passages:
     def extended(self, shared: np.ndarray):
         """Suffixes with a twin, extended both ways by what any passage over them can reach.
 
-        ``whole`` is the key of the extended match, null where the text ends first.
+        ``whole`` and ``check`` are 128 bits of the extended match, null where the text ends first.
         """
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,129 +113,225 @@ class _Passages:
                     rows = of[anchors]
                     left, right = anchors - self.window + 1, anchors + self.words
                     fits = (left >= bounds[rows]) & (right <= bounds[rows + 1])
-                    spans = shingle_hashes(hashes, self.words + self.window - 1)
-                    whole = np.zeros(len(anchors), np.uint64)
-                    whole[fits] = spans[left[fits]]
+                    both = np.zeros((2, len(anchors)), np.uint64)
+                    both[:, fits] = run_hashes(hashes, left[fits], self.words + self.window - 1)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column("row_key").take(pa.array(first + rows)),
                             pa.array(anchors - bounds[rows]),
                             pa.array(keys.view(np.int64)),
-                            pa.array(whole.view(np.int64), mask=~fits),
+                            *(pa.array(h.view(np.int64), mask=~fits) for h in both),
                             pa.array(place_key(row_keys[first + rows], anchors - bounds[rows]).view(np.int64)),
                         ],
-                        ["row_key", "at", "key", "whole", "place"],
+                        ["row_key", "at", "key", "whole", "check", "place"],
                     )
 
         return run
 
-    def windows(self, edges: np.ndarray):
-        """Key and number of all passages that hold an edge suffix."""
+    def _open(self, batch: pa.RecordBatch, keys_wanted: np.ndarray, places_wanted: np.ndarray) -> Iterator[tuple]:
+        """Slices with those anchors whose key and place are in the bitmaps."""
+        row_keys = batch.column("row_key").to_numpy().view(np.uint64)
+        for first, bounds, of, hashes, anchors, keys in self.slices(batch):
+            anchors = anchors[has_bit(keys_wanted, keys)]
+            rows = of[anchors]
+            stay = has_bit(places_wanted, place_key(row_keys[first + rows], anchors - bounds[rows]))
+            anchors, rows = anchors[stay], rows[stay]
+            yield first + rows, bounds[rows], bounds[rows + 1], hashes, anchors
+
+    def entries(self, keys_wanted: np.ndarray, hot: np.ndarray, places_wanted: np.ndarray):
+        """Entries of the suffix array: the first words of the suffix in blocks, and the words around them.
+
+        ``suffix`` orders by words (their hashes, in blocks of ``GRAM``), ``right`` goes on
+        word by word, ``left`` goes back from the anchor. Beyond the text there are zeros.
+        """
+        blocks = [*range(0, self.suffix - GRAM, GRAM), self.suffix - GRAM]
+        wanted = keys_wanted & ~hot
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for _, bounds, of, hashes, anchors, keys in self.slices(batch):
-                    places = self._starts(anchors[has_bit(edges, keys)], of)
-                    found, n = np.unique(shingle_hashes(hashes, self.words)[places], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
+                for rows, low, high, hashes, anchors in self._open(batch, wanted, places_wanted):
+                    grams = shingle_hashes(hashes, GRAM)
+                    last = len(hashes) - 1
+                    n_left = np.minimum(anchors - low, self.window - 1)
+                    n_right = np.minimum(high - anchors - self.suffix, self.window - 1)
+                    left, right = (np.zeros((len(anchors), self.window - 1), np.uint64) for _ in range(2))
+                    for j in range(self.window - 1):
+                        left[:, j] = np.where(j < n_left, hashes[np.maximum(anchors - 1 - j, 0)], 0)
+                        right[:, j] = np.where(j < n_right, hashes[np.minimum(anchors + self.suffix + j, last)], 0)
+                    suffix = grams[anchors[:, None] + np.array(blocks)]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column("row_key").take(pa.array(rows)),
+                            pa.array(anchors - low),
+                            *(_binary(m) for m in (suffix, right, left)),
+                            pa.array(n_right),
+                            pa.array(n_left),
+                        ],
+                        ["row_key", "at", "suffix", "right", "left", "n_right", "n_left"],
+                    )
 
         return run
 
-    def places(self, shared: np.ndarray, settled: np.ndarray, repeated: np.ndarray):
-        """The places of repeated passages that hold a shared suffix with no whole match."""
+    def neighbours(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Spans of repeated passages from entries in suffix order; a suffix is whole in one partition."""
+        kept = None
+        for batch in batches:
+            kept = pa.Table.from_batches([batch] if kept is None else [*kept.to_batches(), batch])
+            suffix = kept.column("suffix")
+            at = len(kept) - 1
+            while at > 0 and suffix[at - 1] == suffix[len(kept) - 1]:
+                at -= 1
+            if at:
+                yield self._matched(kept.slice(0, at))
+                kept = kept.slice(at)
+        if kept is not None and len(kept):
+            yield self._matched(kept)
+
+    def _matched(self, table: pa.Table) -> pa.RecordBatch:
+        """Passages that two entries of one suffix share, with their extensions to the left and right.
+
+        Equal to the right by k words more are runs of the suffix order in which each
+        entry agrees with its neighbour so far; equal to the left by d words, runs of
+        the order by the words before. Entries in the same run of both share a passage.
+        """
+        suffix, right, left = (_matrix(table.column(c)) for c in ("suffix", "right", "left"))
+        row_key, at, n_right, n_left = (table.column(c).to_numpy() for c in ("row_key", "at", "n_right", "n_left"))
+        most, m = self.window - 1, len(table)
+        block = np.cumsum(np.concatenate(([True], (suffix[1:] != suffix[:-1]).any(axis=1))))
+        order = np.lexsort((*right.T[::-1], block))
+        back = np.lexsort((*left.T[::-1], block))
+        to_right, to_left = _common(right[order], block[order]), _common(left[back], block[back])
+        place = np.lexsort((at, row_key))
+        state = np.zeros((m, most + 2), np.int8)
+        run_right, run_left = np.zeros(m, np.int64), np.zeros(m, np.int64)
+        for d in range(most + 1):
+            run_right[order] = np.cumsum(to_right < most - d)
+            run_left[back] = np.cumsum(to_left < d)
+            here = place[(n_left[place] >= d) & (n_right[place] >= most - d)]
+            _, lead, of, n = np.unique(
+                run_left[here] * (m + 1) + run_right[here], return_index=True, return_inverse=True, return_counts=True
+            )
+            state[here, d] = np.where(n[of] > 1, np.where(lead[of] == np.arange(len(here)), 1, 2), 0)
+        # Passages that start at consecutive words are one span.
+        flat = state.ravel()
+        cut = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1])))
+        stop = np.concatenate((cut[1:], [len(flat)])) - 1
+        stay = flat[cut] > 0
+        cut, stop = cut[stay], stop[stay]
+        entry = cut // (most + 2)
+        start, end = at[entry] - stop % (most + 2), at[entry] - cut % (most + 2) + self.words
+        return pa.RecordBatch.from_arrays(
+            [pa.array(row_key[entry]), pa.array(start), pa.array(end), pa.array(flat[cut] == 1)],
+            ["row_key", "start", "end", "first"],
+        )
+
+    def places(self, hot: np.ndarray, places_wanted: np.ndarray):
+        """Every passage over an anchor of a hot suffix, with 128 bits of its words."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                row_keys = batch.column("row_key").to_numpy().view(np.uint64)
-                for first, bounds, of, hashes, anchors, keys in self.slices(batch):
-                    rows = of[anchors]
-                    open_ = has_bit(shared, keys) & has_bit(settled, place_key(row_keys[first + rows], anchors - bounds[rows]))
-                    starts = self._starts(anchors[open_], of)
-                    found = shingle_hashes(hashes, self.words)[starts]
-                    stay = has_bit(repeated, found)
-                    starts, found = starts[stay], found[stay]
-                    rows = of[starts]
+                for rows, low, high, hashes, anchors in self._open(batch, hot, places_wanted):
+                    starts = anchors[:, None] - np.arange(self.window)
+                    of, d = np.nonzero((starts >= low[:, None]) & (starts + self.words <= high[:, None]))
+                    starts, once = np.unique(starts[of, d], return_index=True)  # over several anchors, yet one place
+                    of = of[once]
+                    key, check = run_hashes(hashes, starts, self.words)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("row_key").take(pa.array(first + rows)),
-                            pa.array(starts - bounds[rows]),
-                            pa.array(found.view(np.int64)),
+                            batch.column("row_key").take(pa.array(rows[of])),
+                            pa.array(starts - low[of]),
+                            pa.array(key.view(np.int64)),
+                            pa.array(check.view(np.int64)),
                         ],
-                        ["row_key", "start", "key"],
+                        ["row_key", "start", "key", "check"],
                     )
 
         return run
 
-    def _starts(self, anchors: np.ndarray, of: np.ndarray) -> np.ndarray:
-        """Starts of the passages within one text that hold the whole suffix of an anchor."""
-        n = len(of) - self.words + 1
-        if n <= 0 or not len(anchors):
-            return np.zeros(0, np.int64)
-        return np.flatnonzero(self._reach(anchors, n) & (of[:n] == of[self.words - 1 :]))
 
-    def _reach(self, anchors: np.ndarray, n: int) -> np.ndarray:
-        """Starts of passages that hold the whole suffix of one of the anchors."""
-        steps = np.zeros(n + 1, np.int64)
-        np.add.at(steps, np.clip(anchors - self.window + 1, 0, n), 1)
-        np.add.at(steps, np.clip(anchors + 1, 0, n), -1)
-        return np.cumsum(steps[:n]) > 0
+def _binary(matrix: np.ndarray) -> pa.Array:
+    """One value per row: its numbers, so that bytes order as numbers do."""
+    width = 8 * matrix.shape[1]
+    return pa.Array.from_buffers(pa.binary(width), len(matrix), [None, pa.py_buffer(matrix.astype(">u8").tobytes())]).cast(pa.binary())
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), ">u8").reshape(len(column), -1).astype(np.uint64)
 
 
-def repeated_spans(docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _common(words: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """How many first words each row shares with the row before; -1 where a block starts."""
+    same = np.zeros((len(words), words.shape[1] + 1), bool)
+    same[1:, :-1] = words[1:] == words[:-1]
+    starts = np.concatenate(([True], block[1:] != block[:-1]))
+    return np.where(starts, -1, np.argmin(same, axis=1))
+
+
+def repeated_spans(
+    docs: DataFrame, min_words: int = 50, id_col: str = "doc_id", text_col: str = "text", block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """``(row_key, start, end, first)``: where passages of ``min_words`` words occur twice or more.
 
-    Spans are in words (runs of other than white space, compared exactly), ``end``
-    exclusive, and may overlap; ``first`` marks those at the first place of their
-    text, by row key and place. ``row_key`` is ``xxhash64(<id>, <text>)``; of rows
-    equal in both, one is looked at.
+    Spans are in words (runs of other than white space), ``end`` exclusive, and may
+    overlap; ``first`` marks passages at the first place of their words, by row key
+    and place. ``row_key`` is ``xxhash64(<id>, <text>)``; of rows equal in both, one
+    is looked at. Words are compared one by one as 64-bit hashes of a word; what is
+    equal as far as any passage reaches, by 128 bits of all its words.
+
+    A suffix that more than ``block_rows`` different surroundings share is not one
+    range of the order: its passages are grouped by all their words instead.
     """
     sizes = _Passages(min_words)
     rows = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).cast("string").alias("text"))
     if not rows.groupBy("row_key").count().where("count > 1").isEmpty():
         rows = scratch_table(rows.dropDuplicates(["row_key"]), "repeats-rows")
 
-    # Sparse suffixes that are equal in their first words: neighbours in suffix order.
+    # Suffixes that stand alone by their first words cannot have an equal neighbour.
     shared = rows.select("text").mapInArrow(sizes.suffixes(), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     shared = bitmap(shared.where("n > 1"), F.col("key"), ANCHOR_BITS)
 
-    # Both ways extended, most matches are settled at once.
+    # Of suffixes equal as far as any passage reaches, the first one goes on for all.
     found = scratch_table(
-        rows.mapInArrow(sizes.extended(shared), "row_key long, at long, key long, whole long, place long"), "repeats-suffixes"
+        rows.mapInArrow(sizes.extended(shared), "row_key long, at long, key long, whole long, check long, place long"),
+        "repeats-suffixes",
     )
-    wholes = found.where("whole is not null").groupBy("whole").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "at")).alias("lead")
-    )
-    wholes = scratch_table(wholes.where("n > 1").select("whole", "lead"), "repeats-whole")
-    settled = scratch_table(found.join(wholes, "whole", "left"), "repeats-settled")
-    long_spans = settled.where("lead is not null").select(
-        "row_key",
-        (F.col("at") - sizes.window + 1).alias("start"),
-        (F.col("at") + sizes.words).alias("end"),
-        (F.col("lead") == F.struct("row_key", "at")).alias("first"),
+    fits = found.where("whole is not null")
+    wholes = fits.groupBy("whole", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "at")).alias("lead"))
+    wholes = scratch_table(wholes.where("n > 1").select("whole", "check", "lead"), "repeats-whole")
+    settled = fits.join(wholes, ["whole", "check"], "left").withColumn("first", F.col("lead") == F.struct("row_key", "at"))
+    settled = scratch_table(settled.select("row_key", "at", "key", "place", "first"), "repeats-settled")
+    long_spans = settled.where("first is not null").select(
+        "row_key", (F.col("at") - sizes.window + 1).alias("start"), (F.col("at") + sizes.words).alias("end"), "first"
     )
+    entries = settled.where("first is null or first").select("key", "place").union(found.where("whole is null").select("key", "place"))
+    keys = scratch_table(entries.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeats-keys")
+    open_keys, open_places = bitmap(keys, F.col("key"), ANCHOR_BITS), bitmap(entries, F.col("place"), PLACE_BITS)
+    hot = bitmap(keys.where(F.col("n") > block_rows), F.col("key"), ANCHOR_BITS)
 
-    # Around the others, where passages end, each place is compared by itself.
-    rest = settled.where("lead is null")
-    edges = bitmap(rest.select("key"), F.col("key"), ANCHOR_BITS)
-    twins = rows.select("text").mapInArrow(sizes.windows(edges), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    twins = scratch_table(twins.where("n > 1"), "repeats-twins")
-    places = scratch_table(
+    # The sorted array of the sparse suffixes: ranges, order, neighbours, extensions.
+    array = scratch_table(
         rows.mapInArrow(
-            sizes.places(shared, bitmap(rest, F.col("place"), PLACE_BITS), bitmap(twins, F.col("key"), ANCHOR_BITS)),
-            "row_key long, start long, key long",
+            sizes.entries(open_keys, hot, open_places),
+            "row_key long, at long, suffix binary, right binary, left binary, n_right long, n_left long",
         ),
-        "repeats-places",
+        "repeats-array",
+    )
+    ordered = array.repartitionByRange("suffix").sortWithinPartitions("suffix", "right")
+    spans = long_spans.union(ordered.mapInArrow(sizes.neighbours, "row_key long, start long, end long, first boolean"))
+    if not hot.any():
+        return spans
+
+    places = scratch_table(
+        rows.mapInArrow(sizes.places(hot, open_places), "row_key long, start long, key long, check long"), "repeats-places"
     )
-    leads = places.groupBy("key").agg(F.count(F.lit(1)).alias("here"), F.min(F.struct("row_key", "start")).alias("lead"))
-    # Where a longer match holds the passage too, that one is its first place.
-    leads = leads.join(twins, "key").select("key", F.when(F.col("here") == F.col("n"), F.col("lead")).alias("lead"))
-    short_spans = places.join(leads, "key").select(
+    leads = places.groupBy("key", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "start")).alias("lead"))
+    hot_spans = places.join(leads.where("n > 1"), ["key", "check"]).select(
         "row_key",
         "start",
         (F.col("start") + sizes.words).alias("end"),
-        F.coalesce(F.col("lead") == F.struct("row_key", "start"), F.lit(False)).alias("first"),
+        (F.col("lead") == F.struct("row_key", "start")).alias("first"),
     )
-    return long_spans.union(short_spans)
+    return spans.union(hot_spans)
 
 
 def _covered(spans: DataFrame, name: str) -> DataFrame:
@@ -242,7 +355,7 @@ def repeated_passages(docs: DataFrame, min_words: int = 50, id_col: str = "doc_i
 
     ``(<id>, n_repeated, repeated_spans, n_later, later_spans)``: words inside such
     passages and their merged spans ``[start, end)`` in words; ``later`` leaves out
-    the first place of each match, so its words stay somewhere if later spans go.
+    passages at the first place of their words (by row key, then place).
 
     Null, empty and shorter texts hold none. A passage may occur twice in one
     text. Rows equal in id and text count once; a null id is an id like others.
