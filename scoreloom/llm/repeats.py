@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from scoreloom.llm.words import AS_IS, NOT_SPACE, mix, shingle_hashes, text_slic
 GRAM = 4
 ANCHOR_BITS = 1 << 26
 PLACE_BITS = 1 << 26
-BLOCK_ROWS = 2_000
+BLOCK_ROWS = 50_000  # some 25 MB of entries, sorted by one task
 
 
 def _slide(values: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
@@ -178,9 +179,7 @@ class _Passages:
         for batch in batches:
             kept = pa.Table.from_batches([batch] if kept is None else [*kept.to_batches(), batch])
             suffix = kept.column("suffix")
-            at = len(kept) - 1
-            while at > 0 and suffix[at - 1] == suffix[len(kept) - 1]:
-                at -= 1
+            at = pc.index(suffix, suffix[len(kept) - 1]).as_py()  # the last suffix may go on in the next batch
             if at:
                 yield self._matched(kept.slice(0, at))
                 kept = kept.slice(at)
@@ -325,7 +324,8 @@ def repeated_spans(
         rows.mapInArrow(sizes.places(hot, open_places), "row_key long, start long, key long, check long"), "repeats-places"
     )
     leads = places.groupBy("key", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "start")).alias("lead"))
-    hot_spans = places.join(leads.where("n > 1"), ["key", "check"]).select(
+    leads = scratch_table(leads.where("n > 1").drop("n"), "repeats-leads")  # a table, so that a hot key's places can be split
+    hot_spans = places.join(leads, ["key", "check"]).select(
         "row_key",
         "start",
         (F.col("start") + sizes.words).alias("end"),
