@@ -23,7 +23,8 @@ from scoreloom.llm.words import AS_IS, NOT_SPACE, mix, shingle_hashes, text_slic
 GRAM = 4
 ANCHOR_BITS = 1 << 26
 PLACE_BITS = 1 << 26
-BLOCK_ROWS = 50_000  # some 25 MB of entries, sorted by one task
+BLOCK_ROWS = 2_000
+ENTRY = "row_key long, at long, suffix binary, right binary, left binary, n_right long, n_left long"
 
 
 def _slide(values: np.ndarray, size: int, best: np.ufunc) -> np.ndarray:
@@ -133,11 +134,10 @@ class _Passages:
         """Slices with those anchors whose key and place are in the bitmaps."""
         row_keys = batch.column("row_key").to_numpy().view(np.uint64)
         for first, bounds, of, hashes, anchors, keys in self.slices(batch):
-            anchors = anchors[has_bit(keys_wanted, keys)]
             rows = of[anchors]
-            stay = has_bit(places_wanted, place_key(row_keys[first + rows], anchors - bounds[rows]))
+            stay = has_bit(keys_wanted, keys) & has_bit(places_wanted, place_key(row_keys[first + rows], anchors - bounds[rows]))
             anchors, rows = anchors[stay], rows[stay]
-            yield first + rows, bounds[rows], bounds[rows + 1], hashes, anchors
+            yield first + rows, bounds[rows], bounds[rows + 1], hashes, anchors, keys[stay]
 
     def entries(self, keys_wanted: np.ndarray, hot: np.ndarray, places_wanted: np.ndarray):
         """Entries of the suffix array: the first words of the suffix in blocks, and the words around them.
@@ -146,11 +146,10 @@ class _Passages:
         word by word, ``left`` goes back from the anchor. Beyond the text there are zeros.
         """
         blocks = [*range(0, self.suffix - GRAM, GRAM), self.suffix - GRAM]
-        wanted = keys_wanted & ~hot
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for rows, low, high, hashes, anchors in self._open(batch, wanted, places_wanted):
+                for rows, low, high, hashes, anchors, keys in self._open(batch, keys_wanted, places_wanted):
                     grams = shingle_hashes(hashes, GRAM)
                     last = len(hashes) - 1
                     n_left = np.minimum(anchors - low, self.window - 1)
@@ -167,19 +166,20 @@ class _Passages:
                             *(_binary(m) for m in (suffix, right, left)),
                             pa.array(n_right),
                             pa.array(n_left),
+                            pa.array(has_bit(hot, keys)),
                         ],
-                        ["row_key", "at", "suffix", "right", "left", "n_right", "n_left"],
+                        ["row_key", "at", "suffix", "right", "left", "n_right", "n_left", "hot"],
                     )
 
         return run
 
     def neighbours(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Spans of repeated passages from entries in suffix order; a suffix is whole in one partition."""
+        """Spans of repeated passages from entries in order; a range is whole in one partition."""
         kept = None
         for batch in batches:
             kept = pa.Table.from_batches([batch] if kept is None else [*kept.to_batches(), batch])
-            suffix = kept.column("suffix")
-            at = pc.index(suffix, suffix[len(kept) - 1]).as_py()  # the last suffix may go on in the next batch
+            ranges = kept.column("range")
+            at = pc.index(ranges, ranges[len(kept) - 1]).as_py()  # the last range may go on in the next batch
             if at:
                 yield self._matched(kept.slice(0, at))
                 kept = kept.slice(at)
@@ -187,16 +187,18 @@ class _Passages:
             yield self._matched(kept)
 
     def _matched(self, table: pa.Table) -> pa.RecordBatch:
-        """Passages that two entries of one suffix share, with their extensions to the left and right.
+        """Passages that two entries of one range share, with their extensions to the left and right.
 
         Equal to the right by k words more are runs of the suffix order in which each
         entry agrees with its neighbour so far; equal to the left by d words, runs of
         the order by the words before. Entries in the same run of both share a passage.
         """
-        suffix, right, left = (_matrix(table.column(c)) for c in ("suffix", "right", "left"))
-        row_key, at, n_right, n_left = (table.column(c).to_numpy() for c in ("row_key", "at", "n_right", "n_left"))
+        part, right, left = (_matrix(table.column(c)) for c in ("range", "right", "left"))
+        row_key, at, n_right, n_left, low, high = (
+            table.column(c).to_numpy() for c in ("row_key", "at", "n_right", "n_left", "low", "high")
+        )
         most, m = self.window - 1, len(table)
-        block = np.cumsum(np.concatenate(([True], (suffix[1:] != suffix[:-1]).any(axis=1))))
+        block = np.cumsum(np.concatenate(([True], (part[1:] != part[:-1]).any(axis=1))))
         order = np.lexsort((*right.T[::-1], block))
         back = np.lexsort((*left.T[::-1], block))
         to_right, to_left = _common(right[order], block[order]), _common(left[back], block[back])
@@ -206,7 +208,7 @@ class _Passages:
         for d in range(most + 1):
             run_right[order] = np.cumsum(to_right < most - d)
             run_left[back] = np.cumsum(to_left < d)
-            here = place[(n_left[place] >= d) & (n_right[place] >= most - d)]
+            here = place[((n_left >= d) & (n_right >= most - d) & (low <= d) & (d <= high))[place]]
             _, lead, of, n = np.unique(
                 run_left[here] * (m + 1) + run_right[here], return_index=True, return_inverse=True, return_counts=True
             )
@@ -224,28 +226,44 @@ class _Passages:
             ["row_key", "start", "end", "first"],
         )
 
-    def places(self, hot: np.ndarray, places_wanted: np.ndarray):
-        """Every passage over an anchor of a hot suffix, with 128 bits of its words."""
+    def halves(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Entries of a hot range, for the nearer and the farther half of the starts that they stand for.
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for rows, low, high, hashes, anchors in self._open(batch, hot, places_wanted):
-                    starts = anchors[:, None] - np.arange(self.window)
-                    of, d = np.nonzero((starts >= low[:, None]) & (starts + self.words <= high[:, None]))
-                    starts, once = np.unique(starts[of, d], return_index=True)  # over several anchors, yet one place
-                    of = of[once]
-                    key, check = run_hashes(hashes, starts, self.words)
+        The passages of a half, which start ``low`` to ``high`` words before the anchor, have
+        more words in common: the new ``range``. ``whole`` and ``check`` are all words that any
+        of them reaches, null where the text ends first.
+        """
+        for batch in batches:
+            suffix, right, left = (_matrix(batch.column(c)) for c in ("suffix", "right", "left"))
+            n_right, n_left, lows, highs = (batch.column(c).to_numpy() for c in ("n_right", "n_left", "low", "high"))
+            for low, high in np.unique(np.stack((lows, highs)), axis=1).T.tolist():
+                middle = (low + high) // 2
+                for a, b in ((low, middle), (middle + 1, high)):
+                    here = np.flatnonzero(
+                        (lows == low) & (highs == high) & (n_left >= a) & (n_right >= self.window - 1 - b)
+                    )
+                    fits = (n_left[here] >= b) & (n_right[here] >= self.window - 1 - a)
+                    inner, outer = (
+                        _row_hashes(np.hstack((suffix[here], left[here, :x], right[here, : self.window - 1 - y])))
+                        for x, y in ((a, b), (b, a))
+                    )
+                    part = np.stack((np.full(len(here), a, np.uint64), *inner), axis=1)
+                    kept = batch.take(pa.array(here))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            batch.column("row_key").take(pa.array(rows[of])),
-                            pa.array(starts - low[of]),
-                            pa.array(key.view(np.int64)),
-                            pa.array(check.view(np.int64)),
+                            *(kept.column(c) for c in ("row_key", "at", "suffix", "right", "left", "n_right", "n_left")),
+                            pa.array(np.full(len(here), a)),
+                            pa.array(np.full(len(here), b)),
+                            _binary(part),
+                            *(pa.array(h.view(np.int64), mask=~fits) for h in outer),
                         ],
-                        ["row_key", "start", "key", "check"],
+                        ["row_key", "at", "suffix", "right", "left", "n_right", "n_left", "low", "high", "range", "whole", "check"],
                     )
 
-        return run
+
+def _row_hashes(matrix: np.ndarray) -> np.ndarray:
+    """Two independent hashes of the numbers of each row."""
+    return run_hashes(matrix.ravel(), np.arange(len(matrix)) * matrix.shape[1], matrix.shape[1])
 
 
 def _binary(matrix: np.ndarray) -> pa.Array:
@@ -277,8 +295,8 @@ def repeated_spans(
     is looked at. Words are compared one by one as 64-bit hashes of a word; what is
     equal as far as any passage reaches, by 128 bits of all its words.
 
-    A suffix that more than ``block_rows`` different surroundings share is not one
-    range of the order: its passages are grouped by all their words instead.
+    A range of the order that more than ``block_rows`` entries share is split by
+    deeper words, in halves of the starts that its entries stand for.
     """
     sizes = _Passages(min_words)
     rows = docs.select(F.xxhash64(id_col, text_col).alias("row_key"), F.col(text_col).cast("string").alias("text"))
@@ -308,30 +326,46 @@ def repeated_spans(
     hot = bitmap(keys.where(F.col("n") > block_rows), F.col("key"), ANCHOR_BITS)
 
     # The sorted array of the sparse suffixes: ranges, order, neighbours, extensions.
-    array = scratch_table(
-        rows.mapInArrow(
-            sizes.entries(open_keys, hot, open_places),
-            "row_key long, at long, suffix binary, right binary, left binary, n_right long, n_left long",
-        ),
-        "repeats-array",
-    )
-    ordered = array.repartitionByRange("suffix").sortWithinPartitions("suffix", "right")
-    spans = long_spans.union(ordered.mapInArrow(sizes.neighbours, "row_key long, start long, end long, first boolean"))
-    if not hot.any():
-        return spans
+    array = scratch_table(rows.mapInArrow(sizes.entries(open_keys, hot, open_places), f"{ENTRY}, hot boolean"), "repeats-array")
+    array = array.withColumns({"low": F.lit(0).cast("long"), "high": F.lit(sizes.window - 1).cast("long"), "range": F.col("suffix")})
+    spans = long_spans.union(_shared_spans(array.where("not hot"), sizes))
+    parts = array.where("hot")
+    while not parts.isEmpty():
+        more, parts = _narrowed(parts, sizes, block_rows)
+        spans = spans.union(more)
+    return spans
+
+
+def _shared_spans(entries: DataFrame, sizes: _Passages) -> DataFrame:
+    """Spans that entries of one range share: ranges are dealt and sorted, neighbours compared."""
+    columns = ("row_key", "at", "range", "right", "left", "n_right", "n_left", "low", "high")
+    ordered = entries.select(*columns).repartitionByRange("range").sortWithinPartitions("range", "right")
+    return ordered.mapInArrow(sizes.neighbours, "row_key long, start long, end long, first boolean")
 
-    places = scratch_table(
-        rows.mapInArrow(sizes.places(hot, open_places), "row_key long, start long, key long, check long"), "repeats-places"
+
+def _narrowed(parts: DataFrame, sizes: _Passages, block_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Spans of hot ranges by halves of their starts, and what of it is hot still.
+
+    A half has deeper words. Entries that agree in all words of a half are repeated in
+    the whole of it, so the first one goes on for all; a half of one start ends there.
+    """
+    halves = scratch_table(
+        parts.mapInArrow(sizes.halves, f"{ENTRY}, low long, high long, range binary, whole long, check long"), "repeats-halves"
     )
-    leads = places.groupBy("key", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "start")).alias("lead"))
-    leads = scratch_table(leads.where("n > 1").drop("n"), "repeats-leads")  # a table, so that a hot key's places can be split
-    hot_spans = places.join(leads, ["key", "check"]).select(
-        "row_key",
-        "start",
-        (F.col("start") + sizes.words).alias("end"),
-        (F.col("lead") == F.struct("row_key", "start")).alias("first"),
+    fits = halves.where("whole is not null")
+    wholes = fits.groupBy("low", "whole", "check").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row_key", "at")).alias("lead"))
+    wholes = scratch_table(wholes.where("n > 1").drop("n"), "repeats-half-wholes")
+    settled = fits.join(wholes, ["low", "whole", "check"], "left").withColumn("first", F.col("lead") == F.struct("row_key", "at"))
+    columns = [c for c in halves.columns if c not in ("whole", "check")]
+    settled = scratch_table(settled.select(*columns, "first"), "repeats-half-settled")
+    spans = settled.where("first is not null").select(
+        "row_key", (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + sizes.words).alias("end"), "first"
     )
-    return spans.union(hot_spans)
+    left = settled.where("first is null or first").select(*columns).union(halves.where("whole is null").select(*columns))
+    counts = scratch_table(left.groupBy("range").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "repeats-half-ranges")
+    left = scratch_table(left.join(counts, "range"), "repeats-half-left")
+    within = (F.col("n") <= block_rows) & (F.col("low") < F.col("high"))
+    return spans.union(_shared_spans(left.where(within), sizes)), left.where(~within & (F.col("low") < F.col("high")))
 
 
 def _covered(spans: DataFrame, name: str) -> DataFrame:

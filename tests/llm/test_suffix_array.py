@@ -81,7 +81,9 @@ def test_colliding_suffix_keys_do_not_count(spark, monkeypatch):
     monkeypatch.setattr(module, "has_bit", lambda bits, keys: np.full(len(keys), bits.any()))
     every, none = np.full(8, 255, np.uint8), np.zeros(8, np.uint8)
     entries = pa.Table.from_batches(list(sizes.entries(every, none, every)([batch])))
-    entries = entries.sort_by([("suffix", "ascending"), ("right", "ascending")])
+    low, high = (pa.array([n] * len(entries)) for n in (0, sizes.window - 1))
+    entries = entries.append_column("low", low).append_column("high", high).rename_columns({"suffix": "range"})
+    entries = entries.sort_by([("range", "ascending"), ("right", "ascending")])
     covered = defaultdict(lambda: (set(), set()))
     for part in sizes.neighbours(iter(entries.to_batches(max_chunksize=37))):
         for r in part.to_pylist():
