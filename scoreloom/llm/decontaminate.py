@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from scoreloom.llm.scratch import bitmap, has_bit, scratch_table
+from scoreloom.llm.scratch import bitmap, has_bit, perhaps_in, scratch_table
 from scoreloom.llm.words import LETTER_OR_DIGIT, LOWER, shingle_hashes, text_slices, word_hashes, word_spans
 
 SHINGLE = 3
 TOKEN_BITS = 1 << 23
+ROW_BITS = 1 << 25
 
 
 def _item_windows(window: int):
@@ -196,8 +197,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark window, unchanged."""
+    """The rows of ``docs`` that hold no benchmark window, unchanged.
+
+    Rows that surely hold none, by a bitmap of fixed size, stay where they are;
+    only the others are joined.
+    """
     _, found = benchmark_hits(docs, benchmark, window, id_col, text_col, item_col)
     marked = docs.withColumn("__row_key", F.xxhash64(id_col, text_col))
-    hit = found.select(F.col("row_key").alias("__row_key")).distinct()
-    return marked.join(hit, "__row_key", "left_anti").drop("__row_key")
+    hit = scratch_table(found.select(F.col("row_key").alias("__row_key")).distinct(), "benchmark-rows")
+    perhaps = perhaps_in(bitmap(hit, F.col("__row_key"), ROW_BITS), F.col("__row_key"))
+    return marked.where(~perhaps).union(marked.where(perhaps).join(hit, "__row_key", "left_anti").select(marked.columns)).drop("__row_key")

@@ -5,7 +5,9 @@ from __future__ import annotations
 import random
 
 import brute
+import pytest
 
+from scoreloom.llm.decontaminate import clean_documents
 from scoreloom.llm.jaccard_join import one_of_each
 
 TEXT = "a b c d e f g h i j k l m n o p q r s t u v w x y z"
@@ -59,3 +61,20 @@ def test_equal_to_the_row_by_row_version(spark):
         assert len({t for i, t in members if (i is None, i or 0) == least}) == 1
         expected.append(next(r for r in members if (r[0] is None, r[0] or 0) == least))
     assert kept(spark, rows) == sorted(map(repr, expected))
+
+
+@pytest.mark.parametrize("stage", ["near_duplicates", "decontamination"])
+def test_rows_that_stay_are_not_moved(spark, stage):
+    """Only rows that perhaps go are dealt by keys, also where no table is small enough to be broadcast."""
+    copies = [(1000 + i, TEXT) for i in range(20)]
+    ids = [i * 7 % 300 for i in range(300)]
+    docs = spark.createDataFrame([(i, f"text {i} " + " ".join(f"w{i}x{j}" for j in range(9))) for i in ids] + copies, "doc_id long, text string")
+    benchmark = spark.createDataFrame([("b", TEXT)], "item_id string, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = one_of_each(docs) if stage == "near_duplicates" else clean_documents(docs, benchmark)
+        found = [r.doc_id for r in out.collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == ids + [1000] * (stage == "near_duplicates")
