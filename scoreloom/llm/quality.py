@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from scoreloom.llm.scratch import scratch_table
 from scoreloom.llm.words import AS_IS, NOT_SPACE, text_slices, word_hashes, word_spans
 
-SAMPLE_TEXTS = 12_000
-PAIRS = 24_000
+# Preferences of each text of the commoner side.
+TURNS = 2
+CELL_FEW = 64
+CELL_MANY = 1_024
 QUANTILES = 1_000
+ACCURACY = 20_000
 
 # Classes of bytes; bytes from 0x80 on belong to letters of other scripts.
 _CLASSES = (
@@ -63,7 +66,7 @@ def text_features(column: pa.Array) -> Iterator[np.ndarray]:
     """
     for _, data, offsets in text_slices(column):
         rows = len(offsets) - 1
-        out = np.zeros((rows, N_FEATURES))
+        out = np.zeros((rows, N_FEATURES), np.float32)
         kind = _CLASS[data]
         row = np.repeat(np.arange(rows), np.diff(offsets))
         if len(kind) > 1:
@@ -99,32 +102,107 @@ class QualityModel:
     cut: float = 0.0
 
 
+def strengths_of(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """To 9 decimals, so that equal texts have equal ones in training and scoring."""
+    return np.round(features.astype(np.float64) @ weights, 9)
+
+
+def _packed(rows: np.ndarray) -> pa.Array:
+    """Each row of features as the bytes of 32-bit numbers."""
+    return pa.array([r.tobytes() for r in rows], pa.binary())
+
+
+def _unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, N_FEATURES).astype(np.float64)
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [r for block in text_features(batch.column("text")) for r in block.tolist()]
+        rows = [_packed(block) for block in text_features(batch.column("text"))]
+        packed = pa.concat_arrays(rows) if rows else pa.array([], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), packed], ["id", "key", "features"])
+
+
+def _differences(turns: int):
+    """Preferences of one cell: the many texts of one side against the few of the other, in turn."""
+
+    def run(many: pa.Table, few: pa.Table) -> pa.Table:
+        l, s = len(many), len(few)
+        n = max(turns * l, s) if l and s else 0
+        at = np.arange(n)
+        wins = at % 2
+        if n:
+            x, y = (_unpacked(side.sort_by([("key", "ascending"), ("features", "ascending")])["features"]) for side in (many, few))
+            # The better text minus the worse; every second pair is turned round, so that both outcomes occur.
+            sign = np.where(wins == many["good"][0].as_py(), 1.0, -1.0)
+            flat = ((x[at // turns % l] - y[at % s]) * sign[:, None]).ravel()
+        else:
+            flat = np.zeros(0)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * N_FEATURES), pa.array(flat))
+        return pa.table({"wins": pa.array(wins.astype(np.int32)), "difference": lists})
+
+    return run
+
+
+def preferences(found: DataFrame, sizes: dict[int, int], turns: int = TURNS) -> DataFrame:
+    """``(wins, difference)`` of pairs of texts from ``(good, key, features)``, ``sizes`` counting both sides.
+
+    Texts are dealt by their keys into cells of some ``CELL_FEW`` texts of the
+    rarer side and some ``CELL_MANY`` or fewer of the other; where the rarer side
+    is too small for that, its texts are in several cells. In a cell every text of
+    the commoner side is in ``turns`` pairs, and all of the other take part in turn.
+    """
+    rarer = min(sizes, key=lambda g: (sizes[g], g))
+    cells = max(1, sizes[rarer] // CELL_FEW)
+    parts = max(1, -(-sizes[1 - rarer] // (cells * CELL_MANY)))
+    found = found.withColumn("cell", F.pmod("key", F.lit(cells)))
+    many = found.where(f"good = {1 - rarer}").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
+    few = found.where(f"good = {rarer}").withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    many, few = (side.select(*[F.col(c).alias(c) for c in ("cell", "part", "good", "key", "features")]).groupBy("cell", "part") for side in (many, few))
+    return many.cogroup(few).applyInArrow(_differences(turns), "wins int, difference array<double>")
+
+
+def _strengths(weights: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(strengths_of(_unpacked(batch.column("features")), weights))], ["good", "strength"])
+
+    return run
+
+
+def _passed(cuts: np.ndarray):
+    """How many texts of each label reach how many of the cuts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, len(cuts) + 1), np.int64)
+        for batch in batches:
+            good, strengths = (batch.column(c).to_numpy() for c in ("good", "strength"))
+            np.add.at(counts, (good, np.searchsorted(cuts, strengths, "right")), 1)
+        good, reached = np.nonzero(counts)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("at"), batch.column("good"), pa.array(rows, pa.list_(pa.float64()))], ["at", "good", "features"]
+            [pa.array(good.astype(np.int32)), pa.array(reached.astype(np.int32)), pa.array(counts[good, reached])], ["good", "reached", "n"]
         )
 
+    return run
+
 
 def train_quality(
     docs: DataFrame,
     labels: DataFrame,
-    sample_texts: int = SAMPLE_TEXTS,
-    pairs: int = PAIRS,
+    turns: int = TURNS,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "quality",
 ) -> QualityModel:
-    """Learn from labelled documents (1 better than 0).
+    """Learn from all labelled documents (1 better than 0).
 
-    At most ``sample_texts`` documents are learned from, the first by hash of
-    their id. Each of ``pairs`` preferences puts one good text above one bad one;
-    all of both sides take part in turn. Logistic loss on the differences of
-    their features, without an intercept, gives the strengths of a Bradley-Terry
-    model. The cut is the quantile of the sample's strengths that parts the
-    labels best, by the mean of both shares told apart; among equals the one in
-    the middle.
+    Each preference puts one good text above one bad one; every text of the
+    commoner side is in ``turns`` of them, and all of the other take part in turn,
+    see ``preferences``. Logistic loss on the differences of their features,
+    without an intercept, gives the strengths of a Bradley-Terry model. The cut is
+    the quantile of all strengths that parts the labels best, by the mean of both
+    shares told apart; among equals the one in the middle. Quantiles are within one
+    in ``ACCURACY`` of the texts, the shares are counted over all of them.
 
     Null labels and ids are left out; an id with several labels has the largest,
     and each of its rows is a text. Without two labels every strength is 0 and
@@ -134,54 +212,44 @@ def train_quality(
         labels.where(f"{label_col} in (0, 1) and {id_col} is not null")
         .groupBy(F.col(id_col).alias("id"))
         .agg(F.max(label_col).cast("int").alias("good"))
-        .orderBy(F.xxhash64("id"), "id")
-        .limit(sample_texts)
     )
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    sample = scratch_table(texts.join(F.broadcast(known), "id").select("id", "good", "text"), "quality-sample")
-    # Numbers 0, 1, … on each side; the sample is bounded, so a window may hold it.
-    numbered = sample.selectExpr(
-        "good", "text", "row_number() OVER (PARTITION BY good ORDER BY xxhash64(id), id, xxhash64(text)) - 1 AS at"
-    )
-    found = scratch_table(numbered.mapInArrow(_features, "at int, good int, features array<double>"), "quality-features")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null")
+    texts = texts.select("id", F.xxhash64("id", "text").alias("key"), "text")
+    id_type = texts.schema["id"].dataType.simpleString()
+    # Labels meet features, which are shorter than texts.
+    features = texts.mapInArrow(_features, f"id {id_type}, key long, features binary")
+    found = scratch_table(features.join(known.hint("merge"), "id").select("good", "key", "features"), "quality-features")
     sizes = {r["good"]: r["count"] for r in found.groupBy("good").count().collect()}
     if len(sizes) < 2:
         return QualityModel()
-    # Steps of 1 on one side and, after each turn of it, one more on the other meet all of both.
-    better, worse = (found.where(f"good = {g}").selectExpr(f"at AS at{g}", f"features AS f{g}") for g in (1, 0))
-    preferences = docs.sparkSession.range(pairs).selectExpr(
-        "id", f"cast(id % {sizes[1]} AS int) AS at1", f"cast((id + floor(id / {sizes[1]})) % {sizes[0]} AS int) AS at0"
-    )
-    # Every second pair is turned round, so that both outcomes occur.
-    differences = (
-        preferences.join(better, "at1")
-        .join(worse, "at0")
-        .selectExpr(
-            "1 - id % 2 AS wins",
-            "zip_with(f1, f0, (x, y) -> (x - y) * (1 - 2 * (id % 2))) AS difference",
-        )
-    )
-    differences = scratch_table(differences, "quality-pairs").select("wins", array_to_vector("difference").alias("features"))
+    differences = preferences(found, sizes, turns).select("wins", array_to_vector("difference").alias("features"))
     fit = LogisticRegression(labelCol="wins", fitIntercept=False, regParam=1e-4).fit(differences)
     weights = np.array(fit.coefficients.toArray())
 
-    def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = batch.column("features").flatten().to_numpy().reshape(-1, N_FEATURES)
-            yield pa.RecordBatch.from_arrays([batch.column("good"), pa.array(rows @ weights)], ["good", "strength"])
+    strengths = scratch_table(found.select("good", "features").mapInArrow(_strengths(weights), "good int, strength double"), "quality-strengths")
+    shares = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
+    cuts = np.array(strengths.agg(F.percentile_approx("strength", shares, ACCURACY)).first()[0])
+    passed = strengths.mapInArrow(_passed(cuts), "good int, reached int, n long").groupBy("good", "reached").agg(F.sum("n").alias("n"))
+    counts = np.zeros((2, len(cuts) + 1), np.int64)
+    for r in passed.collect():
+        counts[r["good"], r["reached"]] = r["n"]
+    return QualityModel(tuple(weights.tolist()), best_cut(cuts, counts))
+
 
-    measured = found.select("good", "features").mapInArrow(strengths, "good int, strength double").toPandas()
-    return QualityModel(tuple(weights.tolist()), best_quantile(measured["strength"].to_numpy(), measured["good"].to_numpy()))
+def best_cut(cuts: np.ndarray, counts: np.ndarray) -> float:
+    """The cut that parts good (from it on) from bad (below it) best, from how many of each label reach how many cuts."""
+    bad, good = np.cumsum(counts[:, :-1], axis=1) / counts.sum(axis=1, keepdims=True)
+    told = 1 - good + bad
+    best = np.flatnonzero(np.isclose(told, told.max(), rtol=0, atol=1e-9))
+    return float(cuts[best[len(best) // 2]])
 
 
 def best_quantile(strengths: np.ndarray, good: np.ndarray, quantiles: int = QUANTILES) -> float:
-    """The quantile of ``strengths`` that parts good (from it on) from bad (below it) best."""
+    """``best_cut`` of the quantiles of ``strengths``, for those that fit one process."""
     cuts = np.quantile(strengths, np.arange(1, quantiles) / quantiles)
-    high, low = np.sort(strengths[good == 1]), np.sort(strengths[good == 0])
-    kept = 1 - np.searchsorted(high, cuts, "left") / len(high)
-    caught = np.searchsorted(low, cuts, "left") / len(low)
-    best = np.flatnonzero(np.isclose(kept + caught, (kept + caught).max(), rtol=0, atol=1e-9))
-    return float(cuts[best[len(best) // 2]])
+    counts = np.zeros((2, len(cuts) + 1), np.int64)
+    np.add.at(counts, (good, np.searchsorted(cuts, strengths, "right")), 1)
+    return best_cut(cuts, counts)
 
 
 def quality_scores(
@@ -199,7 +267,7 @@ def quality_scores(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            blocks = [block @ weights for block in text_features(batch.column("text"))]
+            blocks = [strengths_of(block, weights) for block in text_features(batch.column("text"))]
             strength = np.concatenate(blocks) if blocks else np.zeros(0)
             above = strength >= model.cut
             score = 1 / (1 + np.exp(np.clip(model.cut - strength - at_cut, -700, 700)))

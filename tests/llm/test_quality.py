@@ -88,3 +88,38 @@ def test_without_two_labels_or_rows(spark):
         rows = Q.quality_scores(docs, Q.train_quality(docs, some)).collect()
         assert {(r.strength, r.predicted) for r in rows} == {(0.0, 1)}
     assert Q.quality_scores(docs.limit(0), Q.train_quality(docs.limit(0), labels)).count() == 0
+
+
+def test_every_labelled_text_is_learned_from(spark):
+    """30,000 texts, of which the first 12,000 by hash of their id say the opposite of the others."""
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, 'aa aa aa', '11 11 11'), repeat(' b', cast(id % 5 AS int))) AS text")
+    order = docs.selectExpr("doc_id", "row_number() OVER (ORDER BY xxhash64(doc_id), doc_id) AS at")
+    # Among the first even ids are bad, among the others good.
+    labels = order.selectExpr("doc_id", "cast(if(at <= 12000, doc_id % 2, 1 - doc_id % 2) AS int) AS quality")
+    scores = Q.quality_scores(docs, Q.train_quality(docs, labels)).groupBy((F.col("doc_id") % 2).alias("odd")).agg(F.avg("predicted").alias("p")).collect()
+    assert {r.odd: r.p for r in scores} == {0: 1.0, 1: 0.0}
+
+
+@pytest.mark.parametrize("few", [1, 3, 700])
+def test_all_texts_take_part(spark, few):
+    """Also where one side is rare: every text of the commoner one in two pairs, each of the other in some."""
+    n = 5_000
+    row = [0.0] * Q.N_FEATURES
+    data = [(int(i < few), i, (np.array([i, *row[1:]], np.float32)).tobytes()) for i in range(n + few)]
+    found = spark.createDataFrame(data, "good int, key long, features binary").withColumn("key", F.xxhash64("key"))
+    # The first feature of a pair is the number of the better text minus that of the worse.
+    pairs = [(r.wins, r.d) for r in Q.preferences(found, {0: n, 1: few}).selectExpr("wins", "difference[0] AS d").collect()]
+    assert len(pairs) == 2 * n and {w for w, _ in pairs} == {0, 1}
+    assert all((d < 0) == (w == 1) for w, d in pairs)
+    if few == 1:
+        assert sorted(abs(d) for _, d in pairs) == [float(i) for i in range(1, n + 1) for _ in (0, 1)]
+
+
+def test_the_cut_equals_the_plain_one():
+    rng = np.random.default_rng(3)
+    good = rng.integers(0, 2, 5_000)
+    strengths = rng.normal(size=5_000) + good
+    cut = Q.best_quantile(strengths, good)
+    every = [((strengths >= c) & (good == 1)).sum() / good.sum() + ((strengths < c) & (good == 0)).sum() / (1 - good).sum() for c in np.quantile(strengths, np.arange(1, 1000) / 1000)]
+    told = ((strengths >= cut) & (good == 1)).sum() / good.sum() + ((strengths < cut) & (good == 0)).sum() / (1 - good).sum()
+    assert told == pytest.approx(max(every))
