@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from scoreloom.llm.scratch import scratch_table
 from scoreloom.llm.words import AS_IS, NOT_SPACE, text_slices, word_hashes, word_spans
+from scoreloom.operators.quantiles import SMALL_GROUP_ROWS
 
 # Preferences of each text of the commoner side.
 TURNS = 2
@@ -201,8 +202,9 @@ def train_quality(
     see ``preferences``. Logistic loss on the differences of their features,
     without an intercept, gives the strengths of a Bradley-Terry model. The cut is
     the quantile of all strengths that parts the labels best, by the mean of both
-    shares told apart; among equals the one in the middle. Quantiles are within one
-    in ``ACCURACY`` of the texts, the shares are counted over all of them.
+    shares told apart; among equals the one in the middle. Quantiles of more than
+    ``SMALL_GROUP_ROWS`` texts are within one in ``ACCURACY`` of them; the shares
+    are counted over all.
 
     Null labels and ids are left out; an id with several labels has the largest,
     and each of its rows is a text. Without two labels every strength is 0 and
@@ -228,7 +230,9 @@ def train_quality(
 
     strengths = scratch_table(found.select("good", "features").mapInArrow(_strengths(weights), "good int, strength double"), "quality-strengths")
     shares = F.array(*[F.lit(i / QUANTILES) for i in range(1, QUANTILES)])
-    cuts = np.array(strengths.agg(F.percentile_approx("strength", shares, ACCURACY)).first()[0])
+    few = sum(sizes.values()) <= SMALL_GROUP_ROWS
+    cuts = F.percentile("strength", shares) if few else F.percentile_approx("strength", shares, F.lit(ACCURACY))
+    cuts = np.array(strengths.agg(cuts).first()[0])
     passed = strengths.mapInArrow(_passed(cuts), "good int, reached int, n long").groupBy("good", "reached").agg(F.sum("n").alias("n"))
     counts = np.zeros((2, len(cuts) + 1), np.int64)
     for r in passed.collect():

@@ -90,8 +90,10 @@ def test_without_two_labels_or_rows(spark):
     assert Q.quality_scores(docs.limit(0), Q.train_quality(docs.limit(0), labels)).count() == 0
 
 
-def test_every_labelled_text_is_learned_from(spark):
+@pytest.mark.parametrize("small", [1_000_000, 100])
+def test_every_labelled_text_is_learned_from(spark, monkeypatch, small):
     """30,000 texts, of which the first 12,000 by hash of their id say the opposite of the others."""
+    monkeypatch.setattr(Q, "SMALL_GROUP_ROWS", small)
     docs = spark.range(30_000).selectExpr("id AS doc_id", "concat(if(id % 2 = 0, 'aa aa aa', '11 11 11'), repeat(' b', cast(id % 5 AS int))) AS text")
     order = docs.selectExpr("doc_id", "row_number() OVER (ORDER BY xxhash64(doc_id), doc_id) AS at")
     # Among the first even ids are bad, among the others good.
